@@ -264,3 +264,302 @@ def gold_sql(name: str) -> str:
             f"from ({w}) s where year is not null group by year order by year"
         )
     raise KeyError(name)
+
+
+def dedupe_only_sql(dataset: str) -> str:
+    """W1 alone: typed rows, first per key, NULL keys kept."""
+    _, columns, partition, order, _ = _SILVER[dataset]
+    return dedupe_sql(silver_typed_sql(dataset), columns, partition, order)
+
+
+# --- bronze load (B4-B6) -------------------------------------------------------
+
+# Fixed value: the NA words (see reelhouse.specs.NA_WORDS).
+_NA = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', "
+    "'1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+
+
+def bronze_loaded_sql(dataset: str) -> str:
+    cols = ", ".join(
+        f"case when {c} in ({_NA}) then null else {c} end as {c}" for c in _BRONZE_COLS[dataset]
+    )
+    return f"select {cols} from ({BRONZE_SQL[dataset]}) b"
+
+
+# --- scalar operators ------------------------------------------------------------
+
+
+def scalar_sql(name: str) -> str:
+    if name == "clean_text":
+        return f"select doc_id, {clean('text')} as text_clean from documents"
+    if name == "guard_date":
+        return (
+            f"select {clean('watched_date')} as watched_date_txt, "
+            f"{guard_date(clean('watched_date'))} as watched_date, "
+            f"{clean('list_date')} as list_date_txt, {guard_date(clean('list_date'))} as list_date "
+            f"from ({BRONZE_SQL['diary']}) b"
+        )
+    if name == "guard_year":
+        return (
+            f"select {clean('year')} as year_txt, {guard_year(clean('year'))} as year "
+            f"from ({BRONZE_SQL['reviews']}) b"
+        )
+    if name == "guard_rating":
+        return (
+            f"select {clean('rating')} as rating_txt, {guard_rating(clean('rating'))} as rating "
+            f"from ({BRONZE_SQL['ratings']}) b"
+        )
+    if name == "bool_tokens":
+        return (
+            f"select {clean('rewatch')} as rewatch_txt, {to_bool(clean('rewatch'))} as rewatch "
+            f"from ({BRONZE_SQL['reviews']}) b"
+        )
+    if name == "month_start":
+        return (
+            "select o_orderkey, cast(date_trunc('month', o_orderdate) as date) as month_start "
+            "from orders"
+        )
+    raise KeyError(name)
+
+
+# --- raw zone --------------------------------------------------------------------
+
+_DATASET_RE = r"(?:^|[_\- ])(diary|profile|ratings|reviews|watched|watchlist)\.csv$"
+
+
+def infer_dataset(path: str) -> str:
+    return f"nullif(regexp_extract(lower(string_split({path}, '/')[-1]), '{_DATASET_RE}', 1), '')"
+
+
+def _arr(values: list[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def export_files_sql() -> str:
+    from reelhouse.standins import NAME_DATASETS, NAME_EXTS, NAME_SEPS
+
+    path = (
+        f"concat('in/', source, {_arr(NAME_SEPS)}[doc_id % {len(NAME_SEPS)} + 1], "
+        f"{_arr(NAME_DATASETS)}[doc_id % {len(NAME_DATASETS)} + 1], "
+        f"{_arr(NAME_EXTS)}[doc_id % {len(NAME_EXTS)} + 1])"
+    )
+    return (
+        f"select doc_id, path, string_split(path, '/')[-1] as name, "
+        f"cast(octet_length(encode(text)) as bigint) as length, text "
+        f"from (select *, {path} as path from documents) d"
+    )
+
+
+def listing_sql() -> str:
+    from reelhouse.standins import LISTING_DATASETS
+
+    return (
+        "select concat('letterboxd/', cast(o_orderkey % 500 as varchar), '/', "
+        f"cast(o_orderkey as varchar), '_', {_arr(LISTING_DATASETS)}[o_orderkey % 7 + 1], '.csv') as path, "
+        "o_orderdate as modificationTime, cast(trunc(o_totalprice) as bigint) as length from orders"
+    )
+
+
+def uuid_from(*parts: str) -> str:
+    h = f"sha256(concat_ws('/', {', '.join(parts)}))"
+    return (
+        f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
+        f"substr({h}, 17, 4), substr({h}, 21, 12))"
+    )
+
+
+LEDGER_COLS = [
+    "ingestion_id", "source", "original_filename", "bucket", "object_key", "size_bytes",
+    "content_type", "status", "created_at", "updated_at",
+]
+
+
+def ledger_sql() -> str:
+    from reelhouse.standins import LISTING_DATASETS
+
+    return (
+        f"select {uuid_from('cast(o_custkey as varchar)', 'o_orderpriority')} as ingestion_id, "
+        "'letterboxd_csv' as source, concat(ds, '.csv') as original_filename, 'raw' as bucket, "
+        "concat('letterboxd/', cast(o_custkey as varchar), '/', ds, '.csv') as object_key, "
+        "cast(trunc(o_totalprice) as bigint) - 50000 as size_bytes, "
+        "case when o_orderkey % 3 = 0 then null else 'text/csv' end as content_type, "
+        "'uploaded' as status, o_orderdate as created_at, o_orderdate as updated_at, o_orderstatus "
+        f"from (select *, {_arr(LISTING_DATASETS[:6])}[o_orderkey % 6 + 1] as ds from orders) o"
+    )
+
+
+def raw_sql(name: str) -> str:
+    if name == "infer_dataset":
+        return f"select doc_id, name, {infer_dataset('path')} as dataset from ({export_files_sql()}) f"
+    if name == "admit_files":
+        return (
+            "select doc_id, name, length, "
+            "case when not suffix(lower(name), '.csv') then 'Only .csv files are supported' "
+            "when length <= 0 then 'Empty file' end as reason, "
+            "suffix(lower(name), '.csv') and length > 0 as admitted "
+            f"from ({export_files_sql()}) f"
+        )
+    if name == "fingerprint":
+        return (
+            "select doc_id, cast(octet_length(encode(text)) as bigint) as size_bytes, "
+            f"sha256(text) as sha256 from documents"
+        )
+    if name == "object_key":
+        return (
+            "select o_orderkey, concat('letterboxd/', strftime(o_orderdate, '%Y/%m/%d/%H%M%S'), '_', "
+            "left(sha256(cast(o_orderkey as varchar)), 12), '_', "
+            "replace(concat('my ', o_orderpriority, ' export.csv'), ' ', '_')) as object_key "
+            "from orders"
+        )
+    tagged = f"select *, {infer_dataset('path')} as dataset from ({listing_sql()}) l"
+    if name == "latest_object":
+        return (
+            f"select path, modificationTime, length, dataset from ({tagged}) t "
+            "where dataset is not null qualify row_number() over "
+            "(partition by dataset order by modificationTime desc nulls last, path asc) = 1"
+        )
+    if name == "latest_by_suffix":
+        return (
+            f"select path, modificationTime, length from ({listing_sql()}) l "
+            "where suffix(lower(path), 'ratings.csv') "
+            "order by modificationTime desc nulls last, path asc limit 1"
+        )
+    if name == "available_datasets":
+        return f"select distinct dataset from ({tagged}) t where dataset is not null"
+    cols = ", ".join(LEDGER_COLS)
+    if name == "recent_runs":
+        ties = ", ".join(f"{c} asc nulls last" for c in LEDGER_COLS if c != "created_at")
+        return (
+            f"select {cols} from ({ledger_sql()}) l "
+            f"order by created_at desc nulls first, {ties} limit 10"
+        )
+    if name == "insert_if_absent":
+        ties = ", ".join(
+            f"{c} asc nulls last" for c in LEDGER_COLS if c not in ("ingestion_id", "created_at")
+        )
+        return (
+            f"with l as ({ledger_sql()}), "
+            f"fresh as (select {cols} from l qualify row_number() over (partition by ingestion_id "
+            f"order by created_at asc nulls last, {ties}) = 1) "
+            "select * from fresh where not exists "
+            "(select 1 from l where l.o_orderstatus = 'F' and l.ingestion_id = fresh.ingestion_id)"
+        )
+    if name == "check_ledger":
+        nn = [
+            "ingestion_id", "source", "original_filename", "bucket", "object_key", "size_bytes",
+            "status", "created_at", "updated_at",
+        ]
+        parts = [
+            f"select 'not_null' as check_name, '{c}' as column_name, "
+            f"count(*) filter (where {c} is null) as failures from l"
+            for c in nn
+        ]
+        parts.append(
+            "select 'size_bytes_non_negative' as check_name, 'size_bytes' as column_name, "
+            "count(*) filter (where size_bytes < 0) as failures from l"
+        )
+        parts.append(
+            "select 'primary_key' as check_name, 'ingestion_id' as column_name, count(*) as failures "
+            "from (select ingestion_id from l where ingestion_id is not null group by 1 "
+            "having count(*) > 1) d"
+        )
+        parts.append(
+            "select 'unique' as check_name, 'bucket,object_key' as column_name, count(*) as failures "
+            "from (select bucket, object_key from l where bucket is not null and object_key is not null "
+            "group by 1, 2 having count(*) > 1) d"
+        )
+        return f"with l as ({ledger_sql()}) " + " union all ".join(parts)
+    raise KeyError(name)
+
+
+# --- checks ----------------------------------------------------------------------
+
+
+def _in_list(values, quote: bool) -> str:
+    if quote:
+        return ", ".join(f"'{v}'" for v in values)
+    return ", ".join(str(v) for v in values)
+
+
+def check_sql(name: str) -> str:
+    from reelhouse import specs
+
+    if name == "check_not_null":
+        return f"select * from ({bronze_loaded_sql('ratings')}) b where name is null"
+    if name == "check_unique":
+        return (
+            f"select letterboxd_uri, count(*) as n_records from ({silver_sql('ratings')}) s "
+            "where letterboxd_uri is not null group by letterboxd_uri having count(*) > 1"
+        )
+    if name == "check_accepted_text":
+        vals = _in_list(specs.RATING_TEXT_VALUES_RATINGS, True)
+        return (
+            f"select * from (select rating, count(*) as n_records from ({bronze_loaded_sql('ratings')}) b "
+            f"group by rating) g where not (rating in ({vals}))"
+        )
+    if name == "check_accepted_number":
+        vals = _in_list(specs.RATING_NUMBER_VALUES, False)
+        return (
+            f"select * from (select rating, count(*) as n_records from ({silver_sql('ratings')}) s "
+            f"group by rating) g where not (rating in ({vals}))"
+        )
+    if name == "check_suite":
+        from reelhouse.operators.checks import ACCEPTED, DECLARED, NOT_NULL, UNIQUE
+
+        parts = []
+        for c in DECLARED:
+            src = bronze_loaded_sql(c.table) if c.layer == "bronze" else gold_sql(c.table)
+            head = (
+                f"select '{c.layer}' as layer, '{c.table}' as table_name, "
+                f"'{c.column}' as column_name, '{c.check}' as check_name, "
+            )
+            if c.check == NOT_NULL:
+                parts.append(f"{head} count(*) as failures from ({src}) t where {c.column} is null")
+            elif c.check == UNIQUE:
+                parts.append(
+                    f"{head} count(*) as failures from (select {c.column} from ({src}) t "
+                    f"where {c.column} is not null group by 1 having count(*) > 1) d"
+                )
+            elif c.check == ACCEPTED:
+                parts.append(
+                    f"{head} count(*) as failures from (select {c.column} from ({src}) t "
+                    f"group by 1) d where not ({c.column} in ({_in_list(c.values, c.quote)}))"
+                )
+        return " union all ".join(parts)
+    raise KeyError(name)
+
+
+# --- extra gold-level queries ------------------------------------------------------
+
+
+def extra_sql(name: str) -> str:
+    if name == "having_min_rows":
+        return (
+            f"select letterboxd_uri, count(*) as films_rated from ({silver_sql('ratings')}) s "
+            "where letterboxd_uri is not null group by letterboxd_uri having count(*) >= 30"
+        )
+    if name == "row_counts":
+        parts = []
+        for ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
+            parts.append(
+                f"select 'bronze' as layer, '{ds}' as table_name, count(*) as n "
+                f"from ({bronze_loaded_sql(ds)}) b"
+            )
+            parts.append(
+                f"select 'silver' as layer, 'silver_{ds}' as table_name, count(*) as n "
+                f"from ({silver_sql(ds)}) s"
+            )
+        return " union all ".join(parts)
+    if name == "latest_12_months":
+        return (
+            f"select * from ({gold_sql('gold_watch_activity')}) g "
+            "order by watch_month desc nulls first limit 12"
+        )
+    if name == "latest_12_years":
+        return (
+            f"select * from ({gold_sql('gold_watchlist_by_year')}) g "
+            "order by year desc nulls first limit 12"
+        )
+    raise KeyError(name)

@@ -34,31 +34,17 @@ def _film_typed(src: dict, on_bad: str) -> list:
     ]
 
 
-def silver_ratings(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """One row per (uri, list_date, rating); NULL-URI rows are kept."""
+def typed_ratings(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["list_date", "name", "year", "letterboxd_uri", "rating"])
-    typed = bronze.select(
+    return bronze.select(
         *_film_typed(src, on_bad),
         text_to_rating(src["rating"], on_bad).alias("rating"),
     )
-    return keep_first(
-        typed, ["letterboxd_uri", "list_date", "rating"], ["letterboxd_uri asc"]
-    )
-
-
-def silver_watched(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Latest list_date per URI (NULL dates lose); NULL URIs dropped."""
-    src = _clean(bronze, ["list_date", "name", "year", "letterboxd_uri"])
-    typed = bronze.select(*_film_typed(src, on_bad))
-    deduped = keep_first(typed, ["letterboxd_uri"], ["list_date desc nulls last"])
-    return deduped.where(F.col("letterboxd_uri").isNotNull())
 
 
-def silver_watchlist(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """D3: per URI the row with a NULL list_date wins, else the latest; NULL URI kept."""
+def typed_watched(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["list_date", "name", "year", "letterboxd_uri"])
-    typed = bronze.select(*_film_typed(src, on_bad))
-    return keep_first(typed, ["letterboxd_uri"], ["list_date desc nulls first"])
+    return bronze.select(*_film_typed(src, on_bad))
 
 
 def _diary_like(bronze: DataFrame, with_review: bool, on_bad: str) -> DataFrame:
@@ -80,24 +66,12 @@ def _diary_like(bronze: DataFrame, with_review: bool, on_bad: str) -> DataFrame:
     return bronze.select(*out)
 
 
-def silver_diary(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Latest list_date per (uri, watched_date, rating); NULL URIs dropped."""
-    typed = _diary_like(bronze, False, on_bad)
-    deduped = keep_first(
-        typed,
-        ["letterboxd_uri", "watched_date", "rating"],
-        ["list_date desc nulls last"],
-    )
-    return deduped.where(F.col("letterboxd_uri").isNotNull())
+def typed_diary(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    return _diary_like(bronze, False, on_bad)
 
 
-def silver_reviews(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Latest list_date per (uri, watched_date); NULL URIs dropped."""
-    typed = _diary_like(bronze, True, on_bad)
-    deduped = keep_first(
-        typed, ["letterboxd_uri", "watched_date"], ["list_date desc nulls last"]
-    )
-    return deduped.where(F.col("letterboxd_uri").isNotNull())
+def typed_reviews(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    return _diary_like(bronze, True, on_bad)
 
 
 PROFILE_TEXT = [
@@ -113,15 +87,72 @@ PROFILE_TEXT = [
 ]
 
 
-def silver_profile(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
-    """Latest date_joined per username; NULL usernames dropped."""
+def typed_profile(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["date_joined", *PROFILE_TEXT])
-    typed = bronze.select(
+    return bronze.select(
         text_to_date(src["date_joined"], on_bad).alias("date_joined"),
         *[src[c].alias(c) for c in PROFILE_TEXT],
     )
-    deduped = keep_first(typed, ["username"], ["date_joined desc nulls last"])
-    return deduped.where(F.col("username").isNotNull())
+
+
+# Per dataset the typing step, the dedupe key (W1a-W1f), the
+# order that picks the kept row (with the warehouse's null order), and the key
+# column whose NULL rows are dropped after the dedupe (None: kept).
+SILVER_SPECS = {
+    "ratings": (typed_ratings, ["letterboxd_uri", "list_date", "rating"],
+                ["letterboxd_uri asc"], None),
+    "watched": (typed_watched, ["letterboxd_uri"], ["list_date desc nulls last"],
+                "letterboxd_uri"),
+    "watchlist": (typed_watched, ["letterboxd_uri"], ["list_date desc nulls first"], None),
+    "diary": (typed_diary, ["letterboxd_uri", "watched_date", "rating"],
+              ["list_date desc nulls last"], "letterboxd_uri"),
+    "reviews": (typed_reviews, ["letterboxd_uri", "watched_date"],
+                ["list_date desc nulls last"], "letterboxd_uri"),
+    "profile": (typed_profile, ["username"], ["date_joined desc nulls last"], "username"),
+}
+
+
+def dedupe(bronze: DataFrame, dataset: str, on_bad: str = "fail") -> DataFrame:
+    """Typed rows, first per key; NULL keys form a group and are kept."""
+    typed_fn, key, order, _ = SILVER_SPECS[dataset]
+    return keep_first(typed_fn(bronze, on_bad), key, order)
+
+
+def build_silver(bronze: DataFrame, dataset: str, on_bad: str = "fail") -> DataFrame:
+    """Dedupe, then drop NULL keys where the model does."""
+    deduped = dedupe(bronze, dataset, on_bad)
+    drop_null = SILVER_SPECS[dataset][3]
+    return deduped.where(F.col(drop_null).isNotNull()) if drop_null else deduped
+
+
+def silver_ratings(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """One row per (uri, list_date, rating); NULL-URI rows are kept."""
+    return build_silver(bronze, "ratings", on_bad)
+
+
+def silver_watched(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Latest list_date per URI (NULL dates lose); NULL URIs dropped."""
+    return build_silver(bronze, "watched", on_bad)
+
+
+def silver_watchlist(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """D3: per URI a row with a NULL list_date wins, else the latest; NULL URI kept."""
+    return build_silver(bronze, "watchlist", on_bad)
+
+
+def silver_diary(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Latest list_date per (uri, watched_date, rating); NULL URIs dropped."""
+    return build_silver(bronze, "diary", on_bad)
+
+
+def silver_reviews(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Latest list_date per (uri, watched_date); NULL URIs dropped."""
+    return build_silver(bronze, "reviews", on_bad)
+
+
+def silver_profile(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """Latest date_joined per username; NULL usernames dropped."""
+    return build_silver(bronze, "profile", on_bad)
 
 
 SILVER_BUILDERS = {

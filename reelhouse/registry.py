@@ -10,9 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelhouse import oracle, standins
-from reelhouse.plans import gold, silver
+from reelhouse import oracle, specs, standins
+from reelhouse.functions import text
+from reelhouse.operators import checks
+from reelhouse.plans import catalog, gold, silver
+from reelhouse.sources import bronze as bronze_mod
+from reelhouse.sources import raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +56,204 @@ for _name, (_src, _builder) in gold.GOLD_BUILDERS.items():
             silver_df(spark, sf_dir, _src)
         )
     )
+
+
+def bronze_loaded(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """B3-B6 over the stand-in, presented with the export's CSV header names."""
+    csv_shaped = bronze_mod.headers_frame(bronze(spark, sf_dir, dataset), dataset)
+    return bronze_mod.to_bronze(csv_shaped, dataset)
+
+
+# --- W1 alone (NULL keys kept); W1a and W1c are silver_ratings / silver_watchlist
+for _ds in ("watched", "diary", "reviews", "profile"):
+    register(f"dedupe_{_ds}", oracle.dedupe_only_sql(_ds))(
+        lambda spark, sf_dir, _ds=_ds: silver.dedupe(bronze(spark, sf_dir, _ds), _ds)
+    )
+
+# --- B4-B6: bronze load of each dataset ------------------------------------------
+for _ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
+    register(f"bronze_{_ds}", oracle.bronze_loaded_sql(_ds))(
+        lambda spark, sf_dir, _ds=_ds: bronze_loaded(spark, sf_dir, _ds)
+    )
+
+
+# --- S1-S17: scalar operators -------------------------------------------------------
+@register("clean_text", oracle.scalar_sql("clean_text"))
+def q_clean_text(spark, sf_dir):
+    d = standins.table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.blank_to_null("text").alias("text_clean"))
+
+
+@register("guard_date", oracle.scalar_sql("guard_date"))
+def q_guard_date(spark, sf_dir):
+    b = bronze(spark, sf_dir, "diary")
+    w, ld = text.blank_to_null("watched_date"), text.blank_to_null("list_date")
+    return b.select(
+        w.alias("watched_date_txt"), text.text_to_date(w).alias("watched_date"),
+        ld.alias("list_date_txt"), text.text_to_date(ld).alias("list_date"),
+    )
+
+
+@register("guard_year", oracle.scalar_sql("guard_year"))
+def q_guard_year(spark, sf_dir):
+    y = text.blank_to_null("year")
+    return bronze(spark, sf_dir, "reviews").select(
+        y.alias("year_txt"), text.text_to_year(y).alias("year")
+    )
+
+
+@register("guard_rating", oracle.scalar_sql("guard_rating"))
+def q_guard_rating(spark, sf_dir):
+    r = text.blank_to_null("rating")
+    return bronze(spark, sf_dir, "ratings").select(
+        r.alias("rating_txt"), text.text_to_rating(r).alias("rating")
+    )
+
+
+@register("bool_tokens", oracle.scalar_sql("bool_tokens"))
+def q_bool_tokens(spark, sf_dir):
+    r = text.blank_to_null("rewatch")
+    return bronze(spark, sf_dir, "reviews").select(
+        r.alias("rewatch_txt"), text.text_to_bool(r).alias("rewatch")
+    )
+
+
+@register("month_start", oracle.scalar_sql("month_start"))
+def q_month_start(spark, sf_dir):
+    o = standins.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", text.month_start(F.col("o_orderdate").cast("date")).alias("month_start"))
+
+
+# --- R3-R14: raw zone ----------------------------------------------------------------
+@register("infer_dataset", oracle.raw_sql("infer_dataset"))
+def q_infer_dataset(spark, sf_dir):
+    f = standins.export_files(spark, sf_dir)
+    return raw.with_dataset(f).select("doc_id", "name", "dataset")
+
+
+@register("admit_files", oracle.raw_sql("admit_files"))
+def q_admit_files(spark, sf_dir):
+    f = standins.export_files(spark, sf_dir)
+    return raw.admit(f).select("doc_id", "name", "length", "reason", "admitted")
+
+
+@register("fingerprint", oracle.raw_sql("fingerprint"))
+def q_fingerprint(spark, sf_dir):
+    f = standins.export_files(spark, sf_dir)
+    return raw.fingerprint(f).select("doc_id", "size_bytes", "sha256")
+
+
+@register("object_key", oracle.raw_sql("object_key"))
+def q_object_key(spark, sf_dir):
+    o = standins.table(spark, sf_dir, "orders")
+    files = o.select(
+        "o_orderkey",
+        "o_orderdate",
+        F.sha2(F.col("o_orderkey").cast("string"), 256).alias("sha256"),
+        F.concat(F.lit("my "), F.col("o_orderpriority"), F.lit(" export.csv")).alias("name"),
+    )
+    return raw.with_object_key(files, "o_orderdate").select("o_orderkey", "object_key")
+
+
+@register("latest_object", oracle.raw_sql("latest_object"))
+def q_latest_object(spark, sf_dir):
+    latest = raw.latest_objects(standins.listing(spark, sf_dir))
+    return latest.select("path", "modificationTime", "length", "dataset")
+
+
+@register("latest_by_suffix", oracle.raw_sql("latest_by_suffix"))
+def q_latest_by_suffix(spark, sf_dir):
+    return raw.latest_by_suffix(standins.listing(spark, sf_dir), "RATINGS.csv")
+
+
+@register("available_datasets", oracle.raw_sql("available_datasets"))
+def q_available_datasets(spark, sf_dir):
+    return raw.available_datasets(standins.listing(spark, sf_dir))
+
+
+def _ledger(spark, sf_dir):
+    return standins.ledger(spark, sf_dir)
+
+
+@register("recent_runs", oracle.raw_sql("recent_runs"))
+def q_recent_runs(spark, sf_dir):
+    return raw.recent_runs(_ledger(spark, sf_dir).drop("o_orderstatus"), 10)
+
+
+@register("insert_if_absent", oracle.raw_sql("insert_if_absent"))
+def q_insert_if_absent(spark, sf_dir):
+    ledger = _ledger(spark, sf_dir)
+    target = ledger.where(F.col("o_orderstatus") == "F").drop("o_orderstatus")
+    return raw.insert_if_absent(target, ledger.drop("o_orderstatus"))
+
+
+@register("check_ledger", oracle.raw_sql("check_ledger"))
+def q_check_ledger(spark, sf_dir):
+    return checks.check_ledger(_ledger(spark, sf_dir).drop("o_orderstatus"))
+
+
+# --- Q1-Q4: data checks ----------------------------------------------------------------
+@register("check_not_null", oracle.check_sql("check_not_null"))
+def q_check_not_null(spark, sf_dir):
+    return checks.not_null(bronze_loaded(spark, sf_dir, "ratings"), "name")
+
+
+@register("check_unique", oracle.check_sql("check_unique"))
+def q_check_unique(spark, sf_dir):
+    return checks.unique(silver_df(spark, sf_dir, "ratings"), "letterboxd_uri")
+
+
+@register("check_accepted_text", oracle.check_sql("check_accepted_text"))
+def q_check_accepted_text(spark, sf_dir):
+    return checks.accepted_values(
+        bronze_loaded(spark, sf_dir, "ratings"), "rating", specs.RATING_TEXT_VALUES_RATINGS, True
+    )
+
+
+@register("check_accepted_number", oracle.check_sql("check_accepted_number"))
+def q_check_accepted_number(spark, sf_dir):
+    return checks.accepted_values(
+        silver_df(spark, sf_dir, "ratings"), "rating", specs.RATING_NUMBER_VALUES, False
+    )
+
+
+def layer_tables(spark, sf_dir) -> dict:
+    """Bronze stand-ins (as loaded) and the gold marts built from them."""
+    tables = {("bronze", ds): bronze_loaded(spark, sf_dir, ds) for ds in standins.BRONZE}
+    for name, (src, builder) in gold.GOLD_BUILDERS.items():
+        tables[("gold", name)] = builder(silver_df(spark, sf_dir, src))
+    return tables
+
+
+@register("check_suite", oracle.check_sql("check_suite"))
+def q_check_suite(spark, sf_dir):
+    return checks.run_checks(layer_tables(spark, sf_dir))
+
+
+# --- A5, A6, O5 ----------------------------------------------------------------------------
+@register("having_min_rows", oracle.extra_sql("having_min_rows"))
+def q_having_min_rows(spark, sf_dir):
+    s = silver_df(spark, sf_dir, "ratings").where(F.col("letterboxd_uri").isNotNull())
+    per_film = s.groupBy("letterboxd_uri").agg(F.count(F.lit(1)).alias("films_rated"))
+    return gold.having_min_rows(per_film, "films_rated", 30)
+
+
+@register("row_counts", oracle.extra_sql("row_counts"))
+def q_row_counts(spark, sf_dir):
+    tables = {}
+    for ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
+        tables[("bronze", ds)] = bronze_loaded(spark, sf_dir, ds)
+        tables[("silver", f"silver_{ds}")] = silver_df(spark, sf_dir, ds)
+    return catalog.row_counts(tables)
+
+
+@register("latest_12_months", oracle.extra_sql("latest_12_months"))
+def q_latest_12_months(spark, sf_dir):
+    activity = gold.gold_watch_activity(silver_df(spark, sf_dir, "diary"))
+    return gold.latest_periods(activity, "watch_month", 12)
+
+
+@register("latest_12_years", oracle.extra_sql("latest_12_years"))
+def q_latest_12_years(spark, sf_dir):
+    by_year = gold.gold_watchlist_by_year(silver_df(spark, sf_dir, "watchlist"))
+    return gold.latest_periods(by_year, "year", 12)

@@ -183,3 +183,78 @@ BRONZE = {
     "reviews": reviews,
     "profile": profile,
 }
+
+
+# --- raw zone stand-ins -------------------------------------------------------
+
+# Fixed values of the stand-in file names: separator, dataset spelling and
+# extension are picked by doc_id so that some names match a dataset and some
+# do not (wrong extension, no separator, a longer word ending in a dataset).
+NAME_SEPS = ["_", "-", " ", "", "."]
+NAME_DATASETS = ["diary", "Profile", "RATINGS", "reviews", "Watched", "watchlist", "unwatched"]
+NAME_EXTS = [".csv", ".CSV", ".csv", ".txt", ".csv", "", ".Csv", ".csv.bak", ".csv", ".tsv", ".csv"]
+LISTING_DATASETS = ["diary", "profile", "ratings", "reviews", "watched", "watchlist", "notes"]
+
+
+def _pick(options: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(o) for o in options]), (idx % len(options) + 1).cast("int"))
+
+
+def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploaded files from documents: path ``in/<source><sep><dataset><ext>``,
+    bytes = the UTF-8 text, length = byte count."""
+    d = table(spark, sf_dir, "documents")
+    did = F.col("doc_id")
+    path = F.concat(
+        _lit("in/"), F.col("source"), _pick(NAME_SEPS, did), _pick(NAME_DATASETS, did),
+        _pick(NAME_EXTS, did),
+    )
+    content = F.encode(F.col("text"), "UTF-8")
+    return d.select(
+        did.alias("doc_id"),
+        path.alias("path"),
+        F.element_at(F.split(path, "/"), -1).alias("name"),
+        F.octet_length(content).cast("long").alias("length"),
+        content.alias("content"),
+    )
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw-zone listing from orders: one object per order under
+    ``letterboxd/<orderkey % 500>/<orderkey>_<dataset>.csv``, modified at the order date."""
+    o = table(spark, sf_dir, "orders")
+    ok = F.col("o_orderkey")
+    path = F.concat(
+        _lit("letterboxd/"), _s(ok % 500), _lit("/"), _s(ok), _lit("_"),
+        _pick(LISTING_DATASETS, ok), _lit(".csv"),
+    )
+    return o.select(
+        path.alias("path"),
+        F.col("o_orderdate").alias("modificationTime"),
+        F.col("o_totalprice").cast("long").alias("length"),
+    )
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingestion ledger rows from orders: a customer's repeated dataset reuses an
+    object key; a customer's repeated priority reuses an id; small orders get a
+    negative size."""
+    from reelhouse.sources.raw import uuid_from  # local: avoid an import cycle
+
+    o = table(spark, sf_dir, "orders")
+    ds = _pick(LISTING_DATASETS[:6], F.col("o_orderkey"))
+    return o.select(
+        uuid_from(_s(F.col("o_custkey")), F.col("o_orderpriority")).alias("ingestion_id"),
+        _lit("letterboxd_csv").alias("source"),
+        F.concat(ds, _lit(".csv")).alias("original_filename"),
+        _lit("raw").alias("bucket"),
+        F.concat(_lit("letterboxd/"), _s(F.col("o_custkey")), _lit("/"), ds, _lit(".csv")).alias("object_key"),
+        (F.col("o_totalprice").cast("long") - 50000).alias("size_bytes"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("string"))
+        .otherwise(_lit("text/csv"))
+        .alias("content_type"),
+        _lit("uploaded").alias("status"),
+        F.col("o_orderdate").alias("created_at"),
+        F.col("o_orderdate").alias("updated_at"),
+        F.col("o_orderstatus"),
+    )
