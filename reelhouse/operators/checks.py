@@ -84,48 +84,48 @@ def _report_row(layer: str, table: str, column: str, check: str, failures: Colum
 
 
 def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
-    """Failure counts of the checks declared on one table."""
+    """Failure counts of the checks declared on one table, in one scan.
+
+    The checked columns are unpivoted to (column, value) pairs - the value as
+    text where unique or accepted_values needs it, else only a NULL flag - and
+    counted by one ``groupBy``. Partial aggregation keeps the shuffle to one row
+    per distinct pair and map task; one final aggregate turns the counts into
+    one failure count per check.
+    """
     by_col: dict[str, list[Check]] = {}
     for c in checks:
         by_col.setdefault(c.column, []).append(c)
-    parts: list[DataFrame] = []
-
-    plain = [col for col, cs in by_col.items() if all(c.check == NOT_NULL for c in cs)]
-    if plain:
-        rows = [
-            _report_row(
-                c.layer, c.table, col, NOT_NULL,
-                F.coalesce(F.sum(F.when(F.col(col).isNull(), 1).otherwise(0)), F.lit(0)),
-            )
-            for col in plain
-            for c in by_col[col]
-        ]
-        parts.append(df.agg(F.array(*rows).alias("r")).select(F.inline("r")))
-
+    if not by_col:
+        return None
+    items = []
     for col, cs in by_col.items():
-        if col in plain:
-            continue
-        grouped = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        v = F.col(col)
-        rows = []
+        src = F.col(col)
+        if any(c.check != NOT_NULL for c in cs):
+            value = src.cast("string")
+        else:
+            value = F.when(src.isNotNull(), F.lit(""))
+        items.append(F.struct(F.lit(col).alias("c"), value.alias("v")))
+    grouped = (
+        df.select(F.inline(F.array(*items)))
+        .groupBy("c", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    v, n = F.col("v"), F.col("n")
+    rows = []
+    for col, cs in by_col.items():
+        mine = F.col("c") == col
         for c in cs:
             if c.check == NOT_NULL:
-                failures = F.coalesce(F.sum(F.when(v.isNull(), F.col("n"))), F.lit(0))
+                failures = F.coalesce(F.sum(F.when(mine & v.isNull(), n)), F.lit(0))
             elif c.check == UNIQUE:
-                failures = F.count(F.when(v.isNotNull() & (F.col("n") > 1), 1))
+                failures = F.count(F.when(mine & v.isNotNull() & (n > 1), 1))
             elif c.check == ACCEPTED:
-                failures = F.count(F.when(~_accepted(v, c.values, c.quote), 1))
+                typed = v if c.quote else v.cast("decimal(38,10)")
+                failures = F.count(F.when(mine & ~_accepted(typed, c.values, c.quote), 1))
             else:
                 raise ValueError(f"unknown check {c.check!r}")
             rows.append(_report_row(c.layer, c.table, col, c.check, failures))
-        parts.append(grouped.agg(F.array(*rows).alias("r")).select(F.inline("r")))
-
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return grouped.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
 def run_checks(

@@ -35,7 +35,14 @@ def gold_lowest_rated_movie(silver_ratings: DataFrame) -> DataFrame:
     return top_k(rated, LOWEST_RATED_ORDER, 1)
 
 
-def gold_best_movie_year(silver_ratings: DataFrame, min_rows: int = 3) -> DataFrame:
+def _maybe_sort(df: DataFrame, order: list[str], ordered: bool) -> DataFrame:
+    # A stored table does not keep row order anyway; callers that only count or
+    # check the rows skip the range shuffle of the final sort.
+    return sort(df, order) if ordered else df
+
+
+def gold_best_movie_year(silver_ratings: DataFrame, min_rows: int = 3,
+                         ordered: bool = True) -> DataFrame:
     """Films rated and exact mean rating (2 places) per year with >= min_rows films."""
     rated = silver_ratings.where(
         F.col("rating").isNotNull() & F.col("year").isNotNull()
@@ -44,7 +51,7 @@ def gold_best_movie_year(silver_ratings: DataFrame, min_rows: int = 3) -> DataFr
         F.count(F.lit(1)).alias("films_rated"),
         mean_2dp("rating").alias("avg_rating"),
     )
-    return sort(having_min_rows(per_year, "films_rated", min_rows), BEST_YEAR_ORDER)
+    return _maybe_sort(having_min_rows(per_year, "films_rated", min_rows), BEST_YEAR_ORDER, ordered)
 
 
 def having_min_rows(grouped: DataFrame, count_col: str, min_rows: int) -> DataFrame:
@@ -60,20 +67,20 @@ def gold_recent_watch(silver_diary: DataFrame) -> DataFrame:
     return top_k(watched, RECENT_WATCH_ORDER, 1)
 
 
-def gold_watch_activity(silver_diary: DataFrame) -> DataFrame:
+def gold_watch_activity(silver_diary: DataFrame, ordered: bool = True) -> DataFrame:
     """Diary entries per month start."""
     watched = silver_diary.where(F.col("watched_date").isNotNull())
     per_month = watched.groupBy(month_start("watched_date").alias("watch_month")).agg(
         F.count(F.lit(1)).alias("films_watched")
     )
-    return sort(per_month, ["watch_month asc"])
+    return _maybe_sort(per_month, ["watch_month asc"], ordered)
 
 
-def gold_watchlist_by_year(silver_watchlist: DataFrame) -> DataFrame:
+def gold_watchlist_by_year(silver_watchlist: DataFrame, ordered: bool = True) -> DataFrame:
     """Watchlist films per release year."""
     dated = silver_watchlist.where(F.col("year").isNotNull())
     per_year = dated.groupBy("year").agg(F.count(F.lit(1)).alias("watchlist_count"))
-    return sort(per_year, ["year asc"])
+    return _maybe_sort(per_year, ["year asc"], ordered)
 
 
 def latest_periods(gold: DataFrame, period_col: str, n: int = 12) -> DataFrame:
@@ -81,6 +88,8 @@ def latest_periods(gold: DataFrame, period_col: str, n: int = 12) -> DataFrame:
     return top_k(gold, [f"{period_col} desc"], n)
 
 
+UNORDERED_OK = {"gold_best_movie_year", "gold_watch_activity", "gold_watchlist_by_year"}
+
 # Mart name -> (silver input, builder).
 GOLD_BUILDERS = {
     "gold_top_rated_movies": ("ratings", gold_top_rated_movies),

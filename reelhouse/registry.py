@@ -221,7 +221,8 @@ def layer_tables(spark, sf_dir) -> dict:
     """Bronze stand-ins (as loaded) and the gold marts built from them."""
     tables = {("bronze", ds): bronze_loaded(spark, sf_dir, ds) for ds in standins.BRONZE}
     for name, (src, builder) in gold.GOLD_BUILDERS.items():
-        tables[("gold", name)] = builder(silver_df(spark, sf_dir, src))
+        kw = {"ordered": False} if name in gold.UNORDERED_OK else {}
+        tables[("gold", name)] = builder(silver_df(spark, sf_dir, src), **kw)
     return tables
 
 
