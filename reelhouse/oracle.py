@@ -8,6 +8,8 @@ null order, and every dedupe carries the same total tie-break as the Spark side.
 
 from __future__ import annotations
 
+from reelhouse import specs
+
 
 def D(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
@@ -94,22 +96,34 @@ def clean(c: str) -> str:
     return f"nullif(trim(cast({c} as varchar), ' '), '')"
 
 
+def _duck_regex(java_guard: str) -> str:
+    # RE2 without the multi-line flag: `$` matches only at the very end, like Java's `\z`.
+    return java_guard.replace(r"\z", "$")
+
+
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def guard_date(c: str) -> str:
-    return rf"case when regexp_matches({c}, '^\d{{4}}-\d{{2}}-\d{{2}}$') then cast({c} as date) end"
+    return f"case when regexp_matches({c}, '{_duck_regex(specs.DATE_GUARD)}') then cast({c} as date) end"
 
 
 def guard_year(c: str) -> str:
-    return rf"case when regexp_matches({c}, '^\d{{4}}$') then cast({c} as integer) end"
+    return f"case when regexp_matches({c}, '{_duck_regex(specs.YEAR_GUARD)}') then cast({c} as integer) end"
 
 
 def guard_rating(c: str) -> str:
-    return rf"case when regexp_matches({c}, '^\d+(\.\d+)?$') then cast({c} as decimal(3,1)) end"
+    return (
+        f"case when regexp_matches({c}, '{_duck_regex(specs.RATING_GUARD)}') "
+        f"then cast({c} as decimal(3,1)) end"
+    )
 
 
 def to_bool(c: str) -> str:
     return (
-        f"case when lower({c}) in ('yes','y','true','t','1') then true "
-        f"when lower({c}) in ('no','n','false','f','0') then false end"
+        f"case when lower({c}) in ({_quoted(specs.TRUE_TOKENS)}) then true "
+        f"when lower({c}) in ({_quoted(specs.FALSE_TOKENS)}) then false end"
     )
 
 
@@ -274,11 +288,7 @@ def dedupe_only_sql(dataset: str) -> str:
 
 # --- bronze load (B4-B6) -------------------------------------------------------
 
-# Fixed value: the NA words (see reelhouse.specs.NA_WORDS).
-_NA = (
-    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', "
-    "'1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
-)
+_NA = _quoted(specs.NA_WORDS)
 
 
 def bronze_loaded_sql(dataset: str) -> str:
@@ -326,11 +336,14 @@ def scalar_sql(name: str) -> str:
 
 # --- raw zone --------------------------------------------------------------------
 
-_DATASET_RE = r"(?:^|[_\- ])(diary|profile|ratings|reviews|watched|watchlist)\.csv$"
+def _dataset_re() -> str:
+    from reelhouse.functions.paths import dataset_pattern
+
+    return _duck_regex(dataset_pattern(True))
 
 
 def infer_dataset(path: str) -> str:
-    return f"nullif(regexp_extract(lower(string_split({path}, '/')[-1]), '{_DATASET_RE}', 1), '')"
+    return f"nullif(regexp_extract(lower(string_split({path}, '/')[-1]), '{_dataset_re()}', 1), '')"
 
 
 def _arr(values: list[str]) -> str:
