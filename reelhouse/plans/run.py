@@ -64,3 +64,18 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
     silver_tables = build_silver(spark, on_bad=on_bad)
     gold_tables = build_gold(spark)
     return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables}
+
+
+def check_layers(spark: SparkSession, bronze_layer: str = "bronze",
+                 gold_layer: str = "gold"):
+    """Q4 over the stored tables: every declared check whose table exists
+    (the checks run after a build, not inside it)."""
+    from reelhouse.operators.checks import DECLARED, run_checks
+
+    layers = {"bronze": bronze_layer, "gold": gold_layer}
+    tables = {}
+    for c in DECLARED:
+        name = f"{layers[c.layer]}.{c.table}"
+        if (c.layer, c.table) not in tables and spark.catalog.tableExists(name):
+            tables[(c.layer, c.table)] = spark.table(name)
+    return run_checks(tables)

@@ -2,7 +2,6 @@ import os
 import time
 from decimal import Decimal
 
-from reelhouse.operators import checks
 from reelhouse.plans import catalog, run
 
 
@@ -46,10 +45,8 @@ def test_layered_run(spark, tmp_dir):
     assert {r.year for r in best} == {2000, 2001, 2002}
     assert spark.table("gold.gold_watch_activity").count() == 3
 
-    tables = {("bronze", d): spark.table(f"bronze.{d}") for d in out["bronze"]}
-    for name in out["gold"]:
-        tables[("gold", name.split(".")[1])] = spark.table(name)
-    report = checks.run_checks(tables)
+    report = run.check_layers(spark)
+    assert report.count() == 3 + 5 + 3 + 24  # diary, ratings, watchlist and all six marts
     failures = {(r.table_name, r.column_name, r.check_name): r.failures for r in report.collect()}
     # integers like "4" are outside the bronze ratings list ('4.0'), as in the source checks
     assert failures[("ratings", "rating", "accepted_values")] == 5
