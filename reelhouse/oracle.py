@@ -369,7 +369,7 @@ def listing_sql() -> str:
     from reelhouse.standins import LISTING_DATASETS
 
     return (
-        "select concat('letterboxd/', cast(o_orderkey % 500 as varchar), '/', "
+        f"select concat('{specs.RAW_PREFIX}', cast(o_orderkey % 500 as varchar), '/', "
         f"cast(o_orderkey as varchar), '_', {_arr(LISTING_DATASETS)}[o_orderkey % 7 + 1], '.csv') as path, "
         "o_orderdate as modificationTime, cast(trunc(o_totalprice) as bigint) as length from orders"
     )
@@ -394,11 +394,12 @@ def ledger_sql() -> str:
 
     return (
         f"select {uuid_from('cast(o_custkey as varchar)', 'o_orderpriority')} as ingestion_id, "
-        "'letterboxd_csv' as source, concat(ds, '.csv') as original_filename, 'raw' as bucket, "
-        "concat('letterboxd/', cast(o_custkey as varchar), '/', ds, '.csv') as object_key, "
+        f"'{specs.LEDGER_SOURCE}' as source, concat(ds, '.csv') as original_filename, "
+        f"'{specs.DEFAULT_BUCKET}' as bucket, "
+        f"concat('{specs.RAW_PREFIX}', cast(o_custkey as varchar), '/', ds, '.csv') as object_key, "
         "cast(trunc(o_totalprice) as bigint) - 50000 as size_bytes, "
         "case when o_orderkey % 3 = 0 then null else 'text/csv' end as content_type, "
-        "'uploaded' as status, o_orderdate as created_at, o_orderdate as updated_at, o_orderstatus "
+        f"'{specs.UPLOADED}' as status, o_orderdate as created_at, o_orderdate as updated_at, o_orderstatus "
         f"from (select *, {_arr(LISTING_DATASETS[:6])}[o_orderkey % 6 + 1] as ds from orders) o"
     )
 
@@ -421,7 +422,7 @@ def raw_sql(name: str) -> str:
         )
     if name == "object_key":
         return (
-            "select o_orderkey, concat('letterboxd/', strftime(o_orderdate, '%Y/%m/%d/%H%M%S'), '_', "
+            f"select o_orderkey, concat('{specs.RAW_PREFIX}', strftime(o_orderdate, '%Y/%m/%d/%H%M%S'), '_', "
             "left(sha256(cast(o_orderkey as varchar)), 12), '_', "
             "replace(concat('my ', o_orderpriority, ' export.csv'), ' ', '_')) as object_key "
             "from orders"

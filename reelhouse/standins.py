@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse import specs
 from reelhouse.sources.tables import read_parquet
 
 TABLES = (
@@ -223,11 +224,11 @@ def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw-zone listing from orders: one object per order under
-    ``letterboxd/<orderkey % 500>/<orderkey>_<dataset>.csv``, modified at the order date."""
+    ``<raw prefix><orderkey % 500>/<orderkey>_<dataset>.csv``, modified at the order date."""
     o = table(spark, sf_dir, "orders")
     ok = F.col("o_orderkey")
     path = F.concat(
-        _lit("letterboxd/"), _s(ok % 500), _lit("/"), _s(ok), _lit("_"),
+        _lit(specs.RAW_PREFIX), _s(ok % 500), _lit("/"), _s(ok), _lit("_"),
         _pick(LISTING_DATASETS, ok), _lit(".csv"),
     )
     return o.select(
@@ -247,15 +248,15 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = _pick(LISTING_DATASETS[:6], F.col("o_orderkey"))
     return o.select(
         uuid_from(_s(F.col("o_custkey")), F.col("o_orderpriority")).alias("ingestion_id"),
-        _lit("letterboxd_csv").alias("source"),
+        _lit(specs.LEDGER_SOURCE).alias("source"),
         F.concat(ds, _lit(".csv")).alias("original_filename"),
-        _lit("raw").alias("bucket"),
-        F.concat(_lit("letterboxd/"), _s(F.col("o_custkey")), _lit("/"), ds, _lit(".csv")).alias("object_key"),
+        _lit(specs.DEFAULT_BUCKET).alias("bucket"),
+        F.concat(_lit(specs.RAW_PREFIX), _s(F.col("o_custkey")), _lit("/"), ds, _lit(".csv")).alias("object_key"),
         (F.col("o_totalprice").cast("long") - 50000).alias("size_bytes"),
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("string"))
         .otherwise(_lit("text/csv"))
         .alias("content_type"),
-        _lit("uploaded").alias("status"),
+        _lit(specs.UPLOADED).alias("status"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderdate").alias("updated_at"),
         F.col("o_orderstatus"),
