@@ -23,10 +23,15 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.trim(_col(c).cast("string")), F.lit(""))
 
 
-def na_to_null(c: Column | str) -> Column:
+def na_literals() -> list[Column]:
+    """The NA words as literal columns (build once, reuse across columns)."""
+    return [F.lit(w) for w in specs.NA_WORDS]
+
+
+def na_to_null(c: Column | str, words: list[Column] | None = None) -> Column:
     """NULL for the exact NA words of the original CSV reader; other values unchanged."""
     c = _col(c)
-    return F.when(~c.isin(*specs.NA_WORDS), c)
+    return F.when(~c.isin(*(words if words is not None else specs.NA_WORDS)), c)
 
 
 def _guarded_cast(c: Column, guard: str, to: str, on_bad: str, what: str) -> Column:

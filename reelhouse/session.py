@@ -17,6 +17,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Call-site capture for error context walks the Python stack on every
+        # DataFrame/Column call; off for scripts, where it dominates plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in conf.items():
         builder = builder.config(k.replace("__", "."), v)

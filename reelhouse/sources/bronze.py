@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse import specs
-from reelhouse.functions.text import na_to_null
+from reelhouse.functions.text import na_literals, na_to_null
 from reelhouse.sources import raw
 
 log = logging.getLogger(__name__)
@@ -93,7 +93,8 @@ def rename(df: DataFrame, dataset: str) -> DataFrame:
 
 def na_to_null_all(df: DataFrame) -> DataFrame:
     """The NA words become NULL in every column."""
-    return df.select(*[na_to_null(F.col(c)).alias(c) for c in df.columns])
+    words = na_literals()
+    return df.select(*[na_to_null(F.col(c), words).alias(c) for c in df.columns])
 
 
 def as_text(df: DataFrame) -> DataFrame:
