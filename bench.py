@@ -3,7 +3,8 @@
 Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``
 (default 8). Per query: one warm-up run, then the median of ``$BENCH_RUNS``
 (default 3) runs written to the ``noop`` sink, so the whole plan executes with
-no result collected. Prints one JSON line.
+no result collected. Prints one JSON line. ``$BENCH_EVENT_LOG`` names a folder
+for Spark's event log (stage and task times); off by default.
 """
 
 from __future__ import annotations
@@ -36,7 +37,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8))
+    conf = {}
+    event_dir = os.environ.get("BENCH_EVENT_LOG")  # stage and task times, read offline
+    if event_dir:
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
+    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), **conf)
 
     times: dict[str, float] = {}
     for label, name in HEADLINE.items():

@@ -22,7 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in conf.items():
-        builder = builder.config(k.replace("__", "."), v)
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -88,3 +88,13 @@ def test_append_and_empty_skip(spark, tmp_dir):
     assert bronze.load_files(spark, one, "ratings", layer="bronze_t")
     # append-only: the same file twice gives its rows twice
     assert spark.table("bronze_t.ratings").count() == 2
+
+
+def test_bronze_shape_frozen_by_first_load(spark, tmp_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze_f")
+    first = write(tmp_dir, "1_watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2019,u\n")
+    assert bronze.load_files(spark, first, "watched", layer="bronze_f")
+    wider = write(tmp_dir, "2_watched.csv", "Date,Name,Year,Letterboxd URI,Note\n2024-01-01,A,2019,u,x\n")
+    with pytest.raises(Exception):
+        bronze.load_files(spark, wider, "watched", layer="bronze_f")
+    assert spark.table("bronze_f.watched").count() == 1
