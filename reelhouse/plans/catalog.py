@@ -41,8 +41,9 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
 
 
 def save_view(spark: SparkSession, df: DataFrame, layer: str, name: str) -> str:
-    """K2: a view; persistent views need SQL text, so a DataFrame becomes a
-    temporary view of the session named ``layer__name``."""
+    """K2 for an arbitrary DataFrame: a temporary view named ``layer__name``
+    (a persistent view needs SQL text; the gold marts have it, see
+    ``plans/views.py``)."""
     view = f"{layer}__{name}"
     df.createOrReplaceTempView(view)
     return view

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from reelhouse import specs
-from reelhouse.plans import catalog, gold, silver
+from reelhouse.plans import catalog, gold, silver, views
 from reelhouse.sources import bronze
 
 
@@ -32,16 +32,17 @@ def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
 
 def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",
                as_view: bool = False) -> list[str]:
-    """Rebuild every gold mart whose silver input exists."""
+    """Rebuild every gold mart whose silver input exists, as tables (default)
+    or as persistent views over the silver tables."""
     built = []
     for name, (src, builder) in gold.GOLD_BUILDERS.items():
         if not catalog.table_exists(spark, silver_layer, f"silver_{src}"):
             continue
-        df = builder(spark.table(f"{silver_layer}.silver_{src}"))
         if as_view:
-            built.append(catalog.save_view(spark, df, gold_layer, name))
-        else:
-            built.append(catalog.save_table(df, gold_layer, name))
+            built.append(views.create_gold_view(spark, name, silver_layer, gold_layer))
+            continue
+        df = builder(spark.table(f"{silver_layer}.silver_{src}"))
+        built.append(catalog.save_table(df, gold_layer, name))
     return built
 
 
