@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from reelhouse import specs
 from reelhouse.plans import catalog, gold, silver, views
-from reelhouse.sources import bronze
+from reelhouse.sources import bronze, ingest
 
 
 def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
@@ -57,10 +57,18 @@ def build(spark: SparkSession, layer: str, **kwargs) -> list[str]:
 
 
 def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = None,
-        on_bad: str = "fail") -> dict:
-    """K7: load the newest raw file of each dataset into bronze, then rebuild
-    silver and gold. Silver starts only after every bronze load finished."""
+        on_bad: str = "fail", drop_dir: str | None = None,
+        ledger_table: str = "default.ingestion_runs") -> dict:
+    """K7: upload the exports of ``drop_dir`` when it holds any (then only their
+    datasets are loaded), else use what the raw zone has; load the newest raw
+    file of each dataset into bronze, then rebuild silver and gold. Silver
+    starts only after every bronze load finished."""
     catalog.ensure_layers(spark)
+    if drop_dir is not None and datasets is None:
+        uploaded = ingest.upload_set(spark, drop_dir)
+        if uploaded:
+            ingest.ingest(spark, drop_dir, raw_prefix, ledger_table)
+            datasets = uploaded
     loaded = bronze.load_all(spark, raw_prefix, datasets)
     silver_tables = build_silver(spark, on_bad=on_bad)
     gold_tables = build_gold(spark)

@@ -65,3 +65,44 @@ def test_layer_name():
     assert catalog.layer_name("silver", "public") == "silver"
     assert catalog.layer_name(None, "public") == "public"
     assert catalog.layer_name("  ", "public") == "public"
+
+
+def test_run_uploads_drop_folder(spark, tmp_dir):
+    drop = os.path.join(tmp_dir, "drop")
+    raw_dir = os.path.join(tmp_dir, "raw")
+    t = time.time()
+    write(f"{drop}/my ratings.csv", "Date,Name,Year,Letterboxd URI,Rating\n2024-01-01,A,2001,u1,4.5\n", t)
+    write(f"{drop}/watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,u1\n", t)
+    write(f"{drop}/empty_diary.csv", "", t)
+    write(f"{drop}/notes.txt", "skip me", t)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    for name in ("ratings", "watched"):
+        spark.sql(f"DROP TABLE IF EXISTS bronze.{name}")
+    out = run.run(spark, raw_dir, drop_dir=drop, ledger_table="default.runs_ledger")
+    # Spark's file sources skip zero-byte files, so the empty diary export is never seen
+    assert sorted(out["bronze"]) == ["ratings", "watched"]
+    ledger = spark.table("default.runs_ledger").collect()
+    assert sorted(r.original_filename for r in ledger) == ["my ratings.csv", "watched.csv"]
+    assert all(r.object_key.endswith(r.original_filename.replace(" ", "_")) for r in ledger)
+    assert spark.table("silver.silver_ratings").count() == 1
+
+
+def test_ingest_rejects_and_is_idempotent(spark, tmp_dir):
+    import datetime as dt
+
+    from reelhouse.sources import ingest, raw
+
+    drop = os.path.join(tmp_dir, "drop")
+    t = time.time()
+    write(f"{drop}/a_ratings.csv", "Date,Name,Year,Letterboxd URI,Rating\n", t)
+    write(f"{drop}/notes.txt", "x", t)
+    now = dt.datetime(2024, 5, 6, 7, 8, 9)
+    rows, rejected = ingest.ingest(spark, drop, os.path.join(tmp_dir, "raw"),
+                                   "default.ingest_ledger", glob="*", now=now)
+    assert [(r.name, r.reason) for r in rejected.collect()] == [("notes.txt", raw.REJECT_NOT_CSV)]
+    got = rows.collect()
+    assert len(got) == 1 and got[0].object_key.startswith("letterboxd/2024/05/06/070809_")
+    assert os.path.exists(os.path.join(tmp_dir, "raw", got[0].object_key))
+    # the same upload again adds no ledger row (same content, time and name -> same id)
+    ingest.ingest(spark, drop, os.path.join(tmp_dir, "raw"), "default.ingest_ledger", now=now)
+    assert spark.table("default.ingest_ledger").count() == 1
