@@ -129,3 +129,19 @@ def test_watch_activity_and_recent(spark):
     act = [tuple(r) for r in gold.gold_watch_activity(d).collect()]
     assert act == [(dt.date(2024, 1, 1), 2), (dt.date(2024, 3, 1), 2)]
     assert gold.gold_recent_watch(d).collect()[0].letterboxd_uri == "u4"
+
+
+def test_rerated_film_kept_twice_and_flagged(spark):
+    # The ratings dedupe key holds list_date and rating, so a film rated
+    # again appears twice in silver (and can fail the unique check on gold).
+    from reelhouse.operators import checks
+
+    b = spark.createDataFrame(
+        [("2024-01-01", "A", "2001", "u1", "3"), ("2024-02-01", "A", "2001", "u1", "4.5"),
+         ("2024-02-01", "A", "2001", "u1", "4.5")],
+        FILM + ", rating string",
+    )
+    s = silver.silver_ratings(b)
+    assert s.count() == 2
+    top = gold.gold_top_rated_movies(s)
+    assert [tuple(r) for r in checks.unique(top, "letterboxd_uri").collect()] == [("u1", 2)]
