@@ -218,11 +218,15 @@ def q_check_accepted_number(spark, sf_dir):
 
 
 def layer_tables(spark, sf_dir) -> dict:
-    """Bronze stand-ins (as loaded) and the gold marts built from them."""
+    """Bronze stand-ins (as loaded) and the gold marts built from them; each
+    silver input is built once and shared by the marts that read it."""
     tables = {("bronze", ds): bronze_loaded(spark, sf_dir, ds) for ds in standins.BRONZE}
+    silvers = {}
     for name, (src, builder) in gold.GOLD_BUILDERS.items():
+        if src not in silvers:
+            silvers[src] = silver_df(spark, sf_dir, src)
         kw = {"ordered": False} if name in gold.UNORDERED_OK else {}
-        tables[("gold", name)] = builder(silver_df(spark, sf_dir, src), **kw)
+        tables[("gold", name)] = builder(silvers[src], **kw)
     return tables
 
 
