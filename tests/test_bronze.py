@@ -98,3 +98,10 @@ def test_bronze_shape_frozen_by_first_load(spark, tmp_dir):
     with pytest.raises(Exception):
         bronze.load_files(spark, wider, "watched", layer="bronze_f")
     assert spark.table("bronze_f.watched").count() == 1
+
+
+def test_headers_differing_only_in_case(spark, tmp_dir):
+    # Spark renames such a pair (Name0, name1), so the required-column check fires.
+    path = write(tmp_dir, "d_watched.csv", "Date,Name,name,Year,Letterboxd URI\n2024-01-01,A,a,2019,u\n")
+    with pytest.raises(ValueError, match="missing expected columns for watched: \\['Name'\\]"):
+        bronze.to_bronze(bronze.read_export(spark, path), "watched")

@@ -43,3 +43,29 @@ def test_check_table_counts(spark):
 def test_declared_count():
     assert len(checks.DECLARED) == 43
     assert sum(c.layer == "bronze" for c in checks.DECLARED) == 19
+
+
+def test_reviews_list_rejects_5_0(spark):
+    df = spark.createDataFrame([("5.0",), ("5",), ("4.5",)], "rating string")
+    bad = [r.rating for r in checks.accepted_values(df, "rating", specs.RATING_TEXT_VALUES_REVIEWS).collect()]
+    assert bad == ["5.0"]
+
+
+def test_check_ledger_violations(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [
+        ("id1", "s", "a.csv", "raw", "k1", 10, None, "uploaded", t, t),
+        ("id1", "s", "b.csv", "raw", "k2", 10, None, "uploaded", t, t),   # same id twice
+        ("id2", "s", "c.csv", "raw", "k3", -5, None, "uploaded", t, t),   # negative size
+        ("id3", "s", "d.csv", "raw", "k3", 7, None, None, t, t),          # same key, other id; NULL status
+    ]
+    ledger = spark.createDataFrame(rows, specs.LEDGER_SCHEMA.simpleString().replace("struct<", "").rstrip(">")
+                                   .replace(":", " "))
+    rep = {(r.check_name, r.column_name): r.failures for r in checks.check_ledger(ledger).collect()}
+    assert rep[("primary_key", "ingestion_id")] == 1
+    assert rep[("unique", "bucket,object_key")] == 1
+    assert rep[("size_bytes_non_negative", "size_bytes")] == 1
+    assert rep[("not_null", "status")] == 1
+    assert rep[("not_null", "source")] == 0
