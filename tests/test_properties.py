@@ -62,3 +62,35 @@ def test_silver_idempotent_and_order_free(spark, rows):
         twice = sorted((tuple(r) for r in build(b.unionByName(b)).collect()), key=repr)
         flipped = sorted((tuple(r) for r in build(spark.createDataFrame(rows[::-1], b.schema)).collect()), key=repr)
         assert once == twice == flipped
+
+
+SUITE_ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["u1", "u2", "u3", None]),
+        st.sampled_from(["A", None]),
+        st.sampled_from(["4.0", "4", "5.0", "0.5", None]),
+    ),
+    max_size=30,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(SUITE_ROWS)
+def test_check_suite_equals_single_checks(spark, rows):
+    from reelhouse.operators import checks
+
+    df = spark.createDataFrame(rows, "letterboxd_uri string, name string, rating string")
+    suite = {(r.column_name, r.check_name): r.failures
+             for r in checks.run_checks({("bronze", "ratings"): df}).collect()}
+    expected = {}
+    for c in checks.DECLARED:
+        if (c.layer, c.table) != ("bronze", "ratings"):
+            continue
+        if c.check == checks.NOT_NULL:
+            n = checks.not_null(df, c.column).count()
+        elif c.check == checks.UNIQUE:
+            n = checks.unique(df, c.column).count()
+        else:
+            n = checks.accepted_values(df, c.column, c.values, c.quote).count()
+        expected[(c.column, c.check)] = n
+    assert suite == expected
