@@ -44,6 +44,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), **conf)
 
     times: dict[str, float] = {}
+    all_samples: dict[str, list[float]] = {}
     for label, name in HEADLINE.items():
         if only and label not in only:
             continue
@@ -55,6 +56,7 @@ def main() -> None:
             if i:  # the first run is a warm-up
                 samples.append(time.perf_counter() - t0)
         times[label] = round(statistics.median(samples), 3)
+        all_samples[label] = [round(x, 3) for x in samples]
 
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -64,6 +66,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "samples": all_samples,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "spark": spark.version,
