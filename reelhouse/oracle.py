@@ -302,6 +302,11 @@ def bronze_loaded_sql(dataset: str) -> str:
 
 
 def scalar_sql(name: str) -> str:
+    if name == "na_words":
+        cols = _BRONZE_COLS["ratings"]
+        raw = ", ".join(f"{c} as {c}_raw" for c in cols)
+        mapped = ", ".join(f"case when {c} in ({_NA}) then null else {c} end as {c}" for c in cols)
+        return f"select {raw}, {mapped} from ({BRONZE_SQL['ratings']}) b"
     if name == "clean_text":
         return f"select doc_id, {clean('text')} as text_clean from documents"
     if name == "guard_date":

@@ -64,8 +64,9 @@ def bronze_loaded(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     return bronze_mod.to_bronze(csv_shaped, dataset)
 
 
-# --- W1 alone (NULL keys kept); W1a and W1c are silver_ratings / silver_watchlist
-for _ds in ("watched", "diary", "reviews", "profile"):
+# --- W1a-W1f alone (NULL keys kept); for ratings and watchlist this is the
+# whole silver model, registered under both names
+for _ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
     register(f"dedupe_{_ds}", oracle.dedupe_only_sql(_ds))(
         lambda spark, sf_dir, _ds=_ds: silver.dedupe(bronze(spark, sf_dir, _ds), _ds)
     )
@@ -77,6 +78,17 @@ for _ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
     )
 
 
+# --- B5 alone: the NA words of every column of the ratings stand-in ----------------------
+@register("na_words", oracle.scalar_sql("na_words"))
+def q_na_words(spark, sf_dir):
+    b = bronze(spark, sf_dir, "ratings")
+    words = text.na_literals()
+    return b.select(
+        *[F.col(c).alias(f"{c}_raw") for c in b.columns],
+        *[text.na_to_null(F.col(c), words).alias(c) for c in b.columns],
+    )
+
+
 # --- S1-S17: scalar operators -------------------------------------------------------
 @register("clean_text", oracle.scalar_sql("clean_text"))
 def q_clean_text(spark, sf_dir):
