@@ -291,6 +291,12 @@ def dedupe_only_sql(dataset: str) -> str:
 _NA = _quoted(specs.NA_WORDS)
 
 
+def bronze_rename_sql() -> str:
+    """The ratings stand-in plus the unmapped export column ``Note``."""
+    head, tail = BRONZE_SQL["ratings"].rsplit("\nfrom lineitem", 1)
+    return f"{head},\n       l_returnflag as Note\nfrom lineitem{tail}"
+
+
 def bronze_loaded_sql(dataset: str) -> str:
     cols = ", ".join(
         f"case when {c} in ({_NA}) then null else {c} end as {c}" for c in _BRONZE_COLS[dataset]

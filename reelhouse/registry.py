@@ -78,6 +78,13 @@ for _ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
     )
 
 
+# --- B4/B7 alone: export headers renamed, an unmapped column kept as it is --------------
+@register("bronze_rename", oracle.bronze_rename_sql())
+def q_bronze_rename(spark, sf_dir):
+    csv_shaped = bronze_mod.headers_frame(standins.ratings(spark, sf_dir, extra=True), "ratings")
+    return bronze_mod.rename(bronze_mod.require_columns(csv_shaped, "ratings"), "ratings")
+
+
 # --- B5 alone: the NA words of every column of the ratings stand-in ----------------------
 @register("na_words", oracle.scalar_sql("na_words"))
 def q_na_words(spark, sf_dir):

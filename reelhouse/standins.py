@@ -40,8 +40,9 @@ def _lit(v: str) -> Column:
     return F.lit(v)
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze.ratings from lineitem (one row per line item)."""
+def ratings(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
+    """bronze.ratings from lineitem (one row per line item); ``extra`` adds an
+    unmapped export column ``Note`` (the return flag)."""
     li = table(spark, sf_dir, "lineitem")
     pk = F.col("l_partkey")
     year = _s(1950 + pk % 75)
@@ -69,6 +70,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .alias("rating"),
+        *([F.col("l_returnflag").alias("Note")] if extra else []),
     )
 
 
