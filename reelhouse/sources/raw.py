@@ -178,20 +178,30 @@ def land(files: DataFrame, raw_dir: str, key_col: str = "object_key",
          content_col: str = "content") -> None:
     """Write each file's bytes unchanged to ``raw_dir/<object key>``.
 
-    Executors write their own rows (no bytes pass through the driver). A retried
-    task rewrites the same bytes under the same key (the key holds the content
-    hash), so a lost executor leaves no partial state behind.
+    Executors write their own rows (no bytes pass through the driver). Each file
+    is written under a ``_``-prefixed temporary name (Spark's file sources skip
+    such names) and then moved to its key, so no reader sees a partial file. A
+    retried task rewrites the same bytes under the same key (the key holds the
+    content hash), so a lost executor leaves no wrong state behind.
+    ``raw_dir`` is a path or URI the executors' Arrow file systems can open
+    (local or mounted paths, ``hdfs://``, ``s3://``, ``gs://``).
     """
 
     def write_partition(rows):
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
 
+        ctx = TaskContext.get()
+        attempt = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0"
         filesystem, base = pafs.FileSystem.from_uri(raw_dir)
         for row in rows:
             target = f"{base.rstrip('/')}/{row[key_col]}"
-            filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            with filesystem.open_output_stream(target) as out:
+            folder, name = target.rsplit("/", 1)
+            filesystem.create_dir(folder, recursive=True)
+            temp = f"{folder}/_tmp.{attempt}.{name}"
+            with filesystem.open_output_stream(temp) as out:
                 out.write(bytes(row[content_col]))
+            filesystem.move(temp, target)
 
     files.select(key_col, content_col).foreachPartition(write_partition)
 
