@@ -31,23 +31,22 @@ def ingest(
 
     Returns (ledger rows appended, rejected files with their reason).
     """
-    uploaded_at = (now or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None)
+    instant = now or dt.datetime.now(dt.timezone.utc)
+    instant = (instant.replace(tzinfo=dt.timezone.utc) if instant.tzinfo is None
+               else instant.astimezone(dt.timezone.utc))  # a naive `now` is taken as UTC
+    # UTC wall clock for the key text, built from text so no zone applies
+    wall_utc = F.lit(instant.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    created = F.lit(instant)  # an instant: right in any session time zone
     files = raw.files_named(raw.list_drop(spark, drop_dir, glob, with_content=True))
     checked = raw.admit(files)
     rejected = checked.where(~F.col("admitted")).select("path", "name", "length", "reason")
     keyed = raw.with_object_key(
-        raw.fingerprint(checked.where("admitted")).withColumn(
-            "uploaded_at", F.lit(uploaded_at).cast("timestamp_ntz")
-        ),
+        raw.fingerprint(checked.where("admitted")).withColumn("uploaded_at", wall_utc),
         "uploaded_at",
     )
     raw.land(keyed, raw_dir)
-    rows = raw.ledger_rows(
-        keyed.withColumn("created", F.lit(uploaded_at).cast("timestamp_ntz").cast("timestamp")),
-        bucket=bucket,
-        created_col="created",
-    )
-    # ledger times are UTC wall clock read as the session's zone; keep UTC sessions
+    rows = raw.ledger_rows(keyed.withColumn("created", created), bucket=bucket,
+                           created_col="created")
     if spark.catalog.tableExists(ledger_table):
         fresh = raw.insert_if_absent(spark.table(ledger_table), rows)
     else:
@@ -55,9 +54,7 @@ def ingest(
     fresh = fresh.select(*[f.name for f in specs.LEDGER_SCHEMA.fields])
     fresh.write.mode("append").format("parquet").saveAsTable(ledger_table)
     # this upload's rows, read back from the table (not recomputed from the files)
-    this_upload = spark.table(ledger_table).where(
-        F.col("created_at") == F.lit(uploaded_at).cast("timestamp_ntz").cast("timestamp")
-    )
+    this_upload = spark.table(ledger_table).where(F.col("created_at") == created)
     return this_upload, rejected
 
 

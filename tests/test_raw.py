@@ -114,3 +114,17 @@ def test_recent_runs(spark):
     )
     got = [r.ingestion_id for r in raw.recent_runs(df, 3).collect()]
     assert got == ["n", "14", "13"]
+
+
+def test_object_key_is_utc_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = spark.createDataFrame(
+            [(dt.datetime(2024, 3, 9, 7, 8, 9, tzinfo=dt.timezone.utc), "ab" * 32, "a b.csv")],
+            "ts timestamp, sha256 string, name string",
+        )
+        key = raw.with_object_key(df, "ts").collect()[0].object_key
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert key == "letterboxd/2024/03/09/070809_abababababab_a_b.csv"

@@ -106,3 +106,22 @@ def test_ingest_rejects_and_is_idempotent(spark, tmp_dir):
     # the same upload again adds no ledger row (same content, time and name -> same id)
     ingest.ingest(spark, drop, os.path.join(tmp_dir, "raw"), "default.ingest_ledger", now=now)
     assert spark.table("default.ingest_ledger").count() == 1
+
+
+def test_ingest_times_do_not_depend_on_session_zone(spark, tmp_dir):
+    import datetime as dt
+
+    from reelhouse.sources import ingest
+
+    drop = os.path.join(tmp_dir, "drop")
+    write(f"{drop}/z_watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,u1\n", time.time())
+    now = dt.datetime(2024, 5, 6, 7, 8, 9, tzinfo=dt.timezone.utc)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows, _ = ingest.ingest(spark, drop, os.path.join(tmp_dir, "raw"), "default.tz_ledger", now=now)
+        row = rows.selectExpr("object_key", "unix_seconds(created_at) AS s").collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert row.object_key.startswith("letterboxd/2024/05/06/070809_")
+    assert row.s == int(now.timestamp())
