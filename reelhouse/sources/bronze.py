@@ -53,7 +53,8 @@ def read_export(
     fields than the header fills the sentinel, and the job then stops with an
     error instead of cutting the row silently; a short row is padded with NULL.
     ``multi_line=False`` lets Spark split large files when no quoted field holds
-    a newline.
+    a newline. Several paths must share the first file's header: columns are
+    matched by position (the streaming landing groups files by header first).
     """
     cols = list(columns) if columns is not None else read_header(spark, paths, multi_line)
     schema = T.StructType(
