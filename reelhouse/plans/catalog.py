@@ -35,6 +35,7 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
     A written table also cuts the lineage: readers of the next layer start
     from these files, not from the plan that made them.
     """
+    ensure_layers(df.sparkSession, (layer,))
     full = f"`{layer}`.`{name}`"
     df.write.mode("overwrite").format(fmt).saveAsTable(full)
     return f"{layer}.{name}"
@@ -51,6 +52,7 @@ def save_view(spark: SparkSession, df: DataFrame, layer: str, name: str) -> str:
 
 def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
     """K3: append to ``layer.name``, creating it on first use."""
+    ensure_layers(df.sparkSession, (layer,))
     df.write.mode("append").format(fmt).saveAsTable(f"`{layer}`.`{name}`")
     return f"{layer}.{name}"
 

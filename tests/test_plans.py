@@ -33,11 +33,11 @@ def tree(text: str) -> str:
                                   "silver_watchlist", "silver_profile", "latest_object"])
 def test_dedupe_limits_before_the_shuffle(plans, name):
     lines = tree(plans[name]).splitlines()
-    exchange = max(i for i, l in enumerate(lines) if "Exchange" in l and "Window" not in l
-                   and i < max(j for j, m in enumerate(lines) if "WindowGroupLimit" in m))
-    # a WindowGroupLimit sits below (after, in the printed tree) the hash exchange
-    assert any("WindowGroupLimit" in l for l in lines[exchange + 1:]), name
-    assert "Partial" in plans[name]
+    limits = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    assert len(limits) == 2, name  # final above the exchange, partial below it
+    between = lines[limits[0] + 1:limits[1]]
+    assert any("Exchange" in line for line in between), name
+    assert "row_number(), 1, Partial" in plans[name], name
 
 
 @pytest.mark.parametrize("name", ["gold_top_rated_movies", "gold_lowest_rated_movie",

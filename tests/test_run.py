@@ -125,3 +125,27 @@ def test_ingest_times_do_not_depend_on_session_zone(spark, tmp_dir):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert row.object_key.startswith("letterboxd/2024/05/06/070809_")
     assert row.s == int(now.timestamp())
+
+
+def test_load_latest_and_build_layers(spark, tmp_dir):
+    import pytest
+
+    from reelhouse.sources import bronze
+
+    raw_dir = os.path.join(tmp_dir, "raw")
+    t = time.time() - 1000
+    write(f"{raw_dir}/a/old-profile.csv", "Date Joined,Username,Given Name,Family Name,Email Address,"
+          "Location,Website,Bio,Pronoun,Favorite Films\n2020-01-01,old,,,,,,,,\n", t)
+    write(f"{raw_dir}/b/new_profile.csv", "Date Joined,Username,Given Name,Family Name,Email Address,"
+          "Location,Website,Bio,Pronoun,Favorite Films\n2021-01-01,new,,,,,,,,\n", t + 10)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze_l")
+    key = bronze.load_latest(spark, raw_dir, "profile", layer="bronze_l")
+    assert key.endswith("new_profile.csv")
+    assert [r.username for r in spark.table("bronze_l.profile").collect()] == ["new"]
+    with pytest.raises(FileNotFoundError):
+        bronze.load_latest(spark, raw_dir, "diary", layer="bronze_l")
+    built = run.build(spark, "silver", datasets=["profile"], bronze_layer="bronze_l",
+                      silver_layer="silver_l")
+    assert built == ["silver_l.silver_profile"]
+    with pytest.raises(ValueError):
+        run.build(spark, "platinum")
