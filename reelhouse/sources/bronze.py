@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from reelhouse import specs
 from reelhouse.functions.text import na_literals, na_to_null
+from reelhouse.plans import catalog
 from reelhouse.sources import raw
 
 log = logging.getLogger(__name__)
@@ -167,7 +168,7 @@ def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze") -> bool:
     if df.isEmpty():
         log.warning("No rows to load into %s; skipping insert.", name)
         return False
-    df.write.mode("append").format("parquet").saveAsTable(name)
+    catalog.append_table(df, layer, dataset.lower())
     return True
 
 

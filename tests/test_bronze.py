@@ -105,3 +105,9 @@ def test_headers_differing_only_in_case(spark, tmp_dir):
     path = write(tmp_dir, "d_watched.csv", "Date,Name,name,Year,Letterboxd URI\n2024-01-01,A,a,2019,u\n")
     with pytest.raises(ValueError, match="missing expected columns for watched: \\['Name'\\]"):
         bronze.to_bronze(bronze.read_export(spark, path), "watched")
+
+
+def test_load_creates_missing_layer(spark, tmp_dir):
+    path = write(tmp_dir, "n_watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2019,u\n")
+    assert bronze.load_files(spark, path, "watched", layer="bronze_new_layer")
+    assert spark.table("bronze_new_layer.watched").count() == 1
