@@ -149,3 +149,29 @@ def test_load_latest_and_build_layers(spark, tmp_dir):
     assert built == ["silver_l.silver_profile"]
     with pytest.raises(ValueError):
         run.build(spark, "platinum")
+
+
+def test_run_all_six_datasets(spark, tmp_dir):
+    raw_dir = os.path.join(tmp_dir, "raw6")
+    t = time.time() - 100
+    files = {
+        "ratings.csv": "Date,Name,Year,Letterboxd URI,Rating\n2024-01-01,A,2001,u1,4.5\n2024-01-02,B,,u2,NA\n",
+        "watched.csv": "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,u1\n,A,2001,u1\n",
+        "watchlist.csv": "Date,Name,Year,Letterboxd URI\n2024-01-01,C,1999,u3\n",
+        "diary.csv": "Date,Name,Year,Letterboxd URI,Rating,Rewatch,Tags,Watched Date\n"
+                     "2024-01-05,A,2001,u1,4.5,No,\"a, b\",2024-01-04\n",
+        "reviews.csv": "Date,Name,Year,Letterboxd URI,Rating,Rewatch,Review,Tags,Watched Date\n"
+                       "2024-01-05,A,2001,u1,5,Yes,\"Great.\nReally \"\"great\"\".\",,2024-01-04\n",
+        "profile.csv": "Date Joined,Username,Given Name,Family Name,Email Address,Location,Website,Bio,"
+                       "Pronoun,Favorite Films\n2020-02-02,me,Al,,a@b.c,Here,,\"Line 1\nLine 2\",they,\"x, y\"\n",
+    }
+    for name, text in files.items():
+        write(f"{raw_dir}/export/{name}", text, t)
+    out = run.run(spark, raw_dir)
+    assert sorted(out["bronze"]) == ["diary", "profile", "ratings", "reviews", "watched", "watchlist"]
+    rev = spark.table("silver.silver_reviews").where("letterboxd_uri = 'u1'").collect()
+    assert any(r.review == 'Great.\nReally "great".' and r.rewatch is True for r in rev)
+    prof = spark.table("silver.silver_profile").where("username = 'me'").collect()[0]
+    assert prof.bio == "Line 1\nLine 2" and prof.favorite_films == "x, y" and prof.family_name is None
+    report = run.check_layers(spark)
+    assert report.count() == 43
