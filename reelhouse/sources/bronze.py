@@ -172,12 +172,17 @@ def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze") -> bool:
     return True
 
 
+def read_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
+               multi_line: bool = True, **opts) -> DataFrame:
+    """B1-B6 (B12): exports of one dataset as bronze-shaped rows, not yet stored."""
+    return to_bronze(read_export(spark, paths, multi_line), dataset, **opts)
+
+
 def load_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
                layer: str = "bronze", multi_line: bool = True, **opts) -> bool:
     """B10 body: parse, check, rename, NA words, append. Many files of one
     dataset load in one job, one task per file."""
-    df = to_bronze(read_export(spark, paths, multi_line), dataset, **opts)
-    return append_bronze(df, dataset, layer)
+    return append_bronze(read_files(spark, paths, dataset, multi_line, **opts), dataset, layer)
 
 
 def load_latest(spark: SparkSession, raw_prefix: str, dataset: str, layer: str = "bronze",
