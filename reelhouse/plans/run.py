@@ -9,13 +9,10 @@ layer can be re-run on its own. Plain function composition; no scheduler.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from reelhouse import specs
-from reelhouse.operators.dedupe import keep_first
 from reelhouse.plans import catalog, gold, silver, views
 from reelhouse.sources import bronze, ingest
 
@@ -67,17 +64,8 @@ def refresh_silver(spark: SparkSession, dataset: str, new_bronze, on_bad: str =
     if not catalog.table_exists(spark, silver_layer, name):
         source = spark.table(f"{bronze_layer}.{dataset}")
         return catalog.save_table(silver.SILVER_BUILDERS[dataset](source, on_bad), silver_layer, name)
-    fresh = silver.SILVER_BUILDERS[dataset](new_bronze, on_bad)
-    _, key, order, _ = silver.SILVER_SPECS[dataset]
     current = spark.table(f"{silver_layer}.{name}")
-    # Only keys present in the new rows can change. NULL keys form a group, so
-    # keys match NULL-safely; the new keys are usually few, and AQE broadcasts
-    # them when their measured size allows, leaving the silver side unshuffled.
-    keys = fresh.select(*[F.col(k).alias(f"__k_{k}") for k in key]).distinct()
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in key])
-    untouched = current.join(keys, same, "left_anti")
-    touched = current.join(keys, same, "left_semi")
-    merged = untouched.unionByName(keep_first(touched.unionByName(fresh), key, order))
+    merged = silver.fold(current, new_bronze, dataset, on_bad)
     staging = f"{name}__next"
     catalog.save_table(merged, silver_layer, staging)
     spark.sql(f"DROP TABLE `{silver_layer}`.`{name}`")

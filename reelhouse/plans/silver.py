@@ -8,6 +8,8 @@ silver DataFrame; nothing is executed until an action or a write.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +127,27 @@ def build_silver(bronze: DataFrame, dataset: str, on_bad: str = "fail") -> DataF
     return deduped.where(F.col(drop_null).isNotNull()) if drop_null else deduped
 
 
+def fold(current: DataFrame, new_bronze: DataFrame, dataset: str, on_bad: str = "fail") -> DataFrame:
+    """Silver of (old bronze + new bronze), given ``current`` = silver of the
+    old bronze: equal to ``build_silver`` over all rows.
+
+    Keep-first takes the minimum of a total order per key, which can be taken
+    in steps; the NULL-key filter removes whole key groups, so it commutes.
+    Only keys present in the new rows can change: the rest of ``current``
+    passes through a NULL-safe anti join on the new keys (NULL keys form a
+    group) and is not shuffled; AQE broadcasts the key side when its measured
+    size allows.
+    """
+    fresh = build_silver(new_bronze, dataset, on_bad)
+    key = SILVER_SPECS[dataset][1]
+    order = SILVER_SPECS[dataset][2]
+    keys = fresh.select(*[F.col(k).alias(f"__k_{k}") for k in key]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in key])
+    untouched = current.join(keys, same, "left_anti")
+    touched = current.join(keys, same, "left_semi")
+    return untouched.unionByName(keep_first(touched.unionByName(fresh), key, order))
+
+
 def silver_ratings(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     """One row per (uri, list_date, rating); NULL-URI rows are kept."""
     return build_silver(bronze, "ratings", on_bad)

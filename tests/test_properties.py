@@ -94,3 +94,15 @@ def test_check_suite_equals_single_checks(spark, rows):
             n = checks.accepted_values(df, c.column, c.values, c.quote).count()
         expected[(c.column, c.check)] = n
     assert suite == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(FILM_ROWS, FILM_ROWS, st.sampled_from(["watched", "watchlist"]))
+def test_fold_equals_full_rebuild(spark, first, second, dataset):
+    schema = "list_date string, name string, year string, letterboxd_uri string"
+    b1 = spark.createDataFrame(first, schema)
+    b2 = spark.createDataFrame(second, schema)
+    folded = silver.fold(silver.build_silver(b1, dataset), b2, dataset)
+    full = silver.build_silver(b1.unionByName(b2), dataset)
+    key = lambda r: repr(tuple(r))
+    assert sorted(folded.collect(), key=key) == sorted(full.collect(), key=key)
