@@ -49,6 +49,14 @@ for _ds in ("ratings", "watched", "watchlist", "diary", "reviews", "profile"):
         lambda spark, sf_dir, _ds=_ds: silver_df(spark, sf_dir, _ds)
     )
 
+# --- D4 computed incrementally: silver of the first load, then the second load
+# folded in (the append-only double load of the diary stand-in); equal to D4
+@register("silver_diary_incremental", oracle.silver_sql("diary"))
+def q_silver_diary_incremental(spark, sf_dir):
+    first = silver.build_silver(standins.diary(spark, sf_dir, (1,)), "diary")
+    return silver.fold(first, standins.diary(spark, sf_dir, (2,)), "diary")
+
+
 # --- G1-G6: gold marts ---------------------------------------------------------
 for _name, (_src, _builder) in gold.GOLD_BUILDERS.items():
     register(_name, oracle.gold_sql(_name))(

@@ -74,10 +74,14 @@ def ratings(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
     )
 
 
-def diary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze.diary from orders, loaded twice (pass 2 lists a day later)."""
+def diary(spark: SparkSession, sf_dir: str, passes: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """bronze.diary from orders, loaded twice (pass 2 lists a day later);
+    ``passes`` picks the loads, e.g. ``(2,)`` for the second one alone."""
     o = table(spark, sf_dir, "orders")
-    twice = o.withColumn("p", F.lit(1)).unionByName(o.withColumn("p", F.lit(2)))
+    loads = [o.withColumn("p", F.lit(p)) for p in passes]
+    twice = loads[0]
+    for more in loads[1:]:
+        twice = twice.unionByName(more)
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     return twice.select(
         F.when(ok % 10 == 0, _lit(""))
