@@ -44,8 +44,13 @@ def _load_log(spark: SparkSession, layer: str) -> DataFrame | None:
 
 
 def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str = "bronze",
-               **opts) -> int:
-    """Load the export files of one micro-batch; returns the number of files loaded."""
+               silver_layer: str | None = None, **opts) -> int:
+    """Load the export files of one micro-batch; returns the number of files loaded.
+
+    With ``silver_layer`` the loaded rows are also folded into that layer's
+    silver tables (``plans.run.refresh_silver``), keeping silver current file
+    by file.
+    """
     tagged = files.select(
         "path",
         infer_dataset("path").alias("dataset"),
@@ -60,7 +65,12 @@ def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str
         groups.setdefault((r["dataset"], r["header"]), []).append(r["path"])
     loaded = []
     for (dataset, _), paths in sorted(groups.items()):
-        bronze.load_files(spark, sorted(paths), dataset, layer, **opts)
+        new_rows = bronze.read_files(spark, sorted(paths), dataset, **opts)
+        bronze.append_bronze(new_rows, dataset, layer)
+        if silver_layer is not None:
+            from reelhouse.plans.run import refresh_silver
+
+            refresh_silver(spark, dataset, new_rows, bronze_layer=layer, silver_layer=silver_layer)
         loaded += [(p, dataset, batch_id) for p in paths]
     if loaded:
         spark.createDataFrame(loaded, "path string, dataset string, batch_id long").write.mode(
@@ -76,10 +86,12 @@ def stream_bronze(
     checkpoint: str | None = None,
     max_files: int = 1000,
     glob: str = "*.csv",
+    silver_layer: str | None = None,
     **opts,
 ) -> StreamingQuery:
     """Start an ``availableNow`` stream that loads every new export file under
-    ``raw_prefix`` into bronze and then stops."""
+    ``raw_prefix`` into bronze (and, with ``silver_layer``, folds it into
+    silver) and then stops."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     location = checkpoint or os.path.join(checkpoint_dir(spark), "bronze_stream")
     files = (
@@ -92,7 +104,7 @@ def stream_bronze(
     )
     return (
         files.writeStream.foreachBatch(
-            lambda df, batch_id: load_batch(spark, df, batch_id, layer, **opts)
+            lambda df, batch_id: load_batch(spark, df, batch_id, layer, silver_layer, **opts)
         )
         .option("checkpointLocation", location)
         .trigger(availableNow=True)

@@ -25,3 +25,20 @@ def test_stream_loads_each_file_once(spark, tmp_dir):
     q.awaitTermination(120)
     assert spark.table("bronze_s.ratings").count() == 4
     assert spark.table("bronze_s.bronze_load_log").count() == 3
+
+
+def test_stream_keeps_silver_current(spark, tmp_dir):
+    from reelhouse.plans import silver
+
+    raw = os.path.join(tmp_dir, "raw")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    hdr = "Date,Name,Year,Letterboxd URI\n"
+    write(f"{raw}/1_watchlist.csv", hdr + "2024-01-01,A,2001,w1\n2024-01-05,B,2002,w2\n")
+    stream_bronze(spark, raw, layer="bronze_ss", checkpoint=ckpt, silver_layer="silver_ss").awaitTermination(120)
+    write(f"{raw}/2_watchlist.csv", hdr + ",A,2001,w1\n2024-01-02,B,2002,w2\n2024-01-09,C,2003,w3\n")
+    stream_bronze(spark, raw, layer="bronze_ss", checkpoint=ckpt, silver_layer="silver_ss").awaitTermination(120)
+    full = silver.silver_watchlist(spark.table("bronze_ss.watchlist"))
+    got = spark.table("silver_ss.silver_watchlist")
+    key = lambda r: repr(tuple(r))
+    assert sorted(got.collect(), key=key) == sorted(full.collect(), key=key)
+    assert got.count() == 3
