@@ -19,3 +19,6 @@ def test_hot_key_is_cut_before_the_shuffle():
     assert result["hot_key_rows"] == 200000
     # 8 map tasks x 1,001 keys at most (plus a handful of rows for the count)
     assert result["shuffle_records_written"] <= 8 * 1001 + 16
+    # the unique check: every key repeats, the hot one 200,000 times
+    assert result["unique_check_failures"] == 1001
+    assert result["unique_check_shuffle_records"] <= 8 * 1001 + 16

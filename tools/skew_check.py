@@ -7,7 +7,9 @@ them and the rest spread over 1,000 keys, runs ``keep_first`` on it, and reads
 the shuffle records written from Spark's event log (in a fresh scratch folder).
 With the partial window group limit before the exchange, at most one row per
 key and map task is shuffled, so the count stays near 8 x 1,001 however large
-``rows`` is. Prints one JSON line.
+``rows`` is. The ``unique`` check on the same keys (the hot key made a value)
+is measured the same way: its partial aggregate also sends one row per key and
+map task. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -44,8 +46,8 @@ def shuffle_records(event_dir: str) -> int:
     return total
 
 
-def main(argv) -> None:
-    rows = int(argv[1]) if len(argv) > 1 else 3_000_000
+def measure(rows: int, op) -> tuple[int, int]:
+    """Run ``op`` on the skewed table in a fresh session; (result rows, shuffled rows)."""
     event_dir = tempfile.mkdtemp(prefix="skew-events-")
     spark = local_session(
         8, 8, **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
@@ -54,12 +56,23 @@ def main(argv) -> None:
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 1000).alias("k"),
         F.col("id").alias("v"),
     )
-    out = keep_first(df, ["k"], ["v desc"])
-    kept = out.count()
+    n = op(df).count()
     spark.stop()
-    shuffled = shuffle_records(event_dir)
+    return n, shuffle_records(event_dir)
+
+
+def main(argv) -> None:
+    from reelhouse.operators.checks import unique
+
+    rows = int(argv[1]) if len(argv) > 1 else 3_000_000
+    kept, shuffled = measure(rows, lambda df: keep_first(df, ["k"], ["v desc"]))
+    dupes, shuffled_unique = measure(
+        rows, lambda df: unique(df.withColumn("k", F.coalesce(F.col("k"), F.lit(-1))), "k")
+    )
     print(json.dumps({"rows": rows, "hot_key_rows": (rows + 2) // 3, "kept": kept,
-                      "shuffle_records_written": shuffled}))
+                      "shuffle_records_written": shuffled,
+                      "unique_check_failures": dupes,
+                      "unique_check_shuffle_records": shuffled_unique}))
 
 
 if __name__ == "__main__":
