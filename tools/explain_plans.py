@@ -21,6 +21,7 @@ from reelhouse.session import local_session  # noqa: E402
 QUERIES = [
     "silver_ratings", "silver_diary", "gold_top_rated_movies", "gold_best_movie_year",
     "gold_watch_activity", "fingerprint", "latest_object", "insert_if_absent", "check_suite",
+    "silver_diary_incremental",
 ]
 
 
