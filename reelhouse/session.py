@@ -32,14 +32,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting must name a shared path; it is read from the
-    session. Only where it is unset (local tests) a scratch folder is chosen and
-    registered as the context's checkpoint folder.
+    session, and a cluster session without it is an error. Only a local session
+    (tests, scripts) without it gets a scratch folder, registered as the
+    context's checkpoint folder.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = _LOCAL_FALLBACK.get(id(sc))
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a shared folder for checkpoints "
+                "(a machine-local folder does not survive the loss of a node)"
+            )
         path = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
         _LOCAL_FALLBACK[id(sc)] = path
     if not sc.getCheckpointDir():
