@@ -43,18 +43,24 @@ def main() -> None:
         conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
     spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), **conf)
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     all_samples: dict[str, list[float]] = {}
+    errors: dict[str, str] = {}
     for label, name in HEADLINE.items():
         if only and label not in only:
             continue
         fn = registry.QUERIES[name]
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # the first run is a warm-up
-                samples.append(time.perf_counter() - t0)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # the first run is a warm-up
+                    samples.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report and go on, the JSON line must print
+            times[label] = None
+            errors[label] = str(e).splitlines()[0][:300]
+            continue
         times[label] = round(statistics.median(samples), 3)
         all_samples[label] = [round(x, 3) for x in samples]
 
@@ -63,10 +69,11 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "headline_queries_total_median",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(t for t in times.values() if t is not None), 3),
                 "unit": "sec",
                 "queries": times,
                 "samples": all_samples,
+                **({"errors": errors} if errors else {}),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "spark": spark.version,
