@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,18 +45,29 @@ def ingest(
         raw.fingerprint(checked.where("admitted")).withColumn("uploaded_at", wall_utc),
         "uploaded_at",
     )
-    raw.land(keyed, raw_dir)
-    rows = raw.ledger_rows(keyed.withColumn("created", created), bucket=bucket,
-                           created_col="created")
+    # landing and the ledger both need the keys: read and hash each file once
+    # (blocks lost with an executor are recomputed, to the same keys)
+    keyed = keyed.persist(StorageLevel.DISK_ONLY)
+    try:
+        raw.land(keyed, raw_dir)
+        rows = raw.ledger_rows(keyed.drop("content").withColumn("created", created),
+                               bucket=bucket, created_col="created")
+        _append_new_ledger_rows(spark, rows, ledger_table)
+    finally:
+        keyed.unpersist()
+    # this upload's rows, read back from the table (not recomputed from the files)
+    this_upload = spark.table(ledger_table).where(F.col("created_at") == created)
+    return this_upload, rejected
+
+
+def _append_new_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_table: str) -> None:
+    """Append the rows whose id is not in the ledger yet."""
     if spark.catalog.tableExists(ledger_table):
         fresh = raw.insert_if_absent(spark.table(ledger_table), rows)
     else:
         fresh = raw.insert_if_absent(rows.limit(0), rows)
     fresh = fresh.select(*[f.name for f in specs.LEDGER_SCHEMA.fields])
     fresh.write.mode("append").format("parquet").saveAsTable(ledger_table)
-    # this upload's rows, read back from the table (not recomputed from the files)
-    this_upload = spark.table(ledger_table).where(F.col("created_at") == created)
-    return this_upload, rejected
 
 
 def upload_set(spark: SparkSession, drop_dir: str, glob: str = "*.csv") -> list[str]:
