@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,11 +67,19 @@ def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str
     loaded = []
     for (dataset, _), paths in sorted(groups.items()):
         new_rows = bronze.read_files(spark, sorted(paths), dataset, **opts)
-        bronze.append_bronze(new_rows, dataset, layer)
-        if silver_layer is not None:
+        if silver_layer is None:
+            bronze.append_bronze(new_rows, dataset, layer)
+        else:
             from reelhouse.plans.run import refresh_silver
 
-            refresh_silver(spark, dataset, new_rows, bronze_layer=layer, silver_layer=silver_layer)
+            # parsed once for both the bronze append and the silver fold
+            new_rows = new_rows.persist(StorageLevel.DISK_ONLY)
+            try:
+                bronze.append_bronze(new_rows, dataset, layer)
+                refresh_silver(spark, dataset, new_rows, bronze_layer=layer,
+                               silver_layer=silver_layer)
+            finally:
+                new_rows.unpersist()
         loaded += [(p, dataset, batch_id) for p in paths]
     if loaded:
         spark.createDataFrame(loaded, "path string, dataset string, batch_id long").write.mode(
