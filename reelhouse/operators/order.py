@@ -25,13 +25,15 @@ def key(spec: SortSpec) -> Column:
     if isinstance(spec, Column):
         return spec
     parts = spec.split()
-    name = parts[0]
+    name = parts[0] if parts else ""
     rest = [p.lower() for p in parts[1:]]
+    allowed = ([], ["asc"], ["desc"], ["nulls", "first"], ["nulls", "last"],
+               ["asc", "nulls", "first"], ["asc", "nulls", "last"],
+               ["desc", "nulls", "first"], ["desc", "nulls", "last"])
+    if not name or rest not in [list(a) for a in allowed]:
+        raise ValueError(f"bad sort spec {spec!r}: use 'col [asc|desc] [nulls first|last]'")
     desc = "desc" in rest
-    if "nulls" in rest:
-        first = rest[rest.index("nulls") + 1] == "first"
-    else:
-        first = desc
+    first = rest[-1] == "first" if "nulls" in rest else desc
     c = F.col(name)
     if desc:
         return c.desc_nulls_first() if first else c.desc_nulls_last()

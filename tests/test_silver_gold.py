@@ -145,3 +145,17 @@ def test_rerated_film_kept_twice_and_flagged(spark):
     assert s.count() == 2
     top = gold.gold_top_rated_movies(s)
     assert [tuple(r) for r in checks.unique(top, "letterboxd_uri").collect()] == [("u1", 2)]
+
+
+def test_sort_spec_parsing(spark):
+    import pytest
+
+    from reelhouse.operators.order import key
+
+    assert "NULLS FIRST" in str(key("year desc"))
+    assert "NULLS LAST" in str(key("name asc"))
+    assert "NULLS LAST" in str(key("name"))
+    assert "NULLS FIRST" in str(key("d asc nulls first"))
+    for bad in ("", "a nulls", "a sideways", "a desc nulls"):
+        with pytest.raises(ValueError):
+            key(bad)
