@@ -37,7 +37,9 @@ MOST = 2
 BLOCK = 128
 SHARD_SLOTS = 4096
 #: Documents to a bin when offsets are added up.
-BIN_ROWS = 4096
+BIN_ROWS = 1024
+#: Slots to a task where they are permuted.
+TASK_SLOTS = 50_000
 ROUNDS = 24
 SEED = 8
 
@@ -119,16 +121,19 @@ def drawn_slots(spark: SparkSession, plan: list[dict], block: int, shard_slots:
         first += p["slots"]
     sources = small_frame(spark, rows, "sid bigint, first bigint, slots bigint, blocks bigint, words bigint, cut bigint")
     chunk = F.lit(shard_slots).cast("long")
+    # A count stands for thousands of slots, so the size of such rows says
+    # nothing of their work: the number of tasks follows the slots.
+    tasks = -(-total // TASK_SLOTS) or 1
     strata = (sources.where("slots > 0")
               .select("sid", "first", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {shard_slots}"))).alias("c"))
-              .repartition(F.col("sid"), F.col("c"))
+              .repartition(tasks, "sid", "c")
               .select("sid", F.explode(F.sequence(F.col("first") + F.col("c") * chunk,
                                                   F.col("first") + F.least((F.col("c") + 1) * chunk, F.col("slots")) - 1)).alias("stratum")))
     place = permuted(F.col("stratum"), F.lit(max(1, total)).cast("long"), F.lit(-1).cast("long"))
     counts = strata.select("sid", F.floor(place / shard_slots).alias("shard")).groupBy("sid", "shard").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = counts.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
-    slots = numbered.select("sid", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("i")).join(sources, "sid")
+    slots = numbered.repartition(tasks, "sid", "shard").select("sid", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("i")).join(sources, "sid")
     index = permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.col("sid"), F.expr("i div blocks"))
     picked = slots.withColumn("block", index)
     length = F.least(F.lit(block).cast("long"), F.col("words") - F.col("block") * block)
