@@ -45,7 +45,7 @@ from reelhouse.llm.elias_fano import EliasFano
 #: Weight of the lower order in smoothing.
 M = 4.0
 #: Text bytes to a block, tokens of the corpus to a shard.
-BLOCK_BYTES, SHARD_TOKENS = 16 << 20, 3_000_000
+BLOCK_BYTES, SHARD_TOKENS = 16 << 20, 2_000_000
 HOT, SLICES = 1000, 16
 #: Quantised log10 probabilities: code 1 is 10**LOWEST, code 255 is 1; 0 means absent.
 LOWEST = -10.0
@@ -235,19 +235,26 @@ class Trie:
         return out
 
 
+def _stretches(sizes: np.ndarray, most: int = 500_000) -> Iterator[tuple[int, int, int, int]]:
+    """Ranges of contexts, and of their bigrams, of about ``most`` bigrams each."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        x = int(ends[a] - sizes[a])
+        b = max(a + 1, int(np.searchsorted(ends, x + most, side="right")))
+        yield a, b, x, int(ends[b - 1])
+        a = b
+
+
 def answered(shard: pa.Table, hot: np.ndarray, hot_n: np.ndarray) -> pa.Table:
     """Builds a shard's trie from the parts of all blocks and answers each part."""
     parts = [unpack(d) for d in shard["data"].to_pylist()]
-    words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    word_n = np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+    words, word_at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    word_n = np.bincount(word_at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
     contexts, at = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
     pair_context = np.repeat(at, np.concatenate([p[3] for p in parts]))
-    succ = np.concatenate([from_five(p[4]) for p in parts])
-    n = np.concatenate([p[5] for p in parts])
-    learnt = n > 0
-    keys, at = np.unique((pair_context.astype(np.uint64) << SUCC_BITS | succ)[learnt], return_inverse=True)
-    pair_n = np.bincount(at, weights=n[learnt]).astype(np.int64)
-    del succ, n, learnt, at
+    asked, pair_at = np.unique(pair_context.astype(np.uint64) << SUCC_BITS | np.concatenate([from_five(p[4]) for p in parts]), return_inverse=True)
+    asked_n = np.bincount(pair_at, weights=np.concatenate([p[5] for p in parts])).astype(np.int64)
+    keys, pair_n = asked[asked_n > 0], asked_n[asked_n > 0]
     pair_context = (keys >> SUCC_BITS).astype(np.int64)
     # A context is followed by something as often as it occurs.
     context_n = np.bincount(pair_context, weights=pair_n, minlength=len(contexts))
@@ -258,8 +265,17 @@ def answered(shard: pa.Table, hot: np.ndarray, hot_n: np.ndarray) -> pa.Table:
     live[pair_context] = True
     known = word_n > 0
     trie = Trie(words[known], word_n[known], contexts[live], context_n[live], (np.cumsum(live) - 1)[pair_context], keys & _SUCC_MASK, pair_n)
+    # What several blocks ask is asked once.
+    word_reply = trie.words(words)
+    sizes = np.bincount((asked >> SUCC_BITS).astype(np.int64), minlength=len(contexts))
+    pair_reply = np.concatenate([
+        trie.bigrams(contexts[a:b], sizes[a:b], asked[x:y] & _SUCC_MASK)
+        for a, b, x, y in _stretches(sizes)] or [np.empty(0, np.uint8)])
+    word_cut = np.cumsum([0] + [len(p[0]) for p in parts])
+    pair_cut = np.cumsum([0] + [len(p[5]) for p in parts])
     real = known & (words != np.uint64(_BEGIN))
-    replies = [pack(trie.words(p[0]), trie.bigrams(p[2], p[3], from_five(p[4]))) for p in parts]
+    replies = [pack(word_reply[word_at[word_cut[k]:word_cut[k + 1]]], pair_reply[pair_at[pair_cut[k]:pair_cut[k + 1]]])
+               for k in range(len(parts))]
     first = [True] + [False] * (len(parts) - 1)
     return pa.table({"block": shard["block"], "shard": shard["shard"], "reply": pa.array(replies, pa.binary()),
                      "n": [int(word_n[real].sum()) if f else 0 for f in first], "v": [int(real.sum()) if f else 0 for f in first]})
