@@ -6,15 +6,20 @@ keyed by the full minima; what is kept of them is their low ``BITS`` bits,
 packed into longs. Two signatures are compared by counting equal lanes (XOR,
 fold, bit count); as unequal minima agree in their low bits once in 2**BITS,
 the share of equal lanes is corrected for that. Candidates whose estimate is
-out of reach of the threshold (chance below 1e-9) are put aside, all others
+out of reach of the threshold (chance below 1e-6) are put aside, all others
 are confirmed on the full shingle sets.
 
 Candidates are found in two steps, so that a large group of similar texts is
 not compared pair by pair. First every member of a bucket is compared with two
-members of it, those with the least and the greatest hash; confirmed links give
+members of it: its hub, which has the most bucket mates over all its bands (in
+a family of edited copies, the original), and any other. Confirmed links give
 components. Then only bucket mates that are still in different components are
 compared, all of them: a link between them is the only kind that can still
-change the result. Within a component no pair is generated again.
+change the result. Within a component no pair is generated again. Before that
+the shingles of these texts are counted: a pair has no more in common than
+either text shares with any other, nor more of the hub than neither misses
+(known from the first step as bit maps). These bounds are exact, and rule out
+copies that were edited too much without comparing them with their whole family.
 
 Chance to miss a link of similarity 0.8 with 32 bands of 5 rows: 3e-6, and that
 pair's documents stay apart only if nothing else connects them.
@@ -46,8 +51,10 @@ SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, BITS = 32, 5, 4
 HASHES = BANDS * ROWS
 LONGS = HASHES * BITS // 64
+#: Longs of a map of missing shingles.
+WORDS = 4
 #: Word hashes remembered by a worker.
-MEMORY = 2_000_000
+MEMORY = 300_000
 
 _RNG = np.random.default_rng(5)
 _MULTIPLY = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,12 +114,12 @@ def set_name(shingles: np.ndarray) -> int:
 
 
 def least_equal(percent: int = PERCENT) -> int:
-    """Lanes that must agree: a pair at the threshold has fewer with a chance below 1e-9."""
+    """Lanes that must agree: a pair at the threshold has fewer with a chance below 1e-6."""
     p = percent / 100 + (1 - percent / 100) / (1 << BITS)
     below = 0.0
     for k in range(HASHES + 1):
         below += comb(HASHES, k) * p**k * (1 - p) ** (HASHES - k)
-        if below > 1e-9:
+        if below > 1e-6:
             return k
     return HASHES
 
@@ -158,14 +165,17 @@ def described(docs: DataFrame, width: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of class names whose full sets are similar enough.
+    """The pairs (a, b) of class names compared on their full sets, staged.
 
-    ``texts`` (name, text) has one whole text per class in question.
+    Adds linked, both (shingles in common) and, as maps of ``WORDS`` longs,
+    which shingles of a that b has not (miss_a), and of b that a has not
+    (miss_b): a shingle sets one of the bits, by its hash. ``texts`` (name,
+    text) has one whole text per class in question.
     """
     from pyspark.sql.pandas.functions import arrow_udf
 
-    @arrow_udf("boolean")
-    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
+    @arrow_udf("struct<linked:boolean,both:long,miss_a:array<long>,miss_b:array<long>>")
+    def compared(left: pa.Array, right: pa.Array) -> pa.Array:
         last: tuple = (None, None)
         out = []
         for x, y in zip(left, right):
@@ -173,13 +183,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
             if y != last[0]:
                 last = (y, shingle_set(y, width))
             a, b = shingle_set(x.as_py(), width), last[1]
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(100 * both >= percent * (len(a) + len(b) - both))
-        return pa.array(out, pa.bool_())
+            in_b = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a
+            both = int(in_b.sum())
+            in_a = a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b
+            out.append({"linked": 100 * both >= percent * (len(a) + len(b) - both), "both": both,
+                        "miss_a": bit_map(a[~in_b]), "miss_b": bit_map(b[~in_a])})
+        return pa.array(out, pa.struct([("linked", pa.bool_()), ("both", pa.int64()), ("miss_a", pa.list_(pa.int64())), ("miss_b", pa.list_(pa.int64()))]))
 
     a = texts.select(F.col("name").alias("a"), F.col("text").alias("__ta"))
     b = texts.select(F.col("name").alias("b"), F.col("text").alias("__tb"))
-    return pairs.join(a, "a").join(b, "b").where(linked("__ta", "__tb")).select("a", "b")
+    said = pairs.join(a, "a").join(b, "b").select("a", "b", compared("__ta", "__tb").alias("c"))
+    return stage(said.select("a", "b", "c.linked", "c.both", "c.miss_a", "c.miss_b"), "near-compared")
+
+
+def bit_map(shingles: np.ndarray) -> list[int]:
+    out = np.zeros(WORDS * 64, dtype=np.uint8)
+    out[(shingles % np.uint64(WORDS * 64)).astype(np.int64)] = 1
+    return np.packbits(out).view(np.int64).tolist()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -194,29 +214,50 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # The first row of a class stands for it; struct order puts a null id first,
     # so ids are ordered with nulls as the greatest.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("row")
-    sets = stage(filled.groupBy("name").agg(first, F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-                 .select("name", "row.doc_id", "row.mark", "sig", "bands"), "near-sets")
+    sets = stage(filled.groupBy("name").agg(first, F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+                 .select("name", "row.doc_id", "row.mark", "n", "sig", "bands"), "near-sets")
     members = stage(sets.select("name", F.explode("bands").alias("band")), "near-members")
 
-    ends = members.groupBy("band").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo < hi")
-    busy = stage(members.join(stage(ends, "near-ends"), "band"), "near-busy")
-    stars = busy.select(F.col("name").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a != b")
-    links = _confirm(slim, sets, _alike(sets, _ordered(stars).distinct(), percent), width, percent)
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1")
+    busy = stage(members.join(stage(sizes, "near-sizes"), "band"), "near-busy")
+    weight = stage(busy.groupBy("name").agg(F.sum("mates").alias("weight")), "near-weights")
+    ends = stage(busy.join(weight, "name").groupBy("band").agg(F.max(F.struct("weight", "name")).alias("hub"), F.min("name").alias("lo")), "near-ends")
+    stars = busy.join(ends, "band").select(F.col("name").alias("a"), F.explode(F.array("hub.name", "lo")).alias("b")).where("a != b")
+    pairs = _alike(sets, _ordered(stars).distinct(), percent)
+    seen = confirmed(pairs, _texts(slim, sets, _nodes(pairs)), width, percent)
+    links = seen.where("linked").select("a", "b")
 
     labels = components(links)
     # Bucket mates that the first step left in different components.
     at = busy.select("name", "band").join(labels.withColumnRenamed("node", "name"), "name", "left")
     at = stage(at.withColumn("label", F.coalesce("label", "name")), "near-at")
     mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
-    left = stage(at.join(stage(mixed, "near-mixed"), "band"), "near-left")
-    sigs = sets.select("name", *[F.col("sig")[i].alias(f"s{i}") for i in range(LONGS)])
-    wide = stage(left.join(sigs, "name"), "near-wide")
+    left = stage(at.join(stage(mixed, "near-mixed"), "band").join(ends.select("band", F.col("hub.name").alias("hub")), "band"), "near-left")
+    texts = _texts(slim, sets, left.select(F.explode(F.array("name", "hub")).alias("name")).distinct())
+    shared = stage(_shared(texts, width), "near-shared")
+    sigs = sets.select("name", "n", *[F.col("sig")[i].alias(f"s{i}") for i in range(LONGS)]).join(shared, "name")
+    # What is known of a member and the hub of its bucket.
+    to_hub = lambda name, hub, miss: seen.select(F.col(name).alias("name"), F.col(hub).alias("hub"), "both", F.col(miss).alias("miss"))
+    hubs = stage(to_hub("a", "b", "miss_b").union(to_hub("b", "a", "miss_a")), "near-hubs")
+    wide = left.join(hubs, ["name", "hub"], "left").join(stage(sigs, "near-sigs"), "name")
+    of_hub = sets.select(F.col("name").alias("hub"), F.col("n").alias("hub_n"))
+    wide = stage(wide.join(of_hub, "hub").withColumns({
+        "both": F.when(F.col("name") == F.col("hub"), F.col("n")).otherwise(F.col("both")),
+        "miss": F.when(F.col("name") == F.col("hub"), F.array(*[F.lit(0).cast("long")] * WORDS)).otherwise(F.col("miss"))}), "near-wide")
     x = wide.toDF(*[f"x_{c}" for c in wide.columns])
     y = wide.toDF(*[f"y_{c}" for c in wide.columns])
-    near = equal_lanes([F.col(f"x_s{i}") for i in range(LONGS)], [F.col(f"y_s{i}") for i in range(LONGS)]) >= least_equal(percent)
-    rest = (x.join(y, (F.col("x_band") == F.col("y_band")) & (F.col("x_label") < F.col("y_label")) & near)
+    near = _near(F.col("x_n"), F.col("y_n"), [F.col(f"x_s{i}") for i in range(LONGS)], [F.col(f"y_s{i}") for i in range(LONGS)], percent)
+    # Bounds of what a pair has in common: the lesser ``shared``; and what of the
+    # hub neither misses, with what either shares beyond the hub.
+    missed = reduce(lambda p, q: p + q, [F.bit_count(F.col("x_miss")[i].bitwiseOR(F.col("y_miss")[i])) for i in range(WORDS)])
+    beyond = F.least(F.col("x_shared") - F.col("x_both"), F.col("y_shared") - F.col("y_both"))
+    least_shared = F.least("x_shared", "y_shared")
+    most = F.least(least_shared, F.coalesce(F.col("x_hub_n") - missed + beyond, least_shared))
+    # Linked means 100 * both >= percent * (n + m - both).
+    reach = (100 + percent) * most >= percent * (F.col("x_n") + F.col("y_n"))
+    rest = (x.join(y, (F.col("x_band") == F.col("y_band")) & (F.col("x_label") < F.col("y_label")) & reach & near)
             .select(F.col("x_name").alias("a"), F.col("y_name").alias("b")))
-    more = _confirm(slim, sets, stage(_ordered(rest).distinct(), "near-pairs"), width, percent)
+    more = confirmed(stage(_ordered(rest).distinct(), "near-pairs"), texts, width, percent).where("linked").select("a", "b")
     if not more.isEmpty():
         labels = components(stage(links.union(more), "near-links"))
 
@@ -240,6 +281,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return only_rows(docs, classes, id_col, text_col)
 
 
+def _near(n: Column, m: Column, a: list[Column], b: list[Column], percent: int) -> Column:
+    """Sizes allow the similarity, and the estimate is not out of reach of it."""
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (equal_lanes(a, b) >= least_equal(percent))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
@@ -247,20 +293,42 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _alike(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Staged candidate pairs whose estimate is not out of reach."""
     pairs = stage(pairs, "near-pairs")
-    sig = lambda p: sets.select(F.col("name").alias(p), F.col("sig").alias(f"__{p}"))
+    sig = lambda p: sets.select(F.col("name").alias(p), F.col("n").alias(f"__n{p}"), F.col("sig").alias(f"__{p}"))
     lanes = lambda p: [F.col(f"__{p}")[i] for i in range(LONGS)]
-    near = equal_lanes(lanes("a"), lanes("b")) >= least_equal(percent)
+    near = _near(F.col("__na"), F.col("__nb"), lanes("a"), lanes("b"), percent)
     return stage(pairs.join(sig("a"), "a").join(sig("b"), "b").where(near).select("a", "b"), "near-pairs")
 
 
-def _confirm(slim: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Staged links among the candidate ``pairs`` (staged)."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct().join(sets.select("name", "doc_id", "mark"), "name")
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+
+
+def _texts(slim: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
+    """Staged (name, text): a whole text of each of the named classes."""
+    asked = names.join(sets.select("name", "doc_id", "mark"), "name")
     asked = stage(asked.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), "near-asked")
     same = (F.col("mark") == F.col("__mark")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    # What is asked for grows with the corpus, so it is not to be broadcast.
     # Repeated rows have the same text: any of them does.
-    texts = slim.join(asked, same).groupBy("mark", "doc_id").agg(F.first("name").alias("name"), F.first("text").alias("text"))
-    return stage(confirmed(pairs, stage(texts.select("name", "text"), "near-texts"), width, percent), "near-links")
+    texts = slim.join(asked.hint("merge"), same).groupBy("mark", "doc_id").agg(F.first("name").alias("name"), F.first("text").alias("text"))
+    return stage(texts.select("name", "text"), "near-texts")
+
+
+def _shared(texts: DataFrame, width: int) -> DataFrame:
+    """(name, shared): shingles of a class that any other of ``texts`` has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in portions(batch, 1, 2 << 20):
+                sets = [shingle_set(t, width) for t in part.column(1).to_pylist()]
+                names = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.concatenate(sets).view(np.int64))], ["name", "shingle"])
+
+    each = texts.mapInArrow(run, "name long, shingle long")
+    of = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"))
+    alone = of.where("n = 1").groupBy("name").agg(F.count(F.lit(1)).alias("alone"))
+    every = each.groupBy("name").agg(F.count(F.lit(1)).alias("all"))
+    return every.join(alone, "name", "left").select("name", (F.col("all") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
