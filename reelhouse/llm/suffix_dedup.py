@@ -41,11 +41,11 @@ from pyspark.sql import functions as F
 from reelhouse.llm.arrays import pack, unpack
 from reelhouse.llm.common import portions, stage, table
 
-LENGTH, GRAM = 100, 16
+LENGTH, GRAM = 100, 32
 LEFT = LENGTH - GRAM
 SPAN = LEFT + LENGTH
 #: Text bytes to a block, to a shard of step 1, and region bytes to a shard of step 2.
-BLOCK_BYTES, SHARD_BYTES, FINE_BYTES = 16 << 20, 48 << 20, 16 << 20
+BLOCK_BYTES, SHARD_BYTES, FINE_BYTES = 16 << 20, 32 << 20, 4 << 20
 #: Longest piece that is hashed at once.
 PIECE, MARGIN = 1 << 20, 2 * SPAN
 
