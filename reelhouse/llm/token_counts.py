@@ -31,7 +31,7 @@ MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 #: Pre-tokens remembered by a worker (about 100 bytes each), and the most code
 #: points of one that is remembered or merged together with others.
-MEMORY, LONG = 1_000_000, 64
+MEMORY, LONG = 300_000, 64
 MARK = "▁"
 PRETOKEN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
