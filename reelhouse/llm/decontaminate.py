@@ -42,7 +42,7 @@ from reelhouse.llm.common import portions, stage, table
 WIDTH, LITERALS, COVERAGE, RUN = 5, 3, 0.8, 13
 MOST_HASHES = 4_000_000
 #: Canonical forms remembered by a worker.
-MEMORY = 200_000
+MEMORY = 1_000_000
 
 # Units of measure, and number words.
 UNITS = frozenset(
@@ -56,6 +56,7 @@ LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 _NUMERIC = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*%?")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _P = np.uint64(0x9E3779B97F4A7C15)
+_ENDS = (".", "!", "?", ":", ";", "|", "-")
 _TYPE = np.array([0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -64,26 +65,28 @@ class Forms:
 
     def __init__(self):
         self.index: dict[bytes, int] = {}
-        self.rows: list[tuple[int, int, bool, bool]] = []
-        self.arrays: tuple[np.ndarray, ...] | None = None
+        self.hashes = np.zeros(1024, dtype=np.uint64)
+        self.flags = np.zeros(1024, dtype=np.uint8)  # kind, + 4 ends a sentence, + 8 a real word
 
-    def add(self, raw: bytes) -> int:
+    def add(self, raw: bytes) -> None:
         text = raw.decode("utf-8", "replace")
-        core = _EDGE.sub("", text)
+        core = text if text.isalpha() else _EDGE.sub("", text)
         low = core.lower()
-        kind = NUMBER if _NUMERIC.fullmatch(core) or low in NUMBERS else UNIT if low in UNITS else LITERAL
+        kind = NUMBER if low in NUMBERS or _NUMERIC.fullmatch(core) else UNIT if low in UNITS else LITERAL
         if kind == LITERAL and core[:1].isupper() and core[1:2].islower():
             kind = NAME
-        ends = text.endswith((".", "!", "?", ":", ";", "|", "-")) or not core
-        self.rows.append((xxhash.xxh3_64_intdigest(low.encode("utf-8", "replace")) if low else 0, kind, ends, bool(low)))
-        at = self.index[raw] = len(self.rows) - 1
-        return at
+        at = len(self.index)
+        if at == len(self.hashes):
+            self.hashes, self.flags = np.resize(self.hashes, 2 * at), np.resize(self.flags, 2 * at)
+        self.hashes[at] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "replace"))
+        self.flags[at] = kind | (4 if not core or text.endswith(_ENDS) else 0) | (8 if core else 0)
+        self.index[raw] = at
 
     def of(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, kinds, kinds with names as words) of a whole text."""
         words = text.split() if text else []
         if len(self.index) > MEMORY:
-            self.__init__()
+            self.index.clear()
         try:
             ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         except KeyError:
@@ -91,35 +94,38 @@ class Forms:
                 if w not in self.index:
                     self.add(w)
             ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-        if self.arrays is None or len(self.arrays[0]) < len(self.rows):
-            self._grow()
-        h, kind, ends, real = (a[ids] for a in self.arrays)
-        fresh = np.ones(len(ids), dtype=bool)  # begins a sentence
-        fresh[1:] = ends[:-1]
-        kind = np.where((kind == NAME) & fresh, LITERAL, kind)
-        h, kind = h[real], kind[real]
+        h, flags = self.hashes[ids], self.flags[ids]
+        kind, real = flags & 3, flags >= 8
+        if kind.any():
+            fresh = np.ones(len(ids), dtype=bool)  # begins a sentence
+            fresh[1:] = flags[:-1] & 4 > 0
+            kind[(kind == NAME) & fresh] = LITERAL
+        if not real.all():
+            h, kind = h[real], kind[real]
+        if not kind.any():
+            return h, kind, kind
         after_number = np.zeros(len(kind), dtype=bool)
         after_number[1:] = kind[:-1] == NUMBER
-        kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
+        kind[(kind == UNIT) & ~after_number] = LITERAL
         return h, kind, np.where(kind == NAME, LITERAL, kind)
 
-    def _grow(self) -> None:
-        done = len(self.arrays[0]) if self.arrays else 0
-        new = self.rows[done:]
-        cols = [np.array([r[k] for r in new], dtype=t) for k, t in enumerate((np.uint64, np.int8, bool, bool))]
-        self.arrays = tuple(np.concatenate([a, b]) for a, b in zip(self.arrays, cols)) if self.arrays else tuple(cols)
-
 
 def windows(h: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of the windows with enough plain words."""
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    code = np.where(kind == LITERAL, h, _TYPE[kind])
-    out = np.full(n, width, dtype=np.uint64)
-    for k in range(width):
-        out = (out ^ (out >> np.uint64(32))) * _P + code[k:k + n]
+    typed = bool(kind.any())
+    code = np.where(kind == LITERAL, h, _TYPE[kind]) if typed else h
+    out = code[:n] + np.uint64(width)
+    for k in range(1, width):
+        out *= _P
+        out += code[k:k + n]
     out ^= out >> np.uint64(29)
+    out *= _P
+    out ^= out >> np.uint64(32)
+    if not typed:
+        return np.arange(n), out
     plain = np.cumsum(np.concatenate([[0], kind == LITERAL]))
     at = np.flatnonzero(plain[width:] - plain[:n] >= min(LITERALS, width))
     return at, out[at]
@@ -131,10 +137,9 @@ def found(forms: Forms, text: bytes | None, widths: list[int], wanted) -> Iterat
     same = bool((typed == plain).all())
     for width in widths:
         for form, kind in ((0, typed), (1, plain)):
-            at, hashes = windows(h, kind, width)
             if form and same:
-                # Without names both forms are one; it is reported under form 0 only.
-                continue
+                continue  # without names both forms are one
+            at, hashes = windows(h, kind, width)
             hit = wanted(hashes)
             for s, x in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist()):
                 slots = h[s:s + width][kind[s:s + width] != LITERAL]
