@@ -42,7 +42,7 @@ from reelhouse.llm.common import portions, stage, table
 WIDTH, LITERALS, COVERAGE, RUN = 5, 3, 0.8, 13
 MOST_HASHES = 4_000_000
 #: Canonical forms remembered by a worker.
-MEMORY = 1_000_000
+MEMORY = 400_000
 
 # Units of measure, and number words.
 UNITS = frozenset(
