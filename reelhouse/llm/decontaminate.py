@@ -11,7 +11,8 @@ stands for one value of the document. So a question with other numbers or names
 in it is found, and a chance match of templates is not.
 
 A document is contaminated by an item if consistent alignments cover
-``COVERAGE`` of the item's windows, or ``RUN`` words in a row.
+``COVERAGE`` of the item's windows, or ``RUN`` words in a row (counted over the
+windows that are used).
 
 Only windows of a document that occur in the benchmark leave the scan: the
 benchmark's window hashes go to the tasks if there are at most ``MOST_HASHES``
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import portions, stage, table
@@ -194,8 +195,9 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     per = cuts.groupBy("id", "mark").agg(F.max(F.col("form").bitwiseAND(F.lit(-2))).alias("widest"))
     cuts = cuts.join(per.toDF("__i", "__m", "widest"), F.col("id").eqNullSafe(F.col("__i")) & (F.col("mark") == F.col("__m"))).where(F.col("form").bitwiseAND(F.lit(-2)) == F.col("widest"))
     whole = (F.col("widest") == WIDTH * 2) | (F.col("at") == 0)
-    cuts = stage(cuts.where(whole).select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("form").alias("item_form"),
-                                          F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots")), "bench-windows")
+    rank = F.dense_rank().over(Window.partitionBy("id", "mark").orderBy("at"))
+    cuts = stage(cuts.where(whole).withColumn("nth", rank).select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("form").alias("item_form"),
+                                          F.col("at").alias("item_at"), "nth", "hash", F.col("slots").alias("item_slots")), "bench-windows")
     need = stage(cuts.groupBy("item", "item_mark").agg(F.countDistinct("item_at").alias("windows"),
                                                        F.max("item_form").alias("wide")), "bench-items")
     n = cuts.count()
@@ -208,22 +210,22 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     hits = matched(rows, widths, hashes).join(cuts, "hash")
     # Distinct because a window may match in both forms.
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    lines = (hits.select("id", "mark", "item", "item_mark", (F.col("at") - F.col("item_at")).alias("line"), "item_at", pairs.alias("p"))
+    lines = (hits.select("id", "mark", "item", "item_mark", (F.col("at") - F.col("item_at")).alias("line"), F.struct("nth", "item_at").alias("w"), pairs.alias("p"))
              .groupBy("id", "mark", "item", "item_mark", "line")
-             .agg(F.array_sort(F.collect_set("item_at")).alias("ats"), F.array_distinct(F.flatten(F.collect_set("p"))).alias("p")))
+             .agg(F.array_sort(F.collect_set("w")).alias("ws"), F.array_distinct(F.flatten(F.collect_set("p"))).alias("p")))
     holds = F.size(F.array_distinct(F.transform("p", lambda x: x["i"]))) == F.size("p")
-    # Longest run of consecutive windows: the most frequent value of position minus rank.
+    # Words of the longest run of usable windows that follow each other in the item.
+    begins = lambda a, x: F.when(x["nth"] == a["last"] + 1, a["begin"]).otherwise(x["item_at"])
     run = F.aggregate(
-        F.col("ats"), F.struct(F.lit(-9).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best")),
-        lambda a, x: F.struct(
-            x.alias("last"), F.when(x == a["last"] + 1, a["n"] + 1).otherwise(1).alias("n"),
-            F.greatest(a["best"], F.when(x == a["last"] + 1, a["n"] + 1).otherwise(1)).alias("best")), lambda a: a["best"])
-    per_item = (lines.where(holds).select("id", "mark", "item", "item_mark", "ats", run.alias("run"))
+        F.col("ws"), F.struct(F.lit(-9).alias("last"), F.lit(0).alias("begin"), F.lit(0).alias("best")),
+        lambda a, x: F.struct(x["nth"].alias("last"), begins(a, x).alias("begin"),
+                              F.greatest(a["best"], x["item_at"] - begins(a, x) + WIDTH).alias("best")), lambda a: a["best"])
+    per_item = (lines.where(holds).select("id", "mark", "item", "item_mark", "ws", run.alias("run"))
                 .groupBy("id", "mark", "item", "item_mark")
-                .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"), F.max("run").alias("run"))
+                .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("seen"), F.max("run").alias("run"))
                 .join(need.toDF("__i", "__m", "windows", "wide"), F.col("item").eqNullSafe(F.col("__i")) & (F.col("item_mark") == F.col("__m")))
                 .withColumn("coverage", F.col("seen") / F.col("windows")))
-    long_run = (F.col("wide") >= WIDTH * 2) & (F.col("run") >= RUN - WIDTH + 1)
+    long_run = (F.col("wide") >= WIDTH * 2) & (F.col("run") >= RUN)
     bad = (per_item.where((F.col("coverage") >= COVERAGE) | long_run).groupBy("id", "mark")
            .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage")))
     return stage(bad.toDF("__id", "__mark", "item_ids", "coverage"), "contaminated")
