@@ -92,6 +92,5 @@ def mean_2dp(c: Column | str) -> Column:
     n = F.count(c)
     num = tenths * 20 + n
     den = n * 2
-    # Exact integer division: num - pmod(num, den) is a multiple of den.
-    hundredths = ((num - F.pmod(num, den)) / den).cast("long")
+    hundredths = F.call_function("div", num, den)  # in longs, never through a double
     return (hundredths.cast("decimal(20,0)") / 100).cast("decimal(5,2)")

@@ -1,34 +1,10 @@
-"""Reading input tables with enough parallelism for the cluster."""
+"""Reading input tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs with at least this many splits are never spread: they are large enough
-# to keep the cluster busy, and shuffling them would only cost.
-SPREAD_CAP = 64
 
-
-def spread(df: DataFrame, min_partitions: int | None = None, cap: int = SPREAD_CAP) -> DataFrame:
-    """Round-robin the rows over ``min(parallelism, cap)`` partitions when the
-    scan yields fewer partitions than that.
-
-    A small file written as one row group is read by one task, which would
-    leave all per-row work before the first shuffle on one core. Only inputs
-    with fewer than ``cap`` splits are touched (at most ``cap`` splits of data,
-    about 8 GB at 128 MB per split, cross this extra shuffle); a large input
-    keeps its own splits and no shuffle is added. Round-robin is skew-free,
-    and Spark sorts rows before it so that a retried task sends every row to
-    the same partition again.
-    """
-    target = min(min_partitions or df.sparkSession.sparkContext.defaultParallelism, cap)
-    try:
-        current = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 - e.g. no RDD access on a remote session
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def read_parquet(spark: SparkSession, path: str, balance: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df) if balance else df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """The table as its files are laid out: no exchange is put in front of it."""
+    return spark.read.parquet(path)
