@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from reelhouse import specs
 from reelhouse.plans import catalog, gold, silver, views
-from reelhouse.sources import bronze, ingest
+from reelhouse.sources import bronze, ingest, raw
 
 
 def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
@@ -87,17 +87,22 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
         on_bad: str = "fail", drop_dir: str | None = None,
         ledger_table: str = "default.ingestion_runs", incremental: bool = False) -> dict:
     """K7: upload the exports of ``drop_dir`` when it holds any (then only their
-    datasets are loaded), else use what the raw zone has; load the newest raw
+    datasets are loaded; a file that is refused stops the run before bronze is
+    touched), else use what the raw zone has; load the newest raw
     file of each dataset into bronze, then rebuild silver and gold. Silver
     starts only after every bronze load finished. ``incremental`` folds just
     the loaded rows into silver (``refresh_silver``) instead of rebuilding it
     from the whole append-only bronze history; the tables come out the same."""
     catalog.ensure_layers(spark)
     if drop_dir is not None and datasets is None:
-        uploaded = ingest.upload_set(spark, drop_dir)
+        refused = [(name, "Empty file") for name in raw.empty_files(spark, drop_dir)]
+        uploaded = [] if refused else ingest.upload_set(spark, drop_dir)
         if uploaded:
-            ingest.ingest(spark, drop_dir, raw_prefix, ledger_table)
+            _, rejected = ingest.ingest(spark, drop_dir, raw_prefix, ledger_table)
+            refused = [(r["name"], r["reason"]) for r in rejected.limit(20).collect()]
             datasets = uploaded
+        if refused:
+            raise ValueError("Upload failed, nothing was loaded: " + "; ".join(f"{n}: {why}" for n, why in refused))
     loaded = bronze.load_all(spark, raw_prefix, datasets)
     if incremental:
         silver_tables = [

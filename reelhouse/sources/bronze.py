@@ -9,7 +9,9 @@ job that commits atomically per task and can be retried when an executor dies.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from reelhouse.sources import raw
 log = logging.getLogger(__name__)
 
 EXTRA = "_extra"
+HEADER_WIDTH = 500  # columns looked at in the header of a file whose name holds pattern characters
 
 # The export dialect (header row, comma, double quotes doubled
 # inside quoted fields, newlines allowed inside quotes, UTF-8).
@@ -36,10 +39,30 @@ CSV_OPTIONS = {
 }
 
 
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that file sources take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def read_header(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> list[str]:
     """B1: column names of the first header row (Spark dedupes repeated names)."""
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
-    return reader.csv(paths if isinstance(paths, str) else list(paths)).columns
+    first = paths if isinstance(paths, str) else paths[0]
+    if literal_path(first) == first:
+        return reader.csv(first).columns
+    # To find a schema the reader takes resolved names for patterns again, so
+    # the header row of a file with such a name is read as a row of text.
+    wide = ", ".join(f"`{i}` string" for i in range(HEADER_WIDTH))
+    row = reader.option("header", "false").schema(wide).csv(literal_path(first)).first() or ()
+    names = [n for n in row]
+    while names and names[-1] is None:
+        names.pop()
+    names = [f"_c{i}" if n is None else n.removeprefix("\ufeff") for i, n in enumerate(names)]
+    return [f"{n}{i}" if names.count(n) > 1 else n for i, n in enumerate(names)]
+
+
+def _literal(paths: str | Sequence[str]) -> list[str]:
+    return [literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
 
 
 def read_export(
@@ -54,9 +77,16 @@ def read_export(
     fields than the header fills the sentinel, and the job then stops with an
     error instead of cutting the row silently; a short row is padded with NULL.
     ``multi_line=False`` lets Spark split large files when no quoted field holds
-    a newline. Several paths must share the first file's header: columns are
-    matched by position (the streaming landing groups files by header first).
+    a newline. Paths are names, not patterns. Files with different headers are
+    read apart and put together by column name; a column that one of them lacks
+    is NULL there.
     """
+    if columns is None and not isinstance(paths, str) and len(paths) > 1:
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for p in paths:
+            by_header.setdefault(tuple(read_header(spark, p, multi_line)), []).append(p)
+        parts = [read_export(spark, ps, multi_line, cols) for cols, ps in by_header.items()]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     cols = list(columns) if columns is not None else read_header(spark, paths, multi_line)
     schema = T.StructType(
         [T.StructField(c, T.StringType(), True) for c in cols]
@@ -68,7 +98,7 @@ def read_export(
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", "true")
         .schema(schema)
-        .csv(paths if isinstance(paths, str) else list(paths))
+        .csv(_literal(paths))
     )
     guard = F.when(
         F.col(EXTRA).isNotNull(),
@@ -162,12 +192,16 @@ def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze") -> bool:
     """Create the table on first use, then append; no rows -> warn, skip.
 
     The table's columns are fixed by the first load: a later file with another
-    extra column fails on append.
+    extra column fails on append, one that lacks a column gets NULL there.
     """
     name = bronze_table_name(dataset, layer)
     if df.isEmpty():
         log.warning("No rows to load into %s; skipping insert.", name)
         return False
+    if df.sparkSession.catalog.tableExists(name):
+        for f in df.sparkSession.table(name).schema.fields:
+            if f.name not in df.columns:
+                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
     catalog.append_table(df, layer, dataset.lower())
     return True
 

@@ -50,8 +50,10 @@ def ingest(
     keyed = keyed.persist(StorageLevel.DISK_ONLY)
     try:
         raw.land(keyed, raw_dir)
-        rows = raw.ledger_rows(keyed.drop("content").withColumn("created", created),
-                               bucket=bucket, created_col="created")
+        rows = raw.ledger_rows(
+            keyed.drop("content").withColumns(
+                {"created": created, "sent_type": F.lit(specs.DEFAULT_CONTENT_TYPE)}),
+            bucket=bucket, created_col="created", content_type_col="sent_type")
         _append_new_ledger_rows(spark, rows, ledger_table)
     finally:
         keyed.unpersist()

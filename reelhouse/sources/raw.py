@@ -66,6 +66,17 @@ def list_drop(spark: SparkSession, folder: str, glob: str = "*.csv",
     )
 
 
+def empty_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:
+    """Names of the zero-byte files directly in ``folder`` that match ``glob``.
+
+    File sources skip them, so they are asked of the file system.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(path(folder), glob)) or []
+    return sorted(f.getPath().getName() for f in found if f.isFile() and f.getLen() == 0)
+
+
 def with_dataset(listing: DataFrame, path_col: str = "path", strict: bool = False) -> DataFrame:
     """R3 as a column: ``dataset`` from the file name (NULL when none)."""
     return listing.withColumn("dataset", infer_dataset(path_col, strict))

@@ -111,3 +111,22 @@ def test_load_creates_missing_layer(spark, tmp_dir):
     path = write(tmp_dir, "n_watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2019,u\n")
     assert bronze.load_files(spark, path, "watched", layer="bronze_new_layer")
     assert spark.table("bronze_new_layer.watched").count() == 1
+
+
+def test_chosen_file_is_read_whatever_its_name(spark, tmp_dir):
+    for name in ("2_ratings.csv", "[2024]_ratings.csv", "{x}_ratings.csv", "a*b?_ratings.csv"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(f"Date,Name,Year,Letterboxd URI,Rating\n2024-01-01,{name},2001,u1,4.5\n")
+    for name in os.listdir(tmp_dir):
+        rows = bronze.read_files(spark, os.path.join(tmp_dir, name), "ratings").collect()
+        assert [r.name for r in rows] == [name]
+
+
+def test_files_are_put_together_by_column_name(spark, tmp_dir):
+    a, b = os.path.join(tmp_dir, "a_ratings.csv"), os.path.join(tmp_dir, "b_ratings.csv")
+    with open(a, "w") as f:
+        f.write("Date,Name,Year,Letterboxd URI,Rating\n2024-01-01,A,2001,u1,4.5\n")
+    with open(b, "w") as f:
+        f.write("Date,Name,Year,Rating,Letterboxd URI\n2024-01-02,B,2002,3,u2\n")
+    rows = bronze.read_files(spark, [a, b], "ratings").collect()
+    assert sorted((r.name, r.rating, r.letterboxd_uri) for r in rows) == [("A", "4.5", "u1"), ("B", "3", "u2")]

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from reelhouse import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +15,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(fn(spark, SF)) for name, fn in entry.queries().items()}
+    return {name: plan(fn(spark, SF)) for name, fn in registry.QUERIES.items()}
 
 
 def test_no_python_udf_no_cartesian(plans):

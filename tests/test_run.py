@@ -2,6 +2,8 @@ import os
 import time
 from decimal import Decimal
 
+import pytest
+
 from reelhouse.plans import catalog, run
 
 
@@ -78,8 +80,12 @@ def test_run_uploads_drop_folder(spark, tmp_dir):
     spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
     for name in ("ratings", "watched"):
         spark.sql(f"DROP TABLE IF EXISTS bronze.{name}")
+    with pytest.raises(ValueError, match="empty_diary.csv: Empty file"):
+        run.run(spark, raw_dir, drop_dir=drop, ledger_table="default.runs_ledger")
+    assert not spark.catalog.tableExists("bronze.ratings")
+    os.remove(f"{drop}/empty_diary.csv")
     out = run.run(spark, raw_dir, drop_dir=drop, ledger_table="default.runs_ledger")
-    # Spark's file sources skip zero-byte files, so the empty diary export is never seen
+    assert {r.content_type for r in spark.table("default.runs_ledger").collect()} == {"text/csv"}
     assert sorted(out["bronze"]) == ["ratings", "watched"]
     ledger = spark.table("default.runs_ledger").collect()
     assert sorted(r.original_filename for r in ledger) == ["my ratings.csv", "watched.csv"]
