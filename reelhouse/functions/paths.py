@@ -48,9 +48,9 @@ def infer_dataset(path: Column | str, strict: bool = False) -> Column:
         found,
         F.raise_error(
             F.concat(
-                F.lit("Unsupported export filename '"),
+                F.lit("No dataset can be told from the file name "),
                 file_name(path),
-                F.lit(f"'. Expected a suffix matching one of {specs.DATASETS}."),
+                F.lit(f" (datasets: {', '.join(specs.DATASETS)})"),
             )
         ),
     )

@@ -6,11 +6,10 @@ returns each non-NULL value seen more than once with its count;
 ``accepted_values`` returns each distinct value outside the list with its count,
 and NULL passes (``NULL NOT IN (..)`` is not true).
 
-The suite counts failures per check. Per table it makes one conditional
-aggregate for all columns that only need not_null, and one ``groupBy(column)``
-per column that needs unique or accepted_values. That grouped table yields all
-three checks of the column at once, and its partial aggregation means a value
-held by a third of the rows still sends one row per map task.
+The suite counts failures per check. Per table it scans once, unpivots the
+checked columns to (column, value) and counts the pairs; a column that only needs
+not_null contributes a NULL flag instead of its values. The partial aggregation
+means a value held by a third of the rows still sends one row per map task.
 """
 
 from __future__ import annotations

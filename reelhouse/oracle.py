@@ -8,7 +8,42 @@ null order, and every dedupe carries the same total tie-break as the Spark side.
 
 from __future__ import annotations
 
-from reelhouse import specs
+# Fixed values, written out here once more so that the twins do not follow a
+# mistake in the library's own constants. RE2's `$` matches only at the very end.
+DATE_GUARD = r"^\d{4}-\d{2}-\d{2}$"
+YEAR_GUARD = r"^\d{4}$"
+RATING_GUARD = r"^\d+(\.\d+)?$"
+TRUE_TOKENS = ("yes", "y", "true", "t", "1")
+FALSE_TOKENS = ("no", "n", "false", "f", "0")
+NA_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+RATING_TEXTS = ("0.5", "1.0", "1.5", "2.0", "2.5", "3.0", "3.5", "4.0", "4.5", "5.0")
+REVIEW_RATING_TEXTS = ("0.5", "1.0", "1.5", "2.0", "2.5", "3.0", "3.5", "4.0", "4.5", "5")
+# The 43 declared checks: per table its columns, each with its checks.
+_CHECKS = {
+    ("bronze", "ratings"): "letterboxd_uri not_null unique, name not_null, rating not_null accepted_values",
+    ("bronze", "watched"): "letterboxd_uri not_null unique, name not_null",
+    ("bronze", "watchlist"): "letterboxd_uri not_null unique, name not_null",
+    ("bronze", "diary"): "letterboxd_uri not_null, name not_null, watched_date not_null",
+    ("bronze", "reviews"): "letterboxd_uri not_null, name not_null, rating accepted_values",
+    ("bronze", "profile"): "username not_null unique",
+    ("gold", "gold_top_rated_movies"):
+        "letterboxd_uri not_null unique, name not_null, rating not_null accepted_values",
+    ("gold", "gold_watchlist_by_year"): "year not_null unique, watchlist_count not_null",
+    ("gold", "gold_lowest_rated_movie"):
+        "letterboxd_uri not_null unique, name not_null, rating not_null accepted_values",
+    ("gold", "gold_best_movie_year"): "year not_null unique, films_rated not_null, avg_rating not_null",
+    ("gold", "gold_recent_watch"): "letterboxd_uri not_null unique, watched_date not_null, name not_null",
+    ("gold", "gold_watch_activity"): "watch_month not_null unique, films_watched not_null",
+}
+DECLARED_CHECKS = [
+    (layer, table, column.split()[0], check)
+    for (layer, table), columns in _CHECKS.items()
+    for column in columns.split(", ")
+    for check in column.split()[1:]
+]
 
 
 def D(x: str) -> str:
@@ -96,34 +131,29 @@ def clean(c: str) -> str:
     return f"nullif(trim(cast({c} as varchar), ' '), '')"
 
 
-def _duck_regex(java_guard: str) -> str:
-    # RE2 without the multi-line flag: `$` matches only at the very end, like Java's `\z`.
-    return java_guard.replace(r"\z", "$")
-
-
 def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
 def guard_date(c: str) -> str:
-    return f"case when regexp_matches({c}, '{_duck_regex(specs.DATE_GUARD)}') then cast({c} as date) end"
+    return f"case when regexp_matches({c}, '{DATE_GUARD}') then cast({c} as date) end"
 
 
 def guard_year(c: str) -> str:
-    return f"case when regexp_matches({c}, '{_duck_regex(specs.YEAR_GUARD)}') then cast({c} as integer) end"
+    return f"case when regexp_matches({c}, '{YEAR_GUARD}') then cast({c} as integer) end"
 
 
 def guard_rating(c: str) -> str:
     return (
-        f"case when regexp_matches({c}, '{_duck_regex(specs.RATING_GUARD)}') "
+        f"case when regexp_matches({c}, '{RATING_GUARD}') "
         f"then cast({c} as decimal(3,1)) end"
     )
 
 
 def to_bool(c: str) -> str:
     return (
-        f"case when lower({c}) in ({_quoted(specs.TRUE_TOKENS)}) then true "
-        f"when lower({c}) in ({_quoted(specs.FALSE_TOKENS)}) then false end"
+        f"case when lower({c}) in ({_quoted(TRUE_TOKENS)}) then true "
+        f"when lower({c}) in ({_quoted(FALSE_TOKENS)}) then false end"
     )
 
 
@@ -288,7 +318,7 @@ def dedupe_only_sql(dataset: str) -> str:
 
 # --- bronze load (B4-B6) -------------------------------------------------------
 
-_NA = _quoted(specs.NA_WORDS)
+_NA = _quoted(NA_WORDS)
 
 
 def bronze_rename_sql() -> str:
@@ -348,9 +378,7 @@ def scalar_sql(name: str) -> str:
 # --- raw zone --------------------------------------------------------------------
 
 def _dataset_re() -> str:
-    from reelhouse.functions.paths import dataset_pattern
-
-    return _duck_regex(dataset_pattern(True))
+    return r"(?:^|[_\- ])(diary|profile|ratings|reviews|watched|watchlist)\.csv$"
 
 
 def infer_dataset(path: str) -> str:
@@ -380,7 +408,7 @@ def listing_sql() -> str:
     from reelhouse.standins import LISTING_DATASETS
 
     return (
-        f"select concat('{specs.RAW_PREFIX}', cast(o_orderkey % 500 as varchar), '/', "
+        f"select concat('letterboxd/', cast(o_orderkey % 500 as varchar), '/', "
         f"cast(o_orderkey as varchar), '_', {_arr(LISTING_DATASETS)}[o_orderkey % 7 + 1], '.csv') as path, "
         "o_orderdate as modificationTime, cast(trunc(o_totalprice) as bigint) as length from orders"
     )
@@ -405,12 +433,12 @@ def ledger_sql() -> str:
 
     return (
         f"select {uuid_from('cast(o_custkey as varchar)', 'o_orderpriority')} as ingestion_id, "
-        f"'{specs.LEDGER_SOURCE}' as source, concat(ds, '.csv') as original_filename, "
-        f"'{specs.DEFAULT_BUCKET}' as bucket, "
-        f"concat('{specs.RAW_PREFIX}', cast(o_custkey as varchar), '/', ds, '.csv') as object_key, "
+        f"'letterboxd_csv' as source, concat(ds, '.csv') as original_filename, "
+        f"'raw' as bucket, "
+        f"concat('letterboxd/', cast(o_custkey as varchar), '/', ds, '.csv') as object_key, "
         "cast(trunc(o_totalprice) as bigint) - 50000 as size_bytes, "
         "case when o_orderkey % 3 = 0 then null else 'text/csv' end as content_type, "
-        f"'{specs.UPLOADED}' as status, o_orderdate as created_at, o_orderdate as updated_at, o_orderstatus "
+        f"'uploaded' as status, o_orderdate as created_at, o_orderdate as updated_at, o_orderstatus "
         f"from (select *, {_arr(LISTING_DATASETS[:6])}[o_orderkey % 6 + 1] as ds from orders) o"
     )
 
@@ -433,7 +461,7 @@ def raw_sql(name: str) -> str:
         )
     if name == "object_key":
         return (
-            f"select o_orderkey, concat('{specs.RAW_PREFIX}', strftime(o_orderdate, '%Y/%m/%d/%H%M%S'), '_', "
+            f"select o_orderkey, concat('letterboxd/', strftime(o_orderdate, '%Y/%m/%d/%H%M%S'), '_', "
             "left(sha256(cast(o_orderkey as varchar)), 12), '_', "
             "replace(concat('my ', o_orderpriority, ' export.csv'), ' ', '_')) as object_key "
             "from orders"
@@ -502,15 +530,7 @@ def raw_sql(name: str) -> str:
 # --- checks ----------------------------------------------------------------------
 
 
-def _in_list(values, quote: bool) -> str:
-    if quote:
-        return ", ".join(f"'{v}'" for v in values)
-    return ", ".join(str(v) for v in values)
-
-
 def check_sql(name: str) -> str:
-    from reelhouse import specs
-
     if name == "check_not_null":
         return f"select * from ({bronze_loaded_sql('ratings')}) b where name is null"
     if name == "check_unique":
@@ -519,38 +539,38 @@ def check_sql(name: str) -> str:
             "where letterboxd_uri is not null group by letterboxd_uri having count(*) > 1"
         )
     if name == "check_accepted_text":
-        vals = _in_list(specs.RATING_TEXT_VALUES_RATINGS, True)
+        vals = _quoted(RATING_TEXTS)
         return (
             f"select * from (select rating, count(*) as n_records from ({bronze_loaded_sql('ratings')}) b "
             f"group by rating) g where not (rating in ({vals}))"
         )
     if name == "check_accepted_number":
-        vals = _in_list(specs.RATING_NUMBER_VALUES, False)
+        vals = ", ".join(RATING_TEXTS)
         return (
             f"select * from (select rating, count(*) as n_records from ({silver_sql('ratings')}) s "
             f"group by rating) g where not (rating in ({vals}))"
         )
     if name == "check_suite":
-        from reelhouse.operators.checks import ACCEPTED, DECLARED, NOT_NULL, UNIQUE
-
         parts = []
-        for c in DECLARED:
-            src = bronze_loaded_sql(c.table) if c.layer == "bronze" else gold_sql(c.table)
+        for layer, table, column, check in DECLARED_CHECKS:
+            src = bronze_loaded_sql(table) if layer == "bronze" else gold_sql(table)
             head = (
-                f"select '{c.layer}' as layer, '{c.table}' as table_name, "
-                f"'{c.column}' as column_name, '{c.check}' as check_name, "
+                f"select '{layer}' as layer, '{table}' as table_name, "
+                f"'{column}' as column_name, '{check}' as check_name, "
             )
-            if c.check == NOT_NULL:
-                parts.append(f"{head} count(*) as failures from ({src}) t where {c.column} is null")
-            elif c.check == UNIQUE:
+            if check == "not_null":
+                parts.append(f"{head} count(*) as failures from ({src}) t where {column} is null")
+            elif check == "unique":
                 parts.append(
-                    f"{head} count(*) as failures from (select {c.column} from ({src}) t "
-                    f"where {c.column} is not null group by 1 having count(*) > 1) d"
+                    f"{head} count(*) as failures from (select {column} from ({src}) t "
+                    f"where {column} is not null group by 1 having count(*) > 1) d"
                 )
-            elif c.check == ACCEPTED:
+            else:
+                texts = REVIEW_RATING_TEXTS if table == "reviews" else RATING_TEXTS
+                vals = _quoted(texts) if layer == "bronze" else ", ".join(texts)
                 parts.append(
-                    f"{head} count(*) as failures from (select {c.column} from ({src}) t "
-                    f"group by 1) d where not ({c.column} in ({_in_list(c.values, c.quote)}))"
+                    f"{head} count(*) as failures from (select {column} from ({src}) t "
+                    f"group by 1) d where not ({column} in ({vals}))"
                 )
         return " union all ".join(parts)
     raise KeyError(name)
@@ -577,6 +597,25 @@ def extra_sql(name: str) -> str:
                 f"from ({silver_sql(ds)}) s"
             )
         return " union all ".join(parts)
+    if name == "ledger_rows":
+        h = "sha256(concat('raw/letterboxd/', cast(o_orderkey as varchar), '.csv'))"
+        at = "timestamp '2024-05-06 07:08:09'"
+        return (
+            f"select concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-', substr({h}, 13, 4), '-', "
+            f"substr({h}, 17, 4), '-', substr({h}, 21, 12)) as ingestion_id, 'letterboxd_csv' as source, "
+            "concat(o_orderpriority, ' export.csv') as original_filename, 'raw' as bucket, "
+            "concat('letterboxd/', cast(o_orderkey as varchar), '.csv') as object_key, "
+            "cast(o_custkey as bigint) as size_bytes, 'text/csv' as content_type, 'uploaded' as status, "
+            f"{at} as created_at, {at} as updated_at from orders"
+        )
+    if name == "inferred_numeric_text":
+        return (
+            "select cast(o_orderkey as varchar) as id, cast(o_orderkey as varchar) as padded, "
+            "case when o_orderkey % 3 <> 0 then concat(cast(o_orderkey as varchar), '0000000.0') end as holed, "
+            "concat(cast(o_orderkey as varchar), '.5') as half, "
+            "case when o_orderkey % 2 = 0 then 'True' else 'False' end as flag, "
+            "o_orderpriority as word from orders"
+        )
     if name == "latest_12_months":
         return (
             f"select * from ({gold_sql('gold_watch_activity')}) g "

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import specs
+from reelhouse.session import checkpoint_dir
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -50,6 +52,15 @@ def save_view(spark: SparkSession, df: DataFrame, layer: str, name: str) -> str:
     return view
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back, so that
+    several later steps read the same rows from files."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
     """K3: append to ``layer.name``, creating it on first use."""
     ensure_layers(df.sparkSession, (layer,))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from reelhouse import specs
 from reelhouse.plans import catalog, gold, silver, views
@@ -19,25 +20,56 @@ from reelhouse.sources import bronze, ingest, raw
 
 def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
                  on_bad: str = "fail", bronze_layer: str = "bronze",
-                 silver_layer: str = "silver") -> list[str]:
-    """Rebuild ``silver_<dataset>`` from each bronze table that exists."""
+                 silver_layer: str = "silver", missing: str = "raise") -> list[str]:
+    """Rebuild ``silver_<dataset>`` from each bronze table. A bronze table that
+    does not exist raises before anything is built; ``missing="skip"`` leaves
+    its model out."""
+    wanted = _present(spark, {ds: f"{bronze_layer}.{ds}" for ds in datasets or specs.DATASETS}, missing)
     built = []
-    for ds in datasets or specs.DATASETS:
-        if not catalog.table_exists(spark, bronze_layer, ds):
-            continue
-        df = silver.SILVER_BUILDERS[ds](spark.table(f"{bronze_layer}.{ds}"), on_bad)
-        built.append(catalog.save_table(df, silver_layer, f"silver_{ds}"))
+    for ds in wanted:
+        source = spark.table(f"{bronze_layer}.{ds}")
+        rows = source.count()
+        built.append(catalog.save_table(silver.SILVER_BUILDERS[ds](source, on_bad), silver_layer, f"silver_{ds}"))
+        _record(spark, ds, rows, silver_layer)
     return built
 
 
+def _present(spark: SparkSession, inputs: dict[str, str], missing: str) -> list[str]:
+    """The names whose input table exists; the others raise or are left out."""
+    if missing not in ("raise", "skip"):
+        raise ValueError("missing must be 'raise' or 'skip'")
+    absent = sorted({t for t in inputs.values() if not spark.catalog.tableExists(t)})
+    if absent and missing == "raise":
+        raise ValueError(f"Input tables do not exist: {', '.join(absent)}")
+    return [name for name, t in inputs.items() if t not in absent]
+
+
+#: How many rows of a bronze table its silver table reflects (newest entry counts).
+FOLD_LOG = "fold_log"
+
+
+def _record(spark: SparkSession, dataset: str, rows: int, silver_layer: str) -> None:
+    entry = spark.createDataFrame([(dataset, rows)], "dataset string, bronze_rows long")
+    catalog.append_table(entry.coalesce(1).withColumn("at", F.current_timestamp()), silver_layer, FOLD_LOG)
+
+
+def _recorded(spark: SparkSession, dataset: str, silver_layer: str) -> int | None:
+    if not catalog.table_exists(spark, silver_layer, FOLD_LOG):
+        return None
+    log = spark.table(f"{silver_layer}.{FOLD_LOG}").where(F.col("dataset") == dataset)
+    row = log.orderBy(F.col("at").desc()).first()
+    return None if row is None else row["bronze_rows"]
+
+
 def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",
-               as_view: bool = False) -> list[str]:
-    """Rebuild every gold mart whose silver input exists, as tables (default)
-    or as persistent views over the silver tables."""
+               as_view: bool = False, missing: str = "raise") -> list[str]:
+    """Rebuild every gold mart, as tables (default) or as persistent views over
+    the silver tables. A silver table that does not exist raises before anything
+    is built; ``missing="skip"`` leaves its marts out."""
+    sources = {name: f"{silver_layer}.silver_{src}" for name, (src, _) in gold.GOLD_BUILDERS.items()}
     built = []
-    for name, (src, builder) in gold.GOLD_BUILDERS.items():
-        if not catalog.table_exists(spark, silver_layer, f"silver_{src}"):
-            continue
+    for name in _present(spark, sources, missing):
+        src, builder = gold.GOLD_BUILDERS[name]
         if as_view:
             built.append(views.create_gold_view(spark, name, silver_layer, gold_layer))
             continue
@@ -55,21 +87,26 @@ def refresh_silver(spark: SparkSession, dataset: str, new_bronze, on_bad: str =
     Keep-first picks the minimum of a total order per key, and a minimum can be
     taken in steps: dedupe(all bronze) = dedupe(silver so far + new rows). The
     NULL-key filter only removes whole key groups, so it commutes with that.
-    This holds when silver was refreshed after every earlier bronze load (the
-    incremental run does that); without a silver table it rebuilds in full.
+    This holds when silver reflects all other bronze rows. ``fold_log`` records
+    how many bronze rows silver reflects (bronze only grows): if that count and
+    the new rows do not add up to the bronze table - a load outside this call, a
+    run that died in between - or there is no silver table, silver is rebuilt.
     The result goes to a staging table first (the current table is being read),
     which then replaces it.
     """
     name = f"silver_{dataset}"
-    if not catalog.table_exists(spark, silver_layer, name):
-        source = spark.table(f"{bronze_layer}.{dataset}")
-        return catalog.save_table(silver.SILVER_BUILDERS[dataset](source, on_bad), silver_layer, name)
+    total = spark.table(f"{bronze_layer}.{dataset}").count()
+    seen = _recorded(spark, dataset, silver_layer)
+    exists = catalog.table_exists(spark, silver_layer, name)
+    if not exists or seen is None or seen + new_bronze.count() != total:
+        return build_silver(spark, [dataset], on_bad, bronze_layer, silver_layer)[0]
     current = spark.table(f"{silver_layer}.{name}")
     merged = silver.fold(current, new_bronze, dataset, on_bad)
     staging = f"{name}__next"
     catalog.save_table(merged, silver_layer, staging)
     spark.sql(f"DROP TABLE `{silver_layer}`.`{name}`")
     spark.sql(f"ALTER TABLE `{silver_layer}`.`{staging}` RENAME TO `{silver_layer}`.`{name}`")
+    _record(spark, dataset, total, silver_layer)
     return f"{silver_layer}.{name}"
 
 
@@ -85,34 +122,43 @@ def build(spark: SparkSession, layer: str, **kwargs) -> list[str]:
 
 def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = None,
         on_bad: str = "fail", drop_dir: str | None = None,
-        ledger_table: str = "default.ingestion_runs", incremental: bool = False) -> dict:
-    """K7: upload the exports of ``drop_dir`` when it holds any (then only their
-    datasets are loaded; a file that is refused stops the run before bronze is
-    touched), else use what the raw zone has; load the newest raw
-    file of each dataset into bronze, then rebuild silver and gold. Silver
-    starts only after every bronze load finished. ``incremental`` folds just
-    the loaded rows into silver (``refresh_silver``) instead of rebuilding it
-    from the whole append-only bronze history; the tables come out the same."""
+        ledger_table: str = "default.ingestion_runs", incremental: bool = False,
+        glob: str = "*.csv", bucket: str = specs.DEFAULT_BUCKET,
+        load_options: dict | None = None) -> dict:
+    """K7: upload the exports of ``drop_dir`` that match ``glob`` (then only
+    their datasets are loaded, unless ``datasets`` names others; a file that is
+    refused stops the run before anything is uploaded or loaded), else use what
+    the raw zone has; load the newest raw file of each dataset into bronze, then
+    rebuild silver and gold. Silver starts only after every bronze load
+    finished. ``incremental`` folds just the loaded rows into silver
+    (``refresh_silver``) instead of rebuilding it from the whole append-only
+    bronze history; the tables come out the same. ``load_options`` go to the
+    bronze loads (``multi_line``, ``na_words``, ``numeric_text``). Models of
+    datasets that were never loaded are left out and named under ``skipped``."""
     catalog.ensure_layers(spark)
-    if drop_dir is not None and datasets is None:
-        refused = [(name, "Empty file") for name in raw.empty_files(spark, drop_dir)]
-        uploaded = [] if refused else ingest.upload_set(spark, drop_dir)
-        if uploaded:
-            _, rejected = ingest.ingest(spark, drop_dir, raw_prefix, ledger_table)
-            refused = [(r["name"], r["reason"]) for r in rejected.limit(20).collect()]
-            datasets = uploaded
+    opts = load_options or {}
+    if drop_dir is not None:
+        checked = raw.admit(raw.files_named(raw.list_drop(spark, drop_dir, glob)))
+        refused = checked.where(~F.col("admitted")).limit(20).collect()
         if refused:
-            raise ValueError("Upload failed, nothing was loaded: " + "; ".join(f"{n}: {why}" for n, why in refused))
-    loaded = bronze.load_all(spark, raw_prefix, datasets)
+            raise ValueError("Upload failed, nothing was loaded: "
+                             + "; ".join(f"{r['name']}: {r['reason']}" for r in refused))
+        uploaded = ingest.upload_set(spark, drop_dir, glob)
+        if uploaded:
+            ingest.ingest(spark, drop_dir, raw_prefix, ledger_table, glob, bucket)
+            datasets = uploaded if datasets is None else datasets
+    loaded = bronze.load_all(spark, raw_prefix, datasets, **opts)
     if incremental:
-        silver_tables = [
-            refresh_silver(spark, ds, bronze.read_files(spark, path, ds), on_bad)
-            for ds, path in sorted(loaded.items())
-        ]
+        silver_tables = []
+        for ds, path in sorted(loaded.items()):
+            rows = catalog.staged(bronze.read_files(spark, path, ds, **opts), f"bronze-{ds}")
+            silver_tables.append(refresh_silver(spark, ds, rows, on_bad))
     else:
-        silver_tables = build_silver(spark, on_bad=on_bad)
-    gold_tables = build_gold(spark)
-    return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables}
+        silver_tables = build_silver(spark, on_bad=on_bad, missing="skip")
+    gold_tables = build_gold(spark, missing="skip")
+    models = [f"silver.silver_{ds}" for ds in specs.DATASETS] + [f"gold.{m}" for m in gold.GOLD_BUILDERS]
+    skipped = [m for m in models if not spark.catalog.tableExists(m)]
+    return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables, "skipped": skipped}
 
 
 def check_layers(spark: SparkSession, bronze_layer: str = "bronze",

@@ -62,7 +62,11 @@ def gold_view_sql(name: str, silver: str = "silver") -> str:
 
 def create_gold_view(spark: SparkSession, name: str, silver: str = "silver",
                      gold: str = "gold") -> str:
-    """K2: ``CREATE OR REPLACE VIEW gold.<name>`` over the silver tables."""
+    """K2: ``CREATE OR REPLACE VIEW gold.<name>`` over the silver tables. A mart
+    that was a table until now becomes a view."""
     catalog.ensure_layers(spark, (gold,))
+    full = f"{gold}.{name}"
+    if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "VIEW":
+        spark.sql(f"DROP TABLE `{gold}`.`{name}`")
     spark.sql(f"CREATE OR REPLACE VIEW `{gold}`.`{name}` AS {gold_view_sql(name, silver)}")
     return f"{gold}.{name}"

@@ -289,3 +289,32 @@ def q_latest_12_months(spark, sf_dir):
 def q_latest_12_years(spark, sf_dir):
     by_year = gold.gold_watchlist_by_year(silver_df(spark, sf_dir, "watchlist"))
     return gold.latest_periods(by_year, "year", 12)
+
+
+# --- R11: one ledger row per landed file, with a fixed time ---------------------------------
+@register("ledger_rows", oracle.extra_sql("ledger_rows"))
+def q_ledger_rows(spark, sf_dir):
+    landed = standins.table(spark, sf_dir, "orders").select(
+        F.concat(F.col("o_orderpriority"), F.lit(" export.csv")).alias("name"),
+        F.concat(F.lit(specs.RAW_PREFIX), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("object_key"),
+        F.col("o_custkey").alias("size_bytes"),
+        F.lit(specs.DEFAULT_CONTENT_TYPE).alias("sent_type"),
+        F.lit("2024-05-06 07:08:09").cast("timestamp_ntz").alias("created"),
+    )
+    return raw.ledger_rows(landed, content_type_col="sent_type", created_col="created")
+
+
+# --- B12: columns as a type-inferring reader prints them -------------------------------------
+@register("inferred_numeric_text", oracle.extra_sql("inferred_numeric_text"))
+def q_inferred_numeric_text(spark, sf_dir):
+    o = standins.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    as_text = o.select(
+        key.alias("id"),
+        F.concat(F.lit("00"), key).alias("padded"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.concat(key, F.lit("0000000"))).alias("holed"),
+        F.concat(key, F.lit(".50")).alias("half"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("TRUE")).otherwise(F.lit("false")).alias("flag"),
+        F.col("o_orderpriority").alias("word"),
+    )
+    return bronze_mod.inferred_numeric_text(as_text)

@@ -11,9 +11,11 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,7 @@ from reelhouse.sources import raw
 log = logging.getLogger(__name__)
 
 EXTRA = "_extra"
+PARALLEL = 6  # independent small jobs started side by side
 HEADER_WIDTH = 500  # columns looked at in the header of a file whose name holds pattern characters
 
 # The export dialect (header row, comma, double quotes doubled
@@ -83,8 +86,10 @@ def read_export(
     """
     if columns is None and not isinstance(paths, str) and len(paths) > 1:
         by_header: dict[tuple[str, ...], list[str]] = {}
-        for p in paths:
-            by_header.setdefault(tuple(read_header(spark, p, multi_line)), []).append(p)
+        with ThreadPoolExecutor(PARALLEL) as pool:
+            headers = list(pool.map(lambda p: tuple(read_header(spark, p, multi_line)), paths))
+        for p, header in zip(paths, headers):
+            by_header.setdefault(header, []).append(p)
         parts = [read_export(spark, ps, multi_line, cols) for cols, ps in by_header.items()]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     cols = list(columns) if columns is not None else read_header(spark, paths, multi_line)
@@ -113,7 +118,7 @@ def require_columns(df: DataFrame, dataset: str) -> DataFrame:
     missing = [c for c in specs.spec(dataset) if c not in found]
     if missing:
         raise ValueError(
-            f"CSV missing expected columns for {dataset.lower()}: {missing}. Found: {found}"
+            f"The {dataset.lower()} export lacks the columns {missing}; its header is {found}"
         )
     return df
 
@@ -149,17 +154,41 @@ def to_bronze(df: DataFrame, dataset: str, na_words: bool = True,
 
 
 _INT = r"^[+-]?\d+\z"
-_NUM = r"^[+-]?(\d+\.?\d*|\.\d+)\z"
+_NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+_BOOL = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
+def float_text(value: Column) -> Column:
+    """A double in the layout of Python's ``repr``: plain digits with at least
+    one decimal from 1e-4 up to below 1e16, else an exponent (``1.5e-05``)."""
+    size = F.abs(value)
+    java = value.cast("string")  # plain or 1.2345678E7
+    digits = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), r"0+\z", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0\z", "")
+    power = F.substring_index(java, "E", -1).try_cast("int")
+    exponent = F.concat(
+        mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"),
+    )
+    return (
+        F.when(value.isNull(), F.lit(None).cast("string"))
+        .when(size == 0, java)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(size == float("inf"), F.when(value < 0, F.lit("-inf")).otherwise(F.lit("inf")))
+        .otherwise(exponent)
+    )
 
 
 def inferred_numeric_text(df: DataFrame) -> DataFrame:
     """Re-print numeric columns the way a type-inferring CSV reader would.
 
     A column whose non-NULL values are all integers and that has no NULL is
-    printed as integers (``007`` -> ``7``); one whose values are all plain
-    decimals, with a NULL or a fraction, is printed as floats (``2019`` ->
-    ``2019.0``). One aggregate row of flags per column decides. Exponents,
-    booleans and floats of 1e7 or more are out of scope.
+    printed as integers (``007`` -> ``7``); one whose values are all numbers,
+    with a NULL, a fraction or an exponent, is printed as floats (``2019`` ->
+    ``2019.0``, ``1e5`` -> ``100000.0``); one of true/false words as ``True``
+    and ``False``. Integers of which one does not fit 64 bits, and all other
+    columns, keep their text. One aggregate row of flags per column decides.
     """
     flags = []
     for c in df.columns:
@@ -167,6 +196,8 @@ def inferred_numeric_text(df: DataFrame) -> DataFrame:
         flags += [
             F.count(F.when(v.isNotNull() & ~v.rlike(_INT), 1)).alias(f"{c}__notint"),
             F.count(F.when(v.isNotNull() & ~v.rlike(_NUM), 1)).alias(f"{c}__notnum"),
+            F.count(F.when(v.isNotNull() & ~v.isin(*_BOOL), 1)).alias(f"{c}__notbool"),
+            F.count(F.when(v.rlike(_INT) & ~_fits_64(v), 1)).alias(f"{c}__wide"),
             F.count(F.when(v.isNull(), 1)).alias(f"{c}__null"),
             F.count(v).alias(f"{c}__n"),
         ]
@@ -174,15 +205,23 @@ def inferred_numeric_text(df: DataFrame) -> DataFrame:
     out = []
     for c in df.columns:
         v = F.col(c)
-        if row[f"{c}__n"] == 0 or row[f"{c}__notnum"] > 0:
+        whole = row[f"{c}__notint"] == 0
+        if row[f"{c}__n"] > 0 and row[f"{c}__notbool"] == 0:
+            out.append(F.initcap(F.lower(v)).alias(c))
+        elif row[f"{c}__n"] == 0 or row[f"{c}__notnum"] > 0 or (whole and row[f"{c}__wide"] > 0):
             out.append(v)
-        elif row[f"{c}__notint"] == 0 and row[f"{c}__null"] == 0:
+        elif whole and row[f"{c}__null"] == 0:
             out.append(v.cast("decimal(38,0)").cast("string").alias(c))
         else:
-            out.append(v.cast("double").cast("string").alias(c))
+            out.append(float_text(v.cast("double")).alias(c))
     return df.select(*out)
 
 
+def _fits_64(v: Column) -> Column:
+    n = v.try_cast("decimal(38,0)")
+    return n.isNotNull() & (n >= F.lit(Decimal(-(2**63)))) & (n < F.lit(Decimal(2**64)))
+
+
 def bronze_table_name(dataset: str, layer: str = "bronze") -> str:
     specs.spec(dataset)
     return f"{layer}.{dataset.lower()}"
@@ -196,7 +235,7 @@ def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze") -> bool:
     """
     name = bronze_table_name(dataset, layer)
     if df.isEmpty():
-        log.warning("No rows to load into %s; skipping insert.", name)
+        log.warning("Nothing appended to %s: the export has no rows", name)
         return False
     if df.sparkSession.catalog.tableExists(name):
         for f in df.sparkSession.table(name).schema.fields:
@@ -233,20 +272,22 @@ def load_all(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | Non
     """The newest file of every dataset found (or of ``datasets``).
 
     One listing job picks all newest files at once (at most six paths come back
-    to the driver); each dataset is then one load job.
+    to the driver); the datasets' load jobs then run side by side.
     """
     listing = raw.list_raw(spark, raw_prefix)
     latest = {r["dataset"]: r["path"] for r in raw.latest_objects(listing).collect()}
     wanted = sorted(latest) if datasets is None else [d.lower() for d in datasets]
     if not wanted:
         raise FileNotFoundError(f"No export files for any supported dataset under {raw_prefix}")
-    loaded = {}
-    for ds in wanted:
-        if ds not in latest:
-            raise FileNotFoundError(f"No object found for dataset '{ds}' under {raw_prefix}")
-        load_files(spark, latest[ds], ds, layer, **opts)
-        loaded[ds] = latest[ds]
-    return loaded
+    absent = [ds for ds in wanted if ds not in latest]
+    if absent:
+        raise FileNotFoundError(f"No raw file of {absent} under {raw_prefix}")
+    catalog.ensure_layers(spark, (layer,))
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        jobs = [pool.submit(load_files, spark, latest[ds], ds, layer, **opts) for ds in wanted]
+    for job in jobs:  # all have ended; the first failure is raised
+        job.result()
+    return {ds: latest[ds] for ds in wanted}
 
 
 def headers_frame(df: DataFrame, dataset: str) -> DataFrame:

@@ -10,6 +10,8 @@ dataset set (at most six values) for the caller.
 
 from __future__ import annotations
 
+import fnmatch
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -32,8 +34,46 @@ LISTING_SCHEMA = T.StructType(
 LISTING_COLUMNS = ["path", "modificationTime", "length"]
 
 
+def _empty_objects(spark: SparkSession, folder: str, recursive: bool, glob: str | None,
+                   with_content: bool) -> DataFrame | None:
+    """Zero-byte files as listing rows; file sources leave them out.
+
+    Only the empty ones become rows; the listing itself is a file-system call.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    if fs.exists(root):
+        files = fs.listFiles(root, recursive)
+        while files.hasNext():
+            f = files.next()
+            if f.getLen() == 0:
+                found.append((f.getPath().toString(), f.getModificationTime()))
+    base = fs.makeQualified(root).toString().rstrip("/")
+    hidden = ("_", ".")
+    rows = [
+        (p, t) for p, t in found
+        if not any(part.startswith(hidden) for part in p.removeprefix(base).split("/") if part)
+        and (glob is None or fnmatch.fnmatchcase(p.rsplit("/", 1)[-1], glob))
+    ]
+    if not rows:
+        return None
+    df = spark.createDataFrame(rows, "path string, ms long").select(
+        "path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("long").alias("length")
+    )
+    return df.withColumn("content", F.lit(b"")) if with_content else df
+
+
 def _load_binary(spark: SparkSession, path: str, recursive: bool, glob: str | None,
                  with_content: bool) -> DataFrame:
+    df = _load_nonempty(spark, path, recursive, glob, with_content)
+    empty = _empty_objects(spark, path, recursive, glob, with_content)
+    return df if empty is None else df.unionByName(empty)
+
+
+def _load_nonempty(spark: SparkSession, path: str, recursive: bool, glob: str | None,
+                   with_content: bool) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -59,22 +99,11 @@ def list_raw(spark: SparkSession, prefix: str, with_content: bool = False) -> Da
 
 def list_drop(spark: SparkSession, folder: str, glob: str = "*.csv",
               with_content: bool = False) -> DataFrame:
-    """R2: files directly in ``folder`` whose name matches ``glob``, sorted by
-    path; a missing folder gives an empty listing."""
-    return _load_binary(spark, folder, False, glob, with_content).orderBy(
-        F.col("path").asc_nulls_last()
-    )
-
-
-def empty_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> list[str]:
-    """Names of the zero-byte files directly in ``folder`` that match ``glob``.
-
-    File sources skip them, so they are asked of the file system.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(path(path(folder), glob)) or []
-    return sorted(f.getPath().getName() for f in found if f.isFile() and f.getLen() == 0)
+    """R2: files directly in ``folder`` whose name matches ``glob``; a missing
+    folder gives an empty listing. The plain listing is sorted by path; with
+    content it is not, since that would move every file's bytes."""
+    files = _load_binary(spark, folder, False, glob, with_content)
+    return files if with_content else files.orderBy(F.col("path").asc_nulls_last())
 
 
 def with_dataset(listing: DataFrame, path_col: str = "path", strict: bool = False) -> DataFrame:
@@ -185,6 +214,26 @@ def with_object_key(
     return files.withColumn("object_key", key)
 
 
+#: Hadoop scheme -> the scheme under which Arrow opens the same store.
+ARROW_SCHEMES = {
+    "file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs",
+    "s3": "s3", "s3a": "s3", "s3n": "s3", "abfs": "abfs", "abfss": "abfss",
+}
+
+
+def arrow_uri(path: str) -> str:
+    """``path`` as Arrow's file systems name it; an unknown scheme raises."""
+    m = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(.*)", path, re.S)
+    if m is None:
+        return path
+    scheme, rest = m.group(1).lower(), m.group(2)
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"Cannot land files on {scheme}: (known: {sorted(ARROW_SCHEMES)})")
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    return f"{ARROW_SCHEMES[scheme]}:{rest}"
+
+
 def land(files: DataFrame, raw_dir: str, key_col: str = "object_key",
          content_col: str = "content") -> None:
     """Write each file's bytes unchanged to ``raw_dir/<object key>``.
@@ -194,9 +243,10 @@ def land(files: DataFrame, raw_dir: str, key_col: str = "object_key",
     such names) and then moved to its key, so no reader sees a partial file. A
     retried task rewrites the same bytes under the same key (the key holds the
     content hash), so a lost executor leaves no wrong state behind.
-    ``raw_dir`` is a path or URI the executors' Arrow file systems can open
-    (local or mounted paths, ``hdfs://``, ``s3://``, ``gs://``).
+    ``raw_dir`` is a path or URI as Spark takes it (``arrow_uri`` holds the
+    known schemes; any other raises before a byte is written).
     """
+    target_dir = arrow_uri(raw_dir)
 
     def write_partition(rows):
         from pyarrow import fs as pafs
@@ -204,7 +254,7 @@ def land(files: DataFrame, raw_dir: str, key_col: str = "object_key",
 
         ctx = TaskContext.get()
         attempt = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0"
-        filesystem, base = pafs.FileSystem.from_uri(raw_dir)
+        filesystem, base = pafs.FileSystem.from_uri(target_dir)
         for row in rows:
             target = f"{base.rstrip('/')}/{row[key_col]}"
             folder, name = target.rsplit("/", 1)

@@ -147,7 +147,7 @@ def spec(dataset: str) -> dict[str, str]:
     key = dataset.lower()
     if key not in RENAME_MAPS:
         raise ValueError(
-            f"Unsupported dataset: {key}. Supported: {sorted(RENAME_MAPS)}"
+            f"{key!r} is not a dataset; the datasets are {', '.join(sorted(RENAME_MAPS))}"
         )
     return RENAME_MAPS[key]
 

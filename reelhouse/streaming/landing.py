@@ -3,30 +3,38 @@
 The batch loader takes the newest file per dataset. This mode instead takes
 every raw file once: a ``binaryFile`` stream over the raw zone tracks which
 files were seen in its checkpoint (under ``spark.checkpoint.dir``), and each
-micro-batch loads its new files into bronze with the batch loader. A load log
-table (path, dataset, batch) guards against loading a file twice when a batch is
-re-run after a failure between the bronze append and the checkpoint commit.
-Parquet tables have no transactions, so a crash between the bronze append and
-the load-log append can still repeat that batch's rows once (at-least-once).
+micro-batch loads its new files into bronze with the batch loader.
 
-Only paths and header lines reach the driver, at most ``max_files`` per batch.
+A batch may be run again after a failure, and each file's rows still arrive once:
+
+* all files of the batch are parsed to staged files first, so a malformed one
+  stops the batch before bronze is touched;
+* before each append, the table's row count and the number of rows to come are
+  noted; after it, the loaded paths go to the load log (path, dataset, batch). A
+  re-run finds by the table's row count whether the noted append took place.
+  This needs the stream to be the table's only writer while it runs; any other
+  count raises.
+
+Only paths reach the driver, at most ``max_files`` per batch.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelhouse.functions.paths import infer_dataset
+from reelhouse.plans import catalog
 from reelhouse.session import checkpoint_dir
 from reelhouse.sources import bronze
 
 LOAD_LOG = "bronze_load_log"
+PENDING = "bronze_load_pending"
 
 # The binaryFile source's own schema.
 BINARY_FILE_SCHEMA = T.StructType(
@@ -39,53 +47,69 @@ BINARY_FILE_SCHEMA = T.StructType(
 )
 
 
-def _load_log(spark: SparkSession, layer: str) -> DataFrame | None:
-    name = f"{layer}.{LOAD_LOG}"
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+PENDING_SCHEMA = "load_id string, dataset string, batch_id long, rows_before long, n_rows long"
+LOG_SCHEMA = "path string, dataset string, batch_id long"
+
+
+def _write_log(spark: SparkSession, layer: str, rows: list[tuple]) -> None:
+    catalog.append_table(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), layer, LOAD_LOG)
+
+
+def _bronze_rows(spark: SparkSession, layer: str, dataset: str) -> int:
+    name = bronze.bronze_table_name(dataset, layer)
+    return spark.table(name).count() if spark.catalog.tableExists(name) else 0
+
+
+def _append_once(spark: SparkSession, rows: DataFrame, dataset: str, layer: str, batch_id: int,
+                 load_id: str) -> None:
+    """Append ``rows`` unless the log and the table's row count show that an
+    earlier run of this load did."""
+    n, before = rows.count(), _bronze_rows(spark, layer, dataset)
+    noted = None
+    if catalog.table_exists(spark, layer, PENDING):
+        noted = spark.table(f"{layer}.{PENDING}").where(F.col("load_id") == load_id).first()
+    if noted is None:
+        note = spark.createDataFrame([(load_id, dataset, batch_id, before, n)], PENDING_SCHEMA)
+        catalog.append_table(note.coalesce(1), layer, PENDING)
+    elif before == noted["rows_before"] + noted["n_rows"]:
+        return
+    elif before != noted["rows_before"]:
+        raise RuntimeError(
+            f"{layer}.{dataset} has {before} rows where an unfinished load expects "
+            f"{noted['rows_before']} or {noted['rows_before'] + noted['n_rows']}"
+        )
+    bronze.append_bronze(rows, dataset, layer)
 
 
 def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str = "bronze",
-               silver_layer: str | None = None, **opts) -> int:
+               silver_layer: str | None = None, on_bad: str = "fail", **opts) -> int:
     """Load the export files of one micro-batch; returns the number of files loaded.
 
     With ``silver_layer`` the loaded rows are also folded into that layer's
-    silver tables (``plans.run.refresh_silver``), keeping silver current file
-    by file.
+    silver tables (``plans.run.refresh_silver``, with ``on_bad``), keeping
+    silver current file by file.
     """
-    tagged = files.select(
-        "path",
-        infer_dataset("path").alias("dataset"),
-        # first line of the file: files are grouped by dataset and header
-        F.substring_index(F.decode(F.col("content"), "UTF-8"), "\n", 1).alias("header"),
-    ).where(F.col("dataset").isNotNull())
-    log = _load_log(spark, layer)
-    if log is not None:
-        tagged = tagged.join(log.select("path"), "path", "left_anti")
-    groups: dict[tuple[str, str], list[str]] = {}
+    from reelhouse.plans.run import refresh_silver
+
+    tagged = files.select("path", infer_dataset("path").alias("dataset")).where(F.col("dataset").isNotNull())
+    if catalog.table_exists(spark, layer, LOAD_LOG):
+        tagged = tagged.join(spark.table(f"{layer}.{LOAD_LOG}").select("path"), "path", "left_anti")
+    groups: dict[str, list[str]] = {}
     for r in tagged.collect():
-        groups.setdefault((r["dataset"], r["header"]), []).append(r["path"])
-    loaded = []
-    for (dataset, _), paths in sorted(groups.items()):
-        new_rows = bronze.read_files(spark, sorted(paths), dataset, **opts)
-        if silver_layer is None:
-            bronze.append_bronze(new_rows, dataset, layer)
-        else:
-            from reelhouse.plans.run import refresh_silver
-
-            # parsed once for both the bronze append and the silver fold
-            new_rows = new_rows.persist(StorageLevel.DISK_ONLY)
-            try:
-                bronze.append_bronze(new_rows, dataset, layer)
-                refresh_silver(spark, dataset, new_rows, bronze_layer=layer,
-                               silver_layer=silver_layer)
-            finally:
-                new_rows.unpersist()
-        loaded += [(p, dataset, batch_id) for p in paths]
-    if loaded:
-        spark.createDataFrame(loaded, "path string, dataset string, batch_id long").write.mode(
-            "append"
-        ).format("parquet").saveAsTable(f"{layer}.{LOAD_LOG}")
-    return len(loaded)
+        groups.setdefault(r["dataset"], []).append(r["path"])
+    # parse everything before the first append
+    parsed = {
+        ds: catalog.staged(bronze.read_files(spark, sorted(paths), ds, **opts), f"stream-{ds}")
+        for ds, paths in sorted(groups.items())
+    }
+    for ds, rows in parsed.items():
+        paths = sorted(groups[ds])
+        load_id = hashlib.sha256("\n".join([ds, *paths]).encode()).hexdigest()
+        _append_once(spark, rows, ds, layer, batch_id, load_id)
+        if silver_layer is not None and _bronze_rows(spark, layer, ds):
+            refresh_silver(spark, ds, rows, on_bad, layer, silver_layer)
+        _write_log(spark, layer, [(p, ds, batch_id) for p in paths])
+    return sum(len(paths) for paths in groups.values())
 
 
 def stream_bronze(
@@ -96,6 +120,7 @@ def stream_bronze(
     max_files: int = 1000,
     glob: str = "*.csv",
     silver_layer: str | None = None,
+    on_bad: str = "fail",
     **opts,
 ) -> StreamingQuery:
     """Start an ``availableNow`` stream that loads every new export file under
@@ -113,7 +138,7 @@ def stream_bronze(
     )
     return (
         files.writeStream.foreachBatch(
-            lambda df, batch_id: load_batch(spark, df, batch_id, layer, silver_layer, **opts)
+            lambda df, batch_id: load_batch(spark, df, batch_id, layer, silver_layer, on_bad, **opts)
         )
         .option("checkpointLocation", location)
         .trigger(availableNow=True)

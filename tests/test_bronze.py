@@ -49,7 +49,7 @@ def test_short_row_padded_long_row_fails(spark, tmp_dir):
 
 def test_missing_and_extra_columns(spark, tmp_dir):
     missing = write(tmp_dir, "m_ratings.csv", "Date,Name,Year,Rating\n2024-01-01,A,2019,4\n")
-    with pytest.raises(ValueError, match=r"missing expected columns for ratings: \['Letterboxd URI'\]"):
+    with pytest.raises(ValueError, match=r"ratings export lacks the columns \['Letterboxd URI'\]"):
         bronze.to_bronze(bronze.read_export(spark, missing), "ratings")
     extra = write(tmp_dir, "e_ratings.csv", f"{RATINGS_HEADER},Note\n2024-01-01,A,2019,u,4,hi\n")
     df = bronze.to_bronze(bronze.read_export(spark, extra), "ratings")
@@ -63,7 +63,7 @@ def test_header_case_is_checked(spark, tmp_dir):
 
 
 def test_unknown_dataset():
-    with pytest.raises(ValueError, match="Supported"):
+    with pytest.raises(ValueError, match="the datasets are diary"):
         bronze.bronze_table_name("films")
 
 
@@ -103,7 +103,7 @@ def test_bronze_shape_frozen_by_first_load(spark, tmp_dir):
 def test_headers_differing_only_in_case(spark, tmp_dir):
     # Spark renames such a pair (Name0, name1), so the required-column check fires.
     path = write(tmp_dir, "d_watched.csv", "Date,Name,name,Year,Letterboxd URI\n2024-01-01,A,a,2019,u\n")
-    with pytest.raises(ValueError, match="missing expected columns for watched: \\['Name'\\]"):
+    with pytest.raises(ValueError, match="watched export lacks the columns \\['Name'\\]"):
         bronze.to_bronze(bronze.read_export(spark, path), "watched")
 
 
@@ -130,3 +130,25 @@ def test_files_are_put_together_by_column_name(spark, tmp_dir):
         f.write("Date,Name,Year,Rating,Letterboxd URI\n2024-01-02,B,2002,3,u2\n")
     rows = bronze.read_files(spark, [a, b], "ratings").collect()
     assert sorted((r.name, r.rating, r.letterboxd_uri) for r in rows) == [("A", "4.5", "u1"), ("B", "3", "u2")]
+
+
+def test_inferred_text_equals_a_type_inferring_reader(spark):
+    """Each column as pandas prints it after reading it from CSV."""
+    import io
+
+    import pandas as pd
+
+    columns = [
+        ["12345678", None, "20000000.5"], ["1e5", "2", "3.25"], ["007", "8", "-9"], ["True", "false", "TRUE"],
+        ["True", None, "False"], ["1e16", "0.0001", "1.5e-5"], ["0", "-0.0", "123456789012345.5"],
+        ["99999999999999999999999", "1", "2"], ["18446744073709551615", "1", "2"], ["x", "1", "2"],
+        [".5", "5.", "+7"], ["1.5e300", "2.5E-300", "1"], ["10000000", None, "1e15"],
+    ]
+    for values in columns:
+        text = "a,b\n" + "".join(f"{'' if v is None else v},z\n" for v in values)
+        want = [None if pd.isna(v) else str(v) for v in pd.read_csv(io.StringIO(text))["a"].astype(object)]
+        df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "i string, a string")
+        from reelhouse.sources import bronze
+
+        got = bronze.inferred_numeric_text(df.select("a", "i")).collect()
+        assert [r.a for r in got] == want, values

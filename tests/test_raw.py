@@ -35,7 +35,7 @@ def test_infer_dataset_strict(spark):
     df = spark.createDataFrame([("ratings",), ("x_profile.csv",)], "path string")
     assert [r[0] for r in df.select(infer_dataset("path", strict=True)).collect()] == ["ratings", "profile"]
     bad = spark.createDataFrame([("notes.csv",)], "path string")
-    with pytest.raises(Exception, match="Unsupported export filename"):
+    with pytest.raises(Exception, match="No dataset can be told from the file name"):
         bad.select(infer_dataset("path", strict=True)).collect()
 
 
@@ -128,3 +128,33 @@ def test_object_key_is_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert key == "letterboxd/2024/03/09/070809_abababababab_a_b.csv"
+
+
+def test_empty_objects_are_listed(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/raw/a")
+    for i, (name, text) in enumerate([("1_ratings.csv", "x\n"), ("2_ratings.csv", ""), ("_tmp_ratings.csv", "")]):
+        with open(f"{tmp_dir}/raw/a/{name}", "w") as f:
+            f.write(text)
+        os.utime(f"{tmp_dir}/raw/a/{name}", (1000 + i, 1000 + i))
+    listing = raw.list_raw(spark, f"{tmp_dir}/raw")
+    assert sorted((r.path.rsplit("/", 1)[1], r.length) for r in listing.collect()) == [
+        ("1_ratings.csv", 2), ("2_ratings.csv", 0)]
+    assert raw.latest_key(raw.latest_object(listing, "ratings"), "x").endswith("2_ratings.csv")
+    drop = raw.list_drop(spark, f"{tmp_dir}/raw/a", with_content=True)
+    assert {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in drop.collect()} == {
+        "1_ratings.csv": b"x\n", "2_ratings.csv": b""}
+    plan = drop._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_arrow_uri():
+    import pytest
+
+    assert raw.arrow_uri("s3a://b/raw") == "s3://b/raw"
+    assert raw.arrow_uri("/data/raw") == "/data/raw"
+    assert raw.arrow_uri("file:/data/raw") == raw.arrow_uri("file:///data/raw") == "/data/raw"
+    assert raw.arrow_uri("hdfs://n:1/raw") == "hdfs://n:1/raw"
+    with pytest.raises(ValueError, match="ftp"):
+        raw.arrow_uri("ftp://h/raw")

@@ -226,3 +226,48 @@ def test_run_incremental(spark, tmp_dir):
     got = spark.table("silver.silver_watchlist").where("letterboxd_uri = 'inc-w1'").collect()
     assert [r.name for r in got] == ["Q"]
     assert spark.table("gold.gold_watchlist_by_year").where("year = 1977").count() == 1
+
+
+def test_incremental_sees_loads_from_outside(spark, tmp_dir):
+    from reelhouse.sources import bronze
+
+    raw_dir = os.path.join(tmp_dir, "raw_out")
+    hdr = "Date,Name,Year,Letterboxd URI\n"
+    t = time.time() - 1000
+    for i, name in enumerate("ABC"):
+        write(f"{raw_dir}/{i}_watchlist.csv", hdr + f"2024-01-01,{name},2001,out-{name}\n", t + i)
+        if name == "B":
+            bronze.load_latest(spark, raw_dir, "watchlist")  # silver does not hear of it
+        else:
+            run.run(spark, raw_dir, incremental=True)
+    got = spark.table("silver.silver_watchlist").where("letterboxd_uri LIKE 'out-%'").collect()
+    assert sorted(r.name for r in got) == ["A", "B", "C"]
+
+
+def test_missing_inputs_and_switch_of_kind(spark, tmp_dir):
+    with pytest.raises(ValueError, match="bronze_none.diary"):
+        run.build(spark, "silver", bronze_layer="bronze_none", silver_layer="silver_none")
+    assert run.build(spark, "silver", bronze_layer="bronze_none", silver_layer="silver_none", missing="skip") == []
+    src = os.path.join(tmp_dir, "watchlist.csv")
+    write(src, "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,w1\n", time.time())
+    from reelhouse.sources import bronze
+
+    bronze.load_files(spark, src, "watchlist", layer="bronze_k")
+    run.build(spark, "silver", datasets=["watchlist"], bronze_layer="bronze_k", silver_layer="silver_k")
+    for as_view in (False, True, True, False):
+        run.build(spark, "gold", silver_layer="silver_k", gold_layer="gold_k", as_view=as_view, missing="skip")
+        kind = spark.catalog.getTable("gold_k.gold_watchlist_by_year").tableType
+        assert (kind == "VIEW") == as_view
+        assert spark.table("gold_k.gold_watchlist_by_year").count() == 1
+
+
+def test_run_options_reach_upload_and_load(spark, tmp_dir):
+    drop, raw_dir = os.path.join(tmp_dir, "drop"), os.path.join(tmp_dir, "raw")
+    hdr = "Date,Name,Year,Letterboxd URI\n"
+    write(f"{drop}/a_watched.csv", hdr + "2024-01-01,NA,2001,opt1\n", time.time())
+    write(f"{drop}/other.csv", "x\n", time.time())
+    out = run.run(spark, raw_dir, datasets=["watched"], drop_dir=drop, ledger_table="default.opt_ledger",
+                  glob="*_watched.csv", bucket="b2", load_options={"na_words": False})
+    assert sorted(out["bronze"]) == ["watched"]
+    assert [r.bucket for r in spark.table("default.opt_ledger").collect()] == ["b2"]
+    assert spark.table("bronze.watched").where("letterboxd_uri = 'opt1'").first().name == "NA"

@@ -42,3 +42,43 @@ def test_stream_keeps_silver_current(spark, tmp_dir):
     key = lambda r: repr(tuple(r))
     assert sorted(got.collect(), key=key) == sorted(full.collect(), key=key)
     assert got.count() == 3
+
+
+def test_bad_file_and_restarts_leave_each_row_once(spark, tmp_dir):
+    import pytest
+
+    from reelhouse.streaming import landing
+
+    raw = os.path.join(tmp_dir, "raw")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    hdr = "Date,Name,Year,Letterboxd URI,Rating\n"
+    write(f"{raw}/1_ratings.csv", hdr + "2024-01-01,A,2001,u1,4\n")
+    # columns in another order, and old Mac line ends (one "line" for a plain reader)
+    write(f"{raw}/[2]_ratings.csv", "Rating,Date,Name,Year,Letterboxd URI\r5,2024-01-02,B,2002,u2\r")
+    write(f"{raw}/9_watched.csv", "Date,Name\n2024-01-01,A\n")  # lacks columns
+    for _ in range(3):
+        with pytest.raises(Exception, match="lacks the columns"):
+            stream_bronze(spark, raw, layer="bronze_r", checkpoint=ckpt).awaitTermination(120)
+        assert not spark.catalog.tableExists("bronze_r.ratings")
+    write(f"{raw}/9_watched.csv", "Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,u1\n")
+    files = spark.createDataFrame(
+        [(f"{raw}/{n}",) for n in ("1_ratings.csv", "[2]_ratings.csv", "9_watched.csv")], "path string")
+    # die after the append, before the log entry
+    real = landing._write_log
+
+    def dies(spark, layer, rows):
+        raise OSError("lost")
+
+    landing._write_log = dies
+    try:
+        for _ in range(2):
+            with pytest.raises(OSError):
+                landing.load_batch(spark, files, 0, "bronze_r", "silver_r")
+    finally:
+        landing._write_log = real
+    assert landing.load_batch(spark, files, 0, "bronze_r", "silver_r") == 3
+    assert landing.load_batch(spark, files, 0, "bronze_r", "silver_r") == 0
+    got = sorted((r.name, r.rating) for r in spark.table("bronze_r.ratings").collect())
+    assert got == [("A", "4"), ("B", "5")]
+    assert spark.table("bronze_r.watched").count() == 1
+    assert spark.table("silver_r.silver_ratings").count() == 2
