@@ -45,7 +45,7 @@ from reelhouse.llm.elias_fano import EliasFano
 #: Weight of the lower order in smoothing.
 M = 4.0
 #: Text bytes to a block, tokens of the corpus to a shard.
-BLOCK_BYTES, SHARD_TOKENS = 16 << 20, 2_000_000
+BLOCK_BYTES, SHARD_TOKENS = 8 << 20, 1_000_000
 HOT, SLICES = 1000, 16
 #: Quantised log10 probabilities: code 1 is 10**LOWEST, code 255 is 1; 0 means absent.
 LOWEST = -10.0
@@ -119,7 +119,8 @@ def hot_words(blocks: DataFrame, trained: int) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(maybe), np.int64)
         for batch in batches:
-            for data, train, sizes in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for i in range(batch.num_rows):  # one block at a time in memory
+                data, train, sizes = (batch.column(c)[i].as_py() for c in range(3))
                 flat, hashes = unpack(data)
                 counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(hashes))
                 at = np.minimum(np.searchsorted(maybe, hashes), len(maybe) - 1)
@@ -310,7 +311,8 @@ def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, train, sizes, data in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            for i in range(batch.num_rows):
+                name, train, sizes, data = (batch.column(c)[i].as_py() for c in range(4))
                 block = Block(data, train, sizes, shards, hot)
                 for s in np.flatnonzero((np.diff(block.word_cut) > 0) | (np.diff(block.pair_cut) > 0)).tolist():
                     yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([s], pa.int32()), pa.array([block.part(s)], pa.binary())],
