@@ -175,11 +175,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **size) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes their words (to the nearest
-    whole number of times), all columns kept; rows that it does not take are left out."""
-    times = F.round(F.avg("taken") / F.max("size")).cast("int")
+    """The rows of ``docs`` as often as the mix takes their words, all columns kept;
+    rows that it does not take are left out. What is over a whole number of times
+    is the chance of one time more, drawn by a hash of the row: rounded to the
+    nearest, the long documents of a source would all go the same way."""
+    draw = F.pmod(F.xxhash64(F.lit(SEED + 2), "__key", "__mark"), F.lit(1 << 30)) / float(1 << 30)
+    times = F.floor(F.col("__times") + draw).cast("int")
     plan = (mix(docs, id_col, text_col, source_col, **size).where("size > 0")
-            .groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__key"), F.col("mark").alias("__mark")).agg(times.alias("__times")))
+            .groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__key"), F.col("mark").alias("__mark"))
+            .agg((F.avg("taken") / F.max("size")).alias("__times")).withColumn("__times", times))
     plan = stage(plan.where("__times > 0"), "mix-times")
     return (row_keys(docs, id_col, text_col).join(plan, ["__key", "__mark"])
             .withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns))

@@ -193,6 +193,22 @@ def test_mix(docs, rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixed_rows_meet_the_targets(spark):
+    # Long and short documents, a target that is no whole multiple of its source.
+    rng = random.Random(9)
+    rows = [(i, "w " * (rng.choice([5, 40, 400])), "abc"[min(i % 5, 2)]) for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes, got = Counter(), Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t) // 2
+    out = mixing.mixed(table, block=16, shard_slots=64).collect()
+    for r in out:
+        got[r.source] += len(r.text) // 2
+    want = dict(zip("abc", mixing.targets([sizes[s] for s in "abc"])))
+    assert any(want[s] % sizes[s] for s in want) and max(Counter(r.doc_id for r in out).values()) <= 2
+    assert all(abs(got[s] - want[s]) <= 0.05 * want[s] for s in want)
+
+
 def test_permutations_are_exact(spark):
     from pyspark.sql import functions as F
 
