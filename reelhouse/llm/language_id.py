@@ -32,6 +32,8 @@ from reelhouse.llm.common import table
 SAMPLE, LEAST = 3000, 100
 DIMS = 4096
 EPOCHS, COST = 12, 1.0
+#: Characters described at a time.
+PIECE = 1 << 18
 UND = "und"
 
 _LETTER = np.zeros(0x110000, dtype=bool)
@@ -43,25 +45,39 @@ def _letters() -> np.ndarray:
     return _LETTER
 
 
-def describe(text: str | None) -> np.ndarray | None:
-    """Unit vector of a text, or None without a letter."""
-    if not text:
-        return None
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letters()[codes]
-    if not letter.any():
-        return None
-    # Letters as they are, each run of other characters as one 0.
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    c = np.where(letter, codes, 0)[keep].astype(np.uint64)
-    c = np.concatenate([[np.uint64(0)], c, [np.uint64(0)]])
+def _grams(c: np.ndarray, old: int) -> np.ndarray:
+    """Counts of the n-grams that end behind the first ``old`` symbols of ``c``."""
     one = c * np.uint64(0x9E3779B97F4A7C15)
     two = (one[:-1] ^ (one[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + one[1:]
     three = (two[:-1] ^ (two[:-1] >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + one[2:]
     shift = np.uint64(64 - DIMS.bit_length() + 1)
-    where = np.concatenate([(x * np.uint64(0xD6E8FEB86659FD93)) >> shift for x in (one, two, three)])
-    v = np.log1p(np.bincount(where.astype(np.int64), minlength=DIMS)).astype(np.float32)
+    fresh = (one[old:], two[max(0, old - 1):], three[max(0, old - 2):])
+    where = np.concatenate([(x * np.uint64(0xD6E8FEB86659FD93)) >> shift for x in fresh])
+    return np.bincount(where.astype(np.int64), minlength=DIMS)
+
+
+def describe(text: str | None) -> np.ndarray | None:
+    """Unit vector of a text, or None without a letter. Long texts go through in pieces."""
+    if not text:
+        return None
+    text, counts, found = text.lower(), np.zeros(DIMS, dtype=np.int64), False
+    # Letters as they are, each run of other characters as one 0, and a 0 at both ends.
+    c, old, after_letter = np.zeros(1, dtype=np.uint64), 0, False
+    for start in range(0, len(text), PIECE):
+        codes = np.frombuffer(text[start:start + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[codes]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= after_letter
+        after_letter, found = letter[-1], found or bool(letter.any())
+        c = np.concatenate([c, np.where(letter, codes, 0)[keep].astype(np.uint64)])
+        counts += _grams(c, old)
+        c = c[-2:]
+        old = len(c)
+    if not found:
+        return None
+    counts += _grams(np.append(c, np.uint64(0)), old)
+    v = np.log1p(counts).astype(np.float32)
     return v / np.sqrt((v * v).sum())
 
 

@@ -173,6 +173,17 @@ def test_language_id(spark, docs, empty):
     assert {r.doc_id for r in language_id.identified(docs).collect()}.isdisjoint({300, 301, 302, 303})
 
 
+def test_long_text_is_described_in_pieces(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcé日 .1\n") for _ in range(n)) for n in (1, 2, 3, 50, 400)] + ["..a", "1 2", "a..", " " * 9 + "b"]
+    whole = [language_id.describe(t) for t in texts]
+    for piece in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        for t, v in zip(texts, whole):
+            got = language_id.describe(t)
+            assert (got is None) == (v is None) and (v is None or (got == v).all())
+
+
 def test_mix(docs, rows, empty):
     got = mixing.mix(docs, block=16, shard_slots=32).collect()
     sizes = Counter()
