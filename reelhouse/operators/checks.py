@@ -6,10 +6,11 @@ returns each non-NULL value seen more than once with its count;
 ``accepted_values`` returns each distinct value outside the list with its count,
 and NULL passes (``NULL NOT IN (..)`` is not true).
 
-The suite counts failures per check. Per table it scans once, unpivots the
-checked columns to (column, value) and counts the pairs; a column that only needs
-not_null contributes a NULL flag instead of its values. The partial aggregation
-means a value held by a third of the rows still sends one row per map task.
+The suite counts failures per check. Per table it scans once and counts the
+(column, value) pairs of the columns that unique or accepted_values needs; a
+column that only needs not_null is a sum of NULL flags beside them. The partial
+aggregation means a value held by a third of the rows still sends one row per
+map task.
 """
 
 from __future__ import annotations
@@ -85,36 +86,44 @@ def _report_row(layer: str, table: str, column: str, check: str, failures: Colum
 def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
     """Failure counts of the checks declared on one table, in one scan.
 
-    The checked columns are unpivoted to (column, value) pairs - the value as
-    text where unique or accepted_values needs it, else only a NULL flag - and
-    counted by one ``groupBy``. Partial aggregation keeps the shuffle to one row
-    per distinct pair and map task; one final aggregate turns the counts into
-    one failure count per check.
+    Columns that unique or accepted_values needs are counted by value; of
+    several, each row makes one (column, value) pair per column. Columns that
+    only need a NULL count are summed beside them, on the pairs of the first
+    column alone, and a table without other checks is one plain aggregate.
+    Partial aggregation keeps the shuffle to one row per distinct pair and map
+    task; one final aggregate turns the counts into one failure count per check.
     """
     by_col: dict[str, list[Check]] = {}
     for c in checks:
         by_col.setdefault(c.column, []).append(c)
     if not by_col:
         return None
-    items = []
-    for col, cs in by_col.items():
-        src = F.col(col)
-        if any(c.check != NOT_NULL for c in cs):
-            value = src.cast("string")
-        else:
-            value = F.when(src.isNotNull(), F.lit(""))
-        items.append(F.struct(F.lit(col).alias("c"), value.alias("v")))
-    grouped = (
-        df.select(F.inline(F.array(*items)))
-        .groupBy("c", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    valued = [col for col, cs in by_col.items() if any(c.check != NOT_NULL for c in cs)]
+    nulls = {col: f"null_{i}" for i, col in enumerate(c for c in by_col if c not in valued)}
+    flags = [F.col(col).isNull().cast("long").alias(name) for col, name in nulls.items()]
+    if not valued:
+        grouped = df.select(*flags)
+    else:
+        pairs = [
+            [F.lit(col).alias("c"), F.col(col).cast("string").alias("v")]
+            + (flags if i == 0 else [F.lit(0).cast("long").alias(name) for name in nulls.values()])
+            for i, col in enumerate(valued)
+        ]
+        unpivoted = (
+            df.select(*pairs[0]) if len(pairs) == 1
+            else df.select(F.inline(F.array(*[F.struct(*p) for p in pairs])))
+        )
+        grouped = unpivoted.groupBy("c", "v").agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in nulls.values()]
+        )
     v, n = F.col("v"), F.col("n")
     rows = []
     for col, cs in by_col.items():
         mine = F.col("c") == col
         for c in cs:
-            if c.check == NOT_NULL:
+            if c.check == NOT_NULL and col in nulls:
+                failures = F.coalesce(F.sum(nulls[col]), F.lit(0))
+            elif c.check == NOT_NULL:
                 failures = F.coalesce(F.sum(F.when(mine & v.isNull(), n)), F.lit(0))
             elif c.check == UNIQUE:
                 failures = F.count(F.when(mine & v.isNotNull() & (n > 1), 1))
@@ -159,36 +168,27 @@ LEDGER_NOT_NULL = (
 
 def check_ledger(ledger: DataFrame) -> DataFrame:
     """Q5: the ledger's constraints as failure counts: NOT NULL columns, primary
-    key on ingestion_id, unique (bucket, object_key), size_bytes >= 0."""
-    nn = [
-        F.struct(
-            F.lit(NOT_NULL).alias("check_name"),
-            F.lit(c).alias("column_name"),
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)), F.lit(0))
-            .cast("long").alias("failures"),
-        )
-        for c in LEDGER_NOT_NULL
-    ]
-    nn.append(
-        F.struct(
-            F.lit("size_bytes_non_negative").alias("check_name"),
-            F.lit("size_bytes").alias("column_name"),
-            F.coalesce(F.sum(F.when(F.col("size_bytes") < 0, 1).otherwise(0)), F.lit(0))
-            .cast("long").alias("failures"),
-        )
-    )
-    scan = ledger.agg(F.array(*nn).alias("r")).select(F.inline("r"))
+    key on ingestion_id, unique (bucket, object_key), size_bytes >= 0.
 
-    def dupes(cols: list[str], check: str, label: str) -> DataFrame:
-        counted = unique(ledger, cols).agg(F.count(F.lit(1)).cast("long").alias("failures"))
-        return counted.select(
-            F.lit(check).alias("check_name"), F.lit(label).alias("column_name"), "failures"
+    Two scans: counted by id with the NULL and size counts beside, and by key.
+    """
+
+    def row(check: str, label: str, failures: Column) -> Column:
+        return F.struct(
+            F.lit(check).alias("check_name"), F.lit(label).alias("column_name"),
+            F.coalesce(failures, F.lit(0)).cast("long").alias("failures"),
         )
 
-    return (
-        scan.unionByName(dupes(["ingestion_id"], "primary_key", "ingestion_id"))
-        .unionByName(dupes(["bucket", "object_key"], UNIQUE, "bucket,object_key"))
+    bad = {c: F.col(c).isNull() for c in LEDGER_NOT_NULL} | {"negative": F.col("size_bytes") < 0}
+    by_id = ledger.groupBy(F.col("ingestion_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(is_bad).alias(name) for name, is_bad in bad.items()]
     )
+    rows = [row(NOT_NULL, c, F.sum(c)) for c in LEDGER_NOT_NULL]
+    rows.append(row("size_bytes_non_negative", "size_bytes", F.sum("negative")))
+    rows.append(row("primary_key", "ingestion_id", F.count_if(F.col("id").isNotNull() & (F.col("n") > 1))))
+    by_key = unique(ledger, ["bucket", "object_key"]).agg(
+        F.array(row(UNIQUE, "bucket,object_key", F.count(F.lit(1)))).alias("r"))
+    return by_id.agg(F.array(*rows).alias("r")).unionByName(by_key).select(F.inline("r"))
 
 
 _R = specs.RATING_TEXT_VALUES_RATINGS

@@ -40,6 +40,16 @@ def test_check_table_counts(spark):
     }
 
 
+def test_check_table_on_empty_and_null_only_tables(spark):
+    empty = spark.createDataFrame([], "letterboxd_uri string, name string, watched_date string, rating string")
+    for t, n in (("ratings", 5), ("diary", 3), ("reviews", 3)):
+        assert [r.failures for r in checks.run_checks({("bronze", t): empty}).collect()] == [0] * n
+    df = spark.createDataFrame([(None, "A", None), (None, None, "2024-01-01"), ("u", "B", None)],
+                               "letterboxd_uri string, name string, watched_date string")
+    rep = {r.column_name: r.failures for r in checks.run_checks({("bronze", "diary"): df}).collect()}
+    assert rep == {"letterboxd_uri": 2, "name": 1, "watched_date": 2}
+
+
 def test_declared_count():
     assert len(checks.DECLARED) == 43
     assert sum(c.layer == "bronze" for c in checks.DECLARED) == 19

@@ -52,6 +52,25 @@ def test_partial_aggregation(plans, name):
     assert len(re.findall(r"HashAggregate", tree(plans[name]))) >= 2
 
 
+def test_check_suite_unpivots_value_columns_only(spark):
+    from reelhouse.operators import checks
+
+    df = spark.createDataFrame([("u", "n", "4.0", "2024-01-01")], "letterboxd_uri string, name string, rating string, watched_date string")
+    generates = {t: tree(plan(checks.run_checks({("bronze", t): df}))).count("Generate") for t in ("diary", "watched", "ratings")}
+    # The report itself is one; only a table with two value columns is unpivoted.
+    assert generates == {"diary": 1, "watched": 1, "ratings": 2}
+    text = plan(checks.run_checks({("bronze", "diary"): df}))
+    assert "hashpartitioning" not in text  # NULL counts alone are one plain aggregate
+
+
+def test_check_ledger_scans_twice(spark):
+    from reelhouse import specs
+    from reelhouse.operators import checks
+
+    ledger = spark.createDataFrame([], specs.LEDGER_SCHEMA)
+    assert len(re.findall(r"Scan ExistingRDD", tree(plan(checks.check_ledger(ledger))))) == 2
+
+
 def test_scans_are_pruned(plans):
     schema = re.findall(r"ReadSchema: (struct<[^\n]*>)", plans["silver_ratings"])[0]
     assert schema.count(":") == 5  # 5 of lineitem's 11 columns
