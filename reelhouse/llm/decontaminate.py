@@ -5,12 +5,14 @@ are lower-cased, numbers, units after a number and names (capitalised inside a
 sentence) become typed placeholders whose values are kept as slots. A second
 form leaves names as words, so that a text in title case still matches. Windows
 of ``WIDTH`` canonical words of the documents are hash-joined with those of the
-benchmark items. An alignment of a document with an item (matches at one
-distance) holds only if its slots are consistent: one value of the item always
-stands for one value of the document. So a question with other numbers or names
-in it is found, and a chance match of templates is not.
-
-A document is contaminated by an item if consistent alignments cover
+benchmark items. The slots of an alignment of a document with an item (matches
+at one distance) must be consistent: one value of the item always stands for one
+value of the document. Where it stands for several, the windows that hold it do
+not count, unless all their slots equal the item's. So a question with other
+numbers or names in it is found, a chance match of templates is not, and one
+changed value does not hide the verbatim rest.
+
+A document is contaminated by an item if the windows that are left cover
 ``COVERAGE`` of the item's windows, or ``RUN`` words in a row (counted over the
 windows that are used).
 
@@ -208,19 +210,24 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
 
     rows = _rows(docs, id_col, text_col)
     hits = matched(rows, widths, hashes).join(cuts, "hash")
-    # Distinct because a window may match in both forms.
+    # Sets because a window may match in both forms.
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    lines = (hits.select("id", "mark", "item", "item_mark", (F.col("at") - F.col("item_at")).alias("line"), F.struct("nth", "item_at").alias("w"), pairs.alias("p"))
-             .groupBy("id", "mark", "item", "item_mark", "line")
-             .agg(F.array_sort(F.collect_set("w")).alias("ws"), F.array_distinct(F.flatten(F.collect_set("p"))).alias("p")))
-    holds = F.size(F.array_distinct(F.transform("p", lambda x: x["i"]))) == F.size("p")
+    lines = (hits.select("id", "mark", "item", "item_mark", (F.col("at") - F.col("item_at")).alias("line"), F.struct("item_at", "nth", pairs.alias("p")).alias("w"))
+             .groupBy("id", "mark", "item", "item_mark", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"))
+             .withColumn("p", F.array_sort(F.array_distinct(F.flatten(F.transform("ws", lambda w: w["p"]))))))
+    # Values of the item that stand for more than one value of the document: neighbours in the sorted pairs.
+    torn = F.zip_with("p", F.slice("p", F.lit(2), F.size("p")), lambda x, y: F.when(x["i"] == y["i"], x["i"]))
+    holds = lambda w: ~F.exists(w["p"], lambda x: F.array_contains(F.col("torn"), x["i"])) | F.forall(w["p"], lambda x: x["i"] == x["d"])
+    lines = (lines.withColumn("torn", F.filter(torn, lambda x: x.isNotNull()))
+             .withColumn("ws", F.when(F.size("torn") == 0, F.col("ws")).otherwise(F.filter("ws", holds)))
+             .withColumn("ws", F.array_distinct(F.transform("ws", lambda w: F.struct(w["nth"].alias("nth"), w["item_at"].alias("item_at"))))))
     # Words of the longest run of usable windows that follow each other in the item.
     begins = lambda a, x: F.when(x["nth"] == a["last"] + 1, a["begin"]).otherwise(x["item_at"])
     run = F.aggregate(
         F.col("ws"), F.struct(F.lit(-9).alias("last"), F.lit(0).alias("begin"), F.lit(0).alias("best")),
         lambda a, x: F.struct(x["nth"].alias("last"), begins(a, x).alias("begin"),
                               F.greatest(a["best"], x["item_at"] - begins(a, x) + WIDTH).alias("best")), lambda a: a["best"])
-    per_item = (lines.where(holds).select("id", "mark", "item", "item_mark", "ws", run.alias("run"))
+    per_item = (lines.where(F.size("ws") > 0).select("id", "mark", "item", "item_mark", "ws", run.alias("run"))
                 .groupBy("id", "mark", "item", "item_mark")
                 .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("seen"), F.max("run").alias("run"))
                 .join(need.toDF("__i", "__m", "windows", "wide"), F.col("item").eqNullSafe(F.col("__i")) & (F.col("item_mark") == F.col("__m")))
