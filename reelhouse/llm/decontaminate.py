@@ -14,7 +14,9 @@ changed value does not hide the verbatim rest.
 
 A document is contaminated by an item if the windows that are left cover
 ``COVERAGE`` of the item's windows, or ``RUN`` words in a row (counted over the
-windows that are used).
+windows that are used). Both are judged per form, relative to the windows that
+this form can use, and the better form counts: windows with enough plain words
+only while names are words cannot match a copy with other names.
 
 Only windows of a document that occur in the benchmark leave the scan: the
 benchmark's window hashes go to the tasks if there are at most ``MOST_HASHES``
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import portions, stage, table
@@ -85,8 +87,8 @@ class Forms:
         self.flags[at] = kind | (4 if not core or text.endswith(_ENDS) else 0) | (8 if core else 0)
         self.index[raw] = at
 
-    def of(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes, kinds, kinds with names as words) of a whole text."""
+    def of(self, text: bytes | None) -> tuple[np.ndarray, ...]:
+        """Of a whole text: hashes, kinds and, where it has names, kinds with names as words."""
         words = text.split() if text else []
         if len(self.index) > MEMORY:
             self.index.clear()
@@ -106,51 +108,86 @@ class Forms:
         if not real.all():
             h, kind = h[real], kind[real]
         if not kind.any():
-            return h, kind, kind
+            return h, kind
         after_number = np.zeros(len(kind), dtype=bool)
         after_number[1:] = kind[:-1] == NUMBER
         kind[(kind == UNIT) & ~after_number] = LITERAL
-        return h, kind, np.where(kind == NAME, LITERAL, kind)
+        return (h, kind, np.where(kind == NAME, LITERAL, kind)) if (kind == NAME).any() else (h, kind)
 
 
-def windows(h: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows with enough plain words."""
+def windows(h: np.ndarray, kind: np.ndarray, width: int, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the windows with enough plain words; with ``other`` (kinds
+    of another form) only of those that differ from that form's."""
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     typed = bool(kind.any())
     code = np.where(kind == LITERAL, h, _TYPE[kind]) if typed else h
-    out = code[:n] + np.uint64(width)
+    at = None
+    if other is not None:
+        differs = np.cumsum(np.concatenate([[0], kind != other]))
+        at = np.flatnonzero(differs[width:] > differs[:n])
+    if typed:
+        plain = np.cumsum(np.concatenate([[0], kind == LITERAL]))
+        enough = plain[width:] - plain[:n] >= min(LITERALS, width)
+        at = at[enough[at]] if at is not None else np.flatnonzero(enough)
+    few = at is not None and 2 * len(at) < n
+    out = (code[at] if few else code[:n]) + np.uint64(width)
     for k in range(1, width):
         out *= _P
-        out += code[k:k + n]
+        out += code[at + k] if few else code[k:k + n]
     out ^= out >> np.uint64(29)
     out *= _P
     out ^= out >> np.uint64(32)
-    if not typed:
-        return np.arange(n), out
-    plain = np.cumsum(np.concatenate([[0], kind == LITERAL]))
-    at = np.flatnonzero(plain[width:] - plain[:n] >= min(LITERALS, width))
-    return at, out[at]
+    return (np.arange(n), out) if at is None else (at, out if few else out[at])
 
 
-def found(forms: Forms, text: bytes | None, widths: list[int], wanted) -> Iterator[tuple[int, int, int, list[int]]]:
-    """(form, start, hash, slots) of the wanted windows of a text; form is width * 2, plus 1 with names as words."""
-    h, typed, plain = forms.of(text)
-    same = bool((typed == plain).all())
+def found(forms: Forms, text: bytes | None, widths: list[int], wanted) -> Iterator[tuple[int, int, list[int]]]:
+    """(start, hash, slots) of the wanted windows of a text, in each of its forms."""
+    h, typed, *others = forms.of(text)
     for width in widths:
-        for form, kind in ((0, typed), (1, plain)):
-            if form and same:
-                continue  # without names both forms are one
-            at, hashes = windows(h, kind, width)
+        for kind in (typed, *others):
+            at, hashes = windows(h, kind, width, None if kind is typed else typed)
             hit = wanted(hashes)
             for s, x in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist()):
                 slots = h[s:s + width][kind[s:s + width] != LITERAL]
-                yield width * 2 + form, s, x, slots.view(np.int64).tolist()
+                yield s, x, slots.view(np.int64).tolist()
+
+
+def cut(forms: Forms, text: bytes | None) -> Iterator[tuple[int, int, int, list[int], list[int | None], list[int]]]:
+    """(width, start, hash, slots, ranks, counts) of the windows of an item: at full
+    width, or for a shorter item its one whole window. ``ranks`` has the window's
+    place among those each form can use, ``counts`` how many these are."""
+    h, typed, *others = forms.of(text)
+    width = min(WIDTH, len(h))
+    if width < LITERALS:
+        return
+    forms_at = [windows(h, kind, width)[0].tolist() for kind in (typed, *others)]
+    ranks = [{s: n for n, s in enumerate(at)} for at in forms_at if at]
+    counts = [len(r) for r in ranks]
+    for s, x, slots in found(forms, text, [width], lambda x: np.arange(len(x))):
+        yield width, s, x, slots, [r.get(s) for r in ranks], counts
 
 
 _FORMS = Forms()
-_SCHEMA = "id long, mark long, form int, at int, hash long, slots array<long>"
+_SCHEMA = "id long, mark long, at int, hash long, slots array<long>"
+_CUTS = "item long, item_mark long, width int, item_at int, hash long, item_slots array<long>, ranks array<int>, counts array<int>"
+
+
+def item_windows(items: DataFrame) -> DataFrame:
+    """Windows of the (id, mark, text) rows of the benchmark, each item once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ints = pa.list_(pa.int32())
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), ints, ints)
+        names = [c.split()[0] for c in _CUTS.split(", ")]
+        for batch in batches:
+            for part in portions(batch, 2):
+                out = [(i, mark, *w) for i, mark, text in zip(*(c.to_pylist() for c in part.columns)) for w in cut(_FORMS, text)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    return items.dropDuplicates(["id", "mark"]).mapInArrow(run, _CUTS)
 
 
 def matched(rows: DataFrame, widths: list[int], hashes: np.ndarray | None) -> DataFrame:
@@ -175,8 +212,8 @@ def matched(rows: DataFrame, widths: list[int], hashes: np.ndarray | None) -> Da
                     out += [(i, mark, *w) for w in found(_FORMS, text, widths, wanted)]
                 if out:
                     cols = list(zip(*out))
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "mark", "form", "at", "hash", "slots"])
+                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["id", "mark", "at", "hash", "slots"])
 
     return rows.mapInArrow(run, _SCHEMA)
 
@@ -189,19 +226,8 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Staged contaminated rows: __id, __mark (hash of the text), item_ids, coverage (of the best item)."""
     items = _rows(bench, item_col, item_text_col)
-    sizes = items.select(F.size(F.split(F.trim(F.col("text").cast("string")), r"\s+")).alias("n"))
-    short = sorted(r[0] for r in sizes.where(F.col("n") < WIDTH + 3).distinct().collect())
-    widths = sorted({WIDTH, *range(LITERALS, WIDTH)} if short else {WIDTH})
-    # Item windows: at full width, or for a shorter item its one whole window.
-    cuts = stage(matched(items, widths, None), "bench-cuts")
-    per = cuts.groupBy("id", "mark").agg(F.max(F.col("form").bitwiseAND(F.lit(-2))).alias("widest"))
-    cuts = cuts.join(per.toDF("__i", "__m", "widest"), F.col("id").eqNullSafe(F.col("__i")) & (F.col("mark") == F.col("__m"))).where(F.col("form").bitwiseAND(F.lit(-2)) == F.col("widest"))
-    whole = (F.col("widest") == WIDTH * 2) | (F.col("at") == 0)
-    rank = F.dense_rank().over(Window.partitionBy("id", "mark").orderBy("at"))
-    cuts = stage(cuts.where(whole).withColumn("nth", rank).select(F.col("id").alias("item"), F.col("mark").alias("item_mark"), F.col("form").alias("item_form"),
-                                          F.col("at").alias("item_at"), "nth", "hash", F.col("slots").alias("item_slots")), "bench-windows")
-    need = stage(cuts.groupBy("item", "item_mark").agg(F.countDistinct("item_at").alias("windows"),
-                                                       F.max("item_form").alias("wide")), "bench-items")
+    cuts = stage(item_windows(items), "bench-windows")
+    widths = sorted(r[0] for r in cuts.select("width").distinct().collect())
     n = cuts.count()
     hashes = None
     if n <= MOST_HASHES:
@@ -210,29 +236,33 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
 
     rows = _rows(docs, id_col, text_col)
     hits = matched(rows, widths, hashes).join(cuts, "hash")
-    # Sets because a window may match in both forms.
+    # Sets because a window may match in more than one form.
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    lines = (hits.select("id", "mark", "item", "item_mark", (F.col("at") - F.col("item_at")).alias("line"), F.struct("item_at", "nth", pairs.alias("p")).alias("w"))
-             .groupBy("id", "mark", "item", "item_mark", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"))
+    lines = (hits.select("id", "mark", "item", "item_mark", "width", "counts", (F.col("at") - F.col("item_at")).alias("line"),
+                         F.struct("item_at", "ranks", pairs.alias("p")).alias("w"))
+             .groupBy("id", "mark", "item", "item_mark", "width", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"), F.first("counts").alias("counts"))
              .withColumn("p", F.array_sort(F.array_distinct(F.flatten(F.transform("ws", lambda w: w["p"]))))))
     # Values of the item that stand for more than one value of the document: neighbours in the sorted pairs.
     torn = F.zip_with("p", F.slice("p", F.lit(2), F.size("p")), lambda x, y: F.when(x["i"] == y["i"], x["i"]))
     holds = lambda w: ~F.exists(w["p"], lambda x: F.array_contains(F.col("torn"), x["i"])) | F.forall(w["p"], lambda x: x["i"] == x["d"])
     lines = (lines.withColumn("torn", F.filter(torn, lambda x: x.isNotNull()))
              .withColumn("ws", F.when(F.size("torn") == 0, F.col("ws")).otherwise(F.filter("ws", holds)))
-             .withColumn("ws", F.array_distinct(F.transform("ws", lambda w: F.struct(w["nth"].alias("nth"), w["item_at"].alias("item_at"))))))
+             .withColumn("ws", F.array_distinct(F.transform("ws", lambda w: F.struct(w["item_at"].alias("item_at"), w["ranks"].alias("ranks"))))))
+    # Per form of the item, the windows that it can use, whatever form they matched in.
+    per_form = lambda judge: F.array_max(F.transform(
+        F.sequence(F.lit(0), F.size("counts") - 1),
+        lambda f: judge(f, F.filter("ws", lambda w: F.get(w["ranks"], f).isNotNull()))))
     # Words of the longest run of usable windows that follow each other in the item.
-    begins = lambda a, x: F.when(x["nth"] == a["last"] + 1, a["begin"]).otherwise(x["item_at"])
-    run = F.aggregate(
-        F.col("ws"), F.struct(F.lit(-9).alias("last"), F.lit(0).alias("begin"), F.lit(0).alias("best")),
-        lambda a, x: F.struct(x["nth"].alias("last"), begins(a, x).alias("begin"),
-                              F.greatest(a["best"], x["item_at"] - begins(a, x) + WIDTH).alias("best")), lambda a: a["best"])
-    per_item = (lines.where(F.size("ws") > 0).select("id", "mark", "item", "item_mark", "ws", run.alias("run"))
-                .groupBy("id", "mark", "item", "item_mark")
-                .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("seen"), F.max("run").alias("run"))
-                .join(need.toDF("__i", "__m", "windows", "wide"), F.col("item").eqNullSafe(F.col("__i")) & (F.col("item_mark") == F.col("__m")))
-                .withColumn("coverage", F.col("seen") / F.col("windows")))
-    long_run = (F.col("wide") >= WIDTH * 2) & (F.col("run") >= RUN)
+    begins = lambda f, a, x: F.when(F.get(x["ranks"], f) == a["last"] + 1, a["begin"]).otherwise(x["item_at"])
+    run = lambda f, ws: F.aggregate(
+        ws, F.struct(F.lit(-9).alias("last"), F.lit(0).alias("begin"), F.lit(0).alias("best")),
+        lambda a, x: F.struct(F.get(x["ranks"], f).alias("last"), begins(f, a, x).alias("begin"),
+                              F.greatest(a["best"], x["item_at"] - begins(f, a, x) + WIDTH).alias("best")), lambda a: a["best"])
+    per_item = (lines.where(F.size("ws") > 0).withColumn("run", per_form(run))
+                .groupBy("id", "mark", "item", "item_mark", "width")
+                .agg(F.array_distinct(F.flatten(F.collect_list("ws"))).alias("ws"), F.max("run").alias("run"), F.first("counts").alias("counts"))
+                .withColumn("coverage", per_form(lambda f, ws: F.size(ws) / F.get("counts", f))))
+    long_run = (F.col("width") == WIDTH) & (F.col("run") >= RUN)
     bad = (per_item.where((F.col("coverage") >= COVERAGE) | long_run).groupBy("id", "mark")
            .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage")))
     return stage(bad.toDF("__id", "__mark", "item_ids", "coverage"), "contaminated")

@@ -23,3 +23,11 @@ def test_one_changed_value_does_not_hide_the_rest(spark):
         TOM.replace("12", "30", 1).replace("12", "31").replace("5", "8", 1).replace("5", "9"),  # no value stands for one value
     ])
     assert got == {0: [0], 1: [1], 2: []}
+
+
+def test_windows_are_counted_per_form(spark):
+    item = "Yesterday Alice Brown gave Bob Green 3 red apples and then Bob Green gave Alice Brown 2 pears"
+    other = "Yesterday Maria White gave Peter Black 7 red apples and then Peter Black gave Maria White 4 pears"
+    torn = "Yesterday Maria White gave Peter Black 7 red apples and then John Gray gave Susan Stone 4 pears"
+    got = judged(spark, [item], [other, item.upper(), item, torn])
+    assert got == {0: [0], 1: [0], 2: [0], 3: []}
