@@ -3,7 +3,9 @@
 Words are brought to a canonical form: punctuation at the ends goes, letters
 are lower-cased, numbers, units after a number and names (capitalised inside a
 sentence) become typed placeholders whose values are kept as slots. A second
-form leaves names as words, so that a text in title case still matches. Windows
+form leaves names as words, so that a text in title case still matches. A third
+one takes capitalised words at the beginning of a sentence for names, too, so
+that a sentence that begins with another person's name does. Windows
 of ``WIDTH`` canonical words of the documents are hash-joined with those of the
 benchmark items. The slots of an alignment of a document with an item (matches
 at one distance) must be consistent: one value of the item always stands for one
@@ -88,7 +90,8 @@ class Forms:
         self.index[raw] = at
 
     def of(self, text: bytes | None) -> tuple[np.ndarray, ...]:
-        """Of a whole text: hashes, kinds and, where it has names, kinds with names as words."""
+        """Of a whole text: hashes, kinds and, where these differ, kinds with names
+        as words and kinds with every capitalised word as a name."""
         words = text.split() if text else []
         if len(self.index) > MEMORY:
             self.index.clear()
@@ -100,19 +103,23 @@ class Forms:
                     self.add(w)
             ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         h, flags = self.hashes[ids], self.flags[ids]
-        kind, real = flags & 3, flags >= 8
-        if kind.any():
-            fresh = np.ones(len(ids), dtype=bool)  # begins a sentence
-            fresh[1:] = flags[:-1] & 4 > 0
-            kind[(kind == NAME) & fresh] = LITERAL
+        names, real = flags & 3, flags >= 8
+        if not names.any():
+            return h[real] if not real.all() else h, names[real]
+        fresh = np.ones(len(ids), dtype=bool)  # begins a sentence
+        fresh[1:] = flags[:-1] & 4 > 0
         if not real.all():
-            h, kind = h[real], kind[real]
-        if not kind.any():
-            return h, kind
-        after_number = np.zeros(len(kind), dtype=bool)
-        after_number[1:] = kind[:-1] == NUMBER
-        kind[(kind == UNIT) & ~after_number] = LITERAL
-        return (h, kind, np.where(kind == NAME, LITERAL, kind)) if (kind == NAME).any() else (h, kind)
+            h, names, fresh = h[real], names[real], fresh[real]
+        after_number = np.zeros(len(names), dtype=bool)
+        after_number[1:] = names[:-1] == NUMBER
+        names[(names == UNIT) & ~after_number] = LITERAL
+        name = names == NAME
+        out = [h, np.where(name & fresh, LITERAL, names)]
+        if (name & ~fresh).any():
+            out.append(np.where(name, LITERAL, names))
+        if (name & fresh).any():
+            out.append(names)
+        return tuple(out)
 
 
 def windows(h: np.ndarray, kind: np.ndarray, width: int, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

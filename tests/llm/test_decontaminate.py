@@ -31,3 +31,13 @@ def test_windows_are_counted_per_form(spark):
     torn = "Yesterday Maria White gave Peter Black 7 red apples and then John Gray gave Susan Stone 4 pears"
     got = judged(spark, [item], [other, item.upper(), item, torn])
     assert got == {0: [0], 1: [0], 2: [0], 3: []}
+
+
+def test_names_at_the_beginning_of_sentences(spark):
+    item = "Tom has 12 apples and 3 pears. Tom gives 5 apples to a friend. How many apples does Tom keep?"
+    only_first = "Tom picks 12 apples in the old garden. Tom sells 5 apples at the market on the square."
+    got = judged(spark, [item, only_first], [
+        item.replace("Tom", "Maria"), "we read: " + only_first.replace("Tom", "Maria").replace("12", "20"), item, only_first,
+        "Tom has 12 apples and 3 pears. Maria gives 5 plums to a friend. Who knows how many apples does Paul keep?",
+    ])
+    assert got == {0: [0], 1: [1], 2: [0], 3: [1], 4: []}
