@@ -25,8 +25,12 @@ benchmark's window hashes go to the tasks if there are at most ``MOST_HASHES``
 (32 MB); with a larger benchmark all windows go to the join, with equal result.
 
 Defined results: null and empty texts match nothing and are clean; windows with
-fewer than ``LITERALS`` plain words are not used, and an item without any other
-matches nothing; an item shorter than a window is one window of its own length;
+fewer than ``LITERALS`` plain words are not used as templates; an item without
+any other, or mostly in a script without spaces, is looked for by exact windows:
+words as they are with numbers, signs and operators, words of such scripts and
+words of over ``LONG`` characters character by character (a run is then twice as
+long). An item of one word is so found wherever this word stands; an item shorter
+than a window is one window of its own length;
 items with equal texts are reported each, items
 without an id are not named, but their texts still are contamination; rows with a null id are judged like
 others; repeated rows repeat their result; with an empty benchmark all is
@@ -50,6 +54,8 @@ WIDTH, LITERALS, COVERAGE, RUN = 5, 3, 0.8, 13
 MOST_HASHES = 4_000_000
 #: Canonical forms remembered by a worker.
 MEMORY = 400_000
+#: Characters of a word that is compared character by character.
+LONG = 40
 
 # Units of measure, and number words.
 UNITS = frozenset(
@@ -62,7 +68,12 @@ NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleve
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 _NUMERIC = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*%?")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_MARKS = re.compile(r"^[\"'“”‘’«¿¡(\[{]+|[\"'“”‘’».,;:!?…)\]}]+$")
+# Thai, Lao, Tibetan, Burmese, Khmer, kana and Han, and the punctuation of the last two.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_PAUSES = re.compile("[\u3000-\u3003\u3008-\u3011\u2018-\u201d\u2026\uff01\uff08\uff09\uff0c\uff0e\uff1a\uff1b\uff1f]+")
 _P = np.uint64(0x9E3779B97F4A7C15)
+_EXACT = np.uint64(0xC2B2AE3D27D4EB4F)
 _ENDS = (".", "!", "?", ":", ";", "|", "-")
 _TYPE = np.array([0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -122,6 +133,40 @@ class Forms:
         return tuple(out)
 
 
+class Tokens:
+    """Hashes of words as they are, without sentence punctuation at their ends;
+    words without spaces between them, and very long ones, as characters."""
+
+    def __init__(self):
+        self.index: dict[bytes, int] = {}
+
+    def add(self, raw: bytes) -> int | np.ndarray:
+        low = raw.decode("utf-8", "replace").lower()
+        if len(low) > LONG or not low.isascii() and _UNSPACED.search(low):
+            c = np.frombuffer(_MARKS.sub("", _PAUSES.sub("", low)).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+            c = (c + np.uint64(1)) * _P
+            return (c ^ c >> np.uint64(29)) * _P
+        x = self.index[raw] = xxhash.xxh3_64_intdigest((_MARKS.sub("", low) or low).encode()) or 1
+        return x
+
+    def of(self, text: bytes | None) -> tuple[np.ndarray, int]:
+        """(hashes of a whole text, how many are of characters)."""
+        if len(self.index) > MEMORY:
+            self.index.clear()
+        got = [self.index.get(w) or self.add(w) for w in (text.split() if text else [])]
+        long = [x for x in got if not isinstance(x, int)]
+        if not long:
+            return np.array(got, dtype=np.uint64), 0
+        parts, words = [], []
+        for x in got:
+            if isinstance(x, int):
+                words.append(x)
+            else:
+                parts += [np.array(words, dtype=np.uint64), x]
+                words = []
+        return np.concatenate([*parts, np.array(words, dtype=np.uint64)]), sum(map(len, long))
+
+
 def windows(h: np.ndarray, kind: np.ndarray, width: int, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of the windows with enough plain words; with ``other`` (kinds
     of another form) only of those that differ from that form's."""
@@ -149,36 +194,64 @@ def windows(h: np.ndarray, kind: np.ndarray, width: int, other: np.ndarray | Non
     return (np.arange(n), out) if at is None else (at, out if few else out[at])
 
 
-def found(forms: Forms, text: bytes | None, widths: list[int], wanted) -> Iterator[tuple[int, int, list[int]]]:
-    """(start, hash, slots) of the wanted windows of a text, in each of its forms."""
-    h, typed, *others = forms.of(text)
+def exact_windows(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of all windows, apart from those of templates."""
+    at, hashes = windows(h, np.zeros(len(h), dtype=np.uint8), width)
+    return at, hashes ^ _EXACT
+
+
+def found(text: bytes | None, widths: list[int], wanted) -> Iterator[tuple[int, int, list[int]]]:
+    """(start, hash, slots) of the wanted windows of a text, in each of its forms; widths below 0 are of exact windows."""
+    h, typed, *others = _FORMS.of(text)
     for width in widths:
+        if width < 0:
+            continue
         for kind in (typed, *others):
             at, hashes = windows(h, kind, width, None if kind is typed else typed)
             hit = wanted(hashes)
             for s, x in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist()):
                 slots = h[s:s + width][kind[s:s + width] != LITERAL]
                 yield s, x, slots.view(np.int64).tolist()
-
-
-def cut(forms: Forms, text: bytes | None) -> Iterator[tuple[int, int, int, list[int], list[int | None], list[int]]]:
-    """(width, start, hash, slots, ranks, counts) of the windows of an item: at full
-    width, or for a shorter item its one whole window. ``ranks`` has the window's
-    place among those each form can use, ``counts`` how many these are."""
-    h, typed, *others = forms.of(text)
+    exact = [-width for width in widths if width < 0]
+    if exact:
+        h, _ = _TOKENS.of(text)
+    for width in exact:
+        at, hashes = exact_windows(h, width)
+        hit = wanted(hashes)
+        at, hashes = at[hit], hashes[hit]
+        if width < WIDTH:  # whole items: once a text is enough
+            hashes, first = np.unique(hashes, return_index=True)
+            at = at[first]
+        for s, x in zip(at.tolist(), hashes.view(np.int64).tolist()):
+            yield s, x, []
+
+
+def cut(text: bytes | None) -> Iterator[tuple[int, int, int, list[int], list[int | None], list[int], int]]:
+    """(width, start, hash, slots, ranks, counts, run) of the windows of an item: at
+    full width, or for a shorter item its one whole window. ``ranks`` has the
+    window's place among those each form can use, ``counts`` how many these are,
+    ``run`` is the length of run that is enough; exact windows have widths below 0."""
+    h, typed, *others = _FORMS.of(text)
     width = min(WIDTH, len(h))
-    if width < LITERALS:
-        return
-    forms_at = [windows(h, kind, width)[0].tolist() for kind in (typed, *others)]
+    forms_at = [windows(h, kind, width)[0].tolist() for kind in (typed, *others)] if width >= LITERALS else []
     ranks = [{s: n for n, s in enumerate(at)} for at in forms_at if at]
     counts = [len(r) for r in ranks]
-    for s, x, slots in found(forms, text, [width], lambda x: np.arange(len(x))):
-        yield width, s, x, slots, [r.get(s) for r in ranks], counts
-
-
-_FORMS = Forms()
+    if ranks:
+        for s, x, slots in found(text, [width], lambda x: np.arange(len(x))):
+            yield width, s, x, slots, [r.get(s) for r in ranks], counts, RUN
+    h, characters = _TOKENS.of(text)
+    unspaced = 2 * characters >= len(h)
+    if len(h) and (unspaced or not ranks):
+        width = min(WIDTH, len(h))
+        at, hashes = exact_windows(h, width)
+        for s, x in zip(at.tolist(), hashes.view(np.int64).tolist()):
+            yield -width, s, x, [], [s], [len(at)], 2 * RUN if unspaced else RUN
+
+
+_FORMS, _TOKENS = Forms(), Tokens()
 _SCHEMA = "id long, mark long, at int, hash long, slots array<long>"
-_CUTS = "item long, item_mark long, width int, item_at int, hash long, item_slots array<long>, ranks array<int>, counts array<int>"
+_CUTS = ("item long, item_mark long, width int, item_at int, hash long, item_slots array<long>, "
+         "ranks array<int>, counts array<int>, enough int")
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -186,11 +259,11 @@ def item_windows(items: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ints = pa.list_(pa.int32())
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), ints, ints)
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), ints, ints, pa.int32())
         names = [c.split()[0] for c in _CUTS.split(", ")]
         for batch in batches:
             for part in portions(batch, 2):
-                out = [(i, mark, *w) for i, mark, text in zip(*(c.to_pylist() for c in part.columns)) for w in cut(_FORMS, text)]
+                out = [(i, mark, *w) for i, mark, text in zip(*(c.to_pylist() for c in part.columns)) for w in cut(text)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
@@ -216,7 +289,7 @@ def matched(rows: DataFrame, widths: list[int], hashes: np.ndarray | None) -> Da
             for part in portions(batch, 2):
                 out: list[tuple] = []
                 for i, mark, text in zip(*(c.to_pylist() for c in part.columns)):
-                    out += [(i, mark, *w) for w in found(_FORMS, text, widths, wanted)]
+                    out += [(i, mark, *w) for w in found(text, widths, wanted)]
                 if out:
                     cols = list(zip(*out))
                     types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
@@ -245,9 +318,9 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     hits = matched(rows, widths, hashes).join(cuts, "hash")
     # Sets because a window may match in more than one form.
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    lines = (hits.select("id", "mark", "item", "item_mark", "width", "counts", (F.col("at") - F.col("item_at")).alias("line"),
+    lines = (hits.select("id", "mark", "item", "item_mark", "width", "counts", "enough", (F.col("at") - F.col("item_at")).alias("line"),
                          F.struct("item_at", "ranks", pairs.alias("p")).alias("w"))
-             .groupBy("id", "mark", "item", "item_mark", "width", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"), F.first("counts").alias("counts"))
+             .groupBy("id", "mark", "item", "item_mark", "width", "enough", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"), F.first("counts").alias("counts"))
              .withColumn("p", F.array_sort(F.array_distinct(F.flatten(F.transform("ws", lambda w: w["p"]))))))
     # Values of the item that stand for more than one value of the document: neighbours in the sorted pairs.
     torn = F.zip_with("p", F.slice("p", F.lit(2), F.size("p")), lambda x, y: F.when(x["i"] == y["i"], x["i"]))
@@ -266,10 +339,10 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
         lambda a, x: F.struct(F.get(x["ranks"], f).alias("last"), begins(f, a, x).alias("begin"),
                               F.greatest(a["best"], x["item_at"] - begins(f, a, x) + WIDTH).alias("best")), lambda a: a["best"])
     per_item = (lines.where(F.size("ws") > 0).withColumn("run", per_form(run))
-                .groupBy("id", "mark", "item", "item_mark", "width")
+                .groupBy("id", "mark", "item", "item_mark", "width", "enough")
                 .agg(F.array_distinct(F.flatten(F.collect_list("ws"))).alias("ws"), F.max("run").alias("run"), F.first("counts").alias("counts"))
                 .withColumn("coverage", per_form(lambda f, ws: F.size(ws) / F.get("counts", f))))
-    long_run = (F.col("width") == WIDTH) & (F.col("run") >= RUN)
+    long_run = (F.abs("width") == WIDTH) & (F.col("run") >= F.col("enough"))
     bad = (per_item.where((F.col("coverage") >= COVERAGE) | long_run).groupBy("id", "mark")
            .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage")))
     return stage(bad.toDF("__id", "__mark", "item_ids", "coverage"), "contaminated")

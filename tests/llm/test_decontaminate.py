@@ -41,3 +41,13 @@ def test_names_at_the_beginning_of_sentences(spark):
         "Tom has 12 apples and 3 pears. Maria gives 5 plums to a friend. Who knows how many apples does Paul keep?",
     ])
     assert got == {0: [0], 1: [1], 2: [0], 3: [1], 4: []}
+
+
+def test_items_without_template_windows_are_matched_exactly(spark):
+    items = ["Compute 12 * 7 + 5 - 3", "Quo vadis?", "小明有十二个苹果，给了小红五个，还剩几个？", "東京", "https://example.org/" + "a1b2" * 20, None, "", " \n"]
+    got = judged(spark, items, [
+        "we ask: compute 12 * 7 + 5 - 3 and then go on", "Compute 12 + 7 * 5 - 3", "Compute 12 * 8 + 5 - 3",
+        "they said quo vadis, and quo vadis again", "quo and vadis", "问题：小明有十二个苹果，给了小红五个，还剩几个？答案是七个。", "小明有三个梨，还剩几个？",
+        "ここは東京です", "京東", "see (https://example.org/" + "a1b2" * 20 + ") there", "", None,
+    ])
+    assert got == {0: [0], 1: [], 2: [], 3: [1], 4: [], 5: [2], 6: [], 7: [3], 8: [], 9: [4], 10: [], 11: []}
