@@ -50,8 +50,9 @@ def render(turns: Column) -> Column:
 
 def common_turns(a: Column, b: Column) -> Column:
     """Number of leading turns that are equal in both arrays."""
-    both = F.zip_with(a, b, lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"])
-                      & x["turn"].isNotNull() & y["turn"].isNotNull())
+    n = F.least(F.size(a), F.size(b))
+    both = F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n),
+                      lambda x, y: x["role"].eqNullSafe(y["role"]) & x["text"].eqNullSafe(y["text"]))
     first_other = F.coalesce(F.array_position(both, F.lit(False)).cast("int"), F.lit(0))
     return F.when(first_other == 0, F.size(both)).otherwise(first_other - 1)
 
