@@ -28,7 +28,7 @@ log = logging.getLogger(__name__)
 
 EXTRA = "_extra"
 PARALLEL = 6  # independent small jobs started side by side
-HEADER_WIDTH = 500  # columns looked at in the header of a file whose name holds pattern characters
+HEADER_WIDTH = 500  # columns looked at first in the header of a file whose name holds pattern characters
 
 # The export dialect (header row, comma, double quotes doubled
 # inside quoted fields, newlines allowed inside quotes, UTF-8).
@@ -55,9 +55,15 @@ def read_header(spark: SparkSession, paths: str | Sequence[str], multi_line: boo
         return reader.csv(first).columns
     # To find a schema the reader takes resolved names for patterns again, so
     # the header row of a file with such a name is read as a row of text.
-    wide = ", ".join(f"`{i}` string" for i in range(HEADER_WIDTH))
-    row = reader.option("header", "false").schema(wide).csv(literal_path(first)).first() or ()
-    names = [n for n in row]
+    # It is read wider until its second half is blank.
+    width = HEADER_WIDTH
+    while True:
+        wide = ", ".join(f"`{i}` string" for i in range(width))
+        row = reader.option("header", "false").schema(wide).csv(literal_path(first)).first() or ()
+        names = [n for n in row]
+        if all(n is None for n in names[width // 2:]):
+            break
+        width *= 2
     while names and names[-1] is None:
         names.pop()
     names = [f"_c{i}" if n is None else n.removeprefix("\ufeff") for i, n in enumerate(names)]
