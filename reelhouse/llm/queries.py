@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from reelhouse.llm import (
-    chat_format, decontaminate, exact_dedup, language_id, lm_score,
+    chat_format, decontaminate, exact_dedup, importance, language_id, lm_score,
     minhash_dedup, mixing, sharding, suffix_dedup, token_counts,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_source_mix": mixing.query,
     "op9_template_decontamination": decontaminate.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_importance_resampling": importance.query,
 }
 
 ORACLE = {"op2_digest_index": exact_dedup.SQL}
