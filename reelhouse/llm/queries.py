@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from reelhouse.llm import (
-    chat_format, decontaminate, exact_dedup, importance, language_id, lm_score,
-    minhash_dedup, mixing, sharding, suffix_dedup, token_counts,
+    chat_format, decontaminate, exact_dedup, html_text, importance, language_id,
+    lm_score, minhash_dedup, mixing, prefix_trie, sharding, suffix_dedup, token_counts,
 )
 
 QUERIES = {
@@ -19,6 +19,8 @@ QUERIES = {
     "op9_template_decontamination": decontaminate.query,
     "op10_suffix_dedup": suffix_dedup.query,
     "op11_importance_resampling": importance.query,
+    "op12_html_text": html_text.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 
 ORACLE = {"op2_digest_index": exact_dedup.SQL}
