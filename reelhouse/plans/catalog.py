@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse import specs
 from reelhouse.session import checkpoint_dir
@@ -31,18 +33,79 @@ def list_layers(spark: SparkSession, layers=specs.LAYERS) -> DataFrame:
     return found.where(F.col("schema_name").isin(*layers)).orderBy("schema_name")
 
 
+#: Versions of a rebuilt table whose files stay: the current one, and the one
+#: before it for readers that began on it.
+KEEP_VERSIONS = 2
+
+
 def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
-    """K1: full rebuild (overwrite) of ``layer.name``; returns the table name.
+    """K1: full rebuild of ``layer.name``; returns the table name.
+
+    The rows are written to a new folder beside the table's earlier versions,
+    and the table is then pointed at it by one change of the catalog. A build
+    that fails leaves the table as it was, a reader sees the old rows or the new
+    ones, and ``df`` may read the table itself. If the columns differ from the
+    table's, or a view has the name, the old entry is dropped and a new one made
+    (two changes of the catalog, after the rows are written).
 
     A written table also cuts the lineage: readers of the next layer start
     from these files, not from the plan that made them.
     """
-    ensure_layers(df.sparkSession, (layer,))
+    spark = df.sparkSession
+    ensure_layers(spark, (layer,))
     full = f"`{layer}`.`{name}`"
-    df.write.mode("overwrite").format(fmt).saveAsTable(full)
+    folder = f"{versions_folder(spark, layer, name)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(folder)
+    if not table_exists(spark, layer, name):
+        _create(spark, layer, name, folder, fmt, df.schema)
+    elif _same_table(spark, layer, name, fmt, df.schema):
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{_quoted(folder)}'")
+    else:
+        kind = "VIEW" if spark.catalog.getTable(f"{layer}.{name}").tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {full}")
+        _create(spark, layer, name, folder, fmt, df.schema)
+    spark.catalog.refreshTable(full)
+    _forget_versions(spark, versions_folder(spark, layer, name), folder)
     return f"{layer}.{name}"
 
 
+def versions_folder(spark: SparkSession, layer: str, name: str) -> str:
+    """Where the versions of a rebuilt table lie: beside the layer's other tables."""
+    return f"{spark.catalog.getDatabase(layer).locationUri.rstrip('/')}/{name}__versions"
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _create(spark: SparkSession, layer: str, name: str, folder: str, fmt: str, schema: T.StructType) -> None:
+    spark.catalog.createTable(f"`{layer}`.`{name}`", path=folder, source=fmt, schema=schema)
+
+
+def _same_table(spark: SparkSession, layer: str, name: str, fmt: str, schema: T.StructType) -> bool:
+    """Whether the name is an unpartitioned table of the format with these columns."""
+    found = spark.catalog.getTable(f"{layer}.{name}")
+    if found.tableType == "VIEW":
+        return False
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{layer}`.`{name}`").collect()}
+    columns = [(f.name, f.dataType) for f in spark.table(f"{layer}.{name}").schema.fields]
+    return (columns == [(f.name, f.dataType) for f in schema.fields] and "# Partition Information" not in described
+            and described.get("Provider", "").lower() == fmt.lower())
+
+
+def _forget_versions(spark: SparkSession, folder: str, current: str) -> None:
+    """Delete all versions but the newest ``KEEP_VERSIONS`` (names begin with the time).
+
+    Versions newer than ``current`` are those of another writer and stay.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(path(folder)))
+    old = [n for n in names if n <= current.rsplit("/", 1)[1]]
+    for n in old[:-KEEP_VERSIONS]:
+        fs.delete(path(f"{folder}/{n}"), True)
+
+
 def save_view(spark: SparkSession, df: DataFrame, layer: str, name: str) -> str:
     """K2 for an arbitrary DataFrame: a temporary view named ``layer__name``
     (a persistent view needs SQL text; the gold marts have it, see
@@ -61,13 +124,44 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
-    """K3: append to ``layer.name``, creating it on first use."""
-    ensure_layers(df.sparkSession, (layer,))
-    df.write.mode("append").format(fmt).saveAsTable(f"`{layer}`.`{name}`")
+#: The partition column that names the load which a row came with.
+LOAD_ID = "load_id"
+
+
+def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", load_id: str | None = None) -> str:
+    """K3: append to ``layer.name``, creating it on first use.
+
+    With ``load_id`` the rows become that partition of the table, and replace
+    what an earlier attempt of the same load left there: a load that was killed at
+    any point and is run again is there once. The columns are put in the table's
+    order by name; one that the rows lack is NULL, one that the table lacks raises.
+    """
+    spark = df.sparkSession
+    ensure_layers(spark, (layer,))
+    full = f"`{layer}`.`{name}`"
+    if load_id is None:
+        df.write.mode("append").format(fmt).saveAsTable(full)
+        return f"{layer}.{name}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}, {LOAD_ID} string) USING {fmt} PARTITIONED BY ({LOAD_ID})")
+    table = spark.table(f"{layer}.{name}").schema
+    if not table or table.fields[-1].name != LOAD_ID:
+        raise ValueError(f"{layer}.{name} is not partitioned by {LOAD_ID}")
+    wanted = {f.name: f.dataType for f in table.fields[:-1]}
+    unknown = [c for c in df.columns if c not in wanted]
+    if unknown:
+        raise ValueError(f"{layer}.{name} has no columns {unknown}: its columns were fixed by the first load")
+    rows = df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in wanted.items()])
+    spark.sql(f"INSERT OVERWRITE TABLE {full} PARTITION ({LOAD_ID} = '{_quoted(load_id)}') SELECT * FROM {{rows}}", rows=rows)
     return f"{layer}.{name}"
 
 
+def load_ids(spark: SparkSession, layer: str, name: str) -> DataFrame:
+    """The loads of a table, from its partitions alone (no data is read)."""
+    found = spark.sql(f"SHOW PARTITIONS `{layer}`.`{name}`")
+    return found.select(F.regexp_extract("partition", f"^{LOAD_ID}=(.*)$", 1).alias(LOAD_ID))
+
+
 def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     """(layer, table_name, n) for every given table, one global count each."""
     parts = [

@@ -8,6 +8,8 @@ layer can be re-run on its own. Plain function composition; no scheduler.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -27,10 +29,12 @@ def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
     wanted = _present(spark, {ds: f"{bronze_layer}.{ds}" for ds in datasets or specs.DATASETS}, missing)
     built = []
     for ds in wanted:
-        source = spark.table(f"{bronze_layer}.{ds}")
-        rows = source.count()
-        built.append(catalog.save_table(silver.SILVER_BUILDERS[ds](source, on_bad), silver_layer, f"silver_{ds}"))
-        _record(spark, ds, rows, silver_layer)
+        # Asked before the rows are read: a load that comes in between may be in the
+        # table without being recorded, and is then folded once more, to the same rows.
+        loads = unfolded_loads(spark, ds, bronze_layer, silver_layer)
+        rows = spark.table(f"{bronze_layer}.{ds}")
+        built.append(catalog.save_table(silver.SILVER_BUILDERS[ds](rows, on_bad), silver_layer, f"silver_{ds}"))
+        _record(spark, ds, loads, bronze_layer, silver_layer)
     return built
 
 
@@ -44,29 +48,37 @@ def _present(spark: SparkSession, inputs: dict[str, str], missing: str) -> list[
     return [name for name, t in inputs.items() if t not in absent]
 
 
-#: How many rows of a bronze table its silver table reflects (newest entry counts).
-FOLD_LOG = "fold_log"
+#: The loads of each bronze table that its silver table holds.
+FOLDED = "folded_loads"
+FOLDED_SCHEMA = "source string, load_id string"
 
 
-def _record(spark: SparkSession, dataset: str, rows: int, silver_layer: str) -> None:
-    entry = spark.createDataFrame([(dataset, rows)], "dataset string, bronze_rows long")
-    catalog.append_table(entry.coalesce(1).withColumn("at", F.current_timestamp()), silver_layer, FOLD_LOG)
+def _record(spark: SparkSession, dataset: str, loads: list[str], bronze_layer: str, silver_layer: str) -> None:
+    if loads:
+        rows = [(f"{bronze_layer}.{dataset}", x) for x in loads]
+        catalog.append_table(spark.createDataFrame(rows, FOLDED_SCHEMA).coalesce(1), silver_layer, FOLDED)
 
 
-def _recorded(spark: SparkSession, dataset: str, silver_layer: str) -> int | None:
-    if not catalog.table_exists(spark, silver_layer, FOLD_LOG):
-        return None
-    log = spark.table(f"{silver_layer}.{FOLD_LOG}").where(F.col("dataset") == dataset)
-    row = log.orderBy(F.col("at").desc()).first()
-    return None if row is None else row["bronze_rows"]
+def unfolded_loads(spark: SparkSession, dataset: str, bronze_layer: str = "bronze",
+                   silver_layer: str = "silver") -> list[str]:
+    """Load ids of the bronze table that its silver table does not hold yet: an
+    anti join of the table's partitions with the recorded loads. The names come
+    to the driver (one for each load since the last build), no rows do."""
+    loads = catalog.load_ids(spark, bronze_layer, dataset)
+    if catalog.table_exists(spark, silver_layer, FOLDED):
+        folded = spark.table(f"{silver_layer}.{FOLDED}").where(F.col("source") == f"{bronze_layer}.{dataset}")
+        loads = loads.join(folded, catalog.LOAD_ID, "left_anti")
+    return sorted(r[0] for r in loads.select(catalog.LOAD_ID).collect())
 
 
 def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",
-               as_view: bool = False, missing: str = "raise") -> list[str]:
-    """Rebuild every gold mart, as tables (default) or as persistent views over
+               as_view: bool = False, missing: str = "raise",
+               names: Sequence[str] | None = None) -> list[str]:
+    """Rebuild every gold mart (or those of ``names``), as tables (default) or as persistent views over
     the silver tables. A silver table that does not exist raises before anything
     is built; ``missing="skip"`` leaves its marts out."""
-    sources = {name: f"{silver_layer}.silver_{src}" for name, (src, _) in gold.GOLD_BUILDERS.items()}
+    sources = {name: f"{silver_layer}.silver_{src}" for name, (src, _) in gold.GOLD_BUILDERS.items()
+               if names is None or name in names}
     built = []
     for name in _present(spark, sources, missing):
         src, builder = gold.GOLD_BUILDERS[name]
@@ -78,35 +90,28 @@ def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: st
     return built
 
 
-def refresh_silver(spark: SparkSession, dataset: str, new_bronze, on_bad: str = "fail",
+def refresh_silver(spark: SparkSession, dataset: str, on_bad: str = "fail",
                    bronze_layer: str = "bronze", silver_layer: str = "silver") -> str:
-    """Fold newly loaded bronze rows into ``silver_<dataset>``; same result as
-    a full rebuild, reading silver once and re-deduping only the keys the new
-    rows touch.
+    """Fold the bronze loads that ``silver_<dataset>`` does not hold yet into it;
+    same result as a full rebuild, reading silver once, of bronze the partitions of
+    those loads alone, and re-deduping only the keys that they touch.
 
     Keep-first picks the minimum of a total order per key, and a minimum can be
     taken in steps: dedupe(all bronze) = dedupe(silver so far + new rows). The
     NULL-key filter only removes whole key groups, so it commutes with that.
-    This holds when silver reflects all other bronze rows. ``fold_log`` records
-    how many bronze rows silver reflects (bronze only grows): if that count and
-    the new rows do not add up to the bronze table - a load outside this call, a
-    run that died in between - or there is no silver table, silver is rebuilt.
-    The result goes to a staging table first (the current table is being read),
-    which then replaces it.
+    A load that is folded twice changes nothing, so the loads are recorded after
+    the table is replaced, and a run that dies in between is made good by the
+    next. Without a silver table it is built from all of bronze.
     """
     name = f"silver_{dataset}"
-    total = spark.table(f"{bronze_layer}.{dataset}").count()
-    seen = _recorded(spark, dataset, silver_layer)
-    exists = catalog.table_exists(spark, silver_layer, name)
-    if not exists or seen is None or seen + new_bronze.count() != total:
+    if not catalog.table_exists(spark, silver_layer, name):
         return build_silver(spark, [dataset], on_bad, bronze_layer, silver_layer)[0]
-    current = spark.table(f"{silver_layer}.{name}")
-    merged = silver.fold(current, new_bronze, dataset, on_bad)
-    staging = f"{name}__next"
-    catalog.save_table(merged, silver_layer, staging)
-    spark.sql(f"DROP TABLE `{silver_layer}`.`{name}`")
-    spark.sql(f"ALTER TABLE `{silver_layer}`.`{staging}` RENAME TO `{silver_layer}`.`{name}`")
-    _record(spark, dataset, total, silver_layer)
+    loads = unfolded_loads(spark, dataset, bronze_layer, silver_layer)
+    if loads:
+        fresh = spark.table(f"{bronze_layer}.{dataset}").where(F.col(catalog.LOAD_ID).isin(*loads))
+        current = spark.table(f"{silver_layer}.{name}")
+        catalog.save_table(silver.fold(current, fresh, dataset, on_bad), silver_layer, name)
+        _record(spark, dataset, loads, bronze_layer, silver_layer)
     return f"{silver_layer}.{name}"
 
 
@@ -124,17 +129,23 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
         on_bad: str = "fail", drop_dir: str | None = None,
         ledger_table: str = "default.ingestion_runs", incremental: bool = False,
         glob: str = "*.csv", bucket: str = specs.DEFAULT_BUCKET,
-        load_options: dict | None = None) -> dict:
+        load_options: dict | None = None, load_id: str | None = None,
+        now: dt.datetime | None = None) -> dict:
     """K7: upload the exports of ``drop_dir`` that match ``glob`` (then only
     their datasets are loaded, unless ``datasets`` names others; a file that is
     refused stops the run before anything is uploaded or loaded), else use what
     the raw zone has; load the newest raw file of each dataset into bronze, then
     rebuild silver and gold. Silver starts only after every bronze load
-    finished. ``incremental`` folds just the loaded rows into silver
-    (``refresh_silver``) instead of rebuilding it from the whole append-only
-    bronze history; the tables come out the same. ``load_options`` go to the
-    bronze loads (``multi_line``, ``na_words``, ``numeric_text``). Models of
-    datasets that were never loaded are left out and named under ``skipped``."""
+    finished. ``incremental`` folds the bronze loads that silver does not hold yet,
+    of all datasets and whoever loaded them, into silver (``refresh_silver``)
+    instead of rebuilding it from the whole append-only bronze history; the
+    tables come out the same. ``load_options`` go to the bronze loads
+    (``multi_line``, ``na_words``, ``numeric_text``). Models that this run did not
+    bring up to date, for want of their input, are named under ``skipped``.
+
+    ``load_id`` names the run's bronze loads, and ``now`` dates its uploads (both
+    new by default): a run that was killed and is called again with the same two
+    leaves each row once, in bronze and in the ledger."""
     catalog.ensure_layers(spark)
     opts = load_options or {}
     if drop_dir is not None:
@@ -145,19 +156,18 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
                              + "; ".join(f"{r['name']}: {r['reason']}" for r in refused))
         uploaded = ingest.upload_set(spark, drop_dir, glob)
         if uploaded:
-            ingest.ingest(spark, drop_dir, raw_prefix, ledger_table, glob, bucket)
+            ingest.ingest(spark, drop_dir, raw_prefix, ledger_table, glob, bucket, now)
             datasets = uploaded if datasets is None else datasets
-    loaded = bronze.load_all(spark, raw_prefix, datasets, **opts)
+    loaded = bronze.load_all(spark, raw_prefix, datasets, load_id=load_id or uuid.uuid4().hex, **opts)
     if incremental:
-        silver_tables = []
-        for ds, path in sorted(loaded.items()):
-            rows = catalog.staged(bronze.read_files(spark, path, ds, **opts), f"bronze-{ds}")
-            silver_tables.append(refresh_silver(spark, ds, rows, on_bad))
+        present = [ds for ds in specs.DATASETS if catalog.table_exists(spark, "bronze", ds)]
+        silver_tables = [refresh_silver(spark, ds, on_bad) for ds in present]
     else:
         silver_tables = build_silver(spark, on_bad=on_bad, missing="skip")
-    gold_tables = build_gold(spark, missing="skip")
+    marts = [m for m, (ds, _) in gold.GOLD_BUILDERS.items() if f"silver.silver_{ds}" in silver_tables]
+    gold_tables = build_gold(spark, names=marts)
     models = [f"silver.silver_{ds}" for ds in specs.DATASETS] + [f"gold.{m}" for m in gold.GOLD_BUILDERS]
-    skipped = [m for m in models if not spark.catalog.tableExists(m)]
+    skipped = [m for m in models if m not in silver_tables and m not in gold_tables]
     return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables, "skipped": skipped}
 
 

@@ -2,14 +2,15 @@
 
 The CSV scan runs on executors (one task per file when records may span lines,
 since such files cannot be split); only the chosen file paths and the header
-row reach the driver. Appends go through ``saveAsTable`` so each load is one
-job that commits atomically per task and can be retried when an executor dies.
+row reach the driver. Each load is one job that writes a partition of its own,
+so it can be run again after a failure at any point.
 """
 
 from __future__ import annotations
 
 import logging
 import re
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
@@ -233,21 +234,21 @@ def bronze_table_name(dataset: str, layer: str = "bronze") -> str:
     return f"{layer}.{dataset.lower()}"
 
 
-def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze") -> bool:
-    """Create the table on first use, then append; no rows -> warn, skip.
+def append_bronze(df: DataFrame, dataset: str, layer: str = "bronze", load_id: str | None = None) -> bool:
+    """Create the table on first use, then add the rows as one load; no
+    rows -> warn, skip.
 
-    The table's columns are fixed by the first load: a later file with another
-    extra column fails on append, one that lacks a column gets NULL there.
+    Each load is a partition named by ``load_id``, which is new for each call
+    unless given: loading a file again adds its rows again, as in the original;
+    the same id again replaces what an unfinished attempt left. The table's
+    columns are fixed by the first load: a later file with another extra column
+    fails, one that lacks a column gets NULL there.
     """
     name = bronze_table_name(dataset, layer)
     if df.isEmpty():
         log.warning("Nothing appended to %s: the export has no rows", name)
         return False
-    if df.sparkSession.catalog.tableExists(name):
-        for f in df.sparkSession.table(name).schema.fields:
-            if f.name not in df.columns:
-                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    catalog.append_table(df, layer, dataset.lower())
+    catalog.append_table(df, layer, dataset.lower(), load_id=load_id or uuid.uuid4().hex)
     return True
 
 
@@ -258,15 +259,16 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
 
 
 def load_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
-               layer: str = "bronze", multi_line: bool = True, **opts) -> bool:
+               layer: str = "bronze", multi_line: bool = True, load_id: str | None = None, **opts) -> bool:
     """B10 body: parse, check, rename, NA words, append. Many files of one
     dataset load in one job, one task per file."""
-    return append_bronze(read_files(spark, paths, dataset, multi_line, **opts), dataset, layer)
+    return append_bronze(read_files(spark, paths, dataset, multi_line, **opts), dataset, layer, load_id)
 
 
 def load_latest(spark: SparkSession, raw_prefix: str, dataset: str, layer: str = "bronze",
                 **opts) -> str:
-    """Load the newest raw file of ``dataset``; returns its path."""
+    """Load the newest raw file of ``dataset``; returns its path. ``opts``
+    go to ``load_files``, a ``load_id`` among them."""
     listing = raw.list_raw(spark, raw_prefix)
     key = raw.latest_key(raw.latest_object(listing, dataset), f"dataset '{dataset.lower()}'")
     load_files(spark, key, dataset, layer, **opts)
@@ -278,7 +280,8 @@ def load_all(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | Non
     """The newest file of every dataset found (or of ``datasets``).
 
     One listing job picks all newest files at once (at most six paths come back
-    to the driver); the datasets' load jobs then run side by side.
+    to the driver); the datasets' load jobs then run side by side, with one
+    ``load_id`` for all if it is among ``opts``.
     """
     listing = raw.list_raw(spark, raw_prefix)
     latest = {r["dataset"]: r["path"] for r in raw.latest_objects(listing).collect()}

@@ -9,11 +9,10 @@ A batch may be run again after a failure, and each file's rows still arrive once
 
 * all files of the batch are parsed to staged files first, so a malformed one
   stops the batch before bronze is touched;
-* before each append, the table's row count and the number of rows to come are
-  noted; after it, the loaded paths go to the load log (path, dataset, batch). A
-  re-run finds by the table's row count whether the noted append took place.
-  This needs the stream to be the table's only writer while it runs; any other
-  count raises.
+* the rows of a dataset's new files are one bronze load, named by a hash of their
+  paths, so running the batch again replaces the same partition; after it, the
+  paths go to the load log (path, dataset, batch), which is what keeps files out
+  that another stream or checkpoint brings up again.
 
 Only paths reach the driver, at most ``max_files`` per batch.
 """
@@ -34,7 +33,6 @@ from reelhouse.session import checkpoint_dir
 from reelhouse.sources import bronze
 
 LOAD_LOG = "bronze_load_log"
-PENDING = "bronze_load_pending"
 
 # The binaryFile source's own schema.
 BINARY_FILE_SCHEMA = T.StructType(
@@ -47,7 +45,6 @@ BINARY_FILE_SCHEMA = T.StructType(
 )
 
 
-PENDING_SCHEMA = "load_id string, dataset string, batch_id long, rows_before long, n_rows long"
 LOG_SCHEMA = "path string, dataset string, batch_id long"
 
 
@@ -55,37 +52,11 @@ def _write_log(spark: SparkSession, layer: str, rows: list[tuple]) -> None:
     catalog.append_table(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), layer, LOAD_LOG)
 
 
-def _bronze_rows(spark: SparkSession, layer: str, dataset: str) -> int:
-    name = bronze.bronze_table_name(dataset, layer)
-    return spark.table(name).count() if spark.catalog.tableExists(name) else 0
-
-
-def _append_once(spark: SparkSession, rows: DataFrame, dataset: str, layer: str, batch_id: int,
-                 load_id: str) -> None:
-    """Append ``rows`` unless the log and the table's row count show that an
-    earlier run of this load did."""
-    n, before = rows.count(), _bronze_rows(spark, layer, dataset)
-    noted = None
-    if catalog.table_exists(spark, layer, PENDING):
-        noted = spark.table(f"{layer}.{PENDING}").where(F.col("load_id") == load_id).first()
-    if noted is None:
-        note = spark.createDataFrame([(load_id, dataset, batch_id, before, n)], PENDING_SCHEMA)
-        catalog.append_table(note.coalesce(1), layer, PENDING)
-    elif before == noted["rows_before"] + noted["n_rows"]:
-        return
-    elif before != noted["rows_before"]:
-        raise RuntimeError(
-            f"{layer}.{dataset} has {before} rows where an unfinished load expects "
-            f"{noted['rows_before']} or {noted['rows_before'] + noted['n_rows']}"
-        )
-    bronze.append_bronze(rows, dataset, layer)
-
-
 def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str = "bronze",
                silver_layer: str | None = None, on_bad: str = "fail", **opts) -> int:
     """Load the export files of one micro-batch; returns the number of files loaded.
 
-    With ``silver_layer`` the loaded rows are also folded into that layer's
+    With ``silver_layer`` the loads are also folded into that layer's
     silver tables (``plans.run.refresh_silver``, with ``on_bad``), keeping
     silver current file by file.
     """
@@ -105,9 +76,9 @@ def load_batch(spark: SparkSession, files: DataFrame, batch_id: int, layer: str
     for ds, rows in parsed.items():
         paths = sorted(groups[ds])
         load_id = hashlib.sha256("\n".join([ds, *paths]).encode()).hexdigest()
-        _append_once(spark, rows, ds, layer, batch_id, load_id)
-        if silver_layer is not None and _bronze_rows(spark, layer, ds):
-            refresh_silver(spark, ds, rows, on_bad, layer, silver_layer)
+        bronze.append_bronze(rows, ds, layer, load_id)
+        if silver_layer is not None and catalog.table_exists(spark, layer, ds):
+            refresh_silver(spark, ds, on_bad, layer, silver_layer)
         _write_log(spark, layer, [(p, ds, batch_id) for p in paths])
     return sum(len(paths) for paths in groups.values())
 
