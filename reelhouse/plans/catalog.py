@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Mapping
@@ -142,6 +143,8 @@ def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", loa
     if load_id is None:
         df.write.mode("append").format(fmt).saveAsTable(full)
         return f"{layer}.{name}"
+    if not re.fullmatch(r"[0-9A-Za-z_.-]+", load_id):
+        raise ValueError(f"A load id has letters, digits, '_', '.' and '-' alone (it names a folder), not {load_id!r}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}, {LOAD_ID} string) USING {fmt} PARTITIONED BY ({LOAD_ID})")
     table = spark.table(f"{layer}.{name}").schema

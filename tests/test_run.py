@@ -209,8 +209,7 @@ def test_incremental_silver_equals_full_rebuild(spark, tmp_dir):
             with open(path, "w") as f:
                 f.write(text)
             bronze.load_files(spark, path, ds, layer="bronze_inc")
-            run.refresh_silver(spark, ds, bronze.read_files(spark, path, ds),
-                               bronze_layer="bronze_inc", silver_layer="silver_inc")
+            run.refresh_silver(spark, ds, bronze_layer="bronze_inc", silver_layer="silver_inc")
         full = silver.SILVER_BUILDERS[ds](spark.table(f"bronze_inc.{ds}"))
         inc = spark.table(f"silver_inc.silver_{ds}")
         key = lambda r: repr(tuple(r))
@@ -222,7 +221,7 @@ def test_run_incremental(spark, tmp_dir):
     write(f"{raw_dir}/x/watchlist.csv", "Date,Name,Year,Letterboxd URI\n2024-03-03,Q,1977,inc-w1\n",
           time.time())
     out = run.run(spark, raw_dir, incremental=True)
-    assert out["silver"] == ["silver.silver_watchlist"]
+    assert "silver.silver_watchlist" in out["silver"]
     got = spark.table("silver.silver_watchlist").where("letterboxd_uri = 'inc-w1'").collect()
     assert [r.name for r in got] == ["Q"]
     assert spark.table("gold.gold_watchlist_by_year").where("year = 1977").count() == 1
