@@ -34,11 +34,6 @@ def list_layers(spark: SparkSession, layers=specs.LAYERS) -> DataFrame:
     return found.where(F.col("schema_name").isin(*layers)).orderBy("schema_name")
 
 
-#: Versions of a rebuilt table whose files stay: the current one, and the one
-#: before it for readers that began on it.
-KEEP_VERSIONS = 2
-
-
 def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
     """K1: full rebuild of ``layer.name``; returns the table name.
 
@@ -47,7 +42,8 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
     that fails leaves the table as it was, a reader sees the old rows or the new
     ones, and ``df`` may read the table itself. If the columns differ from the
     table's, or a view has the name, the old entry is dropped and a new one made
-    (two changes of the catalog, after the rows are written).
+    (two changes of the catalog, after the rows are written). The files of the
+    version before stay, for readers that began on them, until the next rebuild.
 
     A written table also cuts the lineage: readers of the next layer start
     from these files, not from the plan that made them.
@@ -57,16 +53,16 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
     full = f"`{layer}`.`{name}`"
     folder = f"{versions_folder(spark, layer, name)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
     df.write.format(fmt).save(folder)
-    if not table_exists(spark, layer, name):
-        _create(spark, layer, name, folder, fmt, df.schema)
-    elif _same_table(spark, layer, name, fmt, df.schema):
+    before = _described(spark, layer, name) if table_exists(spark, layer, name) else None
+    if before is not None and _same_table(before, spark.table(f"{layer}.{name}").schema, fmt, df.schema):
         spark.sql(f"ALTER TABLE {full} SET LOCATION '{_quoted(folder)}'")
     else:
-        kind = "VIEW" if spark.catalog.getTable(f"{layer}.{name}").tableType == "VIEW" else "TABLE"
-        spark.sql(f"DROP {kind} {full}")
-        _create(spark, layer, name, folder, fmt, df.schema)
+        if before is not None:
+            spark.sql(f"DROP {'VIEW' if before.get('Type') == 'VIEW' else 'TABLE'} {full}")
+        spark.catalog.createTable(full, path=folder, source=fmt, schema=df.schema)
     spark.catalog.refreshTable(full)
-    _forget_versions(spark, versions_folder(spark, layer, name), folder)
+    if before is not None and before.get("Location"):  # a view has none
+        _forget_versions(spark, versions_folder(spark, layer, name), before["Location"])
     return f"{layer}.{name}"
 
 
@@ -79,32 +75,27 @@ def _quoted(path: str) -> str:
     return path.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _create(spark: SparkSession, layer: str, name: str, folder: str, fmt: str, schema: T.StructType) -> None:
-    spark.catalog.createTable(f"`{layer}`.`{name}`", path=folder, source=fmt, schema=schema)
+def _described(spark: SparkSession, layer: str, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{layer}`.`{name}`").collect()}
 
 
-def _same_table(spark: SparkSession, layer: str, name: str, fmt: str, schema: T.StructType) -> bool:
-    """Whether the name is an unpartitioned table of the format with these columns."""
-    found = spark.catalog.getTable(f"{layer}.{name}")
-    if found.tableType == "VIEW":
-        return False
-    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{layer}`.`{name}`").collect()}
-    columns = [(f.name, f.dataType) for f in spark.table(f"{layer}.{name}").schema.fields]
-    return (columns == [(f.name, f.dataType) for f in schema.fields] and "# Partition Information" not in described
+def _same_table(described: dict[str, str], old: T.StructType, fmt: str, new: T.StructType) -> bool:
+    """Whether it is an unpartitioned table of the format with these columns."""
+    columns = [[(f.name, f.dataType) for f in schema.fields] for schema in (old, new)]
+    return (columns[0] == columns[1] and described.get("Type") != "VIEW" and "# Partition Information" not in described
             and described.get("Provider", "").lower() == fmt.lower())
 
 
-def _forget_versions(spark: SparkSession, folder: str, current: str) -> None:
-    """Delete all versions but the newest ``KEEP_VERSIONS`` (names begin with the time).
-
-    Versions newer than ``current`` are those of another writer and stay.
-    """
+def _forget_versions(spark: SparkSession, folder: str, before: str) -> None:
+    """Delete the versions older than ``before``, what failed builds left among
+    them (names begin with the time)."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(f.getPath().getName() for f in fs.listStatus(path(folder)))
-    old = [n for n in names if n <= current.rsplit("/", 1)[1]]
-    for n in old[:-KEEP_VERSIONS]:
-        fs.delete(path(f"{folder}/{n}"), True)
+    if path(before).getParent() is None or path(before).getParent().toUri().getPath() != path(folder).toUri().getPath():
+        return  # the table lay elsewhere
+    for n in sorted(f.getPath().getName() for f in fs.listStatus(path(folder))):
+        if n < path(before).getName():
+            fs.delete(path(f"{folder}/{n}"), True)
 
 
 def save_view(spark: SparkSession, df: DataFrame, layer: str, name: str) -> str:
