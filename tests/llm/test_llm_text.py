@@ -243,16 +243,16 @@ def test_decontamination(spark, docs, empty):
     texts = {
         1: "so it goes. " + items[0] + " the end",  # as it is
         2: items[0].upper(), 3: items[0].replace("12", "30").replace("5", "8").replace("Anna", "Maria"),  # other case, other values
-        4: items[0].replace("12", "30", 1),  # one value for two: 12 becomes 30 and 12
+        4: items[0].replace("12", "30", 1),  # 12 becomes 30 and 12, but 18 words in a row are the item's
         5: "The train stands still. Tom has a friend.", 6: None, 7: "", 8: "well, " + items[1].replace("60 km", "75 miles"),
         9: "we say short item of words here", 10: "first " + " ".join(items[6].split()[5:19]) + " nothing else follows", 11: " ".join(items[6].split()[5:15]),
     }
     table = spark.createDataFrame(list(texts.items()) + [(1, texts[1])], "doc_id long, text string")
     got = {r.doc_id: r for r in decontaminate.contamination(table, bench).collect()}
-    assert {i for i, r in got.items() if r.contaminated} == {1, 2, 3, 8, 9, 10}
+    assert {i for i, r in got.items() if r.contaminated} == {1, 2, 3, 4, 8, 9, 10}
     assert got[3].item_ids == [0] and got[8].item_ids == [1] and got[9].item_ids == [5]
     clean = decontaminate.decontaminated(table, bench)
-    assert clean.columns == table.columns and {r.doc_id for r in clean.collect()} == {4, 5, 6, 7, 11}
+    assert clean.columns == table.columns and {r.doc_id for r in clean.collect()} == {5, 6, 7, 11}
     none = bench.where("false")
     assert decontaminate.contamination(docs, none).where("contaminated").count() == 0
     assert decontaminate.contamination(empty, bench).count() == 0
