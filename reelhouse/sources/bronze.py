@@ -1,8 +1,7 @@
 """Bronze: CSV exports to all-text tables.
 
-The CSV scan runs on executors (one task per file when records may span lines,
-since such files cannot be split); only the chosen file paths and the header
-row reach the driver. Each load is one job that writes a partition of its own,
+The CSV scan runs on executors, a task for each chunk of a file; only the chosen
+file paths, the header rows and a few bytes for each chunk reach the driver. Each load is one job that writes a partition of its own,
 so it can be run again after a failure at any point.
 """
 
@@ -23,13 +22,12 @@ from pyspark.sql import types as T
 from reelhouse import specs
 from reelhouse.functions.text import na_literals, na_to_null
 from reelhouse.plans import catalog
-from reelhouse.sources import raw
+from reelhouse.sources import files, raw
 
 log = logging.getLogger(__name__)
 
 EXTRA = "_extra"
 PARALLEL = 6  # independent small jobs started side by side
-HEADER_WIDTH = 500  # columns looked at first in the header of a file whose name holds pattern characters
 
 # The export dialect (header row, comma, double quotes doubled
 # inside quoted fields, newlines allowed inside quotes, UTF-8).
@@ -43,80 +41,79 @@ CSV_OPTIONS = {
 }
 
 
-def literal_path(path: str) -> str:
-    """``path`` with the characters escaped that file sources take for a pattern."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+def header_names(fields: Sequence[str]) -> list[str]:
+    """B1: column names of a header, as Spark's own reader gives them: blank ones
+    and those that differ in case alone get their position."""
+    lower = [f.lower() for f in fields]
+    return [f"_c{i}" if not f else f"{f}{i}" if lower.count(f.lower()) > 1 else f for i, f in enumerate(fields)]
 
 
-def read_header(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> list[str]:
-    """B1: column names of the first header row (Spark dedupes repeated names)."""
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
-    first = paths if isinstance(paths, str) else paths[0]
-    if literal_path(first) == first:
-        return reader.csv(first).columns
-    # To find a schema the reader takes resolved names for patterns again, so
-    # the header row of a file with such a name is read as a row of text.
-    # It is read wider until its second half is blank.
-    width = HEADER_WIDTH
-    while True:
-        wide = ", ".join(f"`{i}` string" for i in range(width))
-        row = reader.option("header", "false").schema(wide).csv(literal_path(first)).first() or ()
-        names = [n for n in row]
-        if all(n is None for n in names[width // 2:]):
-            break
-        width *= 2
-    while names and names[-1] is None:
-        names.pop()
-    names = [f"_c{i}" if n is None else n.removeprefix("\ufeff") for i, n in enumerate(names)]
-    return [f"{n}{i}" if names.count(n) > 1 else n for i, n in enumerate(names)]
-
-
-def _literal(paths: str | Sequence[str]) -> list[str]:
-    return [literal_path(p) for p in ([paths] if isinstance(paths, str) else paths)]
-
-
-def read_export(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    multi_line: bool = True,
-    columns: Sequence[str] | None = None,
-) -> DataFrame:
+def read_export(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True,
+                chunk: int | None = None) -> DataFrame:
     """B1: one or more exports of the same dataset as all-text columns.
 
-    The scan uses the header's columns plus a sentinel column: a row with more
-    fields than the header fills the sentinel, and the job then stops with an
-    error instead of cutting the row silently; a short row is padded with NULL.
-    ``multi_line=False`` lets Spark split large files when no quoted field holds
-    a newline. Paths are names, not patterns. Files with different headers are
-    read apart and put together by column name; a column that one of them lacks
-    is NULL there.
+    A file is cut into chunks of ``chunk`` bytes at any place, also inside quoted
+    fields (``sources.files``); a chunk's records go to Spark's own CSV parser.
+    Line ends inside quotes stay as they are. A sentinel column is parsed besides
+    the header's: a row with more fields than the header fills it, and the job
+    then stops with an error instead of cutting the row silently; a short row is
+    padded with NULL. Paths are names, not patterns. Files with different headers
+    are read apart and put together by column name; a column that one of them
+    lacks is NULL there.
+
+    ``multi_line=False`` leaves the cutting to Spark's CSV source, for files in
+    which no quoted field holds a newline; its listing leaves out names that
+    start with ``_`` or ``.``. Paths that Arrow cannot open (``files.can_open``)
+    are read by that source too, whole files to a task if ``multi_line``.
     """
-    if columns is None and not isinstance(paths, str) and len(paths) > 1:
-        by_header: dict[tuple[str, ...], list[str]] = {}
-        with ThreadPoolExecutor(PARALLEL) as pool:
-            headers = list(pool.map(lambda p: tuple(read_header(spark, p, multi_line)), paths))
-        for p, header in zip(paths, headers):
-            by_header.setdefault(header, []).append(p)
-        parts = [read_export(spark, ps, multi_line, cols) for cols, ps in by_header.items()]
+    paths = [files.qualified(spark, p) for p in ([paths] if isinstance(paths, str) else paths)]
+    if not all(files.can_open(p) for p in paths):
+        parts = [_scanned(spark, [p], _spark_header(spark, p, multi_line), multi_line) for p in paths]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    cols = list(columns) if columns is not None else read_header(spark, paths, multi_line)
-    schema = T.StructType(
-        [T.StructField(c, T.StringType(), True) for c in cols]
-        + [T.StructField(EXTRA, T.StringType(), True)]
-    )
-    df = (
-        spark.read.options(**CSV_OPTIONS)
-        .option("multiLine", str(multi_line).lower())
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", "true")
-        .schema(schema)
-        .csv(_literal(paths))
-    )
+    by_header: dict[tuple[str, ...], list[files.Head]] = {}
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        for head in pool.map(files.read_head, paths):
+            by_header.setdefault(tuple(header_names(head.fields)), []).append(head)
+    if multi_line:
+        parts = [_parsed(files.csv_records(spark, heads, chunk), cols) for cols, heads in by_header.items()]
+    else:
+        parts = [_scanned(spark, [h.path for h in heads], cols, False) for cols, heads in by_header.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _no_more_fields(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     guard = F.when(
         F.col(EXTRA).isNotNull(),
         F.raise_error(F.lit("CSV row has more fields than the header")),
     ).otherwise(F.lit(True))
-    return df.where(guard).select(*cols)
+    return df.where(guard).select(*[_quoted(c) for c in cols])
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _parsed(records: DataFrame, cols: Sequence[str]) -> DataFrame:
+    schema = ", ".join(f"{_quoted(c)} string" for c in [*cols, EXTRA])
+    options = {k: v for k, v in CSV_OPTIONS.items() if k in ("sep", "quote", "escape")}
+    row = F.from_csv(F.col("record").cast("string"), schema, {**options, "mode": "PERMISSIVE"})
+    return _no_more_fields(records.select(row.alias("row")).select("row.*"), cols)
+
+
+def literal_path(path: str) -> str:
+    """``path`` with the characters escaped that file sources take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def _spark_header(spark: SparkSession, path: str, multi_line: bool) -> list[str]:
+    return spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(literal_path(path)).columns
+
+
+def _scanned(spark: SparkSession, paths: Sequence[str], cols: Sequence[str], multi_line: bool) -> DataFrame:
+    """Spark's CSV source on files of one header."""
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*cols, EXTRA]])
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), mode="PERMISSIVE", enforceSchema="true")
+    return _no_more_fields(reader.schema(schema).csv([literal_path(p) for p in paths]), cols)
 
 
 def require_columns(df: DataFrame, dataset: str) -> DataFrame:
@@ -261,7 +258,7 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
 def load_files(spark: SparkSession, paths: str | Sequence[str], dataset: str,
                layer: str = "bronze", multi_line: bool = True, load_id: str | None = None, **opts) -> bool:
     """B10 body: parse, check, rename, NA words, append. Many files of one
-    dataset load in one job, one task per file."""
+    dataset load in one job."""
     return append_bronze(read_files(spark, paths, dataset, multi_line, **opts), dataset, layer, load_id)
 
 

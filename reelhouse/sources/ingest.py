@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import specs
-from reelhouse.sources import raw
+from reelhouse.plans import catalog
+from reelhouse.sources import files, raw
 
 
 def ingest(
@@ -38,25 +38,17 @@ def ingest(
     # UTC wall clock for the key text, built from text so no zone applies
     wall_utc = F.lit(instant.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     created = F.lit(instant)  # an instant: right in any session time zone
-    files = raw.files_named(raw.list_drop(spark, drop_dir, glob, with_content=True))
-    checked = raw.admit(files)
+    checked = raw.admit(raw.files_named(raw.list_drop(spark, drop_dir, glob)))
     rejected = checked.where(~F.col("admitted")).select("path", "name", "length", "reason")
-    keyed = raw.with_object_key(
-        raw.fingerprint(checked.where("admitted")).withColumn("uploaded_at", wall_utc),
-        "uploaded_at",
-    )
-    # landing and the ledger both need the keys: read and hash each file once
-    # (blocks lost with an executor are recomputed, to the same keys)
-    keyed = keyed.persist(StorageLevel.DISK_ONLY)
-    try:
-        raw.land(keyed, raw_dir)
-        rows = raw.ledger_rows(
-            keyed.drop("content").withColumns(
-                {"created": created, "sent_type": F.lit(specs.DEFAULT_CONTENT_TYPE)}),
-            bucket=bucket, created_col="created", content_type_col="sent_type")
-        _append_new_ledger_rows(spark, rows, ledger_table)
-    finally:
-        keyed.unpersist()
+    hashed = files.hashed(checked.where("admitted").select("path", "name"))
+    # The landing and the ledger see the same hashes: they are written once. A file
+    # that changes after that fails the landing.
+    keyed = catalog.staged(raw.with_object_key(hashed.withColumn("uploaded_at", wall_utc), "uploaded_at"), "upload")
+    raw.land(keyed, raw_dir)
+    rows = raw.ledger_rows(
+        keyed.withColumns({"created": created, "sent_type": F.lit(specs.DEFAULT_CONTENT_TYPE)}),
+        bucket=bucket, created_col="created", content_type_col="sent_type")
+    _append_new_ledger_rows(spark, rows, ledger_table)
     # this upload's rows, read back from the table (not recomputed from the files)
     this_upload = spark.table(ledger_table).where(F.col("created_at") == created)
     return this_upload, rejected

@@ -1,20 +1,16 @@
 """Raw zone: list landed files, pick the latest per dataset, admit, fingerprint,
 land unchanged and keep an ingestion ledger.
 
-Listings come from Spark's ``binaryFile`` source, whose file index lists in
-parallel on large trees; the ``content`` column is pruned from the scan unless a
-caller selects it, so listing never reads file bytes. Everything returned is a
-lazy DataFrame except the few helpers that name a single object key or the
+Listings are made by executors, folder by folder, and never read file bytes;
+hashes and copies read them in blocks (``sources.files``). Everything returned is
+a lazy DataFrame except the few helpers that name a single object key or the
 dataset set (at most six values) for the caller.
 """
 
 from __future__ import annotations
 
-import fnmatch
-import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,87 +19,18 @@ from reelhouse import specs
 from reelhouse.functions.paths import file_name, has_suffix, infer_dataset
 from reelhouse.operators.dedupe import keep_first
 from reelhouse.operators.order import top_k
+from reelhouse.sources import files
 
-LISTING_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType(), True),
-        T.StructField("modificationTime", T.TimestampType(), True),
-        T.StructField("length", T.LongType(), True),
-    ]
-)
-LISTING_COLUMNS = ["path", "modificationTime", "length"]
+def list_raw(spark: SparkSession, prefix: str) -> DataFrame:
+    """Every file under ``prefix`` (all levels): path, modificationTime, length.
+    Empty files and names that start with ``_`` or ``.`` are files like others."""
+    return files.listing(spark, prefix, True)
 
 
-def _empty_objects(spark: SparkSession, folder: str, recursive: bool, glob: str | None,
-                   with_content: bool) -> DataFrame | None:
-    """Zero-byte files as listing rows; file sources leave them out.
-
-    Only the empty ones become rows; the listing itself is a file-system call.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    root = path(folder)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    if fs.exists(root):
-        files = fs.listFiles(root, recursive)
-        while files.hasNext():
-            f = files.next()
-            if f.getLen() == 0:
-                found.append((f.getPath().toString(), f.getModificationTime()))
-    base = fs.makeQualified(root).toString().rstrip("/")
-    hidden = ("_", ".")
-    rows = [
-        (p, t) for p, t in found
-        if not any(part.startswith(hidden) for part in p.removeprefix(base).split("/") if part)
-        and (glob is None or fnmatch.fnmatchcase(p.rsplit("/", 1)[-1], glob))
-    ]
-    if not rows:
-        return None
-    df = spark.createDataFrame(rows, "path string, ms long").select(
-        "path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("long").alias("length")
-    )
-    return df.withColumn("content", F.lit(b"")) if with_content else df
-
-
-def _load_binary(spark: SparkSession, path: str, recursive: bool, glob: str | None,
-                 with_content: bool) -> DataFrame:
-    df = _load_nonempty(spark, path, recursive, glob, with_content)
-    empty = _empty_objects(spark, path, recursive, glob, with_content)
-    return df if empty is None else df.unionByName(empty)
-
-
-def _load_nonempty(spark: SparkSession, path: str, recursive: bool, glob: str | None,
-                   with_content: bool) -> DataFrame:
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    try:
-        df = reader.load(path)
-    except AnalysisException as e:  # missing folder or nothing matched
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            schema = LISTING_SCHEMA
-            if with_content:
-                schema = schema.add("content", T.BinaryType(), True)
-            return spark.createDataFrame([], schema)
-        raise
-    cols = LISTING_COLUMNS + (["content"] if with_content else [])
-    return df.select(*cols)
-
-
-def list_raw(spark: SparkSession, prefix: str, with_content: bool = False) -> DataFrame:
-    """Every file under ``prefix`` (all levels): path, modificationTime, length."""
-    return _load_binary(spark, prefix, True, None, with_content)
-
-
-def list_drop(spark: SparkSession, folder: str, glob: str = "*.csv",
-              with_content: bool = False) -> DataFrame:
-    """R2: files directly in ``folder`` whose name matches ``glob``; a missing
-    folder gives an empty listing. The plain listing is sorted by path; with
-    content it is not, since that would move every file's bytes."""
-    files = _load_binary(spark, folder, False, glob, with_content)
-    return files if with_content else files.orderBy(F.col("path").asc_nulls_last())
+def list_drop(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """R2: files directly in ``folder`` whose name matches ``glob``, sorted by
+    path; a missing folder gives an empty listing."""
+    return files.listing(spark, folder, False, glob).orderBy(F.col("path").asc_nulls_last())
 
 
 def with_dataset(listing: DataFrame, path_col: str = "path", strict: bool = False) -> DataFrame:
@@ -167,22 +94,22 @@ REJECT_NOT_CSV = "Only .csv files are supported"
 REJECT_EMPTY = "Empty file"
 
 
-def admit(files: DataFrame, name_col: str = "name", size_col: str = "length") -> DataFrame:
+def admit(listed: DataFrame, name_col: str = "name", size_col: str = "length") -> DataFrame:
     """``admitted`` and ``reason`` per file: the name must end in .csv (any
     case) and the file must not be empty."""
     is_csv = F.lower(F.col(name_col)).endswith(".csv")
     reason = F.when(~is_csv, F.lit(REJECT_NOT_CSV)).when(
         F.col(size_col) <= 0, F.lit(REJECT_EMPTY)
     )
-    return files.withColumn("reason", reason).withColumn(
+    return listed.withColumn("reason", reason).withColumn(
         "admitted", F.col("reason").isNull()
     )
 
 
-def fingerprint(files: DataFrame, content_col: str = "content") -> DataFrame:
-    """Byte length and SHA-256 hex of each file's bytes."""
+def fingerprint(contents: DataFrame, content_col: str = "content") -> DataFrame:
+    """Byte length and SHA-256 hex of bytes in a column (``files.hashed`` reads files)."""
     content = F.col(content_col)
-    return files.withColumn("size_bytes", F.octet_length(content).cast("long")).withColumn(
+    return contents.withColumn("size_bytes", F.octet_length(content).cast("long")).withColumn(
         "sha256", F.sha2(content, 256)
     )
 
@@ -195,14 +122,14 @@ def utc_text(ts: Column, ts_type: T.DataType, fmt: str) -> Column:
 
 
 def with_object_key(
-    files: DataFrame,
+    hashed: DataFrame,
     ts_col: str,
     sha_col: str = "sha256",
     name_col: str = "name",
     prefix: str = specs.RAW_PREFIX,
 ) -> DataFrame:
     """``<prefix>yyyy/MM/dd/HHmmss_<sha[:12]>_<name, spaces as _>`` (UTC)."""
-    ts_type = files.schema[ts_col].dataType
+    ts_type = hashed.schema[ts_col].dataType
     key = F.concat(
         F.lit(prefix),
         utc_text(F.col(ts_col), ts_type, "yyyy/MM/dd/HHmmss"),
@@ -211,60 +138,18 @@ def with_object_key(
         F.lit("_"),
         F.replace(F.col(name_col), F.lit(" "), F.lit("_")),
     )
-    return files.withColumn("object_key", key)
-
-
-#: Hadoop scheme -> the scheme under which Arrow opens the same store.
-ARROW_SCHEMES = {
-    "file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs",
-    "s3": "s3", "s3a": "s3", "s3n": "s3", "abfs": "abfs", "abfss": "abfss",
-}
-
-
-def arrow_uri(path: str) -> str:
-    """``path`` as Arrow's file systems name it; an unknown scheme raises."""
-    m = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(.*)", path, re.S)
-    if m is None:
-        return path
-    scheme, rest = m.group(1).lower(), m.group(2)
-    if scheme not in ARROW_SCHEMES:
-        raise ValueError(f"Cannot land files on {scheme}: (known: {sorted(ARROW_SCHEMES)})")
-    if scheme == "file":
-        return "/" + rest.lstrip("/")
-    return f"{ARROW_SCHEMES[scheme]}:{rest}"
-
-
-def land(files: DataFrame, raw_dir: str, key_col: str = "object_key",
-         content_col: str = "content") -> None:
-    """Write each file's bytes unchanged to ``raw_dir/<object key>``.
-
-    Executors write their own rows (no bytes pass through the driver). Each file
-    is written under a ``_``-prefixed temporary name (Spark's file sources skip
-    such names) and then moved to its key, so no reader sees a partial file. A
-    retried task rewrites the same bytes under the same key (the key holds the
-    content hash), so a lost executor leaves no wrong state behind.
-    ``raw_dir`` is a path or URI as Spark takes it (``arrow_uri`` holds the
-    known schemes; any other raises before a byte is written).
+    return hashed.withColumn("object_key", key)
+
+
+def land(keyed: DataFrame, raw_dir: str, path_col: str = "path", key_col: str = "object_key",
+         sha_col: str = "sha256") -> None:
+    """Copy each file unchanged to ``raw_dir/<object key>``.
+
+    Executors copy in blocks from path to path (``files.copied``), so a file has
+    any size and no content is in a row. ``raw_dir`` is a path or URI as Spark
+    takes it; a scheme that Arrow does not know raises before a byte is written.
     """
-    target_dir = arrow_uri(raw_dir)
-
-    def write_partition(rows):
-        from pyarrow import fs as pafs
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        attempt = f"{ctx.stageId()}-{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0"
-        filesystem, base = pafs.FileSystem.from_uri(target_dir)
-        for row in rows:
-            target = f"{base.rstrip('/')}/{row[key_col]}"
-            folder, name = target.rsplit("/", 1)
-            filesystem.create_dir(folder, recursive=True)
-            temp = f"{folder}/_tmp.{attempt}.{name}"
-            with filesystem.open_output_stream(temp) as out:
-                out.write(bytes(row[content_col]))
-            filesystem.move(temp, target)
-
-    files.select(key_col, content_col).foreachPartition(write_partition)
+    files.copied(keyed, raw_dir, path_col, key_col, sha_col)
 
 
 def uuid_from(*cols: Column) -> Column:

@@ -31,8 +31,7 @@ def test_csv_dialect(spark, tmp_dir):
     rows = df.orderBy("list_date").collect()
     assert len(rows) == 2
     assert rows[0].name == 'A "q", b'
-    # Known difference: Spark's parser turns CRLF inside a quoted field into LF.
-    assert rows[0].review == "line one\nline two"
+    assert rows[0].review == "line one\r\nline two"
     assert rows[0].tags is None
     assert rows[1].name is None and rows[1].rating is None and rows[1].year is None
     assert rows[1].tags == " NA "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.paths import infer_dataset
 from reelhouse.operators.checks import check_ledger
-from reelhouse.sources import raw
+from reelhouse.sources import files, raw
 
 
 @pytest.mark.parametrize(
@@ -73,27 +73,24 @@ def test_listing_latest_and_missing(spark, tmp_dir):
 
 
 def test_admit_fingerprint_key_land_ledger(spark, tmp_dir):
-    files = spark.createDataFrame(
+    given = spark.createDataFrame(
         [("my ratings.csv", bytearray(b"Date,Name\n")), ("notes.txt", bytearray(b"x")),
          ("empty.CSV", bytearray(b""))],
         "name string, content binary",
     ).withColumn("length", F.octet_length("content"))
-    adm = {r.name: (r.admitted, r.reason) for r in raw.admit(files).collect()}
+    adm = {r.name: (r.admitted, r.reason) for r in raw.admit(given).collect()}
     assert adm == {
         "my ratings.csv": (True, None),
         "notes.txt": (False, raw.REJECT_NOT_CSV),
         "empty.CSV": (False, raw.REJECT_EMPTY),
     }
-    ok = raw.fingerprint(raw.admit(files).where("admitted"))
+    ok = raw.fingerprint(raw.admit(given).where("admitted"))
     ts = spark.createDataFrame([(dt.datetime(2024, 3, 9, 7, 8, 9),)], "ts timestamp")
     keyed = raw.with_object_key(ok.crossJoin(ts), "ts")  # one row on each side
     row = keyed.collect()[0]
     sha = hashlib.sha256(b"Date,Name\n").hexdigest()
     assert row.sha256 == sha and row.size_bytes == 10
     assert row.object_key == f"letterboxd/2024/03/09/070809_{sha[:12]}_my_ratings.csv"
-    raw.land(keyed, tmp_dir)
-    with open(f"{tmp_dir}/{row.object_key}", "rb") as f:
-        assert f.read() == b"Date,Name\n"
     ledger = raw.ledger_rows(keyed)
     r = ledger.collect()[0]
     assert r.status == "uploaded" and r.bucket == "raw" and r.size_bytes == 10
@@ -130,31 +127,58 @@ def test_object_key_is_utc_in_any_session_zone(spark):
     assert key == "letterboxd/2024/03/09/070809_abababababab_a_b.csv"
 
 
-def test_empty_objects_are_listed(spark, tmp_dir):
-    import os
+def test_every_file_is_listed(spark, tmp_dir):
+    names = ["1_ratings.csv", "2_ratings.csv", "_ratings.csv", ".x-diary.csv", "a/_b/watched.csv", "a/.c/d/e/f/[g]{h}* ratings.csv", "notes"]
+    for i, name in enumerate(names):
+        write(f"{tmp_dir}/raw/{name}", b"" if i % 2 else b"x\n", 1000 + i)
+    write(f"{tmp_dir}/raw/{files.TEMPORARY}0.ratings.csv", b"part")
+    got = raw.list_raw(spark, f"{tmp_dir}/raw").collect()
+    assert sorted((r.path, r.modificationTime.timestamp(), r.length) for r in got) == sorted(
+        (f"file:{tmp_dir}/raw/{name}", 1000 + i, 0 if i % 2 else 2) for i, name in enumerate(names))
+    listing = raw.list_raw(spark, f"{tmp_dir}/raw")
+    assert raw.latest_key(raw.latest_object(listing, "watched"), "x").endswith("a/_b/watched.csv")
+    drop = raw.list_drop(spark, f"{tmp_dir}/raw", "*ratings.csv").collect()
+    assert [os.path.basename(r.path) for r in drop] == ["1_ratings.csv", "2_ratings.csv", "_ratings.csv"]
+
 
-    os.makedirs(f"{tmp_dir}/raw/a")
-    for i, (name, text) in enumerate([("1_ratings.csv", "x\n"), ("2_ratings.csv", ""), ("_tmp_ratings.csv", "")]):
-        with open(f"{tmp_dir}/raw/a/{name}", "w") as f:
-            f.write(text)
-        os.utime(f"{tmp_dir}/raw/a/{name}", (1000 + i, 1000 + i))
+def test_wide_trees_are_listed_by_many_tasks(spark, tmp_dir):
+    for i in range(100):
+        write(f"{tmp_dir}/raw/{i % 3}/{i}/{i % 2}/{i}.csv", b"")
+    write(f"{tmp_dir}/raw/top.csv", b"")
     listing = raw.list_raw(spark, f"{tmp_dir}/raw")
-    assert sorted((r.path.rsplit("/", 1)[1], r.length) for r in listing.collect()) == [
-        ("1_ratings.csv", 2), ("2_ratings.csv", 0)]
-    assert raw.latest_key(raw.latest_object(listing, "ratings"), "x").endswith("2_ratings.csv")
-    drop = raw.list_drop(spark, f"{tmp_dir}/raw/a", with_content=True)
-    assert {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in drop.collect()} == {
-        "1_ratings.csv": b"x\n", "2_ratings.csv": b""}
-    plan = drop._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    parts = files.FileListingReader(f"file:{tmp_dir}/raw", True, None).partitions()
+    assert len(parts) == 1 + 3 + 100 and sum(not p.recursive for p in parts) == 4
+    assert sorted(os.path.basename(r.path) for r in listing.collect()) == sorted([f"{i}.csv" for i in range(100)] + ["top.csv"])
+
+
+def test_files_are_hashed_and_copied_in_blocks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(files, "BLOCK", 7)  # blocks() runs in this process below
+    for size in (0, 1, 6, 7, 8, 1000):
+        data = bytes(range(256)) * 4
+        write(f"{tmp_dir}/in/{size} #%.csv", data[:size])
+        assert b"".join(files._blocks(f"file:{tmp_dir}/in/{size} #%.csv")) == data[:size]
+    listed = raw.files_named(raw.list_drop(spark, f"{tmp_dir}/in"))
+    keyed = files.hashed(listed).withColumn("object_key", F.concat(F.lit("a/b/"), "name"))
+    rows = keyed.collect()
+    assert {(r.name, r.size_bytes, r.sha256) for r in rows} == {
+        (f"{s} #%.csv", s, hashlib.sha256((bytes(range(256)) * 4)[:s]).hexdigest()) for s in (0, 1, 6, 7, 8, 1000)}
+    keyed = spark.createDataFrame(rows, keyed.schema)
+    for _ in range(2):
+        raw.land(keyed, f"{tmp_dir}/out")
+        landed = raw.list_raw(spark, f"{tmp_dir}/out").collect()
+        assert {os.path.basename(r.path): r.length for r in landed} == {r.name: r.size_bytes for r in rows}
+        assert all(not n.startswith(files.TEMPORARY) for n in os.listdir(f"{tmp_dir}/out/a/b"))
+    write(f"{tmp_dir}/in/8 #%.csv", b"changed")
+    with pytest.raises(Exception, match="changed while it was uploaded"):
+        raw.land(keyed, f"{tmp_dir}/out2")
 
 
 def test_arrow_uri():
     import pytest
 
-    assert raw.arrow_uri("s3a://b/raw") == "s3://b/raw"
-    assert raw.arrow_uri("/data/raw") == "/data/raw"
-    assert raw.arrow_uri("file:/data/raw") == raw.arrow_uri("file:///data/raw") == "/data/raw"
-    assert raw.arrow_uri("hdfs://n:1/raw") == "hdfs://n:1/raw"
+    assert files.arrow_uri("s3a://b/raw") == "s3://b/raw"
+    assert files.arrow_uri("/data/raw") == "/data/raw"
+    assert files.arrow_uri("file:/data/raw") == files.arrow_uri("file:///data/raw") == "/data/raw"
+    assert files.arrow_uri("hdfs://n:1/raw") == "hdfs://n:1/raw"
     with pytest.raises(ValueError, match="ftp"):
-        raw.arrow_uri("ftp://h/raw")
+        files.arrow_uri("ftp://h/raw")
