@@ -38,6 +38,8 @@ def _guarded_cast(c: Column, guard: str, to: str, on_bad: str, what: str) -> Col
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}, got {on_bad!r}")
     cast = c.try_cast(to)
+    if to == "date":  # the calendar has no year 0
+        cast = F.when(~c.startswith("0000"), cast)
     if on_bad == "fail":
         # A value that passes the guard but does not fit the type stops the job,
         # whatever the session's ANSI setting is.
@@ -77,8 +79,8 @@ def month_start(c: Column | str) -> Column:
     return F.trunc(_col(c), "MM")
 
 
-def mean_2dp(c: Column | str) -> Column:
-    """Aggregate: mean of a decimal(3,1) column rounded half-up to 2 places, exactly.
+def mean_2dp_sql(c: str) -> str:
+    """Aggregate, as SQL text: mean of a decimal(3,1) column rounded half-up to 2 places, exactly.
 
     Averaging a decimal and then rounding rounds twice (the average is already cut
     to a few places), so the mean is computed in integer tenths:
@@ -87,10 +89,10 @@ def mean_2dp(c: Column | str) -> Column:
     decimal sum whose precision is fixed. Ratings are never negative (the guard
     takes no sign), so half-up is the same as half away from zero.
     """
-    c = _col(c)
-    tenths = F.sum((c * 10).cast("long"))
-    n = F.count(c)
-    num = tenths * 20 + n
-    den = n * 2
-    hundredths = F.call_function("div", num, den)  # in longs, never through a double
-    return (hundredths.cast("decimal(20,0)") / 100).cast("decimal(5,2)")
+    hundredths = f"(20 * SUM(CAST({c} * 10 AS BIGINT)) + COUNT({c})) DIV (2 * COUNT({c}))"  # in longs, never through a double
+    return f"CAST(CAST({hundredths} AS DECIMAL(20,0)) / 100 AS DECIMAL(5,2))"
+
+
+def mean_2dp(c: str) -> Column:
+    """``mean_2dp_sql`` of a column, given by its name."""
+    return F.expr(mean_2dp_sql(f"`{c}`"))

@@ -1,72 +1,28 @@
 """Gold marts as persistent SQL views (K2, the ``as_view`` option).
 
-A persistent Spark view stores SQL text, so the marts are also stated in Spark
-SQL over the silver tables; ``tests/test_views.py`` checks each view against
-its DataFrame builder in ``plans/gold.py``.
+A persistent Spark view stores SQL text: that of the mart (``plans/gold.py``),
+with the silver table's name for its input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from reelhouse.plans import catalog
-
-
-def _mean_2dp(c: str) -> str:
-    # exact half-up mean to 2 places in integer tenths (see functions.text.mean_2dp)
-    return (
-        f"CAST(CAST((20 * SUM(CAST({c} * 10 AS BIGINT)) + COUNT({c})) DIV (2 * COUNT({c})) "
-        f"AS DECIMAL(20,0)) / 100 AS DECIMAL(5,2))"
-    )
+from reelhouse.plans import catalog, gold
 
 
 def gold_view_sql(name: str, silver: str = "silver") -> str:
-    ratings, diary, watchlist = (
-        f"`{silver}`.silver_ratings", f"`{silver}`.silver_diary", f"`{silver}`.silver_watchlist"
-    )
-    sql = {
-        "gold_top_rated_movies": (
-            f"SELECT name, year, rating, letterboxd_uri FROM {ratings} WHERE rating IS NOT NULL "
-            "ORDER BY rating DESC NULLS FIRST, year DESC NULLS FIRST, name ASC NULLS LAST, "
-            "letterboxd_uri ASC NULLS LAST LIMIT 10"
-        ),
-        "gold_lowest_rated_movie": (
-            f"SELECT name, year, rating, letterboxd_uri FROM {ratings} WHERE rating IS NOT NULL "
-            "ORDER BY rating ASC NULLS LAST, year DESC NULLS FIRST, name ASC NULLS LAST, "
-            "letterboxd_uri ASC NULLS LAST LIMIT 1"
-        ),
-        "gold_best_movie_year": (
-            f"SELECT year, COUNT(*) AS films_rated, {_mean_2dp('rating')} AS avg_rating "
-            f"FROM {ratings} WHERE rating IS NOT NULL AND year IS NOT NULL "
-            "GROUP BY year HAVING COUNT(*) >= 3 "
-            "ORDER BY avg_rating DESC NULLS FIRST, films_rated DESC NULLS FIRST, year ASC NULLS LAST"
-        ),
-        "gold_recent_watch": (
-            "SELECT name, year, watched_date, rating, rewatch, letterboxd_uri "
-            f"FROM {diary} WHERE watched_date IS NOT NULL "
-            "ORDER BY watched_date DESC NULLS FIRST, name ASC NULLS LAST, letterboxd_uri ASC NULLS LAST, "
-            "year ASC NULLS LAST, rating ASC NULLS LAST, rewatch ASC NULLS LAST LIMIT 1"
-        ),
-        "gold_watch_activity": (
-            "SELECT trunc(watched_date, 'MM') AS watch_month, COUNT(*) AS films_watched "
-            f"FROM {diary} WHERE watched_date IS NOT NULL "
-            "GROUP BY trunc(watched_date, 'MM') ORDER BY watch_month ASC NULLS LAST"
-        ),
-        "gold_watchlist_by_year": (
-            "SELECT year, COUNT(*) AS watchlist_count "
-            f"FROM {watchlist} WHERE year IS NOT NULL GROUP BY year ORDER BY year ASC NULLS LAST"
-        ),
-    }
-    return sql[name]
+    mart = gold.MARTS[name]
+    return mart.sql(f"`{silver}`.silver_{mart.source}")
 
 
 def create_gold_view(spark: SparkSession, name: str, silver: str = "silver",
-                     gold: str = "gold") -> str:
+                     gold_layer: str = "gold") -> str:
     """K2: ``CREATE OR REPLACE VIEW gold.<name>`` over the silver tables. A mart
     that was a table until now becomes a view."""
-    catalog.ensure_layers(spark, (gold,))
-    full = f"{gold}.{name}"
+    catalog.ensure_layers(spark, (gold_layer,))
+    full = f"{gold_layer}.{name}"
     if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "VIEW":
-        spark.sql(f"DROP TABLE `{gold}`.`{name}`")
-    spark.sql(f"CREATE OR REPLACE VIEW `{gold}`.`{name}` AS {gold_view_sql(name, silver)}")
-    return f"{gold}.{name}"
+        spark.sql(f"DROP TABLE `{gold_layer}`.`{name}`")
+    spark.sql(f"CREATE OR REPLACE VIEW `{gold_layer}`.`{name}` AS {gold_view_sql(name, silver)}")
+    return f"{gold_layer}.{name}"

@@ -86,3 +86,10 @@ def test_mean_2dp_half_up(spark):
     df = spark.createDataFrame([(Decimal("1.0"),), (Decimal("1.5"),), (Decimal("1.5"),), (Decimal("1.5"),)], "r decimal(3,1)")
     # mean 1.375 -> 1.38
     assert df.agg(text.mean_2dp("r")).collect()[0][0] == Decimal("1.38")
+
+
+def test_there_is_no_year_0(spark):
+    df = spark.createDataFrame([("0000-01-01",), ("0001-01-01",)], "d string")
+    assert [str(r[0]) for r in df.select(text.text_to_date("d", "null")).collect()] == ["None", "0001-01-01"]
+    with pytest.raises(Exception, match="invalid date: 0000-01-01"):
+        df.select(text.text_to_date("d")).collect()
