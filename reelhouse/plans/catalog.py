@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +158,57 @@ def load_ids(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return found.select(F.regexp_extract("partition", f"^{LOAD_ID}=(.*)$", 1).alias(LOAD_ID))
 
 
+@contextmanager
+def only_writer(spark: SparkSession, name: str, wait_s: float = 60, stale_s: float = 3600) -> Iterator[None]:
+    """Hold the lock of table ``name`` (``layer.table``): a file that is created only if it is absent.
+
+    Another holder is waited for up to ``wait_s``, then this raises, with nothing
+    written. A lock older than ``stale_s``, left by a driver that was lost, is taken
+    over. Creating a file if absent is atomic on local disks and HDFS; on a store
+    where it is not, two writers that ask within one round trip may both get it.
+    """
+    layer, table = name.split(".") if "." in name else ("default", name)
+    ensure_layers(spark, (layer,))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{spark.catalog.getDatabase(layer).locationUri.rstrip('/')}/_{table}.lock")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    end = time.monotonic() + wait_s
+    while not _created(fs, path):
+        try:
+            age = time.time() - fs.getFileStatus(path).getModificationTime() / 1000
+        except Py4JJavaError:  # released in between
+            continue
+        if age > stale_s:
+            taken = path.suffix(f".{uuid.uuid4().hex}")
+            fs.rename(path, taken)  # one of several that find it stale moves it away
+            fs.delete(taken, False)
+        elif time.monotonic() >= end:
+            raise RuntimeError(f"Another writer holds {path.toString()}; nothing was written")
+        else:
+            time.sleep(0.2)
+    try:
+        yield
+    finally:
+        fs.delete(path, False)
+
+
+def _created(fs, path) -> bool:
+    """Create an empty file; False if it is there."""
+    if path.toUri().getScheme() in (None, "file"):  # Hadoop's local file system looks first and creates then
+        try:
+            with open(path.toUri().getPath(), "x"):
+                return True
+        except FileExistsError:
+            return False
+    try:
+        fs.create(path, False).close()
+        return True
+    except Py4JJavaError:
+        if fs.exists(path):
+            return False
+        raise
+
+
 def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     """(layer, table_name, n) for every given table, one global count each."""
     parts = [

@@ -48,20 +48,47 @@ def ingest(
     rows = raw.ledger_rows(
         keyed.withColumns({"created": created, "sent_type": F.lit(specs.DEFAULT_CONTENT_TYPE)}),
         bucket=bucket, created_col="created", content_type_col="sent_type")
-    _append_new_ledger_rows(spark, rows, ledger_table)
+    insert_ledger(spark, rows, ledger_table)
     # this upload's rows, read back from the table (not recomputed from the files)
-    this_upload = spark.table(ledger_table).where(F.col("created_at") == created)
+    this_upload = spark.table(ledger_table).where(F.col("created_at") == created).drop(ID_PREFIX)
     return this_upload, rejected
 
 
-def _append_new_ledger_rows(spark: SparkSession, rows: DataFrame, ledger_table: str) -> None:
-    """Append the rows whose id is not in the ledger yet."""
-    if spark.catalog.tableExists(ledger_table):
-        fresh = raw.insert_if_absent(spark.table(ledger_table), rows)
-    else:
-        fresh = raw.insert_if_absent(rows.limit(0), rows)
-    fresh = fresh.select(*[f.name for f in specs.LEDGER_SCHEMA.fields])
-    fresh.write.mode("append").format("parquet").saveAsTable(ledger_table)
+#: The ledger's partitions: the first two digits of the id.
+ID_PREFIX = "id_prefix"
+
+
+def insert_ledger(spark: SparkSession, rows: DataFrame, ledger_table: str, wait_s: float = 60) -> None:
+    """Append the rows whose id is not in the ledger yet.
+
+    The ledger is partitioned by the first two digits of the id, and only the
+    partitions that the new ids fall in are read. One writer at a time looks and
+    appends (``catalog.only_writer``); an insert that was killed is made whole by
+    running it again. At most 256 prefixes reach the driver.
+    """
+    prefix = F.substring("ingestion_id", 1, 2)
+    rows = catalog.staged(rows.select(*specs.LEDGER_SCHEMA.fieldNames(), prefix.alias(ID_PREFIX)), "ledger")
+    prefixes = sorted(r[0] for r in rows.select(ID_PREFIX).distinct().collect())
+    with catalog.only_writer(spark, ledger_table, wait_s):
+        if not spark.catalog.tableExists(ledger_table):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in specs.LEDGER_SCHEMA.fields)
+            spark.sql(f"CREATE TABLE {ledger_table} ({columns}, {ID_PREFIX} string) USING parquet PARTITIONED BY ({ID_PREFIX})")
+        elif ID_PREFIX not in spark.table(ledger_table).columns:
+            raise ValueError(f"{ledger_table} is not partitioned by {ID_PREFIX}; copy it into a new ledger with insert_ledger")
+        if not prefixes:
+            return
+        # Known partitions show all files in them, also those of an insert that was killed.
+        parts = " ".join(f"PARTITION ({ID_PREFIX} = '{p}')" for p in prefixes)
+        spark.sql(f"ALTER TABLE {ledger_table} ADD IF NOT EXISTS {parts}")
+        spark.catalog.refreshTable(ledger_table)
+        fresh = raw.insert_if_absent(touched(spark, ledger_table, prefixes), rows)
+        fresh = fresh.select(*spark.table(ledger_table).columns).repartition(ID_PREFIX)
+        fresh.write.insertInto(ledger_table)
+
+
+def touched(spark: SparkSession, ledger_table: str, prefixes: list[str]) -> DataFrame:
+    """The ledger's partitions of the given id prefixes."""
+    return spark.table(ledger_table).where(F.col(ID_PREFIX).isin(*prefixes))
 
 
 def upload_set(spark: SparkSession, drop_dir: str, glob: str = "*.csv") -> list[str]:
