@@ -15,12 +15,13 @@ map task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse import specs
 
@@ -136,6 +137,38 @@ def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
     return grouped.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
+def observable(df: DataFrame, checks: Sequence[Check]) -> list[Check]:
+    """The checks whose failures can be counted while the rows pass by: not_null,
+    and accepted_values where the type bounds the number of distinct values (a
+    decimal of up to four digits, a byte, a boolean)."""
+    types = dict(zip(df.columns, (f.dataType for f in df.schema.fields)))
+
+    def bounded(t: T.DataType) -> bool:
+        return isinstance(t, (T.ByteType, T.BooleanType)) or isinstance(t, T.DecimalType) and t.precision <= 4
+
+    return [c for c in checks if c.check == NOT_NULL or c.check == ACCEPTED and bounded(types[c.column])]
+
+
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Callable[[], dict[Check, int]]]:
+    """``df`` that counts the failures of ``checks`` while an action runs over it, and
+    what gives the counts after the action, equal to ``run_checks`` on the rows.
+
+    Put it last before a write: the tasks of a write count once, however often
+    they are tried. Checks that are not ``observable`` raise.
+    """
+    if len(observable(df, checks)) != len(checks):
+        raise ValueError("only not_null checks and accepted values of few distinct ones can be observed")
+    if not checks:
+        return df, dict
+    counts = [
+        (F.count_if(F.col(c.column).isNull()) if c.check == NOT_NULL
+         else F.size(F.collect_set(F.when(~_accepted(F.col(c.column), c.values, c.quote), F.col(c.column))))).alias(str(i))
+        for i, c in enumerate(checks)
+    ]
+    observation = Observation()
+    return df.observe(observation, *counts), lambda: {c: int(observation.get[str(i)]) for i, c in enumerate(checks)}
+
+
 def run_checks(
     tables: Mapping[tuple[str, str], DataFrame], checks: Iterable[Check] | None = None
 ) -> DataFrame:

@@ -538,6 +538,12 @@ def check_sql(name: str) -> str:
             f"select letterboxd_uri, count(*) as n_records from ({silver_sql('ratings')}) s "
             "where letterboxd_uri is not null group by letterboxd_uri having count(*) > 1"
         )
+    if name == "check_unique_by_load":
+        return " union all ".join(
+            f"select '{cols}' as column_name, count(*) as failures from (select {cols} from ({BRONZE_SQL['diary']}) b "
+            f"where {' and '.join(f'{c} is not null' for c in cols.split(','))} group by {cols} having count(*) > 1) d"
+            for cols in ("letterboxd_uri", "name,watched_date", "list_date")
+        )
     if name == "check_accepted_text":
         vals = _quoted(RATING_TEXTS)
         return (

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse import specs
+from reelhouse.operators.checks import Check, observable, observed
 from reelhouse.session import checkpoint_dir
 
 
@@ -36,8 +38,15 @@ def list_layers(spark: SparkSession, layers=specs.LAYERS) -> DataFrame:
     return found.where(F.col("schema_name").isin(*layers)).orderBy("schema_name")
 
 
-def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> str:
-    """K1: full rebuild of ``layer.name``; returns the table name.
+class Saved(NamedTuple):
+    table: str
+    failures: dict[Check, int]  # of the checks that were counted while the table was written
+
+
+def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", checks: Sequence[Check] = ()) -> Saved:
+    """K1: full rebuild of ``layer.name``; returns its name, and the failures of
+    those of ``checks`` that can be counted on the way (``checks.observable``; the
+    stored rows are not scanned for them).
 
     The rows are written to a new folder beside the table's earlier versions,
     and the table is then pointed at it by one change of the catalog. A build
@@ -54,7 +63,8 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
     ensure_layers(spark, (layer,))
     full = f"`{layer}`.`{name}`"
     folder = f"{versions_folder(spark, layer, name)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
-    df.write.format(fmt).save(folder)
+    watched, failures = observed(df, observable(df, checks))
+    watched.write.format(fmt).save(folder)
     before = _described(spark, layer, name) if table_exists(spark, layer, name) else None
     if before is not None and _same_table(before, spark.table(f"{layer}.{name}").schema, fmt, df.schema):
         spark.sql(f"ALTER TABLE {full} SET LOCATION '{_quoted(folder)}'")
@@ -65,7 +75,7 @@ def save_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet") -> st
     spark.catalog.refreshTable(full)
     if before is not None and before.get("Location"):  # a view has none
         _forget_versions(spark, versions_folder(spark, layer, name), before["Location"])
-    return f"{layer}.{name}"
+    return Saved(f"{layer}.{name}", failures())
 
 
 def versions_folder(spark: SparkSession, layer: str, name: str) -> str:
@@ -122,13 +132,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 LOAD_ID = "load_id"
 
 
-def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", load_id: str | None = None) -> str:
+def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", load_id: str | None = None,
+                 buckets: tuple[int, str] | None = None) -> str:
     """K3: append to ``layer.name``, creating it on first use.
 
     With ``load_id`` the rows become that partition of the table, and replace
     what an earlier attempt of the same load left there: a load that was killed at
     any point and is run again is there once. The columns are put in the table's
     order by name; one that the rows lack is NULL, one that the table lacks raises.
+    ``buckets`` (how many, by which column) holds for a new table of loads.
     """
     spark = df.sparkSession
     ensure_layers(spark, (layer,))
@@ -139,7 +151,8 @@ def append_table(df: DataFrame, layer: str, name: str, fmt: str = "parquet", loa
     if not re.fullmatch(r"[0-9A-Za-z_.-]+", load_id):
         raise ValueError(f"A load id has letters, digits, '_', '.' and '-' alone (it names a folder), not {load_id!r}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}, {LOAD_ID} string) USING {fmt} PARTITIONED BY ({LOAD_ID})")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}, {LOAD_ID} string) USING {fmt} PARTITIONED BY ({LOAD_ID})"
+              + (f" CLUSTERED BY (`{buckets[1]}`) INTO {int(buckets[0])} BUCKETS" if buckets else ""))
     table = spark.table(f"{layer}.{name}").schema
     if not table or table.fields[-1].name != LOAD_ID:
         raise ValueError(f"{layer}.{name} is not partitioned by {LOAD_ID}")

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse import specs
+from reelhouse.operators.checks import DECLARED, Check, run_checks
 from reelhouse.plans import catalog, gold, silver, views
 from reelhouse.sources import bronze, ingest, raw
 
@@ -33,7 +34,7 @@ def build_silver(spark: SparkSession, datasets: Sequence[str] | None = None,
         # table without being recorded, and is then folded once more, to the same rows.
         loads = unfolded_loads(spark, ds, bronze_layer, silver_layer)
         rows = spark.table(f"{bronze_layer}.{ds}")
-        built.append(catalog.save_table(silver.SILVER_BUILDERS[ds](rows, on_bad), silver_layer, f"silver_{ds}"))
+        built.append(catalog.save_table(silver.SILVER_BUILDERS[ds](rows, on_bad), silver_layer, f"silver_{ds}").table)
         _record(spark, ds, loads, bronze_layer, silver_layer)
     return built
 
@@ -73,10 +74,11 @@ def unfolded_loads(spark: SparkSession, dataset: str, bronze_layer: str = "bronz
 
 def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: str = "gold",
                as_view: bool = False, missing: str = "raise",
-               names: Sequence[str] | None = None) -> list[str]:
+               names: Sequence[str] | None = None, failures: dict[Check, int] | None = None) -> list[str]:
     """Rebuild every gold mart (or those of ``names``), as tables (default) or as persistent views over
     the silver tables. A silver table that does not exist raises before anything
-    is built; ``missing="skip"`` leaves its marts out."""
+    is built; ``missing="skip"`` leaves its marts out. ``failures`` is given the counts
+    of the declared checks that could be counted while the tables were written."""
     sources = {name: f"{silver_layer}.silver_{src}" for name, (src, _) in gold.GOLD_BUILDERS.items()
                if names is None or name in names}
     built = []
@@ -86,7 +88,10 @@ def build_gold(spark: SparkSession, silver_layer: str = "silver", gold_layer: st
             built.append(views.create_gold_view(spark, name, silver_layer, gold_layer))
             continue
         df = builder(spark.table(f"{silver_layer}.silver_{src}"))
-        built.append(catalog.save_table(df, gold_layer, name))
+        saved = catalog.save_table(df, gold_layer, name, checks=[c for c in DECLARED if (c.layer, c.table) == ("gold", name)])
+        built.append(saved.table)
+        if failures is not None:
+            failures.update(saved.failures)
     return built
 
 
@@ -141,7 +146,9 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
     instead of rebuilding it from the whole append-only bronze history; the
     tables come out the same. ``load_options`` go to the bronze loads
     (``multi_line``, ``na_words``, ``numeric_text``). Models that this run did not
-    bring up to date, for want of their input, are named under ``skipped``.
+    bring up to date, for want of their input, are named under ``skipped``; the
+    counts of the marts' checks that were taken while they were written, under
+    ``failures`` (``check_layers`` runs all declared checks).
 
     ``load_id`` names the run's bronze loads, and ``now`` dates its uploads (both
     new by default): a run that was killed and is called again with the same two
@@ -165,18 +172,18 @@ def run(spark: SparkSession, raw_prefix: str, datasets: Sequence[str] | None = N
     else:
         silver_tables = build_silver(spark, on_bad=on_bad, missing="skip")
     marts = [m for m, (ds, _) in gold.GOLD_BUILDERS.items() if f"silver.silver_{ds}" in silver_tables]
-    gold_tables = build_gold(spark, names=marts)
+    failures: dict[Check, int] = {}
+    gold_tables = build_gold(spark, names=marts, failures=failures)
     models = [f"silver.silver_{ds}" for ds in specs.DATASETS] + [f"gold.{m}" for m in gold.GOLD_BUILDERS]
     skipped = [m for m in models if m not in silver_tables and m not in gold_tables]
-    return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables, "skipped": skipped}
+    return {"bronze": loaded, "silver": silver_tables, "gold": gold_tables, "skipped": skipped,
+            "failures": {(c.table, c.column, c.check): n for c, n in failures.items()}}
 
 
 def check_layers(spark: SparkSession, bronze_layer: str = "bronze",
                  gold_layer: str = "gold"):
     """Q4 over the stored tables: every declared check whose table exists
     (the checks run after a build, not inside it)."""
-    from reelhouse.operators.checks import DECLARED, run_checks
-
     layers = {"bronze": bronze_layer, "gold": gold_layer}
     tables = {}
     for c in DECLARED:

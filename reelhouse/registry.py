@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelhouse import oracle, specs, standins
 from reelhouse.functions import text
-from reelhouse.operators import checks
+from reelhouse.operators import checks, unique_by_load
 from reelhouse.plans import catalog, gold, silver
 from reelhouse.sources import bronze as bronze_mod
 from reelhouse.sources import raw
@@ -230,6 +230,14 @@ def q_check_unique(spark, sf_dir):
     return checks.unique(silver_df(spark, sf_dir, "ratings"), "letterboxd_uri")
 
 
+# Q2 kept up per load: the diary's two loads counted apart, then merged.
+@register("check_unique_by_load", oracle.check_sql("check_unique_by_load"))
+def q_check_unique_by_load(spark, sf_dir):
+    columns = ["letterboxd_uri", ("name", "watched_date"), "list_date"]
+    loads = [unique_by_load.value_counts(standins.diary(spark, sf_dir, (p,)), columns) for p in (1, 2)]
+    return unique_by_load.failures(unique_by_load.merged(*loads), columns)
+
+
 @register("check_accepted_text", oracle.check_sql("check_accepted_text"))
 def q_check_accepted_text(spark, sf_dir):
     return checks.accepted_values(
