@@ -79,13 +79,23 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with __key (id, null as the least long) and __mark (hash of the text)."""
-    return docs.withColumns({"__key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__mark": F.xxhash64(text_col)})
+def flat(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[Column], list[str]]:
+    """``docs`` with columns c0, c1, .., so that an operator's own names clash with
+    none of them; the columns that bring their names back; the new names of ``columns``."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    lower = [c.lower() for c in docs.columns]
+    found = [names[docs.columns.index(c) if c in docs.columns else lower.index(c.lower())] for c in columns]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)], found
+
+
+def row_keys(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rows`` (of ``flat``) with __key (id, null as the least long) and __mark (hash of the text)."""
+    return rows.withColumns({"__key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__mark": F.xxhash64(text_col)})
 
 
 def only_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose (doc_id, mark) is in ``kept``, each once."""
+    rows, back, (id_, text) = flat(docs, id_col, text_col)
     keys = stage(kept.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__key"), F.col("mark").alias("__mark")).distinct(), "kept-rows")
-    keyed = row_keys(docs, id_col, text_col).join(keys, ["__key", "__mark"], "left_semi")
-    return keyed.dropDuplicates(["__key", "__mark"]).select(*docs.columns)
+    keyed = row_keys(rows, id_, text).join(keys, ["__key", "__mark"], "left_semi")
+    return keyed.dropDuplicates(["__key", "__mark"]).select(*back)

@@ -7,12 +7,15 @@ form leaves names as words, so that a text in title case still matches. A third
 one takes capitalised words at the beginning of a sentence for names, too, so
 that a sentence that begins with another person's name does. Windows
 of ``WIDTH`` canonical words of the documents are hash-joined with those of the
-benchmark items. The slots of an alignment of a document with an item (matches
-at one distance) must be consistent: one value of the item always stands for one
-value of the document. Where it stands for several, the windows that hold it do
-not count, unless all their slots equal the item's. So a question with other
-numbers or names in it is found, a chance match of templates is not, and one
-changed value does not hide the verbatim rest.
+benchmark items. The slots of a document and an item must be consistent: one
+value of the item always stands for one value of the document, and one of the
+document for one of the item. Within an alignment (matches at one distance),
+windows that hold a value with several partners do not count, unless all their
+slots equal the item's. Then alignments are taken from the largest down, and of
+each the windows that agree with all taken before, or equal the item. So a
+question with other numbers or names in it is found, also with words put in; a
+chance match of templates and sentences with values of their own are not; and
+one changed value does not hide the verbatim rest.
 
 A document is contaminated by an item if the windows that are left cover
 ``COVERAGE`` of the item's windows, or ``RUN`` words in a row (counted over the
@@ -29,8 +32,9 @@ fewer than ``LITERALS`` plain words are not used as templates; an item without
 any other, or mostly in a script without spaces, is looked for by exact windows:
 words as they are with numbers, signs and operators, words of such scripts and
 words of over ``LONG`` characters character by character (a run is then twice as
-long). An item of one word is so found wherever this word stands; an item shorter
-than a window is one window of its own length;
+long). An item of fewer than ``LEAST_EXACT`` words would take every text with them
+and is not looked for (``unsearched`` lists such items); an item shorter than a
+window is one window of its own length;
 items with equal texts are reported each, items
 without an id are not named, but their texts still are contamination; rows with a null id are judged like
 others; repeated rows repeat their result; with an empty benchmark all is
@@ -48,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import portions, stage, table
+from reelhouse.llm.common import flat, portions, stage, table
 
 WIDTH, LITERALS, COVERAGE, RUN = 5, 3, 0.8, 13
 MOST_HASHES = 4_000_000
@@ -56,6 +60,8 @@ MOST_HASHES = 4_000_000
 MEMORY = 400_000
 #: Characters of a word that is compared character by character.
 LONG = 40
+#: Words (characters in scripts without spaces) that an item has at least to be looked for by exact windows.
+LEAST_EXACT = 2
 
 # Units of measure, and number words.
 UNITS = frozenset(
@@ -91,7 +97,7 @@ class Forms:
         core = text if text.isalpha() else _EDGE.sub("", text)
         low = core.lower()
         kind = NUMBER if low in NUMBERS or _NUMERIC.fullmatch(core) else UNIT if low in UNITS else LITERAL
-        if kind == LITERAL and core[:1].isupper() and core[1:2].islower():
+        if kind == LITERAL and core[:1].isupper():  # Anna, ANNA, O'Brien, J.
             kind = NAME
         at = len(self.index)
         if at == len(self.hashes):
@@ -241,7 +247,7 @@ def cut(text: bytes | None) -> Iterator[tuple[int, int, int, list[int], list[int
             yield width, s, x, slots, [r.get(s) for r in ranks], counts, RUN
     h, characters = _TOKENS.of(text)
     unspaced = 2 * characters >= len(h)
-    if len(h) and (unspaced or not ranks):
+    if len(h) >= LEAST_EXACT and (unspaced or not ranks):
         width = min(WIDTH, len(h))
         at, hashes = exact_windows(h, width)
         for s, x in zip(at.tolist(), hashes.view(np.int64).tolist()):
@@ -270,6 +276,14 @@ def item_windows(items: DataFrame) -> DataFrame:
     return items.dropDuplicates(["id", "mark"]).mapInArrow(run, _CUTS)
 
 
+def unsearched(bench: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(item_id, text) of the items that are too short to be looked for."""
+    items = _rows(bench, item_col, item_text_col).dropDuplicates(["id", "mark"])
+    cuts = item_windows(items).select(F.col("item"), "item_mark").distinct()
+    left = items.join(cuts, F.col("id").eqNullSafe(F.col("item")) & (F.col("mark") == F.col("item_mark")), "left_anti")
+    return left.select(F.col("id").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
 def matched(rows: DataFrame, widths: list[int], hashes: np.ndarray | None) -> DataFrame:
     """Windows of (id, mark, text) rows; with ``hashes`` (sorted) only those in it."""
 
@@ -322,36 +336,49 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
                          F.struct("item_at", "ranks", pairs.alias("p")).alias("w"))
              .groupBy("id", "mark", "item", "item_mark", "width", "enough", "line").agg(F.array_sort(F.collect_set("w")).alias("ws"), F.first("counts").alias("counts"))
              .withColumn("p", F.array_sort(F.array_distinct(F.flatten(F.transform("ws", lambda w: w["p"]))))))
-    # Values of the item that stand for more than one value of the document: neighbours in the sorted pairs.
-    torn = F.zip_with("p", F.slice("p", F.lit(2), F.size("p")), lambda x, y: F.when(x["i"] == y["i"], x["i"]))
-    holds = lambda w: ~F.exists(w["p"], lambda x: F.array_contains(F.col("torn"), x["i"])) | F.forall(w["p"], lambda x: x["i"] == x["d"])
-    lines = (lines.withColumn("torn", F.filter(torn, lambda x: x.isNotNull()))
-             .withColumn("ws", F.when(F.size("torn") == 0, F.col("ws")).otherwise(F.filter("ws", holds)))
-             .withColumn("ws", F.array_distinct(F.transform("ws", lambda w: F.struct(w["item_at"].alias("item_at"), w["ranks"].alias("ranks"))))))
+    # Values with more than one partner in the line: neighbours in the pairs sorted by either side.
+    def torn(pairs, side: str, other: str):
+        by = F.array_sort(F.transform(pairs, lambda x: F.struct(x[side].alias("a"), x[other].alias("b"))))
+        two = F.zip_with(by, F.slice(by, F.lit(2), F.size(by)), lambda x, y: F.when(x["a"] == y["a"], x["a"]))
+        return F.filter(two, lambda x: x.isNotNull())
+
+    equal = lambda w: F.forall(w["p"], lambda x: x["i"] == x["d"])
+    holds = lambda w: ~F.exists(w["p"], lambda x: F.array_contains("torn_i", x["i"]) | F.array_contains("torn_d", x["d"])) | equal(w)
+    lines = (lines.withColumns({"torn_i": torn("p", "i", "d"), "torn_d": torn("p", "d", "i")})
+             .withColumn("ws", F.when((F.size("torn_i") == 0) & (F.size("torn_d") == 0), F.col("ws")).otherwise(F.filter("ws", holds))))
+    # Lines of equal windows (a passage that the text repeats) count once; the largest lines come first.
+    each = F.struct((-F.size("ws")).alias("n"), F.col("ws").alias("ws"))
+    lines = (lines.where(F.size("ws") > 0).groupBy("id", "mark", "item", "item_mark", "width", "enough")
+             .agg(F.array_sort(F.collect_set(each)).alias("lines"), F.first("counts").alias("counts")))
+    # A line's windows that agree with the pairs taken so far.
+    agrees = lambda w, pairs: equal(w) | ~F.exists(
+        w["p"], lambda x: F.exists(pairs, lambda y: (x["i"] == y["i"]) != (x["d"] == y["d"])))
+    slim = lambda ws: F.array_distinct(F.transform(ws, lambda w: F.struct(w["item_at"].alias("item_at"), w["ranks"].alias("ranks"))))
+    took = lambda a, ws: F.struct(
+        F.array_union(a["pairs"], F.array_distinct(F.flatten(F.transform(ws, lambda w: w["p"])))).alias("pairs"),
+        F.concat(a["lines"], F.array(slim(ws))).alias("lines"))
+    none = F.struct(F.array().cast("array<struct<i:bigint,d:bigint>>").alias("pairs"),
+                    F.array().cast("array<array<struct<item_at:int,ranks:array<int>>>>").alias("lines"))
+    lines = lines.withColumn("lines", F.aggregate(
+        "lines", none, lambda a, l: took(a, F.filter(l["ws"], lambda w: agrees(w, a["pairs"]))), lambda a: a["lines"]))
     # Per form of the item, the windows that it can use, whatever form they matched in.
-    per_form = lambda judge: F.array_max(F.transform(
-        F.sequence(F.lit(0), F.size("counts") - 1),
-        lambda f: judge(f, F.filter("ws", lambda w: F.get(w["ranks"], f).isNotNull()))))
+    usable = lambda f, ws: F.filter(ws, lambda w: F.get(w["ranks"], f).isNotNull())
+    per_form = lambda judge: F.array_max(F.transform(F.sequence(F.lit(0), F.size("counts") - 1), judge))
     # Words of the longest run of usable windows that follow each other in the item.
     begins = lambda f, a, x: F.when(F.get(x["ranks"], f) == a["last"] + 1, a["begin"]).otherwise(x["item_at"])
     run = lambda f, ws: F.aggregate(
         ws, F.struct(F.lit(-9).alias("last"), F.lit(0).alias("begin"), F.lit(0).alias("best")),
         lambda a, x: F.struct(F.get(x["ranks"], f).alias("last"), begins(f, a, x).alias("begin"),
                               F.greatest(a["best"], x["item_at"] - begins(f, a, x) + WIDTH).alias("best")), lambda a: a["best"])
-    per_item = (lines.where(F.size("ws") > 0).withColumn("run", per_form(run))
-                .groupBy("id", "mark", "item", "item_mark", "width", "enough")
-                .agg(F.array_distinct(F.flatten(F.collect_list("ws"))).alias("ws"), F.max("run").alias("run"), F.first("counts").alias("counts"))
-                .withColumn("coverage", per_form(lambda f, ws: F.size(ws) / F.get("counts", f))))
+    per_item = (lines.withColumn("ws", F.array_distinct(F.flatten("lines")))
+                .withColumn("run", per_form(lambda f: F.array_max(F.transform("lines", lambda ws: run(f, usable(f, ws))))))
+                .withColumn("coverage", per_form(lambda f: F.size(usable(f, F.col("ws"))) / F.get("counts", f))))
     long_run = (F.abs("width") == WIDTH) & (F.col("run") >= F.col("enough"))
     bad = (per_item.where((F.col("coverage") >= COVERAGE) | long_run).groupBy("id", "mark")
            .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage")))
     return stage(bad.toDF("__id", "__mark", "item_ids", "coverage"), "contaminated")
 
 
-def _same_row(id_col: str, text_col: str):
-    return F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__mark"))
-
-
 def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
     """One row a document: doc_id, contaminated, item_ids, coverage."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"))
@@ -364,7 +391,9 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns) -> DataFrame:
     """The clean rows of ``docs``, all columns kept."""
-    return docs.join(leaks(docs, bench, id_col, text_col, **columns), _same_row(id_col, text_col), "left_anti")
+    rows, back, (id_, text) = flat(docs, id_col, text_col)
+    same = F.col(id_).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__mark"))
+    return rows.join(leaks(docs, bench, id_col, text_col, **columns), same, "left_anti").select(*back)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

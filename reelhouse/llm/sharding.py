@@ -12,8 +12,8 @@ are settled the rows are exchanged once, into the ranges found, and numbered.
 Defined results: a null text has no bytes and sorts as an empty one; a null id
 sorts with the smallest id; rows equal in text and id cannot be separated and
 stay in one range; an empty table gives an empty result. All columns of the
-input are kept; the operator's own are shard and slot, and an input column of
-such a name is replaced. Columns it works with have names that start with __hs.
+input are kept under their names; the operator's own are shard and slot, and an
+input column of such a name, in any case, is replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import small_frame, stage, table
+from reelhouse.llm.common import flat, small_frame, stage, table
 
 SHARDS = 16
 #: A boundary is settled when it is off by at most this share of a shard.
@@ -117,10 +117,11 @@ def histogram_shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard)."""
     spark = docs.sparkSession
-    own = [c for c in docs.columns if c not in ("shard", "slot")]
-    low, high = docs.agg(F.min(F.col(id_col).cast("long")), F.max(F.col(id_col).cast("long"))).first()
+    rows, back, (id_, text) = flat(docs, id_col, text_col)
+    own = [c for c, name in zip(back, docs.columns) if name.lower() not in ("shard", "slot")]
+    low, high = rows.agg(F.min(F.col(id_).cast("long")), F.max(F.col(id_).cast("long"))).first()
     low, high = (low, high) if low is not None else (0, 0)
-    keyed = _keys(docs.select(*own), id_col, text_col, low)
+    keyed = _keys(rows, id_, text, low)
     shifts = _shifts(low, high)
     levels = [_prefix(s) for s in shifts]
     ranges = split_ranges(stage(keyed.select("__hs_h", "__hs_d", "__hs_size"), "shard-keys"), shifts, shards, tolerance)

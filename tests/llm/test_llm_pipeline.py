@@ -31,4 +31,4 @@ def test_stages_filter_and_keep_columns(spark):
 def test_queries_are_registered():
     have = __spark_entry__.queries()
     assert set(queries.QUERIES) <= set(have) and "pipeline" in have
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
