@@ -26,10 +26,12 @@ source are read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import WORD, row_keys, small_frame, stage, table
+from reelhouse.llm.common import WORD, flat, row_keys, small_frame, stage, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -38,8 +40,8 @@ BLOCK = 128
 SHARD_SLOTS = 4096
 #: Documents to a bin when offsets are added up.
 BIN_ROWS = 1024
-#: Slots to a task where they are permuted.
-TASK_SLOTS = 50_000
+#: Draws of an urn that are made one by one; nodes of the tree to a task.
+URN, TASK_NODES = 64, 4096
 ROUNDS = 24
 SEED = 8
 
@@ -109,45 +111,90 @@ def plan_sources(spark: SparkSession, found: list[tuple], block: int) -> list[di
     return plan
 
 
-def drawn_slots(spark: SparkSession, plan: list[dict], block: int, shard_slots: int) -> DataFrame:
-    """Words that the mix takes of each block: (sid, block, whole, part).
-
-    ``whole`` times all of it, and once its first ``part`` words.
-    """
+def _uniform(*key: Column) -> Column:
+    """Between 0 and 1, both left out."""
+    return (F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 3), *key), 12).cast("double") + 0.5) / float(1 << 52)
+
+
+def drawn(n: Column, size: Column, take: Column, *key: Column) -> Column:
+    """How many of ``take`` items out of ``size`` are among its ``n`` marked ones: a hypergeometric draw."""
+    mean = take * n / size
+    spread = F.sqrt(mean * (size - n) / size * (size - take) / F.greatest(size - 1, F.lit(1)))
+    normal = F.sqrt(-2 * F.log(_uniform(*key, F.lit(-1)))) * F.cos(2 * math.pi * _uniform(*key, F.lit(-2)))
+    most, least = F.least(n, take), F.greatest(F.lit(0).cast("long"), take - (size - n))
+    limit = F.greatest(least, F.least(most, F.round(mean + spread * normal).cast("long")))
+    # An urn gives the same with marked and taken, or items and the others, in each other's place: the least of four numbers is drawn.
+    few = F.least(n, take, size - n, size - take)
+    swap = F.least(size - n, size - take) < F.least(n, take)
+    marked = F.when(swap, F.greatest(size - n, size - take)).otherwise(F.greatest(n, take))
+    step = lambda a, t: F.struct(
+        (a["left"] - 1).alias("left"), (a["marked"] - (_uniform(*key, t) * a["left"] < a["marked"]).cast("long")).alias("marked"))
+    hits = F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1), F.least(few, F.lit(URN))).cast("long")), F.struct(size.alias("left"), marked.alias("marked")), step,
+                       lambda a: marked - a["marked"])
+    # Not marked and not taken: size - n - take of them more than those marked and taken.
+    exact = F.when(swap, hits - (size - n - take)).otherwise(hits)
+    return F.when(few <= 0, least).when(few <= URN, exact).otherwise(limit)
+
+
+def split_node(counts: Column, take: Column, *key: Column) -> Column:
+    """Of a node's slots by source, those of its left part, which has ``take`` slots."""
+    start = F.struct(F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x).alias("size"), take.alias("take"), F.array().cast("array<bigint>").alias("out"))
+
+    def one(a: Column, s: Column) -> Column:
+        n = F.get(counts, s)
+        x = F.when((n > 0) & (a["take"] > 0), drawn(n, a["size"], a["take"], *key, s)).otherwise(F.lit(0).cast("long"))
+        return F.struct((a["size"] - n).alias("size"), (a["take"] - x).alias("take"), F.concat(a["out"], F.array(x)).alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(counts) - 1), start, one, lambda a: a["out"])
+
+
+def drawn_shards(spark: SparkSession, totals: list[int], shard_slots: int) -> DataFrame:
+    """(shard, sid, from, n): each shard's slots of a source are ``from`` to ``from + n - 1`` of it. Shards have
+    ``shard_slots`` slots, the last one what is left; staged."""
+    shards = -(-sum(totals) // shard_slots)
+    tree = small_frame(spark, [(0, shards, list(totals), [0] * len(totals))], "first bigint, n bigint, counts array<bigint>, before array<bigint>").where("n > 0")
+    for level in range(max(0, shards - 1).bit_length()):
+        half = F.expr("(n + 1) div 2")
+        tree = tree.withColumn("left", F.when(F.col("n") > 1, split_node(F.col("counts"), half * shard_slots, F.col("first"), F.col("n"))))
+        sides = F.array(
+            F.struct(F.col("first"), half.alias("n"), F.col("left").alias("counts"), F.col("before")),
+            F.struct((F.col("first") + half).alias("first"), (F.col("n") - half).alias("n"), F.zip_with("counts", "left", lambda c, x: c - x).alias("counts"),
+                     F.zip_with("before", "left", lambda b, x: b + x).alias("before")))
+        self_ = F.array(F.struct("first", "n", "counts", "before"))
+        tree = tree.select(F.explode(F.when(F.col("n") > 1, sides).otherwise(self_)).alias("t")).select("t.*")
+        if level % 8 == 7:
+            # A node stands for thousands of slots: the number of tasks follows the shards.
+            tree = stage(tree.repartition(max(8, -(-shards // TASK_NODES)), "first"), "mix-tree")
+    each = F.explode(F.transform(F.sequence(F.lit(0), F.size("counts") - 1), lambda s: F.struct(
+        s.cast("long").alias("sid"), F.get("before", s).alias("from"), F.get("counts", s).alias("n"))))
+    return stage(tree.select(F.col("first").alias("shard"), each.alias("s")).select("shard", "s.*").where("n > 0"), "mix-shards")
+
+
+def block_slots(spark: SparkSession, pieces: DataFrame, plan: list[dict], block: int, shard_slots: int) -> DataFrame:
+    """``pieces`` (sid, block, ..) with each slot that takes their block: ``shard``, and ``length``, the words of the block that it takes."""
     total = sum(p["slots"] for p in plan)
-    rows, first = [], 0
-    for p in plan:
-        rows.append((p["sid"], first, p["slots"], p["blocks"], p["words"], p["cut"]))
-        first += p["slots"]
-    sources = small_frame(spark, rows, "sid bigint, first bigint, slots bigint, blocks bigint, words bigint, cut bigint")
-    chunk = F.lit(shard_slots).cast("long")
-    # A count stands for thousands of slots, so the size of such rows says
-    # nothing of their work: the number of tasks follows the slots.
-    tasks = -(-total // TASK_SLOTS) or 1
-    strata = (sources.where("slots > 0")
-              .select("sid", "first", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {shard_slots}"))).alias("c"))
-              .repartition(tasks, "sid", "c")
-              .select("sid", F.explode(F.sequence(F.col("first") + F.col("c") * chunk,
-                                                  F.col("first") + F.least((F.col("c") + 1) * chunk, F.col("slots")) - 1)).alias("stratum")))
-    place = permuted(F.col("stratum"), F.lit(max(1, total)).cast("long"), F.lit(-1).cast("long"))
-    counts = strata.select("sid", F.floor(place / shard_slots).alias("shard")).groupBy("sid", "shard").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
-    slots = numbered.repartition(tasks, "sid", "shard").select("sid", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)).alias("i")).join(sources, "sid")
-    index = permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.col("sid"), F.expr("i div blocks"))
-    picked = slots.withColumn("block", index)
+    # Slots of a source that a shard is expected to have.
+    rows = [(p["sid"], p["slots"], p["blocks"], p["words"], p["cut"], max(1, p["slots"] * shard_slots // max(1, total))) for p in plan if p["slots"]]
+    sources = small_frame(spark, rows, "sid bigint, slots bigint, blocks bigint, words bigint, cut bigint, stretch bigint")
+    shards = drawn_shards(spark, [p["slots"] for p in plan], shard_slots).join(sources.select("sid", "stretch"), "sid")
+    shards = shards.select("shard", "sid", "from", "n", F.explode(F.sequence(F.expr("`from` div stretch"), F.expr("(`from` + n - 1) div stretch"))).alias("at"))
+    pass_ = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(slots - 1) div blocks")))
+    slots = pieces.join(sources, "sid").withColumn("pass", pass_)
+    slots = slots.withColumn("i", F.col("pass") * F.col("blocks") + permuted(F.col("block"), F.col("blocks"), F.col("sid"), F.col("pass"), back=True))
+    slots = slots.where("i < slots").withColumn("at", F.expr("i div stretch"))
     length = F.least(F.lit(block).cast("long"), F.col("words") - F.col("block") * block)
     is_cut = (F.col("i") == F.col("slots") - 1) & (F.col("cut") > 0)
-    return (picked.select("sid", "block", is_cut.alias("is_cut"), F.greatest(length - F.col("cut"), F.lit(0)).alias("rest"))
-            .groupBy("sid", "block").agg(F.sum(F.when(~F.col("is_cut"), 1).otherwise(0)).alias("whole"),
-                                         F.sum(F.when(F.col("is_cut"), F.col("rest")).otherwise(0)).alias("part")))
+    slots = slots.withColumn("length", F.when(is_cut, F.greatest(length - F.col("cut"), F.lit(0))).otherwise(length))
+    inside = slots.join(shards, ["sid", "at"]).where("i >= `from` AND i < `from` + n")
+    return inside.select(*pieces.columns, "shard", "length")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """One row a document: doc_id, size, source_size, target, taken, mark.
+    """One row a document: doc_id, size, source_size, target, taken, mark, n_shards, first_shard.
 
-    ``mark`` is the hash of the text: with doc_id it names the document.
+    ``mark`` is the hash of the text: with doc_id it names the document. ``n_shards``
+    is the number of shards that words of it go to, ``first_shard`` the least (null: none).
     """
     spark = docs.sparkSession
     slim = stage(docs.select(
@@ -162,16 +209,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                           "sid bigint, of string, source_size bigint, target double")
     known = slim.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
     spread = stage(laid_out(known, sum(r["n"] for r in found)), "mix-offsets")
-    takes = drawn_slots(spark, plan, block, shard_slots)
     b = F.col("block") * block
-    pieces = spread.where("size > 0").withColumn("block", F.explode(F.sequence(
-        F.expr(f"off div {block}"), F.expr(f"(off + size - 1) div {block}"))))
-    start, end = F.greatest("off", b), F.least(F.col("off") + F.col("size"), b + block)
-    words = F.col("whole") * (end - start) + F.greatest(F.least(end, b + F.col("part")) - start, F.lit(0))
-    taken = (pieces.join(takes, ["sid", "block"]).groupBy("sid", "off", "size")
-             .agg(F.sum(words).cast("long").alias("taken")))
+    pieces = spread.where("size > 0").select("sid", "off", "size", F.explode(F.sequence(
+        F.expr(f"off div {block}"), F.expr(f"(off + size - 1) div {block}"))).alias("block"))
+    takes = block_slots(spark, pieces, plan, block, shard_slots)
+    words = F.least(F.col("off") + F.col("size"), b + F.col("length")) - F.greatest("off", b)
+    # First by shard, so that a document of many blocks is not one set of shards in memory.
+    by_shard = takes.where(words > 0).groupBy("sid", "off", "size", "shard").agg(F.sum(words).cast("long").alias("words"))
+    taken = by_shard.groupBy("sid", "off", "size").agg(F.sum("words").alias("taken"), F.count(F.lit(1)).alias("n_shards"), F.min("shard").alias("first_shard"))
+    zero = F.lit(0).cast("long")
     return (spread.join(taken, ["sid", "off", "size"], "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "mark"))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", zero).alias("taken"), "mark", F.coalesce("n_shards", zero).alias("n_shards"), "first_shard"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **size) -> DataFrame:
@@ -185,8 +233,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
             .groupBy(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__key"), F.col("mark").alias("__mark"))
             .agg((F.avg("taken") / F.max("size")).alias("__times")).withColumn("__times", times))
     plan = stage(plan.where("__times > 0"), "mix-times")
-    return (row_keys(docs, id_col, text_col).join(plan, ["__key", "__mark"])
-            .withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns))
+    rows, back, (id_, text) = flat(docs, id_col, text_col)
+    return (row_keys(rows, id_, text).join(plan, ["__key", "__mark"])
+            .withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*back))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
