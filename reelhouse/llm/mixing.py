@@ -40,8 +40,10 @@ BLOCK = 128
 SHARD_SLOTS = 4096
 #: Documents to a bin when offsets are added up.
 BIN_ROWS = 1024
-#: Draws of an urn that are made one by one; nodes of the tree to a task.
-URN, TASK_NODES = 64, 4096
+#: Draws of an urn that are made one by one; nodes of the tree to a task; blocks to a task.
+URN, TASK_NODES, TASK_BLOCKS = 64, 4096, 50_000
+#: Up to so many sources (half a megabyte), the table of them is broadcast.
+FEW_SOURCES = 10_000
 ROUNDS = 24
 SEED = 8
 
@@ -176,7 +178,9 @@ def block_slots(spark: SparkSession, pieces: DataFrame, plan: list[dict], block:
     # Slots of a source that a shard is expected to have.
     rows = [(p["sid"], p["slots"], p["blocks"], p["words"], p["cut"], max(1, p["slots"] * shard_slots // max(1, total))) for p in plan if p["slots"]]
     sources = small_frame(spark, rows, "sid bigint, slots bigint, blocks bigint, words bigint, cut bigint, stretch bigint")
-    shards = drawn_shards(spark, [p["slots"] for p in plan], shard_slots).join(sources.select("sid", "stretch"), "sid")
+    if len(rows) <= FEW_SOURCES:
+        sources = F.broadcast(sources)
+    shards = drawn_shards(spark, [p["slots"] for p in plan], shard_slots).join(sources, "sid")
     shards = shards.select("shard", "sid", "from", "n", F.explode(F.sequence(F.expr("`from` div stretch"), F.expr("(`from` + n - 1) div stretch"))).alias("at"))
     pass_ = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(slots - 1) div blocks")))
     slots = pieces.join(sources, "sid").withColumn("pass", pass_)
@@ -210,7 +214,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     known = slim.join(sources, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
     spread = stage(laid_out(known, sum(r["n"] for r in found)), "mix-offsets")
     b = F.col("block") * block
-    pieces = spread.where("size > 0").select("sid", "off", "size", F.explode(F.sequence(
+    # A row stands for up to thousands of blocks: the number of tasks follows the blocks.
+    texts = spread.where("size > 0").select("sid", "off", "size").repartition(-(-sum(p["blocks"] for p in plan) // TASK_BLOCKS) or 1, "sid", "off")
+    pieces = texts.select("sid", "off", "size", F.explode(F.sequence(
         F.expr(f"off div {block}"), F.expr(f"(off + size - 1) div {block}"))).alias("block"))
     takes = block_slots(spark, pieces, plan, block, shard_slots)
     words = F.least(F.col("off") + F.col("size"), b + F.col("length")) - F.greatest("off", b)
