@@ -84,27 +84,40 @@ _ENDS = (".", "!", "?", ":", ";", "|", "-")
 _TYPE = np.array([0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
+class _Known(dict):
+    """Raw words seen so far; one that is new is added."""
+
+    def __init__(self, add):
+        super().__init__()
+        self.add = add
+
+    def __missing__(self, raw: bytes) -> int:
+        return self.add(raw)
+
+
 class Forms:
     """Per raw word: hash of its canonical form, its kind, and what it says of its place."""
 
     def __init__(self):
-        self.index: dict[bytes, int] = {}
+        self.index = _Known(self.add)
         self.hashes = np.zeros(1024, dtype=np.uint64)
         self.flags = np.zeros(1024, dtype=np.uint8)  # kind, + 4 ends a sentence, + 8 a real word
 
-    def add(self, raw: bytes) -> None:
+    def add(self, raw: bytes) -> int:
         text = raw.decode("utf-8", "replace")
-        core = text if text.isalpha() else _EDGE.sub("", text)
+        plain = text.isalpha()
+        core = text if plain else _EDGE.sub("", text)
         low = core.lower()
-        kind = NUMBER if low in NUMBERS or _NUMERIC.fullmatch(core) else UNIT if low in UNITS else LITERAL
+        kind = NUMBER if low in NUMBERS or not plain and _NUMERIC.fullmatch(core) else UNIT if low in UNITS else LITERAL
         if kind == LITERAL and core[:1].isupper():  # Anna, ANNA, O'Brien, J.
             kind = NAME
         at = len(self.index)
         if at == len(self.hashes):
             self.hashes, self.flags = np.resize(self.hashes, 2 * at), np.resize(self.flags, 2 * at)
         self.hashes[at] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "replace"))
-        self.flags[at] = kind | (4 if not core or text.endswith(_ENDS) else 0) | (8 if core else 0)
+        self.flags[at] = kind | (8 if core else 0) | (4 if not core or not plain and text.endswith(_ENDS) else 0)
         self.index[raw] = at
+        return at
 
     def of(self, text: bytes | None) -> tuple[np.ndarray, ...]:
         """Of a whole text: hashes, kinds and, where these differ, kinds with names
@@ -112,13 +125,7 @@ class Forms:
         words = text.split() if text else []
         if len(self.index) > MEMORY:
             self.index.clear()
-        try:
-            ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-        except KeyError:
-            for w in words:
-                if w not in self.index:
-                    self.add(w)
-            ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         h, flags = self.hashes[ids], self.flags[ids]
         names, real = flags & 3, flags >= 8
         if not names.any():
