@@ -10,7 +10,9 @@ the anchor's region: ``LENGTH - GRAM`` bytes before it, ``LENGTH`` from it on.
 1. Each block of texts sends the first holder of every (anchor, region) to the
    shard of the anchor's hash. Of equal regions all but the earliest are
    repeated as a whole. A block keeps its own repeats, so a passage that is in
-   every text crosses the network once per block.
+   every text crosses the network once per block. Regions of equal hash are
+   confirmed byte by byte in their block, and by 64 bits of another hash, taken of
+   the same bytes, between blocks.
 2. Earliest holders of regions that differ but have an anchor in common, that
    is the ends of passages, send their bytes. In a shard, the suffixes at the
    anchors are sorted by merging; two suffixes are compared at the end of their
@@ -121,11 +123,22 @@ def region(at: np.ndarray, n: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 # --- step 1 --------------------------------------------------------------------
+HOLDER = np.dtype([("h", "u8"), ("reg", "u8"), ("check", "u8"), ("id", "i8"), ("mark", "i8"), ("at", "u4"), ("n", "u4")])
+REPEAT = np.dtype([("id", "i8"), ("mark", "i8"), ("start", "u4"), ("end", "u4")])
+
+
+def _records(dtype: np.dtype, *columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(columns[0]), dtype)
+    for name, c in zip(dtype.names, columns):
+        out[name] = c
+    return out
+
+
 def block_parts(ids: np.ndarray, marks: np.ndarray, texts: list[bytes | None], shards: int) -> Iterator[tuple[int, bytes]]:
-    """Payload per shard of a block: holders (hash, region, id, mark, position, bytes of text), own repeats (id, mark, start, end)."""
+    """Payload per shard of a block: holders (hash, region, its second hash, id, mark, position, bytes of text), and the block's own repeats in one of them."""
     order = np.lexsort((marks, ids))
     rows = order[np.r_[True, (np.diff(ids[order]) != 0) | (np.diff(marks[order]) != 0)]] if len(order) else order
-    hs, regions, rank, ats, ns = [], [], [], [], []
+    hs, digests, rank, ats, ns = [], [], [], [], []
     for r, i in enumerate(rows):
         text = texts[i] or b""
         at, h = text_anchors(text)
@@ -133,30 +146,40 @@ def block_parts(ids: np.ndarray, marks: np.ndarray, texts: list[bytes | None], s
             lo, hi = region(at, len(text))
             hs.append(h)
             view = memoryview(text)
-            regions.append(np.fromiter(
-                (xxhash.xxh3_64_intdigest(view[a:b], a - p + LEFT) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())), np.uint64, len(at)))
+            digests += [xxhash.xxh3_128_digest(view[a:b], a - p + LEFT) for a, b, p in zip(lo.tolist(), hi.tolist(), at.tolist())]
             rank.append(np.full(len(at), r))
             ats.append(at)
             ns.append(np.full(len(at), len(text)))
     if not hs:
         return
-    h, reg, rank, at, n = (np.concatenate(x) for x in (hs, regions, rank, ats, ns))
+    h, rank, at, n = (np.concatenate(x) for x in (hs, rank, ats, ns))
+    reg, check = np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2).T
     by = np.lexsort((at, rank, reg, h))
-    h, reg, rank, at, n = (x[by] for x in (h, reg, rank, at, n))
+    h, reg, check, rank, at, n = (x[by] for x in (h, reg, check, rank, at, n))
     first = np.r_[True, (h[1:] != h[:-1]) | (reg[1:] != reg[:-1])]
     lo, hi = region(at, n)
+    # The bytes themselves: a region that differs from the first of its hash is a holder of its own.
+    again = np.flatnonzero(~first)
+    head = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))[again]
+    owners = rows[rank].tolist()
+    lows, highs = lo.tolist(), hi.tolist()
+    same = np.fromiter((texts[owners[k]][lows[k]:highs[k]] == texts[owners[f]][lows[f]:highs[f]] for k, f in zip(again.tolist(), head.tolist())), bool, len(again))
+    first[again[~same]] = True
     start, end, owner = merged(rank[~first], lo[~first], hi[~first])
+    # Holders in the order of their shards, cut where these change.
     shard = (h % np.uint64(shards)).astype(np.int64)
+    k = np.flatnonzero(first)
+    k = k[np.argsort(shard[k], kind="stable")]
+    who = rows[rank[k]]
+    holders = _records(HOLDER, h[k], reg[k], check[k], ids[who], marks[who], at[k], n[k])
+    cut = np.flatnonzero(np.diff(shard[k])) + 1
+    parts = dict(zip(shard[k[np.r_[0, cut]]].tolist(), np.split(holders, cut)))
+    repeats, none = _records(REPEAT, ids[rows[owner]], marks[rows[owner]], start, end), np.empty(0, REPEAT)
     own = int(ids[rows[0]] % shards)  # repeats of the block travel with one of its parts
-    for s in range(shards):
-        k = np.flatnonzero(first & (shard == s))
-        mine = s == own and len(start)
-        if len(k) or mine:
-            who = rows[rank[k]]
-            repeats = rows[owner] if mine else rows[:0]
-            cut = slice(None) if mine else slice(0, 0)
-            yield s, pack(h[k], reg[k], ids[who], marks[who], at[k].astype(np.uint32), n[k].astype(np.uint32),
-                          ids[repeats], marks[repeats], start[cut].astype(np.uint32), end[cut].astype(np.uint32))
+    if len(repeats):
+        parts.setdefault(own, holders[:0])
+    for s, part in parts.items():
+        yield s, pack(part, repeats if s == own else none)
 
 
 def merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,13 +196,19 @@ def merged(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return start[new], run[last] - lift[last], owner[new]
 
 
+def _columns(parts: list[np.ndarray], dtype: np.dtype) -> list[np.ndarray]:
+    records = np.concatenate(parts).view(dtype)
+    return [np.ascontiguousarray(records[name]) for name in dtype.names]
+
+
 def decided(data: list[bytes]) -> pa.Table:
     """One shard of step 1: (doc_id, mark, start, end, anchor); anchor is null for a span to remove."""
     parts = [unpack(d) for d in data]
-    h, reg, ids, marks, at, n, rid, rmark, rstart, rend = (np.concatenate([p[k] for p in parts]) for k in range(10))
-    by = np.lexsort((at, marks, ids, reg, h))
-    h, reg, ids, marks, at, n = (x[by] for x in (h, reg, ids, marks, at.astype(np.int64), n.astype(np.int64)))
-    new = np.r_[True, (h[1:] != h[:-1]) | (reg[1:] != reg[:-1])] if len(h) else np.empty(0, bool)
+    h, reg, check, ids, marks, at, n = _columns([p[0] for p in parts], HOLDER)
+    rid, rmark, rstart, rend = _columns([p[1] for p in parts], REPEAT)
+    by = np.lexsort((at, marks, ids, check, reg, h))
+    h, reg, check, ids, marks, at, n = (x[by] for x in (h, reg, check, ids, marks, at.astype(np.int64), n.astype(np.int64)))
+    new = np.r_[True, (h[1:] != h[:-1]) | (reg[1:] != reg[:-1]) | (check[1:] != check[:-1])] if len(h) else np.empty(0, bool)
     head = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
     # The same place of the same text as the earliest is the earliest.
     repeat = (ids != ids[head]) | (marks != marks[head]) | (at != at[head])
