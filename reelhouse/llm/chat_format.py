@@ -132,3 +132,52 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("rejected_mask", lambda s: F.concat_ws("-", s["start"], s["end"])).alias("rejected_mask"),
         "same",
     ).withColumns({c: F.array_join(c, ",") for c in ("chosen_mask", "rejected_mask")})
+
+
+#: DuckDB twin of ``query``: turns as rows, one number for each. Written apart from the operator.
+SQL = """
+with turns as (
+  select conv_id, turn, role, text,
+         row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as i,
+         count(*) over (partition by conv_id) as n
+  from (select distinct conv_id, cast(turn as bigint) as turn, role, text from conversations)),
+replies as (
+  select conv_id, i, row_number() over (partition by conv_id order by i) - 1 as k, count(*) over (partition by conv_id) as m
+  from turns where role = 'assistant'),
+starts as (select conv_id, i as first_reply from replies where k = ((coalesce(conv_id, 0) % m) + m) % m),
+both_sides as (
+  select t.conv_id, t.i, t.n, t.role, t.text as chosen_text,
+         case when s.first_reply is not null and t.role = 'assistant' and t.i >= s.first_reply and t.i > 1
+              then lag(t.text) over (partition by t.conv_id order by t.i) else t.text end as rejected_text,
+         case when s.first_reply is null then t.n - 1 else t.n end as n_rejected
+  from turns t left join starts s on t.conv_id is not distinct from s.conv_id),
+prefixes as (
+  select conv_id, max(n) as n, max(n_rejected) as n_rejected,
+         coalesce(min(case when i <= n_rejected and chosen_text is distinct from rejected_text then i - 1 end), max(n_rejected)) as p
+  from both_sides group by conv_id),
+openings as (
+  select f.conv_id, f.n, f.n_rejected, f.p,
+         coalesce(bool_or(b.i = f.p + 1 and b.i <= f.n_rejected and b.role = 'assistant'), false) as opened
+  from prefixes f join both_sides b on f.conv_id is not distinct from b.conv_id group by all),
+rendered as (
+  select b.conv_id, o.n, o.n_rejected, o.p, o.opened, b.i, b.role, b.i <= o.n_rejected as in_rejected,
+         case when o.opened and b.i = o.p + 1 then '' else '<|im_start|>' || replace(coalesce(b.role, ''), '<|', '< |') || chr(10) end as head,
+         replace(coalesce(b.chosen_text, ''), '<|', '< |') || '<|im_end|>' || chr(10) as chosen_body,
+         replace(coalesce(b.rejected_text, ''), '<|', '< |') || '<|im_end|>' || chr(10) as rejected_body
+  from both_sides b join openings o on b.conv_id is not distinct from o.conv_id),
+measured as (
+  select *, coalesce(sum(case when i > p then length(head) + length(chosen_body) else 0 end) over before, 0) + length(head) as chosen_at,
+         coalesce(sum(case when i > p then length(head) + length(rejected_body) else 0 end) over before, 0) + length(head) as rejected_at
+  from rendered window before as (partition by conv_id order by i rows between unbounded preceding and 1 preceding))
+select conv_id, cast(p as integer) as prompt_turns,
+       coalesce(string_agg(head || chosen_body, '' order by i) filter (i <= p), '')
+         || case when opened then '<|im_start|>assistant' || chr(10) else '' end as prompt,
+       coalesce(string_agg(head || chosen_body, '' order by i) filter (i > p), '') as chosen,
+       coalesce(string_agg(head || rejected_body, '' order by i) filter (i > p and in_rejected), '') as rejected,
+       coalesce(string_agg(concat(chosen_at, '-', chosen_at + length(chosen_body) - 1), ',' order by i)
+                filter (i > p and role = 'assistant'), '') as chosen_mask,
+       coalesce(string_agg(concat(rejected_at, '-', rejected_at + length(rejected_body) - 1), ',' order by i)
+                filter (i > p and in_rejected and role = 'assistant'), '') as rejected_mask,
+       n = p and n_rejected = p as same
+from measured group by conv_id, n, n_rejected, p, opened
+"""

@@ -23,4 +23,4 @@ QUERIES = {
     "op13_prefix_trie": prefix_trie.query,
 }
 
-ORACLE = {"op2_digest_index": exact_dedup.SQL}
+ORACLE = {"op1_preference_format": chat_format.SQL, "op2_digest_index": exact_dedup.SQL}
