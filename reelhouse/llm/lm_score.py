@@ -95,24 +95,27 @@ def blocks_of(docs: DataFrame) -> DataFrame:
                 hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
                 train = np.repeat(part.column(1).to_numpy(zero_copy_only=False), sizes)
                 counts = np.bincount(flat[train], minlength=len(number))
-                often = np.flatnonzero(counts * 2 * HOT > len(flat))
+                often = np.flatnonzero(counts * 2 * HOT > train.sum())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([uuid.uuid4().int >> 65]), pa.array([part.column(0)], pa.list_(pa.int64())),
                     pa.array([part.column(1)], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
                     pa.array([pack(flat, hashes)], pa.binary()), pa.array([hashes[often].view(np.int64)], pa.list_(pa.int64())),
-                    pa.array([int(train.sum())])], ["block", "ids", "train", "sizes", "data", "often", "trained"])
+                    pa.array([counts[often]], pa.list_(pa.int64())), pa.array([int(train.sum())])],
+                    ["block", "ids", "train", "sizes", "data", "often", "times", "trained"])
 
-    return docs.mapInArrow(run, "block long, ids array<long>, train array<boolean>, sizes array<int>, data binary, often array<long>, trained long")
+    return docs.mapInArrow(run, "block long, ids array<long>, train array<boolean>, sizes array<int>, data binary, often array<long>, times array<long>, trained long")
 
 
 def hot_words(blocks: DataFrame, trained: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes and exact counts of the words with over 1 / HOT of all tokens.
 
-    Such a word has more than half that share in some block, which are the
-    candidates: a bounded list for each block.
+    Blocks tell the words that have over half that share of their own tokens. In
+    the other blocks a word has less than that, so half of a frequent word's tokens
+    are told: the candidates are the words with so many, fewer than 2 * HOT.
     """
-    often = blocks.select(F.explode("often").alias("word")).distinct()
-    maybe = np.sort(often.toArrow()["word"].to_numpy().view(np.uint64)) if trained else np.empty(0, np.uint64)
+    told = blocks.select(F.explode(F.arrays_zip("often", "times")).alias("w")).select("w.*")
+    often = told.groupBy("often").agg(F.sum("times").alias("times")).where(F.col("times") * 2 * HOT > trained).select("often")
+    maybe = np.sort(often.toArrow()["often"].to_numpy().view(np.uint64)) if trained else np.empty(0, np.uint64)
     if not len(maybe):
         return maybe, np.empty(0, np.int64)
 
