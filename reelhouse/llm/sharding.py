@@ -29,9 +29,12 @@ from reelhouse.llm.common import flat, small_frame, stage, table
 SHARDS = 16
 #: A boundary is settled when it is off by at most this share of a shard.
 TOLERANCE = 0.002
-#: Ranges hold at most rows / LEAVES rows (but RANGE_ROWS is always allowed), so
-#: the driver sees some thousands of ranges at any corpus size.
-LEAVES, RANGE_ROWS = 1024, 1000
+#: Ranges are split until each holds at most its share of the rows, of LEAVES ranges or of
+#: one for RANGE_BYTES bytes if these are more (RANGE_ROWS rows are always allowed). The
+#: driver sees a few times as many ranges: some thousands, a million at 100 TB.
+LEAVES, RANGE_ROWS, RANGE_BYTES = 1024, 1000, 256 << 20
+#: Up to so many ranges (some 50 MB), the table of them is broadcast.
+FEW_RANGES = 1_000_000
 #: Bits of the hash that the rounds look at: 12, then 8 more each.
 HASH_SHIFTS = (52, 44, 36, 28, 20, 12, 4, 0)
 
@@ -83,7 +86,7 @@ def split_ranges(keyed: DataFrame, shifts: list[tuple[int, int | None]], shards:
 
     ranges = count(keyed, 0)
     total, n_rows = sum(r.size for r in ranges), sum(r.rows for r in ranges)
-    most_rows = max(RANGE_ROWS, n_rows // LEAVES)
+    most_rows = max(RANGE_ROWS, n_rows // max(LEAVES, total // RANGE_BYTES))
     most_bytes = tolerance * total / shards
     targets = [total * i / shards for i in range(1, shards)]
     for level in range(len(levels) - 1):
@@ -97,7 +100,7 @@ def split_ranges(keyed: DataFrame, shifts: list[tuple[int, int | None]], shards:
             break
         names = [f"o{i}" for i in range(len(levels[level]))]
         probes = small_frame(spark, unsettled, ", ".join(f"{n} bigint" for n in names))
-        inside = keyed.join(F.broadcast(probes), [c == F.col(n) for c, n in zip(levels[level], names)], "left_semi")
+        inside = keyed.join(_small(probes, len(unsettled)), [c == F.col(n) for c, n in zip(levels[level], names)], "left_semi")
         children: dict[tuple, list[Range]] = {}
         for r in count(inside, level + 1):
             children.setdefault(_parent(r.prefix, shifts[level], shifts[level + 1]), []).append(r)
@@ -106,6 +109,10 @@ def split_ranges(keyed: DataFrame, shifts: list[tuple[int, int | None]], shards:
     return ranges
 
 
+def _small(ranges: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(ranges) if n <= FEW_RANGES else ranges
+
+
 def _parent(prefix: tuple, at: tuple[int, int | None], next_at: tuple[int, int | None]) -> tuple:
     """Prefix in one round of a prefix in the next."""
     if next_at[1] is None:
@@ -135,11 +142,10 @@ def histogram_shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         below += r.size
     placed, found = keyed, []
     for level, rows in places.items():
-        # Bounded: a few times LEAVES ranges in all, whatever the corpus.
         names = [f"__hs_p{level}_{i}" for i in range(len(levels[level]))]
         cols = [f"__hs_{level}_{x}" for x in ("range", "shard", "base")]
         at = small_frame(spark, rows, ", ".join(f"{n} bigint" for n in names + cols))
-        placed = placed.join(F.broadcast(at), [c == F.col(n) for c, n in zip(levels[level], names)], "left")
+        placed = placed.join(_small(at, len(rows)), [c == F.col(n) for c, n in zip(levels[level], names)], "left")
         found.append(cols)
     pick = lambda k: F.coalesce(*[F.col(c[k]) for c in found], F.lit(0).cast("long"))
     placed = placed.withColumns({"__hs_range": pick(0), "__hs_shard": pick(1), "__hs_base": pick(2)})

@@ -96,3 +96,18 @@ def test_shard_keeps_columns_of_any_name(spark, clash, tmp_path):
     out.write.parquet(str(tmp_path / "out"))
     got = spark.read.parquet(str(tmp_path / "out"))
     assert {tuple(r)[:-2] for r in got.collect()} == {r[:7] + r[9:] for r in rows}
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    keyed = sharding._keys(docs, "doc_id", "text", 0)
+    shifts = sharding._shifts(0, 4000)
+    want = {tuple(r) for r in sharding.histogram_shard(docs, shards=4).collect()}
+    few = len(sharding.split_ranges(keyed, shifts, 4, 0.01))
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 1)
+    monkeypatch.setattr(sharding, "LEAVES", 8)
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 10)  # fewer than a text has: a range for each row
+    ranges = sharding.split_ranges(keyed, shifts, 4, 0.01)
+    assert len(ranges) == 4000 > few and {r.rows for r in ranges} == {1}
+    monkeypatch.setattr(sharding, "FEW_RANGES", 10)  # joined without a broadcast
+    assert {tuple(r)[:3] for r in sharding.histogram_shard(docs, shards=4).collect()} == {r[:3] for r in want}
