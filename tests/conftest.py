@@ -32,3 +32,16 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="reelhouse-case-")
+
+
+@pytest.fixture()
+def fresh_layers(spark):
+    """No tables in the three layers, before the test and after it."""
+
+    def drop():
+        for layer in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+
+    drop()
+    yield
+    drop()

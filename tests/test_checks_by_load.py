@@ -34,7 +34,7 @@ def test_only_bounded_checks_are_observed(spark):
         checks.observed(df, mine)
 
 
-def test_run_tells_the_failures_of_its_marts(spark, tmp_dir):
+def test_run_tells_the_failures_of_its_marts(spark, fresh_layers, tmp_dir):
     with open(f"{tmp_dir}/watchlist.csv", "w") as f:
         f.write("Date,Name,Year,Letterboxd URI\n2024-01-01,A,2001,w1\n")
     out = run.run(spark, tmp_dir)

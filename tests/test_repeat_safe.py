@@ -24,11 +24,6 @@ def write(path, text):
         f.write(text)
 
 
-def fresh_layers(spark):
-    for layer in ("bronze", "silver", "gold"):
-        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
-
-
 def die_at(monkeypatch, calls, after):
     """The ``calls``-th call of append_table or save_table dies, before its work or after."""
     count, lock = [0], threading.Lock()
@@ -55,8 +50,7 @@ def die_at(monkeypatch, calls, after):
 
 @pytest.mark.parametrize("incremental", [False, True])
 @pytest.mark.parametrize("calls, after", [(1, True), (2, False), (3, True), (4, True)])
-def test_a_killed_run_leaves_each_row_once(spark, tmp_dir, monkeypatch, calls, after, incremental):
-    fresh_layers(spark)
+def test_a_killed_run_leaves_each_row_once(spark, fresh_layers, tmp_dir, monkeypatch, calls, after, incremental):
     drop, raw_dir = os.path.join(tmp_dir, "drop"), os.path.join(tmp_dir, "raw")
     write(f"{drop}/ratings.csv", RATINGS + "2024-01-01,A,2001,u1,4\n2024-01-02,B,2002,u2,3\n")
     write(f"{drop}/watched.csv", WATCHED + "2024-01-01,A,2001,u1\n")
@@ -76,8 +70,7 @@ def test_a_killed_run_leaves_each_row_once(spark, tmp_dir, monkeypatch, calls, a
         assert spark.table(ledger).count() == 2
 
 
-def test_incremental_folds_loads_of_every_dataset_and_names_stale_models(spark, tmp_dir):
-    fresh_layers(spark)
+def test_incremental_folds_loads_of_every_dataset_and_names_stale_models(spark, fresh_layers, tmp_dir):
     raw_dir = os.path.join(tmp_dir, "raw")
     write(f"{raw_dir}/1_ratings.csv", RATINGS + "2024-01-01,A,2001,u1,4\n")
     write(f"{raw_dir}/1_watched.csv", WATCHED + "2024-01-01,A,2001,u1\n")

@@ -14,7 +14,7 @@ def write(path, text, mtime):
     os.utime(path, (mtime, mtime))
 
 
-def test_layered_run(spark, tmp_dir):
+def test_layered_run(spark, fresh_layers, tmp_dir):
     raw_dir = os.path.join(tmp_dir, "raw", "letterboxd")
     t = time.time() - 10000
     # an older ratings file that must be ignored, and the newest one
