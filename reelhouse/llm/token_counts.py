@@ -2,11 +2,16 @@
 
 A text is cut where its pieces cannot cross (before a run of word marks), and
 each distinct pre-token is merged once per batch of pre-tokens: the symbols of
-all pre-tokens lie in one array with offsets; in each round every pre-token
-that still has a known pair merges its best-ranked one (the leftmost of
-equals); what survives is counted. Symbols that are no piece count as their
-UTF-8 bytes (byte fallback). Counts of pre-tokens are remembered in the worker
-up to a fixed number of entries, so a text costs look-ups only.
+all pre-tokens lie in one array with offsets, cut further where no piece holds
+the two characters side by side. In each round every sequence that still has a
+known pair merges its best-ranked one, at all places that one merge after the
+other, from the left, would come to: places that do not overlap. Where a new
+symbol makes a pair as good or better with a neighbour (runs of spaces do), the
+sequence is walked from the left once, and the new symbol grows first. What
+survives is counted. Symbols that are no piece count as their UTF-8 bytes (byte
+fallback). Pre-tokens of any length go this way. Counts of short pre-tokens are
+remembered in the worker up to a fixed number of entries, so a text costs
+look-ups only.
 
 Defined results: a null text counts as empty and has no token; texts are
 processed whole, in any length; characters that stand for the word mark itself
@@ -18,6 +23,7 @@ and text are read.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +35,11 @@ from reelhouse.llm.common import byte_sizes, portions, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-#: Pre-tokens remembered by a worker (about 100 bytes each), and the most code
-#: points of one that is remembered or merged together with others.
-MEMORY, LONG = 300_000, 64
+#: Pre-tokens remembered by a worker, and the most code points of one that is
+#: remembered (about 100 bytes an entry).
+MEMORY, SHORT = 300_000, 64
+#: Symbols merged in one array (a sequence that is longer goes whole).
+PORTION = 1_000_000
 MARK = "▁"
 PRETOKEN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -46,7 +54,6 @@ class Merger:
         n = model.get_piece_size()
         plain = [i for i in range(n) if not (model.is_byte(i) or model.is_unknown(i) or model.is_control(i) or model.is_unused(i))]
         self.ids = {model.id_to_piece(i): i for i in plain}
-        self.text = {i: p for p, i in self.ids.items()}
         # Rank 0 is the best score; equal scores share a rank.
         order = {s: r for r, s in enumerate(sorted({model.get_score(i) for i in plain}, reverse=True))}
         self.rank = {i: order[model.get_score(i)] for i in plain}
@@ -61,6 +68,15 @@ class Merger:
         self.keys = np.array([p[0] for p in pairs], dtype=np.int64)
         self.ranks = np.array([p[1] for p in pairs], dtype=np.int64)
         self.made = np.array([p[2] for p in pairs], dtype=np.int64)
+        self.pairs = {p[0]: (p[1], p[2]) for p in pairs}
+        # The symbol of each character; one that is no piece has minus its bytes.
+        points = np.arange(sys.maxunicode + 1)
+        self.symbols = -1 - (points >= 0x80).astype(np.int64) - (points >= 0x800) - (points >= 0x10000)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        # Characters side by side in any piece.
+        self.beside = np.array(sorted({ord(x) << 32 | ord(y) for p in self.ids for x, y in zip(p, p[1:])}), dtype=np.int64)
         self.known: dict[str, int] = {}
 
     NONE = np.int64(1) << 40
@@ -73,68 +89,102 @@ class Merger:
 
     def count(self, words: list[str]) -> np.ndarray:
         """Surviving symbols of each word (no word is empty)."""
+        total = np.zeros(len(words), dtype=np.int64)
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        chars = "".join(words)
-        # A character that is no piece is a symbol below 0: minus its bytes.
-        symbols = np.fromiter(
-            (self.ids[c] if c in self.ids else -len(c.encode("utf-8", "surrogatepass")) for c in chars), dtype=np.int64, count=len(chars))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        if not len(codes):
+            return total
         word = np.repeat(np.arange(len(words)), lengths)
-        total = np.zeros(len(words), dtype=np.int64)
+        key = codes[:-1] << 32 | codes[1:]
+        at = np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)
+        begins = np.r_[True, (word[1:] != word[:-1]) | (self.beside[at] != key)]
+        starts = np.flatnonzero(begins)
+        cuts = np.unique(starts[np.searchsorted(starts, np.arange(0, len(codes), PORTION), side="right") - 1])
+        for lo, hi in zip(cuts, np.r_[cuts[1:], len(codes)]):
+            self._merge(self.symbols[codes[lo:hi]], word[lo:hi], np.cumsum(begins[lo:hi]), total)
+        return total
+
+    def _merge(self, symbols: np.ndarray, word: np.ndarray, part: np.ndarray, total: np.ndarray) -> None:
+        """Merges the sequences numbered by ``part`` and adds what survives to the totals of their words."""
+        rank = np.full(len(symbols), self.NONE)
+        made = np.zeros(len(symbols), dtype=np.int64)
+
+        def look_up_at(at: np.ndarray) -> None:
+            """Ranks of the pairs that begin at these places."""
+            rank[at] = self.NONE
+            at = at[at + 1 < len(symbols)]
+            at = at[part[at] == part[at + 1]]
+            rank[at], made[at] = self._look_up(symbols[at], symbols[at + 1])
+
+        look_up_at(np.arange(len(symbols)))
         while len(symbols):
-            rank = np.full(len(symbols), self.NONE)
-            made = np.zeros(len(symbols), dtype=np.int64)
-            inside = word[:-1] == word[1:]
-            if inside.any():
-                at = np.flatnonzero(inside)
-                rank[at], made[at] = self._look_up(symbols[at], symbols[at + 1])
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             best = np.minimum.reduceat(rank, first)
-            size = np.diff(np.r_[first, len(symbols)])
-            going = np.repeat(best < self.NONE, size)
-            done = ~going
+            level = np.repeat(best, np.diff(np.r_[first, len(symbols)]))
+            keep = level < self.NONE
+            done = ~keep
             if done.any():
-                cost = np.where(symbols[done] < 0, -symbols[done], 1)
-                np.add.at(total, word[done], cost)
-            hit = going & (rank == np.repeat(best, size))
-            where = np.flatnonzero(hit)
-            leftmost = where[np.r_[True, word[where][1:] != word[where][:-1]]] if len(where) else where
-            symbols[leftmost] = made[leftmost]
-            keep = going
-            keep[leftmost + 1] = False
-            symbols, word = symbols[keep], word[keep]
-        return total
-
-    def count_long(self, word: str) -> int:
-        """One very long pre-token: by a heap of pairs, in its length times its logarithm."""
-        import heapq
-
-        symbols = [self.ids.get(c, -len(c.encode("utf-8", "surrogatepass"))) for c in word]
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < n and symbols[i] >= 0 and symbols[j] >= 0:
-                made = self.ids.get(self.text[symbols[i]] + self.text[symbols[j]])
-                if made is not None:
-                    heapq.heappush(heap, (self.rank[made], i, symbols[i], symbols[j], made))
-
-        for i in range(n - 1):
-            offer(i)
-        while heap:
-            _, i, left, right, made = heapq.heappop(heap)
-            if not alive[i] or symbols[i] != left or after[i] >= n or symbols[after[i]] != right:
+                np.add.at(total, word[done], np.where(symbols[done] < 0, -symbols[done], 1))
+            where = np.flatnonzero(keep & (rank == level))
+            if not len(where):
+                return
+            # Of hits that overlap, every second one, from the left.
+            nth = np.arange(len(where))
+            run = np.maximum.accumulate(np.where(np.r_[True, np.diff(where) != 1], nth, 0))
+            where = where[(nth - run) % 2 == 0]
+            moved = self._disturbed(where, symbols, part, made, level)
+            changed = [np.empty(0, dtype=np.int64)]
+            if len(moved):
+                where = where[~np.isin(part[where], moved)]
+                for lo in first[np.isin(part[first], moved)]:
+                    hi = np.searchsorted(part, part[lo], side="right")
+                    walked = self._walked(symbols[lo:hi].tolist(), rank[lo:hi].tolist(), made[lo:hi].tolist(), int(level[lo]))
+                    symbols[lo:lo + len(walked)] = walked
+                    keep[lo + len(walked):hi] = False
+                    changed.append(np.arange(lo, lo + len(walked)))
+            symbols[where] = made[where]
+            keep[where + 1] = False
+            place = np.cumsum(keep) - 1
+            symbols, word, part, rank, made = symbols[keep], word[keep], part[keep], rank[keep], made[keep]
+            new = place[where]
+            look_up_at(np.concatenate([new, new[new > 0] - 1, place[np.concatenate(changed)]]))
+
+    def _disturbed(self, where: np.ndarray, symbols: np.ndarray, part: np.ndarray, made: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """The sequences in which a merge makes a pair as good as the round's or better."""
+        new = made[where]
+        left = np.where(where > 0, symbols[where - 1], -1)
+        left[1:] = np.where(where[1:] == where[:-1] + 2, new[:-1], left[1:])
+        left[(where > 0) & (part[where - 1] != part[where])] = -1
+        after = np.minimum(where + 2, len(symbols) - 1)
+        right = np.where((where + 2 < len(symbols)) & (part[after] == part[where]), symbols[after], -1)
+        arises = np.minimum(self._look_up(left, new)[0], self._look_up(new, right)[0]) <= level[where]
+        return np.unique(part[where[arises]])
+
+    def _walked(self, symbols: list[int], rank: list[int], made: list[int], level: int) -> list[int]:
+        """A sequence after all merges up to a rank, none of which is below it at first."""
+        none = (int(self.NONE), 0)
+        out: list[int] = []
+        i, n = 0, len(symbols)
+        while i < n:
+            if rank[i] != level:
+                out.append(symbols[i])
+                i += 1
                 continue
-            j = after[i]
-            symbols[i], alive[j], after[i] = made, False, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return sum(1 if s >= 0 else -s for s, a in zip(symbols, alive) if a)
+            grown = made[i]
+            i += 2
+            while True:
+                left = self.pairs.get(out[-1] << 32 | grown, none) if out and out[-1] >= 0 else none
+                right = self.pairs.get(grown << 32 | symbols[i], none) if i < n and symbols[i] >= 0 else none
+                if min(left[0], right[0]) > level:
+                    break
+                if left[0] <= right[0]:
+                    grown = left[1]
+                    out.pop()
+                else:
+                    grown = right[1]
+                    i += 1
+            out.append(grown)
+        return out
 
     def counts(self, texts: list[str | None]) -> list[int]:
         """Tokens of each whole text."""
@@ -143,11 +193,9 @@ class Merger:
             known.clear()
         cut = [PRETOKEN.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = [w for w in {w for words in cut for w in words} if w not in known]
-        long = {w: self.count_long(w) for w in new if len(w) > LONG}
-        short = [w for w in new if len(w) <= LONG]
-        for i in range(0, len(short), 200_000):
-            part = short[i:i + 200_000]
-            known.update(zip(part, self.count(part).tolist()))
+        long: dict[str, int] = {}
+        for w, n in zip(new, self.count(new).tolist()):
+            (known if len(w) <= SHORT else long)[w] = n
         return [sum(map(known.__getitem__, words)) if not long else
                 sum(known[w] if w in known else long[w] for w in words) for words in cut]
 

@@ -152,9 +152,21 @@ def test_token_counts(docs, rows, empty):
     assert token_counts.token_counts(empty).count() == 0
     rng = random.Random(6)
     odd = ["".join(rng.choice(" ▁abethrouz\n\t.,<>é日😀_0x19") for _ in range(rng.randint(0, 90))) for _ in range(400)]
+    # Pre-tokens of any length go one path: no spaces, one character, equal ranks (runs of spaces), dense ranks.
+    odd += ["x" * 100_000, "漢字" * 20_000, "abc" * 20_000, " " * 20_000, " " * 3_001 + "word", "-=" * 9_000, "=-----" * 5_000]
+    odd += ["".join(rng.choice(of) for _ in range(20_000)) for of in ("日本語中国人大学生先", "ACGT", "abcdefghijklmnopqrstuvwxyz", " =-", "é à")]
     assert token_counts._merger(token_counts.MODEL).counts(odd) == [len(model.encode(t)) for t in odd]
 
 
+def test_tokens_of_portions(monkeypatch):
+    merger = token_counts._merger(token_counts.MODEL)
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdehilorstu漢字-") for _ in range(rng.randint(1, 400))) for _ in range(200)]
+    whole = merger.count(words).tolist()
+    monkeypatch.setattr(token_counts, "PORTION", 50)
+    assert merger.count(words).tolist() == whole
+
+
 def test_language_id(spark, docs, empty):
     syllables = {"aa": "stre gro blin mer", "ab": "stre gro blan mur", "ba": "iño ela ora que", "bb": "ião ela ora ção"}
     rng = random.Random(2)
