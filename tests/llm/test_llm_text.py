@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.llm import (
     chat_format, decontaminate, exact_dedup, language_id, lm_score,
@@ -134,7 +135,6 @@ def test_similarity_estimate_is_corrected(spark):
     both = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
     sets = [np.unique(np.concatenate([both, rng.integers(0, 1 << 63, 200, dtype=np.uint64)])) for _ in range(2)]
     sig = [minhash_dedup.packed(minhash_dedup.minima(s)).tolist() for s in sets]
-    from pyspark.sql import functions as F
     lanes = lambda x: [F.lit(v) for v in x]
     got = spark.range(1).select(minhash_dedup.similarity(lanes(sig[0]), lanes(sig[1]))).first()[0]
     assert abs(got - 800 / 1200) < 0.15
@@ -233,7 +233,6 @@ def test_mixed_rows_meet_the_targets(spark):
 
 
 def test_permutations_are_exact(spark):
-    from pyspark.sql import functions as F
 
     for n in (1, 2, 7, 100):
         x = spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3).cast("long")).alias("p"))
@@ -311,30 +310,55 @@ def test_long_text_is_scanned_in_pieces(monkeypatch):
     assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all()
 
 
-def test_lm_scores(docs, rows, empty):
+def scores_agree(rows, got):
+    """The trigram model, plainly."""
     train = [r for r in rows if not (r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2)]
     tokens = lambda t: low(t).split() + [None]
-    uni, big, ctx = Counter(), Counter(), Counter()
+    uni, big, tri, ctx, after = Counter(), Counter(), Counter(), Counter(), Counter()
     for r in train:
         w = tokens(r[1])
         uni.update(w)
         big.update(zip([0] + w[:-1], w))
+        tri.update(zip([0] + w[:-2], w[:-1], w[1:]))
     for (a, _), n in big.items():
         ctx[a] += n
-    n, v = sum(uni.values()), len(uni)
-    got = sorted(lm_score.lm_scores(docs, ~lm_score.held_out()).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.base_score))
+    for (a, b, _), n in tri.items():
+        after[a, b] += n
+    n, v, m = sum(uni.values()), len(uni), lm_score.M
+    p1 = lambda x: (uni[x] + 1) / (n + v + 1)
+    p2 = lambda a, x: (big[a, x] + m * p1(x)) / (ctx[a] + m)
+    p3 = lambda a, b, x: (tri[a, b, x] + m * p2(b, x)) / (after[a, b] + m)
+    got = sorted(got, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.base_score))
     rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     assert len(got) == len(rows)
     for r, row in zip(got, rows):
         w = tokens(row[1])
-        p1 = lambda x: (uni[x] + 1) / (n + v + 1)
         base = sum(math.log10(p1(x)) for x in w)
-        score = sum(math.log10(big[a, b] / (ctx[a] + lm_score.M) + lm_score.M / (ctx[a] + lm_score.M) * p1(b)) for a, b in zip([0] + w[:-1], w))
+        score = math.log10(p2(0, w[0])) + sum(math.log10(p3(*x)) for x in zip([0] + w[:-2], w[:-1], w[1:]))
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(uni[x] > 0 for x in w), n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and abs(r.score - score) <= 0.02 * len(w)
+
+
+def test_lm_scores(docs, rows, empty):
+    scores_agree(rows, lm_score.lm_scores(docs, ~lm_score.held_out()).collect())
     assert lm_score.lm_scores(empty, ~lm_score.held_out()).count() == 0
 
 
+def test_lm_scores_of_hot_contexts(spark, monkeypatch):
+    """Frequent words, a frequent bigram and frequent first words; many blocks and shards."""
+    monkeypatch.setattr(lm_score, "HOT", 12)
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 100)
+    rng = random.Random(3)
+    some = [f"w{k}" for k in range(30)]
+    rows = [(i, " ".join(["once"] * (i % 3 > 0) + [x for _ in range(rng.randint(0, 9)) for x in ("of", "the", rng.choice(some))])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    blocks = lm_score.blocks_of(docs.select("doc_id", ~lm_score.held_out(), F.col("text").cast("binary")))
+    trained = blocks.agg(F.sum("trained")).first()[0]
+    hot, _ = lm_score.hot_words(blocks, trained)
+    assert len(lm_score.hot_pairs(blocks, hot, trained)[0]) >= 1
+    scores_agree(rows, lm_score.lm_scores(docs, ~lm_score.held_out()).collect())
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(0)
     for universe in (1 << 64, 1 << 20, 5):
