@@ -19,7 +19,11 @@ the anchor's region: ``LENGTH - GRAM`` bytes before it, ``LENGTH`` from it on.
    common extension, which a binary search over prefix polynomial hashes finds.
    Neighbours in the order bound the common extension of an anchor with any
    other, so only strings within that bound are looked up, by the same hashes,
-   and equal hashes are confirmed byte by byte.
+   and equal hashes are confirmed byte by byte. An anchor with more different
+   regions than a shard of this step holds (a passage with other words around it
+   in very many texts) is split: each string of its regions is looked up by 128
+   bits of hash, which spreads them over all tasks, and all but the earliest of
+   equal strings are repeated.
 3. The spans found are merged per text and cut out.
 
 Defined results: null and empty texts lose nothing; bytes are those of the
@@ -48,6 +52,8 @@ LEFT = LENGTH - GRAM
 SPAN = LEFT + LENGTH
 #: Text bytes to a block, to a shard of step 1, and region bytes to a shard of step 2.
 BLOCK_BYTES, SHARD_BYTES, FINE_BYTES = 16 << 20, 32 << 20, 4 << 20
+#: Regions that an anchor has in one shard of step 2; beyond, its strings are spread.
+HOT_REGIONS = FINE_BYTES // SPAN
 #: Longest piece that is hashed at once.
 PIECE, MARGIN = 1 << 20, 2 * SPAN
 
@@ -355,6 +361,30 @@ def fine_parts(ids: list[int], marks: list[int], texts: list[bytes], ats: list[l
         yield s, pack(h[k], i[k], m[k], at[k].astype(np.uint32), lo[k].astype(np.uint8), hi[k].astype(np.uint8), rows[k].reshape(-1))
 
 
+def region_strings(ids: list[int], marks: list[int], texts: list[bytes], ats: list[list[int]]) -> Iterator[pa.RecordBatch]:
+    """Every string of LENGTH bytes in the regions at ``ats``: (k1, k2: its hash, doc_id, mark, at, start), some texts at a time."""
+    names = ["k1", "k2", "doc_id", "mark", "at", "start"]
+    digests: list[bytes] = []
+    rows: list[tuple[int, int, int, int]] = []
+
+    def batch() -> pa.RecordBatch:
+        keys = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*keys, *np.array(rows, dtype=np.int64).T)], names)
+
+    for i, m, text, at in zip(ids, marks, texts, ats):
+        view = memoryview(text)
+        for a in at:
+            lo, hi = max(a - LEFT, 0), min(a + LENGTH, len(text))
+            for s in range(lo, hi - LENGTH + 1):
+                digests.append(xxhash.xxh3_128_digest(view[s:s + LENGTH]))
+                rows.append((i, m, a, s))
+        if len(rows) >= 100_000:
+            yield batch()
+            digests, rows = [], []
+    if rows:
+        yield batch()
+
+
 # --- the operator -----------------------------------------------------------------
 _SPANS = "doc_id long, mark long, start long, end long"
 
@@ -378,13 +408,18 @@ def removed_spans(rows: DataFrame, n_bytes: int) -> DataFrame:
 
     sent = rows.where(F.octet_length("text") >= LENGTH).mapInArrow(scan, "shard int, data binary")
     found = stage(sent.groupBy("shard").applyInArrow(decide, _SPANS + ", anchor long"), "passages")
-    fine = (found.where(F.col("anchor").isNotNull()).groupBy("doc_id", "mark")
-            .agg(F.collect_set(F.struct("start", "anchor")).alias("at")))
-    n_fine = found.where(F.col("anchor").isNotNull()).count()
-    fine_shards = max(8, -(-n_fine * SPAN // FINE_BYTES))
-    fine = stage(fine.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "at"), "passage-ends")
-    told = rows.join(fine, (F.col("doc_id") == F.col("__id")) & (F.col("mark") == F.col("__mark")))
-    told = told.select("doc_id", "mark", "text", F.col("at.start").alias("start"), F.col("at.anchor").alias("anchor"))
+    of = found.where(F.col("anchor").isNotNull())
+    hot = stage(of.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_REGIONS).select("anchor"), "passage-hot")
+    some_hot = not hot.isEmpty()
+    few = stage(of.join(hot, "anchor", "left_anti"), "passage-few") if some_hot else of
+    fine_shards = max(8, -(-few.count() * SPAN // FINE_BYTES))
+
+    def told(ends: DataFrame, name: str) -> DataFrame:
+        """(doc_id, mark, text, start, anchor) of the texts with these ends of passages."""
+        at = ends.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "anchor")).alias("at"))
+        at = stage(at.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "at"), name)
+        with_text = rows.join(at, (F.col("doc_id") == F.col("__id")) & (F.col("mark") == F.col("__mark")))
+        return with_text.select("doc_id", "mark", "text", F.col("at.start").alias("start"), F.col("at.anchor").alias("anchor"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,8 +429,21 @@ def removed_spans(rows: DataFrame, n_bytes: int) -> DataFrame:
     def compare(shard: pa.Table) -> pa.Table:
         return compared(shard["data"].to_pylist())
 
-    ends = told.mapInArrow(gather, "shard int, data binary").groupBy("shard").applyInArrow(compare, _SPANS)
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in portions(batch, 2, BLOCK_BYTES // 4):
+                yield from region_strings(*(c.to_pylist() for c in part.columns))
+
+    ends = told(few, "passage-ends").mapInArrow(gather, "shard int, data binary").groupBy("shard").applyInArrow(compare, _SPANS)
     spans = found.where(F.col("anchor").isNull()).drop("anchor").union(ends)
+    if some_hot:
+        split = told(of.join(hot, "anchor", "left_semi"), "passage-hot-ends").select("doc_id", "mark", "text", "start")
+        each = stage(split.mapInArrow(strings, "k1 long, k2 long, doc_id long, mark long, at long, start long"), "passage-strings")
+        first = each.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "mark", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+        again = each.join(stage(first.where("n > 1").select("k1", "k2", "first"), "passage-first"), ["k1", "k2"])
+        again = again.where(F.struct("doc_id", "mark", "start") != F.col("first"))
+        # Strings of a region all hold its anchor's bytes, so they make one span.
+        spans = spans.union(again.groupBy("doc_id", "mark", "at").agg(F.min("start").alias("start"), (F.max("start") + LENGTH).alias("end")).drop("at"))
     return spans.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 

@@ -290,6 +290,23 @@ def test_passages(docs, rows, empty):
     assert suffix_dedup.passage_dedup(empty).count() == 0
 
 
+def test_passages_of_hot_anchors(spark, docs, rows, monkeypatch):
+    """Anchors with many regions, whose strings are spread: the same results."""
+    monkeypatch.setattr(suffix_dedup, "HOT_REGIONS", 1)
+    got = suffix_dedup.passage_dedup(docs).collect()
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == set(brute_passages(rows))
+    # A passage with other words around it in every text, twice in some, a short one, and rows that repeat.
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage, short = some(230), some(60)
+    made = [(i, some(rng.randint(0, 90)) + passage[:230 - i % 7] + some(rng.randint(0, 90)) + (passage if i % 5 == 0 else short)) for i in range(60)]
+    made += made[:3] + [(69, made[20][1]), (70, passage)]
+    for hot in (1, 20, 10 ** 6):
+        monkeypatch.setattr(suffix_dedup, "HOT_REGIONS", hot)
+        got = suffix_dedup.passage_dedup(spark.createDataFrame(made, "doc_id long, text string").repartition(5)).collect()
+        assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == set(brute_passages(made))
+
+
 def test_suffix_order():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, (300, suffix_dedup.SPAN)).astype(np.uint8)
