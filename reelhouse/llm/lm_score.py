@@ -197,25 +197,29 @@ class Block:
         before = before_of(self.tokens, self.sizes, begin)
         self.word_counts = np.bincount(self.tokens[learnt], minlength=begin + 1)
         self.word_counts[begin] = int(np.count_nonzero(train))
-        self.pairs, self.pair_of = np.unique(before << 32 | self.tokens, return_inverse=True)
+        self.pairs, pair_of = np.unique(before << 32 | self.tokens, return_inverse=True)
+        self.inner = np.flatnonzero(before != begin).astype(np.int32)
+        del before
+        self.pair_of = pair_of.astype(np.int32)
         self.pair_counts = np.bincount(self.pair_of[learnt], minlength=len(self.pairs))
         # A trigram is a bigram (by its place in ``pairs``) and the token after it.
-        self.inner = np.flatnonzero(before != begin)
-        self.triples, self.triple_of = np.unique(self.pair_of[self.inner - 1] << 32 | self.tokens[self.inner], return_inverse=True)
+        self.triples, triple_of = np.unique(pair_of[self.inner - 1] << 32 | self.tokens[self.inner], return_inverse=True)
+        self.triple_of = triple_of.astype(np.int32)
+        del pair_of, triple_of
         self.triple_counts = np.bincount(self.triple_of[learnt[self.inner]], minlength=len(self.triples))
         mixed = (self.hashes ^ (self.hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
         home = (mixed % np.uint64(shards)).astype(np.int64)
-        context, last = self.pairs >> 32, self.pairs & 0xFFFFFFFF
+        context, last = (self.pairs >> 32).astype(np.int32), (self.pairs & 0xFFFFFFFF).astype(np.int32)
         tails = self.hashes & _SUCC_MASK
         spread = (tails % np.uint64(shards)).astype(np.int64)
         place = places(hot, self.hashes)
-        self.succ = tails[last]
+        self.tails, self.last, self.place = tails, last, place
         pair_shard = np.where(place[context] >= 0, (home[context] + spread[last]) % shards, home[context])
         pair_place = np.where((place[context] >= 0) & (place[last] >= 0), place[context] * len(hot) + place[last], -1)
         #: Number of each bigram among the hot ones, -1 for all others.
         self.hot_pair = places(hot2, pair_place)
-        after, third = self.triples >> 32, self.triples & 0xFFFFFFFF
-        self.third = tails[third]
+        after, third = (self.triples >> 32).astype(np.int32), (self.triples & 0xFFFFFFFF).astype(np.int32)
+        self.third = third
         split = self.hot_pair[after] >= 0
         triple_shard = np.where(split, (pair_shard[after] + spread[third]) % shards, pair_shard[after])
         self.word_order, self.word_cut = self._dealt(home, shards)
@@ -245,18 +249,27 @@ class Block:
         return np.flatnonzero((np.diff(self.word_cut) > 0) | (np.diff(self.pair_cut) > 0) | (np.diff(self.triple_cut) > 0)).tolist()
 
     def part(self, s: int) -> bytes:
-        """Words and counts; contexts, their number of bigrams; successors, counts; number of
-        trigrams of each bigram; hot bigrams, their number of trigrams; successors, counts."""
+        """Words and counts; contexts (places of words, or beyond them of hot words), their number of bigrams; successors, counts; number of
+        trigrams of each bigram; hot bigrams, their number of trigrams; successors, counts;
+        the words that successors are the places of (a word follows many others)."""
         w, p, t = self.words(s), self.bigrams(s), self.trigrams(s)
         context, after = self.pairs[p] >> 32, self.triples[t] >> 32
         hot = self.hot_pair[after]
         k = int(np.count_nonzero(hot < 0))
         new, hot_new = _starts(context), _starts(hot[k:])
         thirds = np.bincount(np.searchsorted(p, after[:k]), minlength=len(p))
-        return pack(self.hashes[w], self.word_counts[w].astype(np.uint32), self.hashes[context[new]],
-                    np.diff(np.r_[new, len(p)]).astype(np.uint32), five_bytes(self.succ[p]), self.pair_counts[p].astype(np.uint32),
+        of = context[new]
+        # A context that is not hot is a word of this shard.
+        at = np.searchsorted(w, of)
+        at = np.where(np.isin(of, w), at, len(w) + self.place[of]).astype(np.uint32)
+        last, third = self.last[p], self.third[t]
+        follows = np.zeros(len(self.hashes), dtype=bool)
+        follows[last] = follows[third] = True
+        place = (np.cumsum(follows) - 1).astype(np.uint32)
+        return pack(self.hashes[w], self.word_counts[w].astype(np.uint32), at,
+                    np.diff(np.r_[new, len(p)]).astype(np.uint32), place[last], self.pair_counts[p].astype(np.uint32),
                     thirds.astype(np.uint32), hot[k:][hot_new].astype(np.uint32), np.diff(np.r_[hot_new, len(t) - k]).astype(np.uint32),
-                    five_bytes(self.third[t]), self.triple_counts[t].astype(np.uint32))
+                    place[third], self.triple_counts[t].astype(np.uint32), five_bytes(self.tails[follows]))
 
 
 def _starts(of: np.ndarray) -> np.ndarray:
@@ -344,19 +357,21 @@ def _stretches(sizes: np.ndarray, most: int = 500_000) -> Iterator[tuple[int, in
 
 def answered(shard: pa.Table, hot: np.ndarray, hot_n: np.ndarray, hot2_n: np.ndarray) -> pa.Table:
     """Builds a shard's trie from the parts of all blocks and answers each part."""
-    parts = [unpack(d) for d in shard["data"].to_pylist()]
+    parts = [unpack(d.as_py()) for d in shard["data"]]
+    tails = [from_five(p[11]) for p in parts]
+    successors = lambda k: np.concatenate([t[p[k]] for t, p in zip(tails, parts)])
     whole = lambda k: np.concatenate([p[k] for p in parts])
     words, word_at = np.unique(whole(0), return_inverse=True)
     word_n = np.bincount(word_at, weights=whole(1)).astype(np.int64)
-    contexts, at = np.unique(whole(2), return_inverse=True)
+    contexts, at = np.unique(np.concatenate([np.concatenate([p[0], hot])[p[2]] for p in parts]), return_inverse=True)
     pair_context = np.repeat(at, whole(3))
-    asked, pair_at = np.unique(pair_context.astype(np.uint64) << SUCC_BITS | from_five(whole(4)), return_inverse=True)
+    asked, pair_at = np.unique(pair_context.astype(np.uint64) << SUCC_BITS | successors(4), return_inverse=True)
     asked_n = np.bincount(pair_at, weights=whole(5), minlength=len(asked)).astype(np.int64)
     pair_cut = np.cumsum([0] + [len(p[5]) for p in parts])
     # Trigrams by the number of their bigram among those asked for; hot bigrams come after them.
     after = np.concatenate([x for k, p in enumerate(parts) for x in (
         np.repeat(pair_at[pair_cut[k]:pair_cut[k + 1]], p[6]), np.repeat(len(asked) + p[7].astype(np.int64), p[8]))])
-    asked3, triple_at = np.unique(after.astype(np.uint64) << SUCC_BITS | from_five(whole(9)), return_inverse=True)
+    asked3, triple_at = np.unique(after.astype(np.uint64) << SUCC_BITS | successors(9), return_inverse=True)
     asked3_n = np.bincount(triple_at, weights=whole(10), minlength=len(asked3)).astype(np.int64)
     keys, pair_n = asked[asked_n > 0], asked_n[asked_n > 0]
     pair_context = (keys >> SUCC_BITS).astype(np.int64)
