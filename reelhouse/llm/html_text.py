@@ -12,9 +12,14 @@
 3. A host may take many shards. Runs that a shard of such a host has are held
    against those of its other shards by one aggregate over (host, run), so a
    repeat is found wherever its copies lie, in a host of any size.
-4. A page with an article gives the article's blocks, without furniture in it.
-   Other pages give the unique runs of their open blocks; what repeats across
-   pages of the host is boilerplate, marked or not.
+4. The articles of a host have suffix arrays of their own, apart from the streams,
+   cut into shards by article. Articles quote each other, so a repeat alone says
+   nothing there: a run is a notice if more than half of the host's different
+   articles hold it, ``LEAST`` at least. These arrays take 16 bits of a word's hash; a run
+   that half of a shard's articles hold is then counted over the whole host by 64 bits.
+5. A page with an article gives the article's blocks, without furniture in it and
+   without notices. Other pages give the unique runs of their open blocks; what
+   repeats across pages of the host is boilerplate, marked or not.
 
 Defined results: null, empty and pure markup pages give the empty text; pages
 with equal content count as one page, so copies of a page do not remove each
@@ -39,8 +44,9 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.common import portions, stage, table
 
-#: Tokens that a repeat has at least (a power of two), tokens to a shard, stream tokens to a range of hosts.
-RUN, SHARD_TOKENS, RANGE_TOKENS = 8, 1 << 20, 1 << 22
+#: Tokens that a repeat has at least (a power of two), tokens to a shard, stream tokens to a range of hosts,
+#: different articles that hold a notice at least.
+RUN, SHARD_TOKENS, RANGE_TOKENS, LEAST = 8, 1 << 20, 1 << 22, 8
 PORTION = 8 << 20
 
 # --- blocks ------------------------------------------------------------------------
@@ -200,17 +206,32 @@ def stream(found: list[tuple[int, str, list[str]]]) -> tuple[np.ndarray, int]:
     return np.array(tokens, dtype=np.uint64), content.intdigest() - (1 << 63)
 
 
-def main_text(found: list[tuple[int, str, list[str]]], start: list[int], end: list[int]) -> str:
-    """The article's blocks; without one, words of open blocks outside the covered spans."""
+def article(found: list[tuple[int, str, list[str]]]) -> np.ndarray:
+    """Tokens of the article's blocks as hashes."""
+    tokens = []
+    for kind, tag, words in found:
+        if kind == ARTICLE:
+            tokens.append(xxhash.xxh3_64_intdigest(f"<{tag}>"))
+            tokens += map(xxhash.xxh3_64_intdigest, words)
+    return np.array(tokens, dtype=np.uint64)
+
+
+def main_text(found: list[tuple[int, str, list[str]]], start: list[int], end: list[int], notices: list[int] | None = None) -> str:
+    """Words of open blocks outside the covered spans; of a page with an article, the words
+    of its blocks outside the runs that begin at ``notices`` (places in ``article``)."""
+    wanted = OPEN
     if is_article(found):
-        return "\n\n".join(" ".join(w) for k, _, w in found if k == ARTICLE)
+        wanted, found = ARTICLE, [b for b in found if b[0] == ARTICLE]
+        start, end = notices or [], [x + RUN for x in notices or []]
+    if not start:
+        return "\n\n".join(" ".join(w) for k, _, w in found if k == wanted)
     covered = np.zeros(sum(len(w) + 1 for _, _, w in found) + 1, dtype=np.int64)
     np.add.at(covered, start, 1)
     np.add.at(covered, end, -1)
     covered = (np.cumsum(covered) > 0).tolist()
     out, at = [], 0
     for kind, _, words in found:
-        if kind == OPEN:
+        if kind == wanted:
             left = [w for w, c in zip(words, covered[at + 1:at + 1 + len(words)]) if not c]
             if left:
                 out.append(" ".join(left))
@@ -328,6 +349,112 @@ def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _told(held[0]["host"], held, False)
 
 
+# --- notices in articles -------------------------------------------------------------
+def short(tokens: np.ndarray) -> np.ndarray:
+    """The 16 bits of each token that are sent."""
+    return tokens.astype(np.uint16)
+
+
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's rows with the same host and article, one."""
+    seen: set[tuple] = set()
+    for batch in batches:
+        fresh = []
+        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            fresh.append(pair not in seen)
+            seen.add(pair)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
+def _frequent(articles: list[np.ndarray], least: int) -> np.ndarray:
+    """Hashes of the runs that at least half of these different articles hold, ``least`` at least."""
+    sizes = np.array([len(a) for a in articles])
+    tokens, page = np.concatenate(articles).astype(np.uint64), np.repeat(np.arange(len(articles)), sizes)
+    if len(tokens) < RUN:
+        return np.empty(0, np.int64)
+    ok = np.zeros(len(tokens), dtype=bool)
+    ok[:len(tokens) - RUN + 1] = page[RUN - 1:] == page[:len(tokens) - RUN + 1]
+    order, rank = suffix_order(tokens)
+    order = order[ok[order]]
+    if not len(order):
+        return np.empty(0, np.int64)
+    r, p = rank[order], page[order]  # of equal suffixes, places ascend, and with them pages
+    new = np.r_[True, r[1:] != r[:-1]]
+    first = np.flatnonzero(new)
+    holders = np.add.reduceat((new | np.r_[True, p[1:] != p[:-1]]).astype(np.int64), first)
+    return run_hashes(tokens)[order[first[holders >= max(least, -(-len(articles) // 2))]]].view(np.int64)
+
+
+def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by host, shard and article: the runs that may be notices. In one shard at least, a notice
+    is in half of the articles, however the host's articles are cut into shards."""
+    key, last, held, size, cut = None, None, [], 0, False
+
+    def told() -> pa.RecordBatch:
+        runs = _frequent(held, 1 if cut or key[2] > 1 else LEAST)
+        return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(runs), pa.string()), pa.array(runs, pa.int64())], ["host", "run"])
+
+    for batch in batches:
+        for host, mine, words, shard, shards in zip(*(c.to_pylist() for c in batch.columns)):
+            tokens = np.frombuffer(words, np.uint16)
+            if key != (host, shard, shards):
+                if held:
+                    yield told()
+                key, last, held, size, cut = (host, shard, shards), None, [], 0, False
+            if mine == last:
+                continue
+            if held and size + len(tokens) > 2 * SHARD_TOKENS:
+                cut = True
+                yield told()
+                held, size = [], 0
+            last, size = mine, size + len(tokens)
+            held.append(tokens)
+    if held:
+        yield told()
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with the runs that may be notices on their host: which of them the article holds, by 64-bit words, and where."""
+    for batch in batches:
+        for part in portions(batch, 2, PORTION):
+            out: list[list] = [[], [], [], [], []]
+            for host, mark, page, runs in zip(*(c.to_pylist() for c in part.columns)):
+                tokens = article(blocks(page or ""))
+                places = np.flatnonzero(np.isin(run_hashes(short(tokens).astype(np.uint64)).view(np.int64), runs))
+                if len(places):
+                    for column, value in zip(out, (host, mark, _name(tokens), run_hashes(tokens)[places].view(np.int64).tolist(), places.tolist())):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(out, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
+                ["host", "mark", "article", "runs", "places"])
+
+
+def _name(tokens: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+
+
+def notices(streams: DataFrame, rows: DataFrame) -> DataFrame:
+    """(host, mark, notices): where notices begin in the articles that have some. ``streams`` is staged."""
+    streams = streams.where(F.col("article").isNotNull()).select("host", "article", "words")
+    sizes = streams.groupBy("host").agg(F.sum(F.octet_length("words").cast("long")).alias("bytes"))
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    shards = F.ceil(F.col("bytes") / F.lit(2 * SHARD_TOKENS)).cast("int")
+    split = stage(sizes.select(F.col("host").alias("of_host"), shards.alias("shards")).where("shards > 1"), "page-hosts")
+    least = int(streams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = streams.mapInArrow(once, "host string, article long, words binary").join(split, F.col("host") == F.col("of_host"), "left")
+    cut = cut.withColumn("shards", F.coalesce("shards", F.lit(1))).withColumn("shard", F.pmod(F.xxhash64("article"), F.col("shards")))
+    cut = cut.repartition(max(least, -(-total // (2 * RANGE_TOKENS))), "host", "shard").sortWithinPartitions("host", "shard", "article")
+    maybe = stage(cut.select("host", "article", "words", "shard", "shards").mapInArrow(frequent, "host string, run long"), "page-runs")
+    maybe = stage(maybe.groupBy("host").agg(F.collect_set("run").alias("runs")), "page-maybe").withColumnRenamed("host", "of_host")
+    held = rows.join(maybe, F.col("host") == F.col("of_host")).select("host", "mark", "html", "runs")
+    held = stage(held.mapInArrow(counted, "host string, mark long, article long, runs array<long>, places array<long>"), "page-held")
+    articles = streams.join(maybe, F.col("host") == F.col("of_host"), "left_semi").groupBy("host").agg(F.count_distinct("article").alias("articles"))
+    by_run = held.select("host", "article", F.explode(F.array_distinct("runs")).alias("run")).groupBy("host", "run").agg(F.count_distinct("article").alias("holders"))
+    told = by_run.where(F.col("holders") >= LEAST).join(articles, "host").where("2 * holders > articles").select("host", "run")
+    at = held.select("host", "mark", F.explode(F.arrays_zip("runs", "places")).alias("at")).select("host", "mark", F.col("at.runs").alias("run"), F.col("at.places").alias("place"))
+    return at.join(told, ["host", "run"], "left_semi").groupBy("host", "mark").agg(F.collect_set("place").alias("notices"))
+
+
 # --- the operator -----------------------------------------------------------------------
 def host_of(url) -> F.Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
@@ -357,22 +484,25 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     page = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The token stream of every page, and the html of those without an article."""
+        """The token stream of every page, its article's tokens, and the html of those without an article."""
         for batch in batches:
             for part in portions(batch, 4, PORTION):
                 pages = part.column(4).to_pylist()
                 found = [blocks(t or "") for t in pages]
                 streams, wants = [stream(f) for f in found], [not is_article(f) for f in found]
+                own = [None if w else article(f) for f, w in zip(found, wants)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:4], pa.array([c for _, c in streams], pa.int64()), pa.array(wants), pa.array([s.tobytes() for s, _ in streams], pa.binary()),
-                     pa.array([t if w else None for t, w in zip(pages, wants)], pa.string())], [*part.schema.names[:4], "content", "wants", "tokens", "html"])
+                     pa.array([t if w else None for t, w in zip(pages, wants)], pa.string()), pa.array([None if a is None else _name(a) for a in own], pa.int64()),
+                     pa.array([None if a is None else short(a).tobytes() for a in own], pa.binary())],
+                    [*part.schema.names[:4], "content", "wants", "tokens", "html", "article", "words"])
 
     def articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in portions(batch, 2, PORTION):
                 found = [blocks(t or "") for t in part.column(2).to_pylist()]
                 keep = pa.array([is_article(f) for f in found], pa.bool_())
-                text = pa.array([main_text(f, [], []) for f in found if is_article(f)], pa.string())
+                text = pa.array([main_text(f, [], [], n) for f, n in zip(found, part.column(3).to_pylist()) if is_article(f)], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep), text], ["page_id", "url", "text"])
 
     def unique(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,12 +511,14 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 text = [main_text(blocks(t or ""), a or [], b or []) for t, a, b in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    streams = rows.mapInArrow(read, f"{page}, host string, mark long, content long, wants boolean, tokens binary, html string")
+    streams = rows.mapInArrow(read, f"{page}, host string, mark long, content long, wants boolean, tokens binary, html string, article long, words binary")
     streams = stage(streams.withColumn("row", F.monotonically_increasing_id()), "page-streams")
     covered = stage(boilerplate(streams), "page-boilerplate").withColumnsRenamed({"host": "of_host", "mark": "of_mark"})
     left = streams.where("wants").join(covered, (F.col("host") == F.col("of_host")) & (F.col("mark") == F.col("of_mark")), "left")
     left = left.select("page_id", "url", "html", "start", "end").mapInArrow(unique, f"{page}, text string")
-    out = rows.select("page_id", "url", "html").mapInArrow(articles, f"{page}, text string").union(left)
+    told = stage(notices(streams, rows), "page-notices").withColumnsRenamed({"host": "of_host", "mark": "of_mark"})
+    own = rows.join(told, (F.col("host") == F.col("of_host")) & (F.col("mark") == F.col("of_mark")), "left")
+    out = own.select("page_id", "url", "html", "notices").mapInArrow(articles, f"{page}, text string").union(left)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

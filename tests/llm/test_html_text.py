@@ -101,3 +101,28 @@ def test_suffix_order():
     heads = [tuple(tokens[i:i + ht.RUN].tolist()) for i in range(len(tokens))]
     assert [heads[i] for i in order] == sorted(heads)
     assert all((rank[i] == rank[j]) == (heads[i] == heads[j]) for i in range(0, 400, 7) for j in range(400))
+
+
+def test_notices_go_from_articles(spark, monkeypatch):
+    """What most articles of a host hold is a notice, unmarked too; quotations of fewer, small hosts and copies are left."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    notice, quote, small, copy = text(14), text(20), text(15), text(30)
+    rows, expect = [], []
+    for i in range(60):
+        head, rest, tail = text(9), text(rng.randint(10, 60)), text(12)
+        has = i % 3 != 0
+        blocks = [head, rest, *([quote] if i % 2 else []), *([notice] if has else []), tail]
+        rows.append((i, f"https://big.test/{i}", f"<nav>x</nav><article>{''.join(f'<p>{b}</p>' for b in blocks)}</article><p>{text(5)}</p>"))
+        expect.append((i, "\n\n".join(b for b in blocks if b != notice)))
+    own = [text(10) for _ in range(7)]
+    rows += [(100 + i, "https://small.test/", f"<article><p>{small}</p><p>{t}</p></article>") for i, t in enumerate(own)]
+    expect += [(100 + i, f"{small}\n\n{t}") for i, t in enumerate(own)]
+    rows += [(200 + i, "https://copy.test/", f"<div class=ad>{text(9)}</div><article><p>{copy}</p></article>") for i in range(20)]
+    expect += [(200 + i, copy) for i in range(20)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for size in (1 << 20, 300, 20):
+        monkeypatch.setattr(ht, "SHARD_TOKENS", size)
+        got = {r.page_id: r.text for r in ht.extracted(frame).collect()}
+        assert sorted(got.items()) == expect
