@@ -5,6 +5,10 @@ that Catalyst plans it as a window group limit: every map task first keeps its
 own best row per key (partial limit) and only those rows are shuffled. A hot key
 (the NULL key, or one film that holds a third of the rows) therefore never
 sends more than one row per map task across the network.
+
+Both sides sort all rows by the key. A sort compares the first eight bytes of the
+first column before anything else, and those of a URI are the same in all rows, so
+the key is led by its own hash, which splits no group.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ from pyspark.sql import functions as F
 from reelhouse.operators.order import SortSpec, keys, sort_names, tiebreak
 
 RN = "__rn"
+# Types whose equal values have equal hashes (not so: text of another collation).
+HASHED = ("string", "date", "timestamp", "timestamp_ntz", "boolean", "tinyint", "smallint", "int", "bigint")
 
 
 def keep_first(
@@ -36,5 +42,7 @@ def keep_first(
         order_keys += tiebreak(df.columns, [*partition_by, *sort_names(order)])
     if not order_keys:
         raise ValueError("keep_first needs at least one order key")
-    w = Window.partitionBy(*partition_by).orderBy(*order_keys)
+    hashed = [c for c, t in df.dtypes if c in partition_by and (t in HASHED or t.startswith("decimal"))]
+    lead = [F.hash(*hashed)] if hashed else []
+    w = Window.partitionBy(*lead, *partition_by).orderBy(*order_keys)
     return df.withColumn(RN, F.row_number().over(w)).where(F.col(RN) == 1).drop(RN)

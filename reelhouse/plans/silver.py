@@ -23,30 +23,35 @@ from reelhouse.functions.text import (
 from reelhouse.operators.dedupe import keep_first
 
 
-def _clean(bronze: DataFrame, columns: list[str]) -> dict[str, F.Column]:
-    return {c: blank_to_null(F.col(c)) for c in columns}
+# Columns whose guard or token map makes a blank text NULL by itself.
+GUARDED = ("list_date", "year", "rating", "rewatch", "watched_date", "date_joined")
 
 
-def _film_typed(src: dict, on_bad: str) -> list:
+def _clean(bronze: DataFrame, columns: list[str]) -> DataFrame:
+    """A projection of its own: guards and casts read a cleaned value several
+    times, and as one expression each of them would trim it again. A mart's filter on
+    a typed column is pushed to the scan and evaluates all it reads there once more,
+    so guarded columns are only trimmed."""
+    return bronze.select(*[(F.trim(F.col(c).cast("string")) if c in GUARDED else blank_to_null(c)).alias(c) for c in columns])
+
+
+def _film_typed(on_bad: str) -> list:
     return [
-        text_to_date(src["list_date"], on_bad).alias("list_date"),
-        src["name"].alias("name"),
-        text_to_year(src["year"]).alias("year"),
-        src["letterboxd_uri"].alias("letterboxd_uri"),
+        text_to_date("list_date", on_bad).alias("list_date"),
+        F.col("name"),
+        text_to_year("year").alias("year"),
+        F.col("letterboxd_uri"),
     ]
 
 
 def typed_ratings(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["list_date", "name", "year", "letterboxd_uri", "rating"])
-    return bronze.select(
-        *_film_typed(src, on_bad),
-        text_to_rating(src["rating"], on_bad).alias("rating"),
-    )
+    return src.select(*_film_typed(on_bad), text_to_rating("rating", on_bad).alias("rating"))
 
 
 def typed_watched(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["list_date", "name", "year", "letterboxd_uri"])
-    return bronze.select(*_film_typed(src, on_bad))
+    return src.select(*_film_typed(on_bad))
 
 
 def _diary_like(bronze: DataFrame, with_review: bool, on_bad: str) -> DataFrame:
@@ -55,17 +60,14 @@ def _diary_like(bronze: DataFrame, with_review: bool, on_bad: str) -> DataFrame:
     cols += ["tags", "watched_date"]
     src = _clean(bronze, cols)
     out = [
-        *_film_typed(src, on_bad),
-        text_to_rating(src["rating"], on_bad).alias("rating"),
-        text_to_bool(src["rewatch"]).alias("rewatch"),
+        *_film_typed(on_bad),
+        text_to_rating("rating", on_bad).alias("rating"),
+        text_to_bool("rewatch").alias("rewatch"),
     ]
     if with_review:
-        out.append(src["review"].alias("review"))
-    out += [
-        src["tags"].alias("tags"),
-        text_to_date(src["watched_date"], on_bad).alias("watched_date"),
-    ]
-    return bronze.select(*out)
+        out.append(F.col("review"))
+    out += [F.col("tags"), text_to_date("watched_date", on_bad).alias("watched_date")]
+    return src.select(*out)
 
 
 def typed_diary(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -91,10 +93,7 @@ PROFILE_TEXT = [
 
 def typed_profile(bronze: DataFrame, on_bad: str = "fail") -> DataFrame:
     src = _clean(bronze, ["date_joined", *PROFILE_TEXT])
-    return bronze.select(
-        text_to_date(src["date_joined"], on_bad).alias("date_joined"),
-        *[src[c].alias(c) for c in PROFILE_TEXT],
-    )
+    return src.select(text_to_date("date_joined", on_bad).alias("date_joined"), *PROFILE_TEXT)
 
 
 # Per dataset the typing step, the dedupe key (W1a-W1f), the
