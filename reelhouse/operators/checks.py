@@ -88,7 +88,7 @@ def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
     """Failure counts of the checks declared on one table, in one scan.
 
     Columns that unique or accepted_values needs are counted by value; of
-    several, each row makes one (column, value) pair per column. Columns that
+    several, each row makes one (column number, value) pair per column. Columns that
     only need a NULL count are summed beside them, on the pairs of the first
     column alone, and a table without other checks is one plain aggregate.
     Partial aggregation keeps the shuffle to one row per distinct pair and map
@@ -106,7 +106,7 @@ def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
         grouped = df.select(*flags)
     else:
         pairs = [
-            [F.lit(col).alias("c"), F.col(col).cast("string").alias("v")]
+            [F.lit(i).alias("c"), F.col(col).cast("string").alias("v")]
             + (flags if i == 0 else [F.lit(0).cast("long").alias(name) for name in nulls.values()])
             for i, col in enumerate(valued)
         ]
@@ -120,7 +120,7 @@ def check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
     v, n = F.col("v"), F.col("n")
     rows = []
     for col, cs in by_col.items():
-        mine = F.col("c") == col
+        mine = F.col("c") == valued.index(col) if col in valued else None
         for c in cs:
             if c.check == NOT_NULL and col in nulls:
                 failures = F.coalesce(F.sum(nulls[col]), F.lit(0))
